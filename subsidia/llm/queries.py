@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from subsidia.llm import token_counts, token_files, url_filters
-from subsidia.llm.common import shared_dir, table
+from subsidia.llm import chat, mixing, token_counts, token_files, url_filters
+from subsidia.llm.common import shared_dir, staged, table
 
 
 def tokenizer(name: str) -> str:
@@ -57,6 +58,87 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder)
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mixed_sizes(table(spark, sf_dir, "documents"), weights=(5, 2, 1), cap=3.0, seed=7)
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+OP7_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         md5(concat_ws('|', '7', doc_id::VARCHAR, md5(coalesce(text, '')))) AS digest
+  FROM documents
+), numbered AS (
+  SELECT *, list_reduce(list_transform(string_split(substr(digest, 1, 13), ''), lambda c: (strpos('0123456789abcdef', c) - 1)::BIGINT), lambda a, b: a * 16 + b) AS drawn
+  FROM sized
+), own AS (
+  SELECT source, count(*) AS n_docs, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight, source_size * 3.0::DOUBLE AS most FROM own
+), levels AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(most) OVER (f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
+            / sum(weight) OVER (f ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed WINDOW f AS (ORDER BY most / weight, source NULLS LAST)
+), targets AS (
+  SELECT source, source_size, least(most, weight * max(level) OVER ())::DOUBLE AS target FROM levels
+), shares AS (
+  SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS copies FROM targets
+), budgets AS (
+  SELECT source, source_size, target, floor(copies)::BIGINT AS whole, copies - floor(copies) AS share, target - floor(copies) * source_size AS budget FROM shares
+), ranked AS (
+  SELECT n.doc_id, n.size, n.drawn, b.*,
+         CASE WHEN share > 0 THEN ((((drawn + 0.5) / 4503599627370496.0) / (1 - (drawn + 0.5) / 4503599627370496.0)) / (share / (1 - share)))::DOUBLE END AS rank
+  FROM numbered n JOIN budgets b ON n.source IS NOT DISTINCT FROM b.source
+), summed AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rank, drawn RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM ranked
+), fitting AS (
+  SELECT *, share > 0 AND upto <= budget AS fits FROM summed
+), gaps AS (
+  SELECT *, budget - coalesce(max(CASE WHEN fits THEN upto END) OVER (PARTITION BY source), 0) AS gap,
+         sum(size) OVER (PARTITION BY source, drawn) AS together
+  FROM fitting
+), closings AS (
+  SELECT source, arg_min(drawn, {'off': abs(gap - together), 'rank': rank, 'drawn': drawn}) AS closing
+  FROM gaps WHERE share > 0 AND NOT fits AND abs(gap - together) < abs(gap) GROUP BY source
+)
+SELECT g.doc_id, g.size, g.source_size, g.target, (g.size * (g.whole + CASE WHEN g.fits OR coalesce(g.drawn = c.closing, FALSE) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM gaps g LEFT JOIN closings c ON g.source IS NOT DISTINCT FROM c.source
+"""
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = "\\### Assistant: </turn> ok"
+    own = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    written = chat.formatted(chat.canonical(chat.conversations_as_records(rows)))
+    written = staged(written.select("conv_id", "formatted", "loss_spans"), "chat")
+    turns = chat.read_turns(F.col("formatted"))
+    read = written.withColumn("turns", turns).withColumn("loss", chat.read_loss(F.col("formatted"), F.col("loss_spans")))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(lines, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+OP8_SQL = r"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
+       sum(16 + length(replace(replace(replace(role, '\', '\e'), '<', '\l'), '>', '\g')) + length(replace(replace(text, '\', '\e'), '<', '\l')))::BIGINT AS formatted_chars
+FROM given GROUP BY conv_id
+"""
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), limit=1024)
 
@@ -64,9 +146,13 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_token_files": op2_token_files,
+    "op7_mixing": op7_mixing,
+    "op8_chat": op8_chat,
     "op9_token_counts": op9_token_counts,
 }
 
 ORACLE_SQL = {
     "op1_url_filters": OP1_SQL,
+    "op7_mixing": OP7_SQL,
+    "op8_chat": OP8_SQL,
 }
