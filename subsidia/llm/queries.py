@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subsidia.llm import chat, mixing, token_counts, token_files, url_filters
+from subsidia.llm import chat, decontamination, mixing, near_duplicates, quality, token_counts, token_files, url_filters
 from subsidia.llm.common import shared_dir, staged, table
 
 
@@ -58,6 +58,21 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), rate=0.1)
+
+
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), n=2, percent=80)
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit_held_in(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mixed_sizes(table(spark, sf_dir, "documents"), weights=(5, 2, 1), cap=3.0, seed=7)
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -146,6 +161,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_token_files": op2_token_files,
+    "op3_decontamination": op3_decontamination,
+    "op5_near_duplicates": op5_near_duplicates,
+    "op6_quality": op6_quality,
     "op7_mixing": op7_mixing,
     "op8_chat": op8_chat,
     "op9_token_counts": op9_token_counts,
