@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subsidia.llm import chat, decontamination, mixing, near_duplicates, quality, token_counts, token_files, url_filters
+from subsidia.llm import chat, decontamination, fingerprints, mixing, near_duplicates, quality, token_counts, token_files, url_filters
 from subsidia.llm.common import shared_dir, staged, table
 
 
@@ -62,6 +62,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), rate=0.1)
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_prints(table(spark, sf_dir, "documents"))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), n=2, percent=80)
 
@@ -162,6 +166,7 @@ QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_token_files": op2_token_files,
     "op3_decontamination": op3_decontamination,
+    "op4_fingerprints": op4_fingerprints,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_quality": op6_quality,
     "op7_mixing": op7_mixing,
