@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subsidia.llm import chat, decontamination, fingerprints, mixing, near_duplicates, quality, token_counts, token_files, url_filters
+from subsidia.llm import chat, decontamination, fingerprints, mixing, near_duplicates, personal_data, quality, token_counts, token_files, url_filters
 from subsidia.llm.common import shared_dir, staged, table
 
 
@@ -162,6 +162,17 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), limit=1024)
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.personal_data(table(spark, sf_dir, "documents"))
+    n = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *[n(k) for k in personal_data.KINDS],
+        F.sha2(personal_data.spelled(F.col("base")), 256).alias("base_sha256"),
+        personal_data.spelled(F.concat("base", "extra")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_token_files": op2_token_files,
@@ -172,6 +183,7 @@ QUERIES = {
     "op7_mixing": op7_mixing,
     "op8_chat": op8_chat,
     "op9_token_counts": op9_token_counts,
+    "op10_personal_data": op10_personal_data,
 }
 
 ORACLE_SQL = {
