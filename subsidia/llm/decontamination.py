@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Characters of items sent to the workers at once (about 100 bytes each as an automaton); more items go in blocks.
 BLOCK_CHARS = 2_000_000
@@ -143,8 +144,8 @@ def item_blocks(benchmark: DataFrame, rate: float, least: int, block_chars: int)
     blocks = max(1, -(-chars // block_chars))
     for b in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
-        own = [(r["item_id"], folded(r["text"]).strip(), r) for r in rows]
-        yield sorted(((i, t, int(rate * len(t))) for i, t, _ in own if len(t) >= least), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+        own = [(r["item_id"], folded(r["text"]).strip()) for r in rows]
+        yield sorted(((i, t, int(rate * len(t))) for i, t in own if len(t) >= least), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, least: int = 40, keep: str = "doc_id", block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -153,8 +154,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, lea
     Positions are code points of the original text. Texts are searched whole; null and empty texts hold nothing. Repeated
     documents are each reported, repeated items once. Empty tables give an empty table.
     """
-    kind = docs.schema[keep].dataType.simpleString()
-    schema = f"`{keep}` {kind}, item_id {benchmark.schema['item_id'].dataType.simpleString()}, distance int, start int, end int"
+    schema = T.StructType([docs.schema[keep], benchmark.schema["item_id"], *[T.StructField(c, T.IntegerType()) for c in ("distance", "start", "end")]])
     out = None
     for items in item_blocks(benchmark, rate, least, block_chars):
         one = docs.select(keep, "text").mapInArrow(_finder(docs.sparkSession.sparkContext.broadcast(items), keep), schema)

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bounds of what is fitted on: labelled rows of each class, and pieces of each class in a dictionary.
 SAMPLE_ROWS = 10_000
@@ -77,8 +78,8 @@ def featured(docs: DataFrame, keep: list[str], good: bytes, bad: bytes, text: st
             f = [sizes.features(t or "") for t in batch.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array([x for x, _ in f], pa.float64()), pa.array([x for _, x in f], pa.float64())], names=[*keep, "gain", "ratio"])
 
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, text).mapInArrow(run, f"{kinds}, gain double, ratio double")
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(c, T.DoubleType()) for c in ("gain", "ratio")])
+    return docs.select(*keep, text).mapInArrow(run, schema)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = SAMPLE_ROWS, pieces: int = SAMPLE_PIECES) -> Model | None:

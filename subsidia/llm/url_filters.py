@@ -75,10 +75,10 @@ def judge_urls(pages: DataFrame, rules: list[Rule], url: str = "url", default: s
     spark = pages.sparkSession
     host, path = split_url(F.col(url))
     taken = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    keyed = pages.select(*taken, host.alias("host"), path.alias("path"))
+    keyed = pages.select(F.struct(*taken).alias("page"), host.alias("host"), path.alias("path"))
     index = filed(rules, token_counts(keyed.select(F.concat("host", "path").alias("key")), rules))
     if sum(len(r.pattern) + len(r.name) + 64 for r in rules) > broadcast_bytes:
-        return _judge_by_join(keyed, rules, index, default)
+        return _judge_by_join(keyed, rules, index, default).select("page.*", "host", "path", "rule", "verdict")
     sent = spark.sparkContext.broadcast((rules, index))
 
     @F.pandas_udf("rule string, verdict string")
@@ -95,7 +95,7 @@ def judge_urls(pages: DataFrame, rules: list[Rule], url: str = "url", default: s
             out.append((best.name, best.verdict) if best else (None, default))
         return pd.DataFrame(out, columns=["rule", "verdict"])
 
-    return keyed.withColumn("judged", judge(F.concat("host", "path"))).select(*taken, "host", "path", "judged.rule", "judged.verdict")
+    return keyed.withColumn("judged", judge(F.concat("host", "path"))).select("page.*", "host", "path", "judged.rule", "judged.verdict")
 
 
 def _judge_by_join(keyed: DataFrame, rules: list[Rule], index: dict[str, list[int]], default: str) -> DataFrame:
@@ -107,5 +107,4 @@ def _judge_by_join(keyed: DataFrame, rules: list[Rule], index: dict[str, list[in
     tokens = keys.select("key", F.explode(F.array_union(F.array(F.lit("")), F.array_distinct(F.regexp_extract_all("key", F.lit(TOKEN), 0)))).alias("token"))
     fits = tokens.join(filed_rules, "token").filter(F.expr("key rlike pattern"))
     best = fits.groupBy("key").agg(F.max(F.struct(F.length("rule").alias("n"), "rule", "verdict")).alias("best"))
-    own = [c for c in keyed.columns]
-    return keyed.withColumn("key", F.concat("host", "path")).join(best, "key", "left").select(*own, F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+    return keyed.withColumn("key", F.concat("host", "path")).join(best, "key", "left").select("page", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
