@@ -36,7 +36,8 @@ def _crosses(x1, y1, x2, y2):
     def test(e):
         ax, ay, bx, by = e["a"]["lon"], e["a"]["lat"], e["b"]["lon"], e["b"]["lat"]
         x, y, u, v = (F.lit(float(k)) for k in (x1, y1, x2, y2))
-        return (side(ax, ay, bx, by, x, y) * side(ax, ay, bx, by, u, v) <= 0) & (side(x, y, u, v, ax, ay) * side(x, y, u, v, bx, by) <= 0)
+        overlap = (F.greatest(ax, bx) >= F.least(x, u)) & (F.least(ax, bx) <= F.greatest(x, u)) & (F.greatest(ay, by) >= F.least(y, v)) & (F.least(ay, by) <= F.greatest(y, v))
+        return overlap & (side(ax, ay, bx, by, x, y) * side(ax, ay, bx, by, u, v) <= 0) & (side(x, y, u, v, ax, ay) * side(x, y, u, v, bx, by) <= 0)
 
     return test
 

@@ -73,7 +73,7 @@ def products(spark, sf_dir) -> DataFrame:
     version = F.concat(F.lit("0."), (F.col("k") % 3 + 8).cast("string"))
     made = F.timestamp_seconds(F.unix_timestamp(F.col("sec_date").cast("timestamp")) + F.col("k"))
     stamp = lambda d: F.concat(F.date_format(d, "yyyyMMdd"), F.lit("T000000Z"))
-    path = F.concat_ws("_", F.lit("OPERA"), F.lit("L3"), F.lit("DISP-S1"), F.lit("IW"), F.concat(F.lit("F"), F.lpad(F.col("frame_id").cast("string"), 5, "0")), F.lit("VV"), stamp("ref_date"), stamp("sec_date"), F.concat(F.lit("v"), version), F.date_format(made, "yyyyMMdd'T'HHmmss'Z'"))
+    path = F.concat_ws("_", F.lit("SAT"), F.lit("L3"), F.lit("DISP"), F.lit("IW"), F.concat(F.lit("F"), F.lpad(F.col("frame_id").cast("string"), 5, "0")), F.lit("VV"), stamp("ref_date"), stamp("sec_date"), F.concat(F.lit("v"), version), F.date_format(made, "yyyyMMdd'T'HHmmss'Z'"))
     return p.select(F.concat(F.lit("/data/"), path, F.lit(".nc")).alias("path"), "frame_id", "ref_date", "sec_date", version.alias("version"), made.alias("production_ts"))
 
 
@@ -132,7 +132,7 @@ SQL = {
         s_acctbal / 1000 AS gnss, s_acctbal / 1000 + (s_suppkey * 31 % 13 - 6) AS insar FROM supplier""",
     "points": """SELECT l_orderkey * 10 + l_linenumber AS id, (l_orderkey * 37 % 60000)::DOUBLE AS x,
         ((l_partkey * 911 + l_linenumber * 17) % 60000)::DOUBLE AS y, (l_quantity - 25) / 5 AS v FROM lineitem""",
-    "products": """SELECT '/data/OPERA_L3_DISP-S1_IW_F' || lpad(frame_id::VARCHAR, 5, '0') || '_VV_' || strftime(ref_date, '%Y%m%d') || 'T000000Z_' || strftime(sec_date, '%Y%m%d') || 'T000000Z_v' || version || '_' || strftime(production_ts, '%Y%m%dT%H%M%SZ') || '.nc' AS path,
+    "products": """SELECT '/data/SAT_L3_DISP_IW_F' || lpad(frame_id::VARCHAR, 5, '0') || '_VV_' || strftime(ref_date, '%Y%m%d') || 'T000000Z_' || strftime(sec_date, '%Y%m%d') || 'T000000Z_v' || version || '_' || strftime(production_ts, '%Y%m%dT%H%M%SZ') || '.nc' AS path,
         frame_id, ref_date, sec_date, version, production_ts FROM (
           SELECT o.frame_id, coalesce(r.before, r.first) AS ref_date, o.sec_date, '0.' || (k % 3 + 8) AS version, o.sec_date::TIMESTAMP + to_seconds(k) AS production_ts
           FROM (SELECT (o_custkey % 5)::INT AS frame_id, o_orderdate::DATE AS sec_date, o_orderkey AS k FROM orders) o

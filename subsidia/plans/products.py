@@ -30,7 +30,7 @@ def prods(spark, sf):
     return fxs.products(spark, sf).select("path", "frame_id", "ref_date", "sec_date", "version", "production_ts")
 
 
-@query("s01_read_product_catalog", fx("products") + f"SELECT {P}, epoch(production_ts)::BIGINT AS made, 'OPERA' AS project, 'VV' AS polarization FROM products")
+@query("s01_read_product_catalog", fx("products") + f"SELECT {P}, epoch(production_ts)::BIGINT AS made, 'SAT' AS project, 'VV' AS polarization FROM products")
 def s01(spark, sf):
     return catalog.parse_products(prods(spark, sf).select("path")).select("path", "frame_id", "ref_date", "sec_date", "version", F.unix_timestamp("production_ts").alias("made"), "project", "polarization")
 

@@ -30,7 +30,7 @@ def parse_tenv3(lines: DataFrame) -> DataFrame:
     kept = _without_first(lines).filter(F.size(c) >= 20)
     num = lambda i: F.get(c, F.lit(i)).try_cast("double")
     return kept.select(
-        F.lit("UNR").alias("source"), c[0].alias("station"), F.to_date(F.initcap(F.lower(c[1])), "yyMMMdd").alias("obs_date"),
+        F.lit("tenv3").alias("source"), c[0].alias("station"), F.to_date(F.initcap(F.lower(c[1])), "yyMMMdd").alias("obs_date"),
         (num(7) + num(8)).alias("east"), (num(9) + num(10)).alias("north"), (num(11) + num(12)).alias("up"),
         num(14).alias("sig_e"), num(15).alias("sig_n"), num(16).alias("sig_u"), num(17).alias("corr_en"), num(18).alias("corr_eu"), num(19).alias("corr_nu"),
     )
@@ -43,12 +43,12 @@ def parse_series(lines: DataFrame) -> DataFrame:
     num = lambda i: F.get(c, F.lit(i)).try_cast("double")
     day = F.make_date(num(11).cast("int"), num(12).cast("int"), num(13).cast("int"))
     name = F.upper(F.regexp_extract("file", r"([^/.]+)\.[^/]*$", 1))
-    return kept.select(F.lit("SIDESHOW").alias("source"), name.alias("station"), day.alias("obs_date"), *[num(i).alias(n) for i, n in enumerate(("east", "north", "up", "sig_e", "sig_n", "sig_u", "corr_en", "corr_eu", "corr_nu"), 1)])
+    return kept.select(F.lit("series").alias("source"), name.alias("station"), day.alias("obs_date"), *[num(i).alias(n) for i, n in enumerate(("east", "north", "up", "sig_e", "sig_n", "sig_u", "corr_en", "corr_eu", "corr_nu"), 1)])
 
 
-def read_gnss_daily(spark: SparkSession, paths, source: str = "UNR") -> DataFrame:
+def read_gnss_daily(spark: SparkSession, paths, source: str = "tenv3") -> DataFrame:
     lines = numbered_lines(spark, paths)
-    return parse_tenv3(lines) if source == "UNR" else parse_series(lines)
+    return parse_tenv3(lines) if source == "tenv3" else parse_series(lines)
 
 
 def parse_steps(lines: DataFrame) -> DataFrame:
