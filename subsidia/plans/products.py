@@ -77,6 +77,13 @@ def s04b(spark, sf):
     return readers.parse_burst_map(fxs.table(spark, sf, "lineitem").select(j.alias("value"))).distinct()
 
 
+@query("s05_read_stations", "SELECT 'S' || s_suppkey AS station, (s_suppkey % 170 - 85)::DOUBLE AS lat, s_suppkey % 360 / 2 AS lon FROM supplier")
+def s05(spark, sf):
+    k = F.col("s_suppkey")
+    line = F.concat_ws(",", F.concat(F.lit("S"), k.cast("string")), (k % 170 - 85).cast("string"), (k % 360 / 2).cast("string"))
+    return readers.parse_stations(fxs.table(spark, sf, "supplier").select(line.alias("value")))
+
+
 @query("s07_layer_registry", fx("obs") + """, own AS (SELECT DISTINCT version, frame_id, layer FROM obs), layers AS (SELECT version, frame_id, unnest(['timeseries', 'velocity', 'temporal_coherence']) AS layer FROM own)
 SELECT version, frame_id, layer, CASE WHEN layer = 'velocity' THEN 'velocity' ELSE 'timeseries' END AS dataset, CASE WHEN layer = 'velocity' THEN 1000 ELSE 100 END::DOUBLE AS scale, layer = 'timeseries' AS present FROM layers""")
 def s07(spark, sf):

@@ -5,7 +5,7 @@ Parsers work on DataFrames of lines, so that any text source can feed them; the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,6 +95,11 @@ def read_sites(spark: SparkSession, paths) -> DataFrame:
     return spark.read.csv(paths, header=True, schema=SITES)
 
 
+def parse_stations(lines: DataFrame) -> DataFrame:
+    """(station, lat, lon) of comma-separated lines (``value``); what can't be read is NULL."""
+    return lines.select(F.from_csv("value", "station string, lat double, lon double").alias("s")).select("s.*")
+
+
 def read_stations(spark: SparkSession, paths) -> DataFrame:
     return spark.read.csv(paths, header=True, schema=STATIONS)
 
@@ -143,7 +148,3 @@ def layer_registry(layers: DataFrame, available: DataFrame) -> DataFrame:
     dataset = F.when(F.contains("layer", F.lit("velocity")), "velocity").otherwise("timeseries")
     return layers.join(found, ["version", "frame_id", "layer"], "left").select("version", "frame_id", "layer", dataset.alias("dataset"), F.coalesce("scale", F.lit(100.0)).alias("scale"), F.coalesce("_f", F.lit(False)).alias("present"))
 
-
-def latest(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The last row of each key in an order."""
-    return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(order)))).filter("_n = 1").drop("_n")
