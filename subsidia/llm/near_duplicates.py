@@ -8,17 +8,19 @@
 3. Pairs whose estimate is not far below the threshold are confirmed on the full sets.
 4. Confirmed links are joined to components.
 
-No bucket is expanded into all its pairs. Each bucket first offers its smallest member as a hub, and every class tries two of
-the hubs offered to it, the smallest and the most similar one, which joins a large group of near copies. Only what is still
-apart afterwards is compared pair by pair, so no link between components is lost: two members of a bucket are either in one
-component already or compared.
+No large bucket is expanded into all its pairs. Each bucket first offers its smallest member as a hub, and every class tries
+two of the hubs offered to it, the smallest and the most similar one, which joins a large group of near copies. What is still
+apart afterwards is compared pair by pair in small buckets. In large ones the shingles that only one member of the family has
+are counted: they bound what a class can share with any other, and the member with the fewest of them lies in the middle of
+the family, so it is the second hub. After that pairs are compared that are still apart and that the bound doesn't rule out. So
+no link between components is lost: two members of a bucket are in one component already, or compared, or too far apart.
 
 A pair at the threshold of 0.8 shares no bucket with a probability of (1 - 0.8 ** 5) ** 51 = 1.6e-9.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from subsidia.llm.common import staged
@@ -31,6 +33,8 @@ LANES = 0x5555555555555555
 SLACK = 0.2
 #: Ids of texts to fetch are broadcast up to this number (16 MB), else joined.
 BROADCAST_IDS = 2_000_000
+#: Members of a bucket from which on it is large.
+LARGE = 24
 #: Stands for a null id in joins.
 NO_ID = -(2**63)
 LAST_ID = 2**63 - 1
@@ -140,17 +144,21 @@ def estimate(a: str = "a_sig", b: str = "b_sig"):
     return (equal - 0.25) / 0.75
 
 
+def fetched(ids: DataFrame, docs: DataFrame, heads: DataFrame, n: int) -> DataFrame:
+    """(id, text) of the classes ``ids`` (id), from one document of each; ``heads`` has its doc_id."""
+    wanted = staged(ids.distinct().join(heads, "id").select("id", "doc_id"), "near-wanted")
+    own = wanted.select("doc_id").distinct()
+    own = F.broadcast(own) if wanted.count() <= BROADCAST_IDS else own
+    texts = docs.join(own, "doc_id", "left_semi").mapInArrow(_named(n), "id long, text string")
+    return staged(texts.dropDuplicates(["id"]), "near-texts")
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, heads: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose full sets meet the threshold: 100 * intersection >= percent * union.
 
-    ``heads`` has a document (doc_id) of each class (id). Their texts are fetched, and a pair travels to its first text, then
-    to its second; texts are smaller than their sets.
+    A pair travels to its first text, then to its second; texts are smaller than their sets.
     """
-    wanted = staged(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct().join(heads, "id").select("id", "doc_id"), "near-wanted")
-    ids = wanted.select("doc_id").distinct()
-    ids = F.broadcast(ids) if wanted.count() <= BROADCAST_IDS else ids
-    texts = docs.join(ids, "doc_id", "left_semi").mapInArrow(_named(n), "id long, text string")
-    texts = staged(texts.dropDuplicates(["id"]), "near-texts")
+    texts = fetched(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), docs, heads, n)
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
 
     def check(batches):
@@ -171,6 +179,30 @@ def confirmed(pairs: DataFrame, docs: DataFrame, heads: DataFrame, n: int, perce
     return both.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
 
 
+def own_shingles(members: DataFrame, docs: DataFrame, heads: DataFrame, n: int) -> DataFrame:
+    """(id, family, own): how many shingles of a class no other class of its family has.
+
+    ``members``: key, id and comp in crowded buckets. A bucket belongs to the component with most members in it, and a class to
+    the smallest of its buckets' components: that is its family. The count says nothing about classes of other families.
+    """
+    sizes = members.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"))
+    family = staged(members.join(sizes, "key").groupBy("id").agg(F.min("main").alias("family")), "near-families")
+    texts = fetched(family.select("id"), docs, heads, n)
+
+    def listed(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            sets = [shingles(t, n).view(np.int64) for t in batch.column(1).to_pylist()]
+            ends = np.cumsum([0, *map(len, sets)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets) if sets else [], pa.int64()))], names=["id", "shingles"])
+
+    each = texts.mapInArrow(listed, "id long, shingles array<long>").join(family, "id").select("family", "id", F.explode("shingles").alias("shingle"))
+    once = each.groupBy("family", "shingle").agg(F.count("*").alias("n"), F.min("id").alias("id")).filter("n = 1")
+    return staged(family.join(once.groupBy("id").agg(F.count("*").alias("own")), "id", "left").select("id", "family", F.coalesce("own", F.lit(0)).alias("own")), "near-own")
+
+
 def _named(n):
     def run(batches):
         import pyarrow as pa
@@ -188,22 +220,28 @@ def components(edges: DataFrame) -> DataFrame:
     Large-star and small-star steps in turn until nothing changes; each step is a grouping by node with partial minima and a
     join, and its links are written to the shared folder.
     """
-    links = staged(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "links")
+    print_of, links = _written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "links")
     while True:
         both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = staged(large.distinct(), "large-star")
+        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        small = staged(small.filter("u <> v").distinct(), "small-star")
-        print_of = lambda t: t.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if print_of(small) == print_of(links):
+        small = large.join(low, "u").select("u", "v", "m", F.explode(F.when(F.col("v") == F.col("m"), F.array("u")).otherwise(F.array("u", "v"))).alias("x"))
+        before = print_of
+        print_of, small = _written(small.select(F.col("x").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct(), "links")
+        if print_of == before:
             # Stable: every node but the smallest points at the smallest.
             return links.select(F.col("u").alias("id"), F.col("v").alias("comp")).union(links.select("v", "v").distinct())
         links = small
 
 
+def _written(links: DataFrame, what: str) -> tuple[tuple, DataFrame]:
+    """The links, staged, with their number and the sum of their hashes, both observed while they are written."""
+    seen = Observation()
+    links = staged(links.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")), what)
+    return (seen.get["n"], seen.get["h"]), links
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id (smallest id reachable), kept (the document is that one).
 
@@ -227,23 +265,56 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str
     side = lambda c: marks.select(F.col("id").alias(c), F.col("n").alias(f"{c}_n"), F.col("sig").alias(f"{c}_sig"))
     fits = (F.greatest("a_n", "b_n") * percent <= F.least("a_n", "b_n") * 100) & (estimate() >= near)
 
-    offered = crowded.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    offered = offered.join(side("b"), "b").join(side("a"), "a").filter(fits).select("a", "b", estimate().alias("like"))
-    own = Window.partitionBy("b")
-    first, best = F.row_number().over(own.orderBy("a")), F.row_number().over(own.orderBy(F.desc("like"), "a"))
-    stars = offered.withColumn("first", first).withColumn("best", best).filter("first = 1 OR best = 1").select("a", "b")
-    links = staged(confirmed(staged(stars, "near-stars"), docs, heads, n, percent), "near-links")
+    def tried(offered: DataFrame, more=F.lit(True)) -> DataFrame:
+        """Of the hubs (a) offered to each class (b): the smallest and the most similar one."""
+        own = Window.partitionBy("b")
+        first, best = F.row_number().over(own.orderBy("a")), F.row_number().over(own.orderBy(F.desc("like"), "a"))
+        likely = offered.distinct().join(side("b"), "b").join(side("a"), "a").filter(fits & more).select("a", "b", estimate().alias("like"))
+        return likely.withColumn("first", first).withColumn("best", best).filter("first = 1 OR best = 1").select("a", "b")
+
+    def apart(members: DataFrame, comp: DataFrame) -> DataFrame:
+        """The members of buckets that more than one component meets in: key, id, comp, members."""
+        named = members.select("key", "id").join(comp, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
+        keys = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("members")).filter("lo <> hi").select("key", "members")
+        return staged(named.join(staged(keys, "near-open"), "key"), "near-apart")
+
+    def crossed(members: DataFrame, more=F.lit(True), extra: tuple = ()) -> DataFrame:
+        """The likely pairs of members of a bucket in different components."""
+        sized = members.join(side("a").withColumnRenamed("a", "id"), "id").select("key", "id", "comp", "a_n", "a_sig", *[F.col(c).alias(f"a_{c}") for c in extra])
+        sized = staged(sized, "near-sides")
+        other = sized.select("key", F.col("id").alias("b"), F.col("comp").alias("b_comp"), F.col("a_n").alias("b_n"), F.col("a_sig").alias("b_sig"), *[F.col(f"a_{c}").alias(f"b_{c}") for c in extra])
+        return sized.withColumnRenamed("id", "a").join(other, "key").filter((F.col("a") < F.col("b")) & (F.col("comp") != F.col("b_comp")) & more & fits).select("a", "b").distinct()
+
+    hubs = crowded.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
+    links = staged(confirmed(staged(tried(hubs), "near-stars"), docs, heads, n, percent), "near-links")
     comp = staged(components(links), "near-components")
 
-    named = crowded.join(comp, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
-    open_ = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
-    apart = staged(named.join(staged(open_, "near-open"), "key", "left_semi").join(side("a").withColumnRenamed("a", "id"), "id").select("key", "id", "comp", "a_n", "a_sig"), "near-apart")
-    other = apart.select("key", F.col("id").alias("b"), F.col("comp").alias("b_comp"), F.col("a_n").alias("b_n"), F.col("a_sig").alias("b_sig"))
-    rest = apart.withColumnRenamed("id", "a").join(other, "key").filter((F.col("a") < F.col("b")) & (F.col("comp") != F.col("b_comp")) & fits).select("a", "b").distinct()
-    rest = staged(rest, "near-rest")
-    if not rest.isEmpty():
-        links = staged(links.union(confirmed(rest, docs, heads, n, percent)), "near-all-links")
-        comp = staged(components(links), "near-components")
+    open_ = apart(crowded, comp)
+    small, large = open_.filter(F.col("members") < LARGE), open_.filter(F.col("members") >= LARGE)
+    pairs = crossed(small)
+    crowd = not large.isEmpty()
+    if crowd:
+        own = own_shingles(large, docs, heads, n)
+        middle = large.join(own, "id").join(marks.select("id", "n"), "id").groupBy("key").agg(F.min(F.struct(F.col("own") / F.col("n"), "id")).alias("m")).select("key", F.col("m.id").alias("a"))
+        again = large.join(staged(middle, "near-middles"), "key").filter("id <> a").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b"))
+        pairs = pairs.union(tried(again)).distinct()
+
+    def linked(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+        """The components with the pairs that hold joined in; the old ones are stars of links themselves."""
+        pairs = staged(pairs, "near-pairs")
+        if pairs.isEmpty():
+            return comp
+        found = staged(confirmed(pairs, docs, heads, n, percent), "near-links")
+        if found.isEmpty():
+            return comp
+        return staged(components(found.union(comp.select(F.col("comp").alias("a"), F.col("id").alias("b")))), "near-components")
+
+    comp = linked(pairs, comp)
+    if crowd:
+        # What two classes of a family share is at most what either shares with its family.
+        most = F.least(F.col("a_n") - F.col("a_own"), F.col("b_n") - F.col("b_own"))
+        able = (F.col("a_family") != F.col("b_family")) | (most * 100 >= (F.col("a_n") + F.col("b_n") - most) * percent)
+        comp = linked(crossed(apart(large, comp).join(own, "id"), able, ("own", "family")), comp)
 
     # The smallest document id of each component, for every class that has more than one document or a link.
     grouped = classes.join(comp, "id", "left").filter("copies > 1 OR comp IS NOT NULL").select("id", F.coalesce("comp", "id").alias("comp"), "doc_id")
@@ -264,12 +335,13 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     found = staged(near_duplicates(docs, n, percent).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID))), "near-found")
     own = found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.bool_or("kept").alias("kept"))
     own = staged(own.filter("rows > 1 OR NOT kept"), "near-dropped")
-    key = F.coalesce("doc_id", F.lit(NO_ID))
     dropped, again = own.filter("NOT kept").select("doc_id"), own.filter("kept").select("doc_id")
     hint = F.broadcast if own.count() <= BROADCAST_IDS else (lambda x: x)
-    left = docs.join(hint(dropped.withColumnRenamed("doc_id", "dropped")), key == F.col("dropped"), "left_anti")
-    if again.isEmpty():
-        return left
-    again = hint(again.withColumnRenamed("doc_id", "again"))
-    repeated = left.join(again, key == F.col("again"), "left_semi").dropDuplicates(["doc_id", "text"])
-    return left.join(again, key == F.col("again"), "left_anti").unionByName(repeated)
+    # Packed, so that no column of the documents can clash with the columns used here.
+    packed = docs.select(F.struct(*docs.columns).alias("doc"), F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.col("text").alias("text"))
+    left = packed.join(hint(dropped), "doc_id", "left_anti")
+    if not again.isEmpty():
+        again = hint(again)
+        repeated = left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+        left = left.join(again, "doc_id", "left_anti").unionByName(repeated)
+    return left.select("doc.*")
