@@ -14,6 +14,8 @@ apart afterwards is compared pair by pair in small buckets. In large ones the sh
 are counted: they bound what a class can share with any other, and the member with the fewest of them lies in the middle of
 the family, so it is the second hub. After that pairs are compared that are still apart and that the bound doesn't rule out. So
 no link between components is lost: two members of a bucket are in one component already, or compared, or too far apart.
+There a class carries what distinguishes its set from its family's middle; two such differences give the exact similarity
+of their sets, so the comparison of members yields nothing but links.
 
 A pair at the threshold of 0.8 shares no bucket with a probability of (1 - 0.8 ** 5) ** 51 = 1.6e-9.
 """
@@ -180,7 +182,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, heads: DataFrame, n: int, perce
 
 
 def own_shingles(members: DataFrame, docs: DataFrame, heads: DataFrame, n: int) -> DataFrame:
-    """(id, family, own): how many shingles of a class no other class of its family has.
+    """(id, family, n, own, text): how many shingles of a class no other class of its family has.
 
     ``members``: key, id and comp in crowded buckets. A bucket belongs to the component with most members in it, and a class to
     the smallest of its buckets' components: that is its family. The count says nothing about classes of other families.
@@ -200,7 +202,36 @@ def own_shingles(members: DataFrame, docs: DataFrame, heads: DataFrame, n: int)
 
     each = texts.mapInArrow(listed, "id long, shingles array<long>").join(family, "id").select("family", "id", F.explode("shingles").alias("shingle"))
     once = each.groupBy("family", "shingle").agg(F.count("*").alias("n"), F.min("id").alias("id")).filter("n = 1")
-    return staged(family.join(once.groupBy("id").agg(F.count("*").alias("own")), "id", "left").select("id", "family", F.coalesce("own", F.lit(0)).alias("own")), "near-own")
+    lone = once.groupBy("id").agg(F.count("*").alias("own"))
+    sizes = each.groupBy("family", "id").agg(F.count("*").alias("n"))
+    return staged(sizes.join(lone, "id", "left").join(texts, "id").select("id", "family", "n", F.coalesce("own", F.lit(0)).alias("own"), "text"), "near-own")
+
+
+def differences(own: DataFrame, n: int) -> DataFrame:
+    """(id, family, own, delta): the shingles that a class has and its family's middle has not, or the other way round.
+
+    The middle is the member with the smallest share of own shingles. A class that differs from it in more than half of its
+    shingles has no delta.
+    """
+    middle = own.groupBy("family").agg(F.min(F.struct(F.col("own") / F.col("n"), "id")).alias("m")).select("family", F.col("m.id").alias("centre"))
+    both = own.join(middle, "family").join(own.select(F.col("id").alias("centre"), F.col("text").alias("middle")), "centre")
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        last = (None, None)
+        for batch in batches:
+            out = []
+            for t, m in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+                if last[0] != m:
+                    last = (m, shingles(m, n))
+                own = shingles(t, n)
+                delta = np.setxor1d(own, last[1], assume_unique=True)
+                out.append(delta.view(np.int64) if 2 * len(delta) <= len(own) else None)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.list_(pa.int64()))], names=["id", "family", "own", "delta"])
+
+    return staged(both.select("id", "family", "own", "text", "middle").mapInArrow(run, "id long, family long, own long, delta array<long>"), "near-differences")
 
 
 def _named(n):
@@ -295,7 +326,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str
     crowd = not large.isEmpty()
     if crowd:
         own = own_shingles(large, docs, heads, n)
-        middle = large.join(own, "id").join(marks.select("id", "n"), "id").groupBy("key").agg(F.min(F.struct(F.col("own") / F.col("n"), "id")).alias("m")).select("key", F.col("m.id").alias("a"))
+        middle = large.join(own.select("id", "own", "n"), "id").groupBy("key").agg(F.min(F.struct(F.col("own") / F.col("n"), "id")).alias("m")).select("key", F.col("m.id").alias("a"))
         again = large.join(staged(middle, "near-middles"), "key").filter("id <> a").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b"))
         pairs = pairs.union(tried(again)).distinct()
 
@@ -311,10 +342,15 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str
 
     comp = linked(pairs, comp)
     if crowd:
-        # What two classes of a family share is at most what either shares with its family.
+        # What two classes of a family share is at most what either shares with its family; where both have a delta, the
+        # symmetric difference of their sets is that of their deltas.
         most = F.least(F.col("a_n") - F.col("a_own"), F.col("b_n") - F.col("b_own"))
-        able = (F.col("a_family") != F.col("b_family")) | (most * 100 >= (F.col("a_n") + F.col("b_n") - most) * percent)
-        comp = linked(crossed(apart(large, comp).join(own, "id"), able, ("own", "family")), comp)
+        able = most * 100 >= (F.col("a_n") + F.col("b_n") - most) * percent
+        apart_by = F.size("a_delta") + F.size("b_delta") - 2 * F.size(F.array_intersect("a_delta", "b_delta"))
+        meets = (F.col("a_n") + F.col("b_n") - apart_by) * 100 >= (F.col("a_n") + F.col("b_n") + apart_by) * percent
+        exact = F.col("a_delta").isNull() | F.col("b_delta").isNull() | meets
+        more = (F.col("a_family") != F.col("b_family")) | (able & fits & exact)
+        comp = linked(crossed(apart(large, comp).join(differences(own, n), "id"), more, ("own", "family", "delta")), comp)
 
     # The smallest document id of each component, for every class that has more than one document or a link.
     grouped = classes.join(comp, "id", "left").filter("copies > 1 OR comp IS NOT NULL").select("id", F.coalesce("comp", "id").alias("comp"), "doc_id")
