@@ -40,3 +40,10 @@ def staged(df: DataFrame, what: str) -> DataFrame:
 
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
+
+
+def in_slices(batches, rows: int = 512):
+    """Arrow batches in slices, so that a worker holds few texts as Python strings and passes results on early."""
+    for batch in batches:
+        for i in range(0, max(1, batch.num_rows), rows):
+            yield batch.slice(i, rows)

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from subsidia.llm.common import staged
+from subsidia.llm.common import in_slices, staged
 
 BANDS, ROWS = 51, 5
 #: Longs of a packed signature: 2 bits a value, 32 values a long.
@@ -57,7 +57,7 @@ def shingles(text: str | None, n: int):
     """The sorted distinct shingles of ``n`` words of a text as 64-bit hashes; fewer words make one shingle, none makes none."""
     import numpy as np
 
-    if len(_hashes) > 1_000_000:
+    if len(_hashes) > 200_000:
         _hashes.clear()
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and the ASCII spaces only
     if not words:
@@ -116,7 +116,7 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
         constants = _constants()
         seeds = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
         shifts = np.arange(0, 64, 2, dtype=np.uint64)
-        for batch in batches:
+        for batch in in_slices(batches):
             sizes, ids, bands, sigs = [], [], [], []
             for t in batch.column(1).to_pylist():
                 s = shingles(t, n)
@@ -168,7 +168,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, heads: DataFrame, n: int, perce
         import pyarrow as pa
 
         last = (None, None)
-        for batch in batches:
+        for batch in in_slices(batches):
             keep = []
             for a, x, y in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
                 if last[0] != a:
@@ -195,7 +195,7 @@ def own_shingles(members: DataFrame, docs: DataFrame, heads: DataFrame, n: int)
         import numpy as np
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in in_slices(batches):
             sets = [shingles(t, n).view(np.int64) for t in batch.column(1).to_pylist()]
             ends = np.cumsum([0, *map(len, sets)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets) if sets else [], pa.int64()))], names=["id", "shingles"])
@@ -221,7 +221,7 @@ def differences(own: DataFrame, n: int) -> DataFrame:
         import pyarrow as pa
 
         last = (None, None)
-        for batch in batches:
+        for batch in in_slices(batches):
             out = []
             for t, m in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
                 if last[0] != m:
@@ -238,7 +238,7 @@ def _named(n):
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in in_slices(batches):
             sets = [shingles(t, n) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64()), batch.column(1)], names=["id", "text"])
 

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from subsidia.llm.common import in_slices
+
 #: Bounds of what is fitted on: labelled rows of each class, and pieces of each class in a dictionary.
 SAMPLE_ROWS = 10_000
 SAMPLE_PIECES = 4_096
@@ -74,7 +76,7 @@ def featured(docs: DataFrame, keep: list[str], good: bytes, bad: bytes, text: st
         import pyarrow as pa
 
         sizes = Sizes(*sent.value)
-        for batch in batches:
+        for batch in in_slices(batches):
             f = [sizes.features(t or "") for t in batch.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array([x for x, _ in f], pa.float64()), pa.array([x for _, x in f], pa.float64())], names=[*keep, "gain", "ratio"])
 
