@@ -115,26 +115,29 @@ class Matcher:
         """(item id, distance, start, end): the nearest passage for each item found, the first of equals."""
         text = folded(text)
         found: dict[int, tuple[int, int, int]] = {}
-        seen: dict[int, int] = {}  # item -> the end of what has been searched for it
+        seen: set[tuple[int, int]] = set()  # (item, number of a searched stretch)
         for last, (n, places) in self.automaton.iter(text):
             for item, offset, larger in places:
                 start = last - n + 1 - offset
-                if not all(occurs(w, y - x, text[max(0, start + x - e) : max(0, start + y + e)], e) for x, y, e, w in larger):
-                    continue
                 _, t, k, masks, back = self.items[item]
                 m = len(t)
-                lo, hi = max(0, start - k), min(len(text), start + m + k)
-                if hi - lo < m - k or found.get(item, (1,))[0] == 0 or seen.get(item, -1) >= hi:
+                # Hits with their windows' beginnings in the same stretch share a search, which holds each of these windows whole.
+                share = 2 * k + 1
+                lo = (start - k) // share * share
+                hi = min(len(text), lo + share + m + 2 * k)
+                if min(len(text), start + m + k) - max(0, start - k) < m - k or found.get(item, (1,))[0] == 0 or (item, lo) in seen:
+                    continue
+                if not all(occurs(w, y - x, text[max(0, start + x - e) : max(0, start + y + e)], e) for x, y, e, w in larger):
                     continue
                 if text.startswith(t, start) and start >= 0:
                     found[item] = (0, start, start + m)
                     continue
-                # Hits of one item on nearly the same diagonal share a search, which is widened for them.
-                hi = min(len(text), hi + k)
-                seen[item] = hi
-                if (got := myers(t, text[lo:hi], k, masks)) and got[0] < found.get(item, (k + 1,))[0]:
+                seen.add((item, lo))
+                lo = max(0, lo)
+                got = myers(t, text[lo:hi], k, masks)
+                if got and (item not in found or (got[0], lo + got[1]) < (found[item][0], found[item][2])):
                     end = lo + got[1]
-                    start = end - myers(t[::-1], text[max(0, end - m - k) : end][::-1], k, back)[1]
+                    start = end - myers(t[::-1], text[max(lo, end - m - k) : end][::-1], k, back)[1]
                     found[item] = (got[0], start, end)
         return [(self.items[i][0], *x) for i, x in sorted(found.items())]
 

@@ -105,6 +105,20 @@ def test_matcher_equals_brute_force():
         assert (found[0][1] == d and edit_distance(p, t[found[0][2] : found[0][3]]) == d) if d <= k else not found
 
 
+def test_matcher_finds_items_that_repeat_a_phrase():
+    rng = random.Random(11)
+    for _ in range(300):
+        half = "".join(rng.choices("abcdefgh ", k=rng.randint(20, 35)))
+        p = half + rng.choice(["", " ", "xy"]) + half
+        k = len(p) // 10
+        q = list(p)
+        for _ in range(rng.randint(1, k + 1)):
+            q[rng.randrange(len(half)) if rng.random() < 0.85 else rng.randrange(len(q))] = rng.choice(["", "z", "yz"])
+        t = "".join(rng.choices("xyz ", k=60)) + "".join(q) + "".join(rng.choices("xyz ", k=60))
+        found, d = decontamination.Matcher([(1, p, k)]).find(t), edit_distance(p, t)
+        assert (found[0][1] == d and edit_distance(p, t[found[0][2] : found[0][3]]) == d) if d <= k else not found
+
+
 def test_contaminations(spark):
     rng = random.Random(5)
     text = lambda n: " ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 7))) for _ in range(n))
