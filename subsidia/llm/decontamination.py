@@ -8,6 +8,8 @@ edit distance of the item to any passage there. No hit, no work; no document mov
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,10 @@ from subsidia.llm.common import in_slices
 
 #: Characters of items sent to the workers at once (about 100 bytes each as an automaton); more items go in blocks.
 BLOCK_CHARS = 2_000_000
+#: Items below so many characters that allow no edit count as whole words only.
+WORD_CHARS = 10
+#: Letters of scripts that don't put spaces between words: Thai, Lao, Burmese, Khmer, kana and Han.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u312f\u31a0-\ua4cf\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 def folded(text: str) -> str:
@@ -94,12 +100,19 @@ def letter_masks(pattern: str) -> dict[str, int]:
     return masks
 
 
+def whole_words(text: str, start: int, end: int) -> bool:
+    """Whether start .. end neither begins nor ends inside a word. Scripts without spaces have no such places."""
+    inside = lambda i: 0 < i < len(text) and all(c.isalnum() and not UNSPACED.match(c) for c in text[i - 1 : i + 1])
+    return not inside(start) and not inside(end)
+
+
 class Matcher:
-    """Finds items in texts. ``items``: (id, folded text, k)."""
+    """Finds items in texts. ``items``: (id, folded text, k). Items without edits below ``word_chars`` characters must be whole words."""
 
-    def __init__(self, items: list[tuple[int, str, int]]):
+    def __init__(self, items: list[tuple[int, str, int]], word_chars: int = 0):
         import ahocorasick
 
+        self.word_chars = word_chars
         self.items = [(i, t, k, letter_masks(t), letter_masks(t[::-1])) for i, t, k in items]
         own: dict[str, list[tuple[int, int, list]]] = {}
         for n, (_, t, k, *_rest) in enumerate(self.items):
@@ -127,6 +140,8 @@ class Matcher:
                 hi = min(len(text), lo + share + m + 2 * k)
                 if min(len(text), start + m + k) - max(0, start - k) < m - k or found.get(item, (1,))[0] == 0 or (item, lo) in seen:
                     continue
+                if k == 0 and m < self.word_chars and not whole_words(text, start, start + m):
+                    continue
                 if not all(occurs(w, y - x, text[max(0, start + x - e) : max(0, start + y + e)], e) for x, y, e, w in larger):
                     continue
                 if text.startswith(t, start) and start >= 0:
@@ -143,7 +158,7 @@ class Matcher:
 
 
 def item_blocks(benchmark: DataFrame, rate: float, least: int, block_chars: int):
-    """Lists of (id, folded text, k). Items below ``least`` characters, null or empty, are left out."""
+    """Lists of (id, folded text, k). Null and blank items, and those below ``least`` characters, are left out."""
     items = benchmark.select("item_id", "text").filter(F.length("text") >= least).dropDuplicates()
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-chars // block_chars))
@@ -153,7 +168,7 @@ def item_blocks(benchmark: DataFrame, rate: float, least: int, block_chars: int)
         yield sorted(((i, t, int(rate * len(t))) for i, t in own if len(t) >= least), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
 
 
-def contaminations(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, least: int = 40, keep: str = "doc_id", block_chars: int = BLOCK_CHARS) -> DataFrame:
+def contaminations(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, least: int = 1, keep: str = "doc_id", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(doc_id, item_id, distance, start, end): for each document and item the nearest passage within the budget.
 
     Positions are code points of the original text. Texts are searched whole; null and empty texts hold nothing. Repeated
@@ -171,7 +186,7 @@ def _finder(sent, keep):
     def run(batches):
         import pyarrow as pa
 
-        matcher = Matcher(sent.value) if sent.value else None
+        matcher = Matcher(sent.value, WORD_CHARS) if sent.value else None
         for batch in in_slices(batches):
             rows = [(k, *hit) for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if matcher and t for hit in matcher.find(t)]
             cols = list(zip(*rows, strict=True)) or [[]] * 5
@@ -181,7 +196,7 @@ def _finder(sent, keep):
     return run
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, least: int = 40, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, least: int = 1, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents, all columns, in which no item is found."""
     for items in item_blocks(benchmark, rate, least, block_chars):
         docs = docs.mapInArrow(_keeper(docs.sparkSession.sparkContext.broadcast(items), docs.columns.index("text")), docs.schema)
@@ -192,7 +207,7 @@ def _keeper(sent, at):
     def run(batches):
         import pyarrow as pa
 
-        matcher = Matcher(sent.value) if sent.value else None
+        matcher = Matcher(sent.value, WORD_CHARS) if sent.value else None
         for batch in in_slices(batches):
             yield batch.filter(pa.array([not (matcher and t and matcher.find(t)) for t in batch.column(at).to_pylist()], pa.bool_()))
 

@@ -139,6 +139,15 @@ def test_contaminations(spark):
     assert decontamination.clean(docs.limit(0), bench).count() == 0
 
 
+def test_contaminations_by_short_items(spark):
+    texts = ["so, What is the\ncapital of France? Paris", "wat is the capital of france", "cat", "A cat.", "concatenate", "the catalog and a cat", "nothing", " ", "e = mc2!", "法国的首都是巴黎"]
+    docs = documents(spark, [(i, t, "s") for i, t in enumerate(texts)])
+    bench = spark.createDataFrame([(1, "What is the capital of France?"), (2, " cat "), (3, "   "), (4, ""), (5, None), (6, "= mc2"), (7, "首都")], "item_id long, text string")
+    got = sorted(tuple(r) for r in decontamination.contaminations(docs, bench).collect())
+    assert got == [(0, 1, 0, 4, 34), (1, 1, 2, 0, 28), (2, 2, 0, 0, 3), (3, 2, 0, 2, 5), (5, 2, 0, 18, 21), (8, 6, 0, 2, 7), (9, 7, 0, 3, 5)]
+    assert sorted(r["doc_id"] for r in decontamination.clean(docs, bench).collect()) == [4, 6, 7]
+
+
 def test_fingerprints(spark):
     got = {}
     docs = hard_documents(spark)
