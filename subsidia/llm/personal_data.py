@@ -36,15 +36,25 @@ CONFIDENCE, SUPPORT = 0.8, 5
 
 
 def pieces(text: Column, kind: str, pattern: str) -> Column:
-    """All matches in order: array of (kind, pos, gap, value, near).
+    """All matches in order: array of (kind, pos, gap, value, near, head).
 
-    ``gap`` is the number of code points since the last match, ``near`` the last 64 of them, for words only.
+    ``gap`` is the number of code points since the last match. For words only, ``near`` and ``head`` are the last and first 64
+    of them, further on to the nearest word if they hold none, and an element without value has the rest of the text.
     """
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(values))
-    near = (lambda g: F.lower(F.substring(g, -64, 64))) if kind == WORD_KIND else (lambda g: F.lit(""))
-    paired = F.zip_with(values, gaps, lambda v, g: F.struct(F.length(g).alias("gap"), v.alias("value"), near(g).alias("near")))
-    return F.transform(paired, lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("pos"), x["gap"].alias("gap"), x["value"].alias("value"), x["near"].alias("near")))
+    gaps = F.split(text, pattern, -1)
+    near = head = lambda g: F.lit("")
+    if kind == WORD_KIND:
+        worded = lambda part: F.rlike(part, F.lit(r"[^\s\p{Punct}]"))
+        last, first = (lambda g: F.substring(g, -64, 64)), (lambda g: F.substring(g, 1, 64))
+        close = lambda part: F.regexp_replace(part, r"\s++", "")
+        before, behind = r"(?<![\s\p{Punct}])([\s\p{Punct}]++)$", r"^([\s\p{Punct}]++)"
+        near = lambda g: F.lower(F.when(worded(last(g)), last(g)).otherwise(F.concat(last(F.regexp_replace(g, before, "")), last(close(F.regexp_extract(g, before, 1))))))
+        head = lambda g: F.lower(F.when(worded(first(g)), first(g)).otherwise(F.concat(first(close(F.regexp_extract(g, behind, 1))), first(F.regexp_replace(g, behind, "")))))
+    else:
+        gaps = F.slice(gaps, F.lit(1), F.size(values))
+    paired = F.zip_with(values, gaps, lambda v, g: F.struct(F.length(g).alias("gap"), v.alias("value"), near(g).alias("near"), head(g).alias("head")))
+    return F.transform(paired, lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("pos"), x["gap"].alias("gap"), x["value"].alias("value"), x["near"].alias("near"), x["head"].alias("head")))
 
 
 def matches(text: Column) -> Column:
@@ -57,7 +67,7 @@ def matches(text: Column) -> Column:
         "phone": F.contains(text, F.lit("+")),
         WORD_KIND: F.rlike(text, F.lit("[0-9@]")),
     }
-    nothing = F.array().cast("array<struct<kind string, pos int, gap int, value string, near string>>")
+    nothing = F.array().cast("array<struct<kind string, pos int, gap int, value string, near string, head string>>")
     return F.concat(*[F.when(may[k], pieces(text, k, p)).otherwise(nothing) for k, p in PATTERNS.items()])
 
 
@@ -86,22 +96,36 @@ def valid(kind: Column, value: Column) -> Column:
 
 
 def spans(read: DataFrame) -> DataFrame:
-    """Of (row, found): one row a valid match or word: row, kind, start, end, value, near, far (contexts; null for base kinds).
+    """Of (row, found): one row a valid match or word: row, kind, start, end, value, contexts (null for base kinds).
 
-    Places are running sums over the matches of a kind, so a text with a million matches takes a million steps.
+    Contexts are the word and the two words before and behind. Words with only spaces and marks between make a run, and each
+    word of a run has the contexts of the run; ``own`` are those of its first and last word, so that a run counts once. Places are running sums over the matches of a kind, so a text with a million
+    matches takes a million steps.
     """
     one = read.filter(F.size("found") > 0).dropDuplicates(["row"]).select("row", F.explode("found").alias("m")).select("row", "m.*")
-    end = F.sum(F.col("gap") + F.length("value")).over(Window.partitionBy("row", "kind").orderBy("pos"))
-    placed = one.withColumn("end", end.cast("int")).withColumn("start", F.col("end") - F.length("value")).filter(valid(F.col("kind"), F.col("value")))
+    rising, falling = (Window.partitionBy("row", "kind").orderBy(o) for o in ("pos", F.desc("pos")))
+    placed = one.withColumn("end", F.sum(F.col("gap") + F.length("value")).over(rising).cast("int")).withColumn("behind", F.lead("head").over(rising)).withColumn("start", F.col("end") - F.length("value"))
     word = F.col("kind") == WORD_KIND
     lead = F.when(word, F.regexp_extract("value", r"^([^\p{L}\p{N}+@]*)", 1)).otherwise("")
     bare = F.when(word, F.regexp_replace(F.substring("value", F.length("lead") + 1, F.length("value")), r"[^\p{L}\p{N}]++$", "")).otherwise(F.col("value"))
-    placed = placed.withColumn("lead", lead).withColumn("value", bare).filter("value <> ''")
+    placed = placed.withColumn("lead", lead).withColumn("whole", F.col("value")).withColumn("value", bare)
     placed = placed.withColumn("start", F.col("start") + F.length("lead")).withColumn("end", F.col("start") + F.length("value"))
-    before = F.filter(F.split("near", r"[\s\p{Punct}]+"), lambda w: w != "")
-    marks = F.concat(F.lit("|"), F.regexp_replace(F.regexp_extract("near", r"([\p{Punct}\s]*)$", 1), r"\s+", ""), "lead")
-    context = lambda n: F.when(word & (F.size(before) > 0), F.concat(F.array_join(F.slice(before, -F.least(F.size(before), F.lit(n)), F.lit(n)), " "), marks))
-    return placed.select("row", "kind", "start", "end", "value", context(1).alias("near"), context(2).alias("far"))
+    words = lambda c: F.filter(F.split(c, r"[\s\p{Punct}]+"), lambda w: w != "")
+    marks = lambda c, p: F.regexp_replace(F.regexp_extract(c, p, 1), r"\s+", "")
+    tail = F.substring("whole", F.length("lead") + F.length("value") + 1, F.length("whole"))
+    before, behind = words("near"), words("behind")
+    left = lambda n: F.when(word & (F.size(before) > 0), F.concat(F.array_join(F.slice(before, -F.least(F.size(before), F.lit(n)), F.lit(n)), " "), F.lit("|"), marks("near", r"([\p{Punct}\s]*)$"), "lead"))
+    right = lambda n: F.when(word & (F.size(behind) > 0), F.concat(tail, marks("behind", r"^([\p{Punct}\s]*)"), F.lit("|"), F.array_join(F.slice(behind, 1, n), " ")))
+    placed = placed.withColumn("before", F.array(left(1), left(2))).withColumn("behind", F.array(right(1), right(2)))
+    contexts = []
+    for c, w in (("before", rising), ("behind", falling)):
+        given = F.when(F.col(c)[0].isNotNull(), F.col(c))
+        run = F.last(given, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+        placed = placed.withColumn(f"{c}_run", run).withColumn(f"{c}_own", given.isNotNull())
+        own = F.col(f"{c}_own")
+        contexts.append(F.coalesce(F.transform(f"{c}_run", lambda x: F.struct(x.alias("context"), own.alias("own"))), F.array().cast("array<struct<context string, own boolean>>")))
+    placed = placed.filter("value <> ''").filter(valid(F.col("kind"), F.col("value")))
+    return placed.select("row", "kind", "start", "end", "value", F.when(word, F.array_distinct(F.concat(*contexts))).alias("contexts"))
 
 
 def trusted_patterns(instances: DataFrame, rounds: int = ROUNDS, confidence: float = CONFIDENCE, support: int = SUPPORT) -> DataFrame:
@@ -135,12 +159,12 @@ def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     rising, falling = Window.partitionBy("row").orderBy("start", "end", "kind"), Window.partitionBy("row").orderBy(F.desc("start"), F.desc("end"), "kind")
     all_spans = spans(read).withColumn("past", F.max(F.when(~word, F.col("end"))).over(rising)).withColumn("coming", F.min(F.when(~word, F.col("start"))).over(falling))
     seed = F.coalesce(F.col("past") > F.col("start"), F.lit(False)) | F.coalesce(F.col("coming") < F.col("end"), F.lit(False))
-    all_spans = staged(all_spans.select("row", "kind", "start", "end", "value", "near", "far", seed.alias("seed")), "personal-spans")
+    all_spans = staged(all_spans.select("row", "kind", "start", "end", "value", "contexts", seed.alias("seed")), "personal-spans")
 
-    # Both contexts of a word are patterns, with the marks between; a word without words before it has none.
-    each = all_spans.filter(word).select("row", "start", "end", "value", "seed", F.explode(F.array_distinct(F.array("near", "far"))).alias("context")).filter("context IS NOT NULL")
+    # All contexts of a word are patterns, with the marks between; a run without words around it has none.
+    each = all_spans.filter(word).select("row", "start", "end", "value", "seed", F.explode("contexts").alias("c")).select("row", "start", "end", "value", "seed", "c.*")
     each = each.withColumn("pattern", F.xxhash64("context"))
-    instances = staged(each.groupBy("pattern", "value").agg(F.count("*").alias("docs"), F.bool_or("seed").alias("seed")), "personal-instances")
+    instances = staged(each.filter("own").groupBy("pattern", "value").agg(F.count("*").alias("docs"), F.bool_or("seed").alias("seed")), "personal-instances")
     scores = trusted_patterns(instances, rounds, confidence, support)
     new = each.filter("NOT seed").join(scores, "pattern", "left_semi").select("row", F.lit("id").alias("kind"), "start", "end", "value").distinct()
 

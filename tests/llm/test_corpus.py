@@ -316,3 +316,22 @@ def test_personal_data_finds_unseen_identifiers_by_context(spark):
     assert not any(v for k, v in got.items() if k != 100)
     clean = {r["doc_id"]: r["text"] for r in personal_data.redacted(docs, found).collect()}
     assert clean[100] == "Some text. Customer contact: [id], thanks" and "[email]" in clean[3] and clean[101] == rows[31][1]
+
+
+def test_personal_data_context_reaches_the_whole_run_from_both_sides(spark):
+    seeds = lambda i: f"user{i}@mail{i % 3}.example.com"
+    rows = [(i, f"Customer contact: {seeds(i)} says. Hello {seeds(i)} (home address) now", "s") for i in range(30)]
+    texts = {
+        100: "Customer contact: DE89 3704 0044 0532 thanks",
+        101: "see 17 words. Customer contact: 4711 / AB-77-123, thanks",
+        102: "customer contact:" + " " * 90 + "X-1 " + "and 5 plain",
+        103: "mine is QQ-1 22 (home address) too",
+        104: "7 8 nothing before. Customer contact: - @ Z-9",
+        105: "Customer contact: words between 33 here",
+    }
+    docs = documents(spark, rows + [(i, t, "s") for i, t in texts.items()])
+    found = personal_data.personal_data(docs)
+    got = {r["doc_id"]: [s["value"] for s in r["extra"]] for r in found.collect()}
+    assert {k: v for k, v in got.items() if v} == {100: ["DE89", "3704", "0044", "0532"], 101: ["4711", "AB-77-123"], 102: ["X-1"], 103: ["QQ-1", "22"]}
+    clean = {r["doc_id"]: r["text"] for r in personal_data.redacted(docs, found).collect()}
+    assert clean[100] == "Customer contact: [id] [id] [id] [id] thanks" and clean[103] == "mine is [id] [id] (home address) too"
