@@ -216,6 +216,17 @@ def test_nearest_valid_is_exact(spark):
     assert variogram.nearest_valid(far, valid, max_ring=4).first()["dist"] is None
 
 
+def test_nearest_valid_has_no_farthest_ring(spark):
+    cells = [(0, 80, 80, 1.0), (0, 0, 100, 2.0), (0, -300, 0, 3.0), (0, -300, 1, 4.0), (0, 700, 700, None), (1, 5000, 9000, 5.0), (3, 63, 63, 6.0), (3, 0, 66, 7.0)]
+    valid = spark.createDataFrame(cells, "frame_id int, row int, col int, value double")
+    rng = np.random.default_rng(7)
+    pts = [(0, 0, 0, 0), (1, 1, 0, 0), (2, 2, 0, 0), (3, 3, 0, 0)] + [(10 + i, int(i % 2), int(r), int(c)) for i, (r, c) in enumerate(rng.integers(-900, 900, (20, 2)))]
+    got = {r["pid"]: (r["dist"], r["near_row"], r["near_col"], r["value"]) for r in variogram.nearest_valid(spark.createDataFrame(pts, "pid int, frame_id int, row int, col int"), valid).collect()}
+    assert len(got) == len(pts) and got[2] == (None, None, None, None) and got[3] == (66.0, 0, 66, 7.0)
+    for pid, f, r, c in pts:
+        assert f > 1 or got[pid] == min((math.hypot(r - a, c - b), a, b, v) for g, a, b, v in cells if g == f and v is not None)
+
+
 def test_variogram_fit_recovers_a_model(spark):
     h = np.linspace(0.5, 50, 200)
     p = spark.createDataFrame([(float(x), float(4 * (1 - math.exp(-x / 7)))) for x in h], "distance double, gamma double")
