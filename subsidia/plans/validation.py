@@ -420,11 +420,15 @@ def j15(spark, sf):
     return variogram.nearest_valid(pts, valid).select("pid", "near_row", "near_col", *r9("value", "dist", digits=8))
 
 
+#: Profiles of a production run, each of two points.
+PROFILES = 6000
+
+
 @query("w07_profile_pairs")
 def w07(spark, sf):
-    p = validate.sample_pairs(unique_points(spark, sf), 200)
+    p = validate.sample_pairs(unique_points(spark, sf), 2 * PROFILES)
     cell = fxs.velocity_points(spark, sf).groupBy(F.floor(F.col("y") / 1000).cast("int").alias("row"), F.floor(F.col("x") / 1000).cast("int").alias("col")).agg(F.avg("v").alias("value")).withColumn("frame_id", F.lit(0))
-    return variogram.profile_pairs(p, cell, (1000.0, 1000.0), (5.0, 40.0), n_points=20).select(F.col("pair").cast("long").alias("pair"), *r9("distance", "difference", digits=7))
+    return variogram.profile_pairs(p, cell, (1000.0, 1000.0), (5.0, 40.0)).select(F.col("pair").cast("long").alias("pair"), *r9("distance", "difference", digits=7))
 
 
 PARTS = """one AS (SELECT * FROM components WHERE frame_id = 1), two AS (SELECT * FROM components WHERE frame_id = 2),
@@ -468,3 +472,38 @@ def s09(spark, sf):
     path = f"{base.rstrip('/')}/cube-{uuid.uuid4().hex}"
     readers.write_cube(obs(spark, sf), path)
     return spark.read.parquet(path).groupBy(*cube.PIXEL).agg(F.count("*").alias("n"), F.round(F.sum("value"), 7).alias("total"))
+
+
+#: Points of a production run. The queries with the small sample stay beside these, with their SQL.
+PRODUCTION = 1_000_000
+
+
+def at_production(name):
+    """The SQL of a query of the small sample, at production size."""
+    return SQL[name].replace("rn < 5001", f"rn < {PRODUCTION}")
+
+
+def production_pairs(spark, sf):
+    return validate.sample_pairs(unique_points(spark, sf), PRODUCTION)
+
+
+@query("w06_sample_pairs_production", at_production("w06_sample_pairs"))
+def w06_production(spark, sf):
+    return production_pairs(spark, sf).select(F.col("pair").cast("long").alias("pair"), *r9("distance", "difference", digits=8))
+
+
+@query("w06_pixel_requirement_test_production", at_production("w06_pixel_requirement_test"))
+def w06t_production(spark, sf):
+    return rounded_test(validate.binned_requirement_test(production_pairs(spark, sf)))
+
+
+@query("a21_bin_variogram_production", at_production("a21_bin_variogram"))
+def a21_production(spark, sf):
+    p = production_pairs(spark, sf).withColumn("gamma", F.expr("0.5 * difference * difference"))
+    return variogram.bin_variogram(p, (0.0, 60.0)).select("bin", *r9("distance", "gamma", digits=7), "n")
+
+
+@query("a22_fit_variogram_production", at_production("a22_fit_variogram"))
+def a22_production(spark, sf):
+    p = production_pairs(spark, sf).withColumn("gamma", F.expr("0.5 * difference * difference")).filter("distance <= 50")
+    return variogram.fit_variogram(p, RANGES).select("range", *r9("sill", "rmse", digits=6))
