@@ -507,3 +507,53 @@ def a21_production(spark, sf):
 def a22_production(spark, sf):
     p = production_pairs(spark, sf).withColumn("gamma", F.expr("0.5 * difference * difference")).filter("distance <= 50")
     return variogram.fit_variogram(p, RANGES).select("range", *r9("sill", "rmse", digits=6))
+
+
+#: Stations and points spread over all frames; a frame has 20 rows. The queries of frame 0 stay beside these, with their SQL.
+FRAMES = "n_frames AS (SELECT max(frame_id) + 1 AS n FROM cells)"
+SPREAD = FRAMES + """, spread AS (SELECT station, (station % n)::INT AS frame_id, (station % n * 20 + station * 7 % 20)::INT AS "row", (station * 11 % 25)::INT AS col FROM stations, n_frames)"""
+
+
+def over_frames(spark, sf, points, key):
+    """``points`` with the frame of each: its key modulo the number of frames (one row, so joining it is no cross join of data)."""
+    n = fxs.table(spark, sf, "embeddings").agg((F.expr("cast(max(vec_id) div 500 as int)") + 1).alias("n"))
+    return points.crossJoin(F.broadcast(n)).withColumn("frame_id", (F.col(key) % F.col("n")).cast("int")).drop("n")
+
+
+def spread(spark, sf):
+    s = over_frames(spark, sf, fxs.stations(spark, sf), "station")
+    return s.select("frame_id", "station", (F.col("frame_id") * 20 + F.col("station") * 7 % 20).cast("int").alias("row"), (F.col("station") * 11 % 25).cast("int").alias("col"))
+
+
+@query("p18_look_angles_all", SQL["p18_look_angles"].replace(" WHERE e < 8", ""))
+def p18_all(spark, sf):
+    inc, az = fn.look_angles(F.col("x"), F.lit(0.4))
+    return fxs._cells(spark, sf).select(*cube.PIXEL, "e", F.round(inc, 7).alias("incidence"), F.round(az, 7).alias("azimuth"))
+
+
+@query("j04_station_pixel_sample_all", fx("cells", "stations") + f""", {LAYER0}, {SPREAD} SELECT s.frame_id, station, round(median(value), 8) AS value FROM spread s JOIN layer l ON l.frame_id = s.frame_id AND l."row" BETWEEN s."row" - 2 AND s."row" + 2 AND l.col BETWEEN s.col - 2 AND s.col + 2 GROUP BY ALL""")
+def j04_all(spark, sf):
+    return gnss.sample_at_stations(spread(spark, sf), fxs.layer(spark, sf, 10), 2).select("frame_id", "station", *r9("value", digits=8))
+
+
+@query("a15_window_mean_series_all", fx("obs", "obs_b", "stations") + f""", {BOTH}, {SPREAD}, ok AS (SELECT * FROM both_ WHERE value <> 0 AND other <> 0), pts AS (SELECT station AS pid, frame_id AS f, "row" AS r, col AS c FROM spread SEMI JOIN ok USING (frame_id, "row", col))
+SELECT pid, obs_date, round(avg(value), 8) AS value, round(avg(other), 8) AS other, count(*) AS n FROM pts JOIN ok ON frame_id = f AND "row" BETWEEN r - 3 AND r + 3 AND col BETWEEN c - 3 AND c + 3 GROUP BY ALL""")
+def a15_all(spark, sf):
+    return compare.window_mean_series(spread(spark, sf).withColumnRenamed("station", "pid"), obs(spark, sf), obs(spark, sf, "B")).select("pid", "obs_date", *r9("value", "other", digits=8), "n")
+
+
+@query("t04_points_with_fallback_all", fx("obs", "obs_b", "stations") + f""", {SPARSER}, {SPREAD}, req AS (SELECT station AS pid, frame_id, "row", col FROM spread)
+SELECT pid, r.frame_id, CASE WHEN a."row" IS NOT NULL THEN r."row" ELSE c."row" END AS "row", CASE WHEN a."row" IS NOT NULL THEN r.col ELSE c.col END AS col, a."row" IS NULL AS moved
+FROM req r LEFT JOIN va a ON r.frame_id = a.frame_id AND r."row" = a."row" AND r.col = a.col LEFT JOIN cand c ON c.frame_id = r.frame_id AND c.rank = 1""")
+def t04_all(spark, sf):
+    req = spread(spark, sf).withColumnRenamed("station", "pid")
+    return compare.points_with_fallback(req, early(spark, sf), compare.candidate_points(early(spark, sf), early(spark, sf, "B")))
+
+
+@query("j15_nearest_valid_pixel_all", fx("obs") + f""", {FRAMES}, pts AS (SELECT s_suppkey AS pid, (s_suppkey % n)::INT AS f, (s_suppkey % n * 20 + s_suppkey * 13 % 26 - 3)::INT AS r, (s_suppkey * 17 % 31 - 3)::INT AS c FROM supplier, n_frames), ok AS (SELECT * FROM obs WHERE e = 10 AND value IS NOT NULL)
+SELECT pid, "row"::INT AS near_row, col::INT AS near_col, round(value, 8) AS value, round(sqrt((r - "row") ^ 2 + (c - col) ^ 2), 8) AS dist FROM pts JOIN ok ON frame_id = f QUALIFY row_number() OVER (PARTITION BY pid ORDER BY (r - "row") ^ 2 + (c - col) ^ 2, "row", col) = 1""")
+def j15_all(spark, sf):
+    s = over_frames(spark, sf, fxs.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("pid")), "pid")
+    pts = s.select("pid", "frame_id", (F.col("frame_id") * 20 + F.col("pid") * 13 % 26 - 3).cast("int").alias("row"), (F.col("pid") * 17 % 31 - 3).cast("int").alias("col"))
+    valid = obs(spark, sf).filter(F.col("obs_date") == fxs._epoch_date(F.lit(10)))
+    return variogram.nearest_valid(pts, valid).select("pid", "near_row", "near_col", *r9("value", "dist", digits=8))
