@@ -42,6 +42,23 @@ def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
 
 
+#: Bytes of an Arrow batch on its way to a Python worker, unless the session says otherwise.
+BATCH_BYTES = 4 << 20
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def in_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` with batches bounded by bytes.
+
+    Without a bound a batch has 10,000 rows, whatever their length, in the executor and in the worker. The bound is a setting of
+    the session; where it has none, it gets ``BATCH_BYTES``. A text longer than that travels alone and whole.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_CONF, None) is None:
+        conf.set(BATCH_CONF, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def in_slices(batches, rows: int = 512):
     """Arrow batches in slices, so that a worker holds few texts as Python strings and passes results on early."""
     for batch in batches:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subsidia.llm.common import in_slices
+from subsidia.llm.common import in_arrow, in_slices
 
 #: Characters of items sent to the workers at once (about 100 bytes each as an automaton); more items go in blocks.
 BLOCK_CHARS = 2_000_000
@@ -177,7 +177,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, lea
     schema = T.StructType([docs.schema[keep], benchmark.schema["item_id"], *[T.StructField(c, T.IntegerType()) for c in ("distance", "start", "end")]])
     out = None
     for items in item_blocks(benchmark, rate, least, block_chars):
-        one = docs.select(keep, "text").mapInArrow(_finder(docs.sparkSession.sparkContext.broadcast(items), keep), schema)
+        one = in_arrow(docs.select(keep, "text"), _finder(docs.sparkSession.sparkContext.broadcast(items), keep), schema)
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -199,7 +199,7 @@ def _finder(sent, keep):
 def clean(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, least: int = 1, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents, all columns, in which no item is found."""
     for items in item_blocks(benchmark, rate, least, block_chars):
-        docs = docs.mapInArrow(_keeper(docs.sparkSession.sparkContext.broadcast(items), docs.columns.index("text")), docs.schema)
+        docs = in_arrow(docs, _keeper(docs.sparkSession.sparkContext.broadcast(items), docs.columns.index("text")), docs.schema)
     return docs
 
 

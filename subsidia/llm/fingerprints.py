@@ -13,7 +13,7 @@ import hashlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subsidia.llm.common import staged
+from subsidia.llm.common import in_arrow, staged
 
 # Common words of English, German, French and Spanish.
 ANCHORS = """
@@ -53,7 +53,7 @@ def spots(text: str | None, chain: int = CHAIN, step: int = STEP):
     """
     import numpy as np
 
-    if len(_words) > 1_000_000:
+    if len(_words) > 200_000:
         _words.clear()
     words = (text or "").split()
     if not words:
@@ -103,7 +103,7 @@ def fingerprinted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
             sets = [spots(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s) for s in sets], pa.string())], names=["doc_id", "n_spots", "fingerprint"])
 
-    return docs.select(F.col(doc_id).alias("doc_id"), text).mapInArrow(run, "doc_id long, n_spots long, fingerprint string")
+    return in_arrow(docs.select(F.col(doc_id).alias("doc_id"), text), run, "doc_id long, n_spots long, fingerprint string")
 
 
 def similar(docs: DataFrame, threshold: float = 0.8) -> tuple[DataFrame, DataFrame]:
@@ -189,7 +189,7 @@ def with_next(docs: DataFrame, make, schema: str, doc_id: str = "doc_id", text:
 
         yield from make(pairs())
 
-    return dealt.mapInArrow(run, schema)
+    return in_arrow(dealt, run, schema)
 
 
 def edited_prints(docs: DataFrame) -> DataFrame:

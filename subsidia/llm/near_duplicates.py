@@ -1,7 +1,8 @@
 """Near-duplicate documents by b-bit MinHash.
 
-1. Every text becomes a set of word shingles (64-bit hashes). Equal sets form a class, told by a 64-bit hash of the set (ten
-   billion different sets have about three pairs that collide). Only classes go on, so a group of copies counts once.
+1. Every text becomes a set of word shingles (64-bit hashes). Equal sets form a class, told by two 64-bit hashes of the set: the
+   first is its number, and should two sets share it, the second shows it and all numbers are made anew from another seed. Only
+   classes go on, so a group of copies counts once.
 2. A class has ``BANDS * ROWS`` MinHash values. Bands of them give candidate buckets; only the low 2 bits of each value are
    kept, packed into 64-bit words, and the similarity of a candidate pair is estimated from the equal 2-bit lanes, corrected
    for lanes that agree by chance (one in four).
@@ -10,12 +11,13 @@
 
 No large bucket is expanded into all its pairs. Each bucket first offers its smallest member as a hub, and every class tries
 two of the hubs offered to it, the smallest and the most similar one, which joins a large group of near copies. What is still
-apart afterwards is compared pair by pair in small buckets. In large ones the shingles that only one member of the family has
-are counted: they bound what a class can share with any other, and the member with the fewest of them lies in the middle of
-the family, so it is the second hub. After that pairs are compared that are still apart and that the bound doesn't rule out. So
-no link between components is lost: two members of a bucket are in one component already, or compared, or too far apart.
-There a class carries what distinguishes its set from its family's middle; two such differences give the exact similarity
-of their sets, so the comparison of members yields nothing but links.
+apart afterwards is compared pair by pair in small buckets. In large ones the shingles are counted that only one of the open members
+of a family has, a family being all classes that buckets connect: whatever two classes share is held by both, so a class of which
+more than a fifth is its own is linked with none of them and goes. The member with the fewest of them lies in the middle, so it is
+the second hub. Then pairs are compared that are still apart and that the counts don't rule out. So no link between components is
+lost: two members of a bucket are in one component already, or compared, or too far apart. There a class carries what
+distinguishes its set from the middle's; two such differences give the exact similarity of their sets, so the comparison of members
+yields nothing but links. Members of one bucket are dealt over many tasks.
 
 A pair at the threshold of 0.8 shares no bucket with a probability of (1 - 0.8 ** 5) ** 51 = 1.6e-9.
 """
@@ -25,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from subsidia.llm.common import in_slices, staged
+from subsidia.llm.common import in_arrow, in_slices, staged
 
 BANDS, ROWS = 51, 5
 #: Longs of a packed signature: 2 bits a value, 32 values a long.
@@ -33,10 +35,10 @@ LONGS = 8
 LANES = 0x5555555555555555
 #: How far an estimate may lie below the threshold: over six standard deviations of 255 values.
 SLACK = 0.2
-#: Ids of texts to fetch are broadcast up to this number (16 MB), else joined.
-BROADCAST_IDS = 2_000_000
-#: Members of a bucket from which on it is large.
-LARGE = 24
+#: Ids of texts to fetch are broadcast up to this number (16 MB at 64 bytes each), else joined.
+BROADCAST_IDS = 250_000
+#: Members of a bucket from which on it is large, and so many of them meet in a task.
+LARGE, SHARE = 24, 256
 #: Stands for a null id in joins.
 NO_ID = -(2**63)
 LAST_ID = 2**63 - 1
@@ -98,16 +100,17 @@ def minima(hashes, constants):
     return low
 
 
-def set_hash(hashes) -> int:
+def set_hash(hashes, seed: int = 0) -> int:
     """A 64-bit number of a set of shingles, signed."""
     import xxhash
 
-    x = xxhash.xxh3_64_intdigest(hashes.tobytes())
+    x = xxhash.xxh3_64_intdigest(hashes.tobytes(), seed)
     return x - 2**64 if x >= 2**63 else x
 
 
-def signatures(docs: DataFrame, n: int) -> DataFrame:
-    """Of (doc_id, text): doc_id, n, id (the set's number, null for an empty set), bands (one hash each), sig (packed low bits)."""
+def signatures(docs: DataFrame, n: int, seed: int = 0) -> DataFrame:
+    """Of (doc_id, text): doc_id, n, id (the set's number, null for an empty set), twin (another such number), bands (one hash
+    each), sig (packed low bits)."""
 
     def run(batches):
         import numpy as np
@@ -117,7 +120,7 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
         seeds = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
         shifts = np.arange(0, 64, 2, dtype=np.uint64)
         for batch in in_slices(batches):
-            sizes, ids, bands, sigs = [], [], [], []
+            sizes, ids, twins, bands, sigs = [], [], [], [], []
             for t in batch.column(1).to_pylist():
                 s = shingles(t, n)
                 low = minima(s, constants).astype(np.uint64)
@@ -128,14 +131,27 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
                 lanes = np.zeros(LONGS * 32, np.uint64)
                 lanes[: len(low)] = low & np.uint64(3)
                 sizes.append(len(s))
-                ids.append(set_hash(s) if len(s) else None)
+                ids.append(set_hash(s, 2 * seed) if len(s) else None)
+                twins.append(set_hash(s, 2 * seed + 1) if len(s) else None)
                 bands.append(key.view(np.int64))
                 sigs.append(np.bitwise_or.reduce(lanes.reshape(LONGS, 32) << shifts, axis=1).view(np.int64))
             rows = batch.num_rows
             flat = lambda x, k: pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * k, pa.int32()), pa.array(np.concatenate(x) if rows else [], pa.int64()))  # noqa: B023, E731
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), flat(bands, BANDS), flat(sigs, LONGS)], names=["doc_id", "n", "id", "bands", "sig"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(twins, pa.int64()), flat(bands, BANDS), flat(sigs, LONGS)], names=["doc_id", "n", "id", "twin", "bands", "sig"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, id long, bands array<long>, sig array<long>")
+    return in_arrow(docs, run, "doc_id long, n long, id long, twin long, bands array<long>, sig array<long>")
+
+
+def classes_of(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame, int]:
+    """The signatures, the classes of equal sets (id, doc_id, copies), and the seed of their numbers."""
+    seed = 0
+    while True:
+        sets = staged(signatures(docs, n, seed), "near-signatures")
+        own = sets.filter("id IS NOT NULL").groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.min("twin").alias("lo"), F.max("twin").alias("hi"))
+        classes = staged(own, "near-classes")
+        if classes.filter("lo <> hi").isEmpty():
+            return sets, classes.select("id", "doc_id", "copies"), seed
+        seed += 1
 
 
 def estimate(a: str = "a_sig", b: str = "b_sig"):
@@ -146,21 +162,20 @@ def estimate(a: str = "a_sig", b: str = "b_sig"):
     return (equal - 0.25) / 0.75
 
 
-def fetched(ids: DataFrame, docs: DataFrame, heads: DataFrame, n: int) -> DataFrame:
-    """(id, text) of the classes ``ids`` (id), from one document of each; ``heads`` has its doc_id."""
-    wanted = staged(ids.distinct().join(heads, "id").select("id", "doc_id"), "near-wanted")
+def fetched(ids: DataFrame, docs: DataFrame, heads: DataFrame, n: int, seed: int) -> DataFrame:
+    """(id, text) of the classes ``ids`` (id, distinct), from one document of each; ``heads`` has its doc_id."""
+    wanted = staged(ids.join(heads, "id").select("id", "doc_id"), "near-wanted")
     own = wanted.select("doc_id").distinct()
     own = F.broadcast(own) if wanted.count() <= BROADCAST_IDS else own
-    texts = docs.join(own, "doc_id", "left_semi").mapInArrow(_named(n), "id long, text string")
+    texts = in_arrow(docs.join(own, "doc_id", "left_semi"), _named(n, seed), "id long, text string")
     return staged(texts.dropDuplicates(["id"]), "near-texts")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, heads: DataFrame, n: int, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose full sets meet the threshold: 100 * intersection >= percent * union.
 
     A pair travels to its first text, then to its second; texts are smaller than their sets.
     """
-    texts = fetched(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), docs, heads, n)
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
 
     def check(batches):
@@ -170,26 +185,28 @@ def confirmed(pairs: DataFrame, docs: DataFrame, heads: DataFrame, n: int, perce
         last = (None, None)
         for batch in in_slices(batches):
             keep = []
-            for a, x, y in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
-                if last[0] != a:
-                    last = (a, shingles(x, n))
-                x, y = last[1], shingles(y, n)
+            for b, x, y in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):  # in the order of b
+                if last[0] != b:
+                    last = (b, shingles(y, n))
+                x, y = shingles(x, n), last[1]
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
+    return in_arrow(both.select("a", "b", "ta", "tb"), check, "a long, b long")
 
 
-def own_shingles(members: DataFrame, docs: DataFrame, heads: DataFrame, n: int) -> DataFrame:
-    """(id, family, n, own, text): how many shingles of a class no other class of its family has.
+def own_shingles(members: DataFrame, families: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+    """(id, family, part, n, own): how many shingles of a class no other open class of its family has.
 
-    ``members``: key, id and comp in crowded buckets. A bucket belongs to the component with most members in it, and a class to
-    the smallest of its buckets' components: that is its family. The count says nothing about classes of other families.
+    ``members``: key, id and comp in crowded buckets; ``families``: id, family, all classes that buckets connect. ``part`` tells
+    apart the groups of copies in a family: a bucket belongs to the component with most members in it, and a class to the
+    smallest of its buckets' components.
     """
-    sizes = members.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"))
-    family = staged(members.join(sizes, "key").groupBy("id").agg(F.min("main").alias("family")), "near-families")
-    texts = fetched(family.select("id"), docs, heads, n)
+    sizes = staged(members.groupBy("key", "comp").agg(F.count("*").alias("c")), "near-sizes")
+    main = staged(sizes.groupBy("key").agg(F.max("c").alias("c")), "near-sizes")
+    main = staged(sizes.join(main, ["key", "c"]).groupBy("key").agg(F.max("comp").alias("main")), "near-mains")
+    part = staged(members.join(main, "key").groupBy("id").agg(F.min("main").alias("part")).join(families, "id"), "near-parts")
 
     def listed(batches):
         import numpy as np
@@ -200,21 +217,21 @@ def own_shingles(members: DataFrame, docs: DataFrame, heads: DataFrame, n: int)
             ends = np.cumsum([0, *map(len, sets)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets) if sets else [], pa.int64()))], names=["id", "shingles"])
 
-    each = texts.mapInArrow(listed, "id long, shingles array<long>").join(family, "id").select("family", "id", F.explode("shingles").alias("shingle"))
+    each = in_arrow(texts.join(part, "id", "left_semi"), listed, "id long, shingles array<long>").join(part, "id").select("family", "id", F.explode("shingles").alias("shingle"))
     once = each.groupBy("family", "shingle").agg(F.count("*").alias("n"), F.min("id").alias("id")).filter("n = 1")
     lone = once.groupBy("id").agg(F.count("*").alias("own"))
-    sizes = each.groupBy("family", "id").agg(F.count("*").alias("n"))
-    return staged(sizes.join(lone, "id", "left").join(texts, "id").select("id", "family", "n", F.coalesce("own", F.lit(0)).alias("own"), "text"), "near-own")
+    sizes = each.groupBy("id").agg(F.count("*").alias("n"))
+    return staged(part.join(sizes, "id").join(lone, "id", "left").select("id", "family", "part", "n", F.coalesce("own", F.lit(0)).alias("own")), "near-own")
 
 
-def differences(own: DataFrame, n: int) -> DataFrame:
-    """(id, family, own, delta): the shingles that a class has and its family's middle has not, or the other way round.
+def differences(own: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+    """(id, family, part, own, delta): the shingles that a class has and the middle of its part has not, or the other way round.
 
     The middle is the member with the smallest share of own shingles. A class that differs from it in more than half of its
     shingles has no delta.
     """
-    middle = own.groupBy("family").agg(F.min(F.struct(F.col("own") / F.col("n"), "id")).alias("m")).select("family", F.col("m.id").alias("centre"))
-    both = own.join(middle, "family").join(own.select(F.col("id").alias("centre"), F.col("text").alias("middle")), "centre")
+    middle = staged(own.groupBy("part").agg(F.min_by("id", F.struct(F.col("own") / F.col("n"), "id")).alias("centre")), "near-centres")
+    both = own.join(middle, "part").join(texts, "id").join(texts.select(F.col("id").alias("centre"), F.col("text").alias("middle")), "centre")
 
     def run(batches):
         import numpy as np
@@ -223,24 +240,24 @@ def differences(own: DataFrame, n: int) -> DataFrame:
         last = (None, None)
         for batch in in_slices(batches):
             out = []
-            for t, m in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+            for t, m in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
                 if last[0] != m:
                     last = (m, shingles(m, n))
                 own = shingles(t, n)
                 delta = np.setxor1d(own, last[1], assume_unique=True)
                 out.append(delta.view(np.int64) if 2 * len(delta) <= len(own) else None)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.list_(pa.int64()))], names=["id", "family", "own", "delta"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(out, pa.list_(pa.int64()))], names=["id", "family", "part", "own", "delta"])
 
-    return staged(both.select("id", "family", "own", "text", "middle").mapInArrow(run, "id long, family long, own long, delta array<long>"), "near-differences")
+    return staged(in_arrow(both.select("id", "family", "part", "own", "text", "middle"), run, "id long, family long, part long, own long, delta array<long>"), "near-differences")
 
 
-def _named(n):
+def _named(n, seed):
     def run(batches):
         import pyarrow as pa
 
         for batch in in_slices(batches):
             sets = [shingles(t, n) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64()), batch.column(1)], names=["id", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array([set_hash(s, 2 * seed) if len(s) else None for s in sets], pa.int64()), batch.column(1)], names=["id", "text"])
 
     return run
 
@@ -282,15 +299,14 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str
     of null ids has a null component_id and is kept. An empty table gives an empty table.
     """
     docs = docs.select(F.coalesce(doc_id, F.lit(LAST_ID)).alias("doc_id"), F.col(text).alias("text"))
-    sets = staged(signatures(docs, n), "near-signatures")
-    some = sets.filter("id IS NOT NULL")
-    classes = staged(some.groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")), "near-classes")
+    sets, classes, seed = classes_of(docs, n)
     heads = classes.select("id", "doc_id")
-    marks = staged(some.select("id", "n", "bands", "sig").dropDuplicates(["id"]), "near-marks")
+    marks = staged(sets.filter("id IS NOT NULL").select("id", "n", "bands", "sig").dropDuplicates(["id"]), "near-marks")
 
     banded = marks.select("id", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.count("*").alias("members"), F.min("id").alias("hub")).filter("members > 1").select("key", "hub")
     crowded = staged(banded.join(staged(buckets, "near-buckets"), "key"), "near-members")
+    texts = fetched(crowded.select("id").distinct(), docs, heads, n, seed)
 
     near = percent / 100 - SLACK
     side = lambda c: marks.select(F.col("id").alias(c), F.col("n").alias(f"{c}_n"), F.col("sig").alias(f"{c}_sig"))
@@ -310,47 +326,56 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str
         return staged(named.join(staged(keys, "near-open"), "key"), "near-apart")
 
     def crossed(members: DataFrame, more=F.lit(True), extra: tuple = ()) -> DataFrame:
-        """The likely pairs of members of a bucket in different components."""
-        sized = members.join(side("a").withColumnRenamed("a", "id"), "id").select("key", "id", "comp", "a_n", "a_sig", *[F.col(c).alias(f"a_{c}") for c in extra])
+        """The likely pairs of members of a bucket in different components.
+
+        Members of a large bucket are dealt into groups of ``SHARE`` on one side; the other side goes to all groups.
+        """
+        sized = members.join(side("a").withColumnRenamed("a", "id"), "id").select("key", "id", "comp", "members", "a_n", "a_sig", *[F.col(c).alias(f"a_{c}") for c in extra])
         sized = staged(sized, "near-sides")
-        other = sized.select("key", F.col("id").alias("b"), F.col("comp").alias("b_comp"), F.col("a_n").alias("b_n"), F.col("a_sig").alias("b_sig"), *[F.col(f"a_{c}").alias(f"b_{c}") for c in extra])
-        return sized.withColumnRenamed("id", "a").join(other, "key").filter((F.col("a") < F.col("b")) & (F.col("comp") != F.col("b_comp")) & more & fits).select("a", "b").distinct()
+        shares = F.ceil(F.col("members") / SHARE)
+        one = sized.withColumnRenamed("id", "a").withColumn("share", F.pmod(F.xxhash64("a"), shares)).drop("members")
+        other = sized.select("key", F.col("id").alias("b"), F.col("comp").alias("b_comp"), F.col("a_n").alias("b_n"), F.col("a_sig").alias("b_sig"), *[F.col(f"a_{c}").alias(f"b_{c}") for c in extra], F.explode(F.sequence(F.lit(0).cast("long"), shares - 1)).alias("share"))
+        return one.join(other, ["key", "share"]).filter((F.col("a") < F.col("b")) & (F.col("comp") != F.col("b_comp")) & more & fits).select("a", "b").distinct()
 
     hubs = crowded.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
-    links = staged(confirmed(staged(tried(hubs), "near-stars"), docs, heads, n, percent), "near-links")
+    links = staged(confirmed(staged(tried(hubs), "near-stars"), texts, n, percent), "near-links")
     comp = staged(components(links), "near-components")
 
-    open_ = apart(crowded, comp)
-    small, large = open_.filter(F.col("members") < LARGE), open_.filter(F.col("members") >= LARGE)
-    pairs = crossed(small)
-    crowd = not large.isEmpty()
-    if crowd:
-        own = own_shingles(large, docs, heads, n)
-        middle = large.join(own.select("id", "own", "n"), "id").groupBy("key").agg(F.min(F.struct(F.col("own") / F.col("n"), "id")).alias("m")).select("key", F.col("m.id").alias("a"))
-        again = large.join(staged(middle, "near-middles"), "key").filter("id <> a").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b"))
-        pairs = pairs.union(tried(again)).distinct()
-
     def linked(pairs: DataFrame, comp: DataFrame) -> DataFrame:
         """The components with the pairs that hold joined in; the old ones are stars of links themselves."""
         pairs = staged(pairs, "near-pairs")
         if pairs.isEmpty():
             return comp
-        found = staged(confirmed(pairs, docs, heads, n, percent), "near-links")
+        found = staged(confirmed(pairs, texts, n, percent), "near-links")
         if found.isEmpty():
             return comp
         return staged(components(found.union(comp.select(F.col("comp").alias("a"), F.col("id").alias("b")))), "near-components")
 
+    open_ = apart(crowded, comp)
+    small, large = open_.filter(F.col("members") < LARGE), open_.filter(F.col("members") >= LARGE)
+    pairs = crossed(small)
+    crowd = not large.isEmpty()
+    if crowd:
+        families = components(hubs).withColumnRenamed("comp", "family")
+        own = own_shingles(large, families, texts, n)
+        share = F.col("own") / F.col("n")
+        best = staged(large.join(own, "id").groupBy("key").agg(F.min_by("id", F.struct(share, "id")).alias("a")), "near-middles")
+        again = large.join(best, "key").filter("id <> a").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b"))
+        pairs = pairs.union(tried(again)).distinct()
+
     comp = linked(pairs, comp)
     if crowd:
-        # What two classes of a family share is at most what either shares with its family; where both have a delta, the
-        # symmetric difference of their sets is that of their deltas.
+        # What two open classes of a family share is at most what either shares with its family; where both have a delta from
+        # one middle, the symmetric difference of their sets is that of their deltas.
+        able = own.filter((F.col("n") - F.col("own")) * 100 >= F.col("n") * percent)
+        rest = apart(large.join(able.select("id"), "id", "left_semi"), comp)
         most = F.least(F.col("a_n") - F.col("a_own"), F.col("b_n") - F.col("b_own"))
-        able = most * 100 >= (F.col("a_n") + F.col("b_n") - most) * percent
+        share = most * 100 >= (F.col("a_n") + F.col("b_n") - most) * percent
         apart_by = F.size("a_delta") + F.size("b_delta") - 2 * F.size(F.array_intersect("a_delta", "b_delta"))
         meets = (F.col("a_n") + F.col("b_n") - apart_by) * 100 >= (F.col("a_n") + F.col("b_n") + apart_by) * percent
-        exact = F.col("a_delta").isNull() | F.col("b_delta").isNull() | meets
-        more = (F.col("a_family") != F.col("b_family")) | (able & fits & exact)
-        comp = linked(crossed(apart(large, comp).join(differences(own, n), "id"), more, ("own", "family", "delta")), comp)
+        exact = (F.col("a_part") != F.col("b_part")) | F.col("a_delta").isNull() | F.col("b_delta").isNull() | meets
+        if not rest.isEmpty():
+            comp = linked(crossed(rest.join(differences(own, texts, n), "id"), share & exact, ("own", "part", "delta")), comp)
 
     # The smallest document id of each component, for every class that has more than one document or a link.
     grouped = classes.join(comp, "id", "left").filter("copies > 1 OR comp IS NOT NULL").select("id", F.coalesce("comp", "id").alias("comp"), "doc_id")

@@ -1,6 +1,6 @@
 """Pre-token splitting with per-worker caches, exact with regard to the tokenizers library.
 
-The library spends nearly all of its time on merging the same words again and again. Both vocabularies cut a text
+The library spends nearly all of its time on merging the same words again and again. The known vocabularies cut a text
 into pre-tokens first and encode each of them on its own, so a text's ids are those of its pre-tokens in order.
 ``Pieces`` cuts texts made of plainly classified characters itself and asks the library only for pre-tokens that
 the worker has not met. Any text with other characters, or with a special string, goes to the library whole.
@@ -16,33 +16,63 @@ from collections.abc import Callable
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _UNSAFE = re.compile(rf"[^\t-\r -~{_LETTERS}–—‘’“”…•«»€£§°]")
 
-#: Splitting rules of the two kinds of vocabulary, for safe characters.
-_SPLIT = {
-    "ByteLevel": re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+"),
-    "Sequence": re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\s{_LETTERS}0-9]+"),
-}
-
-#: Entries a worker keeps before it starts afresh; about 200 bytes each.
-CACHE_ENTRIES = 1_200_000
+# The two settings of normalizer and pre-tokenizer whose splitting is known here, as vocabulary files spell them.
+_BYTE_SPEC = (None, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True})
+_WORD_SPEC = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+)
+
+#: Of each known setting: how safe characters split, and whether they are lower-cased first.
+_KNOWN = (
+    (_BYTE_SPEC, re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+"), False),
+    (_WORD_SPEC, re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\s{_LETTERS}0-9]+"), True),
+)
+
+#: Entries a worker keeps before it starts afresh; about 200 bytes each, so 20 MB.
+CACHE_ENTRIES = 100_000
 
 _loaded: dict[str, "Pieces"] = {}
 
 
 class Pieces:
+    """A vocabulary: a ``.json`` of the tokenizers library or a ``.model`` of sentencepiece.
+
+    Pre-tokens are cut here only if the file has one of the known settings, word for word, and no special string that is
+    looked for after normalization. Any other vocabulary gets every text whole.
+    """
+
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        self.caches: dict[str, dict] = {}
+        self.split, self.lower = None, False
+        if path.endswith(".model"):
+            import sentencepiece
 
+            model = sentencepiece.SentencePieceProcessor(model_file=path)
+            self.ids, self.vocab_size = model.encode, model.vocab_size()
+            return
         import json
 
+        from tokenizers import Tokenizer
+
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.tokenizer = Tokenizer.from_file(path)
-        self.kind = spec["pre_tokenizer"]["type"]
-        self.split = _SPLIT[self.kind].findall
-        self.lower = self.kind == "Sequence"
-        self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or r"(?!)")
-        self.vocab_size = self.tokenizer.get_vocab_size()
-        self.caches: dict[str, dict] = {}
+        library = Tokenizer.from_file(path)
+        library.no_truncation()
+        library.no_padding()
+        self.ids = lambda text: library.encode(text, add_special_tokens=False).ids
+        self.vocab_size = library.get_vocab_size()
+        added = spec.get("added_tokens") or []
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in added) or r"(?!)")
+        for known, split, lower in _KNOWN:
+            if known == (spec.get("normalizer"), spec.get("pre_tokenizer")) and not any(t["normalized"] for t in added):
+                self.split, self.lower = split.findall, lower
 
     @staticmethod
     def of(path: str) -> "Pieces":
@@ -53,13 +83,10 @@ class Pieces:
 
     def cut(self, text: str) -> list[str] | None:
         """The pre-tokens, or None if the library has to see the whole text."""
-        if _UNSAFE.search(text) or self.special.search(text):
+        if self.split is None or _UNSAFE.search(text) or self.special.search(text):
             return None
         return self.split(text.lower() if self.lower else text)
 
-    def ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
     def cache(self, name: str, value: Callable[[list[int]], object]) -> dict:
         """A dict from pre-token to ``value(ids)`` that fills itself; emptied when it grows too large."""
         if name not in self.caches:

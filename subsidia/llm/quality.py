@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subsidia.llm.common import in_slices
+from subsidia.llm.common import in_arrow, in_slices
 
 #: Bounds of what is fitted on: labelled rows of each class, and pieces of each class in a dictionary.
 SAMPLE_ROWS = 10_000
@@ -81,7 +81,7 @@ def featured(docs: DataFrame, keep: list[str], good: bytes, bad: bytes, text: st
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array([x for x, _ in f], pa.float64()), pa.array([x for _, x in f], pa.float64())], names=[*keep, "gain", "ratio"])
 
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(c, T.DoubleType()) for c in ("gain", "ratio")])
-    return docs.select(*keep, text).mapInArrow(run, schema)
+    return in_arrow(docs.select(*keep, text), run, schema)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = SAMPLE_ROWS, pieces: int = SAMPLE_PIECES) -> Model | None:
@@ -146,7 +146,23 @@ def fit_held_in(docs: DataFrame, labels: DataFrame) -> Model | None:
 
 
 def keep_good(docs: DataFrame, model: Model | None, threshold: float = 0.3) -> DataFrame:
-    """The documents, all columns, whose score reaches ``threshold``."""
-    columns = docs.columns
-    scored = score(docs.select(F.struct(*columns).alias("doc"), F.col("text")), model, keep=["doc"])
-    return scored.filter(F.col("score") >= threshold).select("doc.*")
+    """The documents, all columns, whose score reaches ``threshold``; all of them without a model.
+
+    Null and empty texts are judged by the score of their features; repeated rows are judged alike and stay repeated.
+    """
+    if model is None:
+        return docs
+    sent, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        m = sent.value
+        sizes = Sizes(m.good, m.bad)
+        for batch in in_slices(batches):
+            f = np.array([sizes.features(t or "") for t in batch.column(at).to_pylist()], float).reshape(-1, 2)
+            odds = (f - m.mean) / m.spread @ np.array(m.weights[:2]) + m.weights[2]
+            yield batch.filter(pa.array(1 / (1 + np.exp(-odds)) >= threshold))
+
+    return in_arrow(docs, run, docs.schema)

@@ -20,6 +20,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from subsidia.llm.common import in_arrow
 from subsidia.llm.pretokens import Pieces
 
 FORMAT = 1
@@ -73,7 +74,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
 
     dealt = docs.select(doc_id, text).repartitionByRange(doc_id).sortWithinPartitions(doc_id, text)
     # One row a file comes back, whatever the number of documents.
-    parts = sorted(dealt.mapInArrow(write, "part long, file string, n_docs long, n_tokens long").collect())
+    parts = sorted(in_arrow(dealt, write, "part long, file string, n_docs long, n_tokens long").collect())
     doc_base = itertools.accumulate((p.n_docs for p in parts), initial=0)
     token_base = itertools.accumulate((p.n_tokens for p in parts), initial=0)
     rows = [(p.part, p.file, p.n_docs, p.n_tokens, d, t) for p, d, t in zip(parts, doc_base, token_base, strict=False)]
@@ -115,4 +116,4 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(keys[lo:hi], mask=keys[lo:hi] == NO_ID), pa.array(offsets[lo:hi] + base), pa.array(np.diff(offsets[lo : hi + 1])), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     files = spark.range(0, len(rows), 1, max(1, len(rows)))
-    return files.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return in_arrow(files, read, "doc_id long, start long, n_tokens long, ids_crc32 long")
