@@ -87,6 +87,36 @@ def utm(lat: Column, lon: Column, zone: Column) -> tuple[Column, Column]:
     return 500000 + k0 * radius * east, k0 * radius * north + F.when(lat < 0, 1e7).otherwise(0.0)
 
 
+def latlon(easting: Column, northing: Column, zone: Column, south: Column | bool = False) -> tuple[Column, Column]:
+    """The inverse of ``utm``: latitude and longitude in degrees, by the inverse series and one fixed-point step for the latitude."""
+    f, a, k0 = 1 / 298.257223563, 6378137.0, 0.9996
+    n = f / (2 - f)
+    radius = a / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    beta = (n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96 - n**4 / 360, n**2 / 48 + n**3 / 15 - 437 * n**4 / 1440, 17 * n**3 / 480 - 37 * n**4 / 840, 4397 * n**4 / 161280)
+    delta = (2 * n - 2 * n**2 / 3 - 2 * n**3 + 116 * n**4 / 45, 7 * n**2 / 3 - 8 * n**3 / 5 - 227 * n**4 / 45, 56 * n**3 / 15 - 136 * n**4 / 35, 4279 * n**4 / 630)
+    south = F.lit(south) if isinstance(south, bool) else south
+    x = (northing - F.when(south, 1e7).otherwise(0.0)) / (k0 * radius)
+    e = (easting - 500000) / (k0 * radius)
+    xi = x - sum((b * F.sin(2 * j * x) * F.cosh(2 * j * e) for j, b in enumerate(beta, 1)), F.lit(0.0))
+    eta = e - sum((b * F.cos(2 * j * x) * F.sinh(2 * j * e) for j, b in enumerate(beta, 1)), F.lit(0.0))
+    chi = F.asin(F.sin(xi) / F.cosh(eta))
+    lat = chi + sum((d * F.sin(2 * j * chi) for j, d in enumerate(delta, 1)), F.lit(0.0))
+    return F.degrees(lat), F.degrees(F.atan2(F.sinh(eta), F.cos(xi))) + (zone * 6 - 183)
+
+
+def geodesic_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+    """Distance on the WGS84 ellipsoid by Lambert's formula: within 10 m over thousands of kilometres, millimetres over tens."""
+    a, f = 6378.137, 1 / 298.257223563
+    reduced = lambda lat: F.atan((1 - f) * F.tan(F.radians(lat)))
+    b1, b2 = reduced(lat1), reduced(lat2)
+    h = F.pow(F.sin((b2 - b1) / 2), 2) + F.cos(b1) * F.cos(b2) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
+    s = 2 * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
+    p, q = (b1 + b2) / 2, (b2 - b1) / 2
+    x = (s - F.sin(s)) * F.pow(F.sin(p), 2) * F.pow(F.cos(q), 2) / F.pow(F.cos(s / 2), 2)
+    y = (s + F.sin(s)) * F.pow(F.cos(p), 2) * F.pow(F.sin(q), 2) / F.pow(F.sin(s / 2), 2)
+    return F.when(h == 0, 0.0).otherwise(a * (s - f / 2 * (x + y)))
+
+
 def los(east: Column, north: Column, up: Column, incidence: Column, azimuth: Column) -> Column:
     """Displacement along the line of sight; azimuth is that of the sight line, counted from north, anti-clockwise."""
     inc, az = F.radians(incidence), F.radians(azimuth)

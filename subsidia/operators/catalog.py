@@ -140,5 +140,5 @@ def by_date(products: DataFrame) -> DataFrame:
 def first_last_range(layers: DataFrame) -> DataFrame:
     """The common scale of the first and last pair of each frame: min and max of both."""
     ends = layers.groupBy("frame_id").agg(F.min("sec_date").alias("a"), F.max("sec_date").alias("b"))
-    at = layers.join(F.broadcast(ends), "frame_id").filter((F.col("sec_date") == F.col("a")) | (F.col("sec_date") == F.col("b")))
+    at = layers.join(ends, "frame_id").filter((F.col("sec_date") == F.col("a")) | (F.col("sec_date") == F.col("b")))
     return at.groupBy("frame_id").agg(F.min("value").alias("low"), F.max("value").alias("high"))

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from subsidia.functions.columns import hash_order
-from subsidia.operators.cube import PIXEL, validity
+from subsidia.functions.stages import cut
+from subsidia.operators.cube import PIXEL, first_epoch_subtract, validity
 
 
 def common_dates(a: DataFrame, b: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -32,6 +33,36 @@ def cube_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     return d.groupBy("frame_id", "obs_date").agg(F.avg("d").alias("mean_mm"), F.count("*").alias("n"))
 
 
+def common_grid(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Per frame the grid of the extent that two grids share, with the finer step of both: x_first, y_first, x_step, y_step, length, width.
+
+    Grids: one row a frame with x_first, y_first, x_step (above 0), y_step (below 0), length and width.
+    """
+    side = lambda g, p: g.select("frame_id", *[F.col(c).alias(f"{p}_{c}") for c in ("x_first", "y_first", "x_step", "y_step", "length", "width")])
+    j = side(a, "a").join(side(b, "b"), "frame_id")
+    end = lambda p, first, step, n: F.col(f"{p}_{first}") + F.col(f"{p}_{step}") * F.col(f"{p}_{n}")
+    left, right = F.greatest("a_x_first", "b_x_first"), F.least(end("a", "x_first", "x_step", "width"), end("b", "x_first", "x_step", "width"))
+    top, bottom = F.least("a_y_first", "b_y_first"), F.greatest(end("a", "y_first", "y_step", "length"), end("b", "y_first", "y_step", "length"))
+    step = F.least("a_x_step", "b_x_step", F.abs("a_y_step"), F.abs("b_y_step"))
+    g = j.select("frame_id", left.alias("x_first"), top.alias("y_first"), step.alias("x_step"), (-step).alias("y_step"), F.floor((top - bottom) / step).cast("int").alias("length"), F.floor((right - left) / step).cast("int").alias("width"))
+    return g.filter("length > 0 AND width > 0")
+
+
+def snapped_difference(a: DataFrame, a_grid: DataFrame, b: DataFrame, b_grid: DataFrame) -> DataFrame:
+    """value - other of two cubes at common epochs on their common grid, each pixel taking the nearest of either; 0 is no data."""
+    g = common_grid(a_grid, b_grid)
+    at = g.withColumn("row", F.explode(F.sequence(F.lit(0), F.col("length") - 1))).withColumn("col", F.explode(F.sequence(F.lit(0), F.col("width") - 1)))
+    for cube_grid, p in ((a_grid, "a"), (b_grid, "b")):
+        at = at.join(cube_grid.select("frame_id", *[F.col(c).alias(f"_{c}") for c in ("x_first", "y_first", "x_step", "y_step")]), "frame_id")
+        x, y = F.col("x_first") + (F.col("col") + 0.5) * F.col("x_step"), F.col("y_first") + (F.col("row") + 0.5) * F.col("y_step")
+        at = at.withColumn(f"{p}_row", F.floor((y - F.col("_y_first")) / F.col("_y_step")).cast("int")).withColumn(f"{p}_col", F.floor((x - F.col("_x_first")) / F.col("_x_step")).cast("int")).drop("_x_first", "_y_first", "_x_step", "_y_step")
+    at = at.select(*PIXEL, "a_row", "a_col", "b_row", "b_col")
+    one = a.select("frame_id", "obs_date", F.col("row").alias("a_row"), F.col("col").alias("a_col"), "value")
+    two = b.select("frame_id", "obs_date", F.col("row").alias("b_row"), F.col("col").alias("b_col"), F.col("value").alias("other"))
+    j = at.join(one, ["frame_id", "a_row", "a_col"]).join(two, ["frame_id", "b_row", "b_col", "obs_date"]).filter("value <> 0 AND other <> 0")
+    return j.select(*PIXEL, "obs_date", (F.col("value") - F.col("other")).alias("difference"))
+
+
 def series_stats(pairs: DataFrame, by: list[str] | None = None) -> DataFrame:
     """rmse, mad (of the differences) and Pearson's r of value and other; all NULL with fewer than two common values."""
     by = by or PIXEL
@@ -42,11 +73,14 @@ def series_stats(pairs: DataFrame, by: list[str] | None = None) -> DataFrame:
     return g.join(mad, by).select(*by, "n", *[F.when(enough, F.col(c)).alias(c) for c in ("rmse", "mad", "r")])
 
 
-def window_mean_series(points: DataFrame, a: DataFrame, b: DataFrame, radius: int = 3) -> DataFrame:
+def window_mean_series(points: DataFrame, a: DataFrame, b: DataFrame, radius: int = 3, zero_first: bool = False) -> DataFrame:
     """Per point and date the means of both versions over the jointly valid pixels around it.
 
-    Points (pid, frame_id, row, col) whose centre is never jointly valid are left out.
+    Points (pid, frame_id, row, col) whose centre is never jointly valid are left out. ``zero_first`` subtracts each version's first
+    epoch first, as displacement series need it and counts, coherences and similarities don't.
     """
+    if zero_first:
+        a, b = first_epoch_subtract(a, fill_zero=True), first_epoch_subtract(b, fill_zero=True)
     both = version_compare(a, b)
     centre = points.join(both.select(*PIXEL).distinct(), PIXEL, "left_semi")
     off = F.sequence(F.lit(-radius), F.lit(radius))
@@ -59,27 +93,50 @@ def ranges(layers: DataFrame, scale: float = 1.0) -> DataFrame:
     return layers.groupingSets([["version", "layer"], ["layer"]], "version", "layer").agg((F.min("value") * scale).alias("low"), (F.max("value") * scale).alias("high"))
 
 
-def histogram(values: DataFrame, bounds: tuple[float, float], n_bins: int = 20, normalised: bool = True, column: str = "value") -> DataFrame:
-    """Counts and density of valid values in equal bins; left-closed, the last one closed; empty bins have 0."""
-    lo, hi = bounds
+def histogram(values: DataFrame, bounds: tuple[float, float] | None, n_bins: int = 20, normalised: bool = True, column: str = "value") -> DataFrame:
+    """Counts and density of valid values in equal bins; left-closed, the last one closed; empty bins have 0.
+
+    Without ``bounds`` the bins span the valid values, one row that is looked up first; a single value has half a unit on either side.
+    """
+    v = values.filter(F.col(column) != 0)
+    if bounds is None:
+        lo, hi = v.agg(F.min(column), F.max(column)).first()
+        lo, hi = (0.0, 1.0) if lo is None else (lo - 0.5, hi + 0.5) if lo == hi else (lo, hi)
+    else:
+        lo, hi = bounds
     width = (hi - lo) / n_bins
-    v = values.filter((F.col(column) != 0) & F.col(column).between(lo, hi))
+    v = v.filter(F.col(column).between(lo, hi))
     k = F.least(F.floor((F.col(column) - lo) / width), F.lit(n_bins - 1)).cast("int")
     counted = v.groupBy(k.alias("bin")).agg(F.count("*").alias("n"))
     frame = values.sparkSession.range(n_bins).select(F.col("id").cast("int").alias("bin"))
     total = counted.agg(F.sum("n").alias("total"))
-    out = frame.join(F.broadcast(counted), "bin", "left").crossJoin(F.broadcast(total)).withColumn("n", F.coalesce("n", F.lit(0)))
+    out = frame.join(counted, "bin", "left").crossJoin(total).withColumn("n", F.coalesce("n", F.lit(0)))
     density = F.col("n") / F.nullif(F.col("total") * width, F.lit(0.0))
     return out.select("bin", (lo + F.col("bin") * width).alias("bin_lo"), "n", *([density.alias("density")] if normalised else []))
 
 
+def difference_histogram(pairs: DataFrame, n_bins: int = 20, scale: float = 100.0, skip_first: bool = False) -> DataFrame:
+    """Raw counts of (value - other) * scale in bins that span them, with their mean on each row; a difference of 0 counts too."""
+    p = _common(pairs, skip_first).select(((F.col("value") - F.col("other")) * scale).alias("d")).filter("d IS NOT NULL")
+    lo, hi, mean = p.agg(F.min("d"), F.max("d"), F.avg("d")).first()
+    lo, hi = (0.0, 1.0) if lo is None else (lo - 0.5, hi + 0.5) if lo == hi else (lo, hi)
+    width = (hi - lo) / n_bins
+    counted = p.groupBy(F.least(F.floor((F.col("d") - lo) / width), F.lit(n_bins - 1)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
+    frame = pairs.sparkSession.range(n_bins).select(F.col("id").cast("int").alias("bin"))
+    return frame.join(counted, "bin", "left").select("bin", (lo + F.col("bin") * width).alias("bin_lo"), F.coalesce("n", F.lit(0)).alias("n"), F.lit(mean).cast("double").alias("mean"))
+
+
 def difference_summary(pairs: DataFrame, skip_first: bool = False) -> DataFrame:
     """Mean and count of value - other, with or without each frame's first epoch."""
+    return _common(pairs, skip_first).groupBy("frame_id").agg(F.avg(F.col("value") - F.col("other")).alias("mean"), F.count("*").alias("n"))
+
+
+def _common(pairs: DataFrame, skip_first: bool) -> DataFrame:
+    """Jointly valid rows, with or without each frame's first epoch."""
     p = pairs.filter("value IS NOT NULL AND other IS NOT NULL")
-    if skip_first:
-        first = p.groupBy("frame_id").agg(F.min("obs_date").alias("_f"))
-        p = p.join(F.broadcast(first), "frame_id").filter("obs_date > _f")
-    return p.groupBy("frame_id").agg(F.avg(F.col("value") - F.col("other")).alias("mean"), F.count("*").alias("n"))
+    if not skip_first:
+        return p
+    return p.join(p.groupBy("frame_id").agg(F.min("obs_date").alias("_f")), "frame_id").filter("obs_date > _f").drop("_f")
 
 
 def align_second_valid(pairs: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -95,16 +152,33 @@ def candidate_points(a: DataFrame, b: DataFrame, limit: int = 200, seed: int = 0
     va, vb = validity(a).filter("valid").withColumn("v", F.lit(0)), validity(b).filter("valid").withColumn("v", F.lit(1))
     both = va.unionByName(vb)
     chosen = both.groupBy("frame_id", "v").agg(F.count("*").alias("n")).groupBy("frame_id").agg(F.min(F.struct("n", "v")).alias("s")).select("frame_id", F.col("s.v").alias("v"))
-    pool = both.join(F.broadcast(chosen), ["frame_id", "v"]).withColumn("_h", hash_order(seed, *PIXEL))
+    pool = both.join(chosen, ["frame_id", "v"]).withColumn("_h", hash_order(seed, *PIXEL))
     return pool.withColumn("rank", F.row_number().over(Window.partitionBy("frame_id").orderBy("_h", "row", "col"))).filter(F.col("rank") <= limit).select(*PIXEL, "rank")
 
 
-def points_with_fallback(requested: DataFrame, obs: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Requested pixels (pid, pixel), invalid ones replaced by the frame's first candidate: row, col and moved."""
+def points_with_fallback(requested: DataFrame, obs: DataFrame, candidates: DataFrame, step: tuple[float, float] | None = None, least: float = 1e-3) -> DataFrame:
+    """Requested pixels (pid, pixel), invalid ones replaced by the frame's first candidate: row, col and moved.
+
+    With ``step``, the size of a pixel in degrees (latitude, longitude), a point counts as moved only if that is by more than ``least``
+    degrees in either.
+    """
     first = candidates.groupBy("frame_id").agg(F.min_by(F.struct("row", "col"), "rank").alias("_c"))
-    v = requested.join(validity(obs), PIXEL, "left").withColumn("valid", F.coalesce("valid", F.lit(False))).join(F.broadcast(first), "frame_id", "left")
+    v = requested.join(validity(obs), PIXEL, "left").withColumn("valid", F.coalesce("valid", F.lit(False))).join(first, "frame_id", "left")
     pick = lambda c: F.when(F.col("valid"), F.col(c)).otherwise(F.col(f"_c.{c}")).alias(c)
-    return v.select("pid", "frame_id", pick("row"), pick("col"), (~F.col("valid")).alias("moved"))
+    moved = ~F.col("valid")
+    if step is not None:
+        far = [F.abs(F.col(f"_c.{c}") - F.col(c)) * abs(size) > least for c, size in zip(("row", "col"), step, strict=True)]
+        moved = moved & F.coalesce(far[0] | far[1], F.lit(False))
+    return v.select("pid", "frame_id", pick("row"), pick("col"), moved.alias("moved"))
+
+
+# The fields of a product's metadata that hold software versions.
+VERSION_FIELDS = ("sas_version", "dolphin_version", "compass_version", "isce3_version", "s1read_version")
+
+
+def version_rows(products: DataFrame, key: str, fields: tuple[str, ...] = VERSION_FIELDS) -> DataFrame:
+    """(key, path, value): the version strings of each product as rows, to be compared by ``metadata_diff`` like any other path."""
+    return products.select(key, F.explode(F.array(*[F.struct(F.lit(f).alias("path"), F.col(f).alias("value")) for f in fields])).alias("r")).select(key, "r.*")
 
 
 def metadata_diff(a: DataFrame, b: DataFrame, exclude: str = "cslc_file_list") -> DataFrame:
@@ -119,20 +193,19 @@ def metadata_diff(a: DataFrame, b: DataFrame, exclude: str = "cslc_file_list") -
 def flatten_json(documents: DataFrame, key: str, json: str) -> DataFrame:
     """(key, path, value) of every leaf of a JSON text; the order of list elements doesn't count, so lists have one path.
 
-    Trees are unfolded level by level; a level is one pass over what is still nested.
+    Trees are unfolded level by level, to any depth; a level is one pass over what is still nested. An empty object or list is a leaf
+    (``{}``, ``[]``). A text that is no JSON, or NULL, has one row with an empty path and no value.
     """
-    todo = documents.select(key, F.lit("").alias("path"), F.try_parse_json(json).alias("v"))
-    leaves, depth = None, 0
-    while depth < 32:
-        kind = F.schema_of_variant("v")
-        todo = todo.withColumn("_t", kind)
-        nested = F.startswith("_t", F.lit("OBJECT")) | F.startswith("_t", F.lit("ARRAY"))
-        flat = todo.filter(~nested).select(key, "path", F.variant_get("v", "$", "string").alias("value"))
+    todo, leaves = documents.select(key, F.lit("").alias("path"), F.try_parse_json(json).alias("v")), None
+    while True:
+        text, kind = F.to_json("v"), F.schema_of_variant("v")
+        nested = F.coalesce((F.startswith(kind, F.lit("OBJECT")) | F.startswith(kind, F.lit("ARRAY"))) & ~text.isin("{}", "[]"), F.lit(False))
+        todo = todo.withColumn("_n", nested)
+        flat = todo.filter("NOT _n").select(key, "path", F.coalesce(F.try_variant_get("v", "$", "string"), F.when(F.to_json("v").isin("{}", "[]"), F.to_json("v"))).alias("value"))
         leaves = flat if leaves is None else leaves.unionByName(flat)
-        todo = todo.filter(nested)
+        todo = todo.filter("_n").drop("_n")
         if todo.isEmpty():
             return leaves
-        todo.createOrReplaceTempView("_flatten_todo")
-        todo = todo.sparkSession.sql(f"SELECT t.`{key}`, concat(t.path, CASE WHEN e.key IS NULL THEN '[]' WHEN t.path = '' THEN e.key ELSE '.' || e.key END) AS path, e.value AS v FROM _flatten_todo t, LATERAL variant_explode(t.v) AS e").checkpoint()
-        depth += 1
-    return leaves
+        each = todo.lateralJoin(todo.sparkSession.tvf.variant_explode(F.col("v").outer()).select(F.col("key").alias("_k"), F.col("value").alias("_e")))
+        step = F.when(F.col("_k").isNull(), "[]").when(F.col("path") == "", F.col("_k")).otherwise(F.concat(F.lit("."), "_k"))
+        todo = cut(each.select(key, F.concat("path", step).alias("path"), F.col("_e").alias("v")))

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from subsidia.functions.columns import pixel_index
+from subsidia.functions.stages import quantile
+
 PIXEL = ["frame_id", "row", "col"]
 
 
@@ -41,9 +44,13 @@ def density(obs: DataFrame) -> DataFrame:
 
 def reliability_mask(obs: DataFrame, ratio: float = 0.9, rule: str = "count") -> DataFrame:
     """Pixels with enough valid epochs. ``count``: at least floor((n - 1) * ratio); ``density``: share from ``ratio`` on."""
-    d = density(obs)
+    return density(obs).select(*PIXEL, reliable(ratio, rule).alias("reliable"))
+
+
+def reliable(ratio: float = 0.9, rule: str = "count") -> Column:
+    """The rule over the columns of ``density``; both rules can be read from one pass."""
     kept = F.col("n_valid") >= F.floor((F.col("n_epochs") - 1) * ratio) if rule == "count" else F.col("density") >= ratio
-    return d.select(*PIXEL, F.coalesce(kept, F.lit(False)).alias("reliable"))
+    return F.coalesce(kept, F.lit(False))
 
 
 def threshold_mask(layer: DataFrame, threshold: float) -> DataFrame:
@@ -89,6 +96,20 @@ def blank_box(layer: DataFrame, rows: tuple[int, int], cols: tuple[int, int]) ->
     return layer.withColumn("value", F.when(~inside, F.col("value")))
 
 
+def subset_box(layer: DataFrame, grid: DataFrame, lat: tuple[float, float] | None = None, lon: tuple[float, float] | None = None) -> DataFrame:
+    """The pixels between two latitudes and two longitudes. ``grid``: one row a frame with x_first, y_first, x_step, y_step in degrees.
+
+    Bounds are turned into pixel indices (cut towards zero), so the filter on row and col is a comparison with two numbers a frame.
+    """
+    at = lambda value, first, step: pixel_index(F.lit(float(value)), F.col(first), F.col(step))
+    j = layer.join(grid.select("frame_id", "x_first", "y_first", "x_step", "y_step"), "frame_id")
+    for bounds, column, first, step in ((lat, "row", "y_first", "y_step"), (lon, "col", "x_first", "x_step")):
+        if bounds is not None:
+            a, b = (at(v, first, step) for v in bounds)
+            j = j.filter(F.col(column).between(F.least(a, b), F.greatest(a, b)))
+    return j.select(*layer.columns)
+
+
 def max_coherence_reference(coherence: DataFrame) -> DataFrame:
     """The pixel of each frame with the highest coherence; the first in row order of equals."""
     order = F.struct(F.col("value"), -F.col("row"), -F.col("col"))
@@ -106,7 +127,7 @@ def rereference(obs: DataFrame, reference: DataFrame, epoch: list[str], skip_inv
 
     A NULL reference counts as 0. With ``skip_invalid`` such an epoch stays as it is and only valid pixels are touched.
     """
-    at = obs.join(F.broadcast(reference.select(*PIXEL)), PIXEL, "left_semi").select("frame_id", *epoch, F.col("value").alias("_ref"))
+    at = obs.join(reference.select(*PIXEL), PIXEL, "left_semi").select("frame_id", *epoch, F.col("value").alias("_ref"))
     joined = obs.join(at, ["frame_id", *epoch], "left")
     shift = F.coalesce("_ref", F.lit(0.0))
     value = F.col("value") - shift
@@ -148,14 +169,50 @@ def shortest_paths(edges: DataFrame) -> DataFrame:
 def cumulative_displacement(pairs: DataFrame, paths: DataFrame | None = None) -> DataFrame:
     """Displacement of each pixel at each date: the sum of the pairs along the path from the first date.
 
-    NULL if any pair of the path is NULL or missing, and where there is no path. Each pair is read once and goes to all dates
-    whose path uses it.
+    NULL if any pair of the path is NULL or missing, and where there is no path. The paths of a frame form a tree, since the best
+    path to a date goes on from the best path to its last reference date. So only the last pair of each path counts, a pair is
+    used once, and a pixel's dates are summed up along the tree, from parent to child, in batches of pixels.
     """
     paths = shortest_paths(pairs) if paths is None else paths
-    hops = paths.groupBy("frame_id", "target_date").agg(F.count("*").alias("hops"))
-    used = paths.join(hops, ["frame_id", "target_date"])
-    parts = pairs.join(used, ["frame_id", "ref_date", "sec_date"])
-    return parts.groupBy(*PIXEL, F.col("target_date").alias("obs_date")).agg(F.when(F.count("value") == F.max("hops"), F.sum("value")).alias("value"))
+    tree = paths.filter(F.col("sec_date") == F.col("target_date"))
+    first = paths.groupBy("frame_id").agg(F.min("ref_date").alias("_first"))
+    tree = tree.join(first, "frame_id").select("frame_id", "ref_date", "sec_date", (F.col("ref_date") == F.col("_first")).alias("_root"))
+    edge = F.struct(F.unix_date("sec_date").alias("t"), F.when(~F.col("_root"), F.unix_date("ref_date")).alias("p"), F.col("value").alias("v"))
+    own = pairs.join(tree, ["frame_id", "ref_date", "sec_date"]).groupBy(*PIXEL).agg(F.sort_array(F.collect_list(edge)).alias("e"))
+    flat = own.select(*PIXEL, *[F.col(f"e.{c}").alias(c) for c in ("t", "p", "v")])
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for i in range(0, batch.num_rows, 512):
+                yield pa.RecordBatch.from_arrays(_summed(batch.slice(i, 512)), names=[*PIXEL, "obs_date", "value"])
+
+    return flat.mapInArrow(run, "frame_id int, row int, col int, obs_date date, value double")
+
+
+def _summed(batch):
+    """Columns of sums along the trees: one row a pixel and date. Dates of the batch are columns of a matrix, taken in order."""
+    import numpy as np
+    import pyarrow as pa
+
+    t, p, v = (c.flatten() for c in batch.columns[3:])
+    row = np.repeat(np.arange(batch.num_rows), batch.column(3).value_lengths().to_numpy(zero_copy_only=False))
+    root, p = p.is_null().to_numpy(zero_copy_only=False), p.fill_null(0).to_numpy()
+    days, at = np.unique(t.to_numpy(), return_inverse=True)
+    parent = np.searchsorted(days, p).clip(0, max(0, len(days) - 1))
+    known = root | (days[parent] == p) if len(days) else root
+    value = v.to_numpy(zero_copy_only=False).astype(float)
+    total = np.full((batch.num_rows, len(days)), np.nan)
+    order = np.argsort(at, kind="stable")  # a parent is earlier than its child
+    ends = np.searchsorted(at[order], np.arange(len(days) + 1))
+    for k in range(len(days)):
+        i = order[ends[k] : ends[k + 1]]
+        before = np.where(root[i], 0.0, np.where(known[i], total[row[i], parent[i]], np.nan))
+        total[row[i], k] = before + value[i]
+    sums = total[row, at]
+    index = pa.array(row)
+    return [*(c.take(index) for c in batch.columns[:3]), t.cast(pa.int32()).view(pa.date32()), pa.array(sums, mask=np.isnan(sums))]
 
 
 def subtract_corrections(obs: DataFrame, *corrections: DataFrame, reference: DataFrame | None = None) -> DataFrame:
@@ -183,7 +240,8 @@ def expand_epoch_masks(masks: DataFrame, ministacks: DataFrame) -> DataFrame:
 
 
 def median_height(heights: DataFrame) -> DataFrame:
-    return heights.filter("value <> 0").groupBy("frame_id").agg(F.median("value").cast("int").alias("height"))
+    """Per frame the median of the heights, 0 being no data, cut to a whole number."""
+    return quantile(heights.filter("value <> 0"), ["frame_id"], "value", 0.5).select("frame_id", F.col("quantile").cast("int").alias("height"))
 
 
 def mean_baseline(obs: DataFrame) -> DataFrame:
@@ -191,9 +249,11 @@ def mean_baseline(obs: DataFrame) -> DataFrame:
     return obs.groupBy("frame_id", "obs_date").agg(F.avg("value").alias("baseline"))
 
 
-def first_epoch_subtract(obs: DataFrame, after=None, before=None) -> DataFrame:
+def first_epoch_subtract(obs: DataFrame, after=None, before=None, fill_zero: bool = False) -> DataFrame:
     """Zero at the first epoch. Bounds keep the dates strictly inside and zero the first of those.
 
+    A first epoch without data leaves the pixel without data; ``fill_zero`` takes it as 0, which it is where a series begins.
+
     The first epoch is one grouped minimum per frame, joined back; no window over the cube.
     """
     if after is not None:
@@ -201,8 +261,9 @@ def first_epoch_subtract(obs: DataFrame, after=None, before=None) -> DataFrame:
     if before is not None:
         obs = obs.filter(F.col("obs_date") < F.lit(before))
     first = obs.groupBy("frame_id").agg(F.min("obs_date").alias("obs_date"))
-    zero = obs.join(F.broadcast(first), ["frame_id", "obs_date"]).select(*PIXEL, F.col("value").alias("_z"))
-    return obs.join(zero, PIXEL, "left").withColumn("value", F.col("value") - F.col("_z")).drop("_z")
+    zero = obs.join(first, ["frame_id", "obs_date"]).select(*PIXEL, F.col("value").alias("_z"))
+    base = F.coalesce("_z", F.lit(0.0)) if fill_zero else F.col("_z")
+    return obs.join(zero, PIXEL, "left").withColumn("value", F.col("value") - base).drop("_z")
 
 
 def validity(obs: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -216,7 +277,7 @@ def regrid_nearest(source: DataFrame, source_grid: DataFrame, target: DataFrame,
     Grids: one row a frame with x_first, y_first, x_step, y_step. Pixels outside the source get ``fill`` (NULL; 0 for masks).
     """
     s = source_grid.select("frame_id", *[F.col(c).alias(f"s_{c}") for c in ("x_first", "y_first", "x_step", "y_step")])
-    t = target.join(F.broadcast(target_grid), "frame_id").join(F.broadcast(s), "frame_id")
+    t = target.join(target_grid, "frame_id").join(s, "frame_id")
     x = F.col("x_first") + (F.col("col") + 0.5) * F.col("x_step")
     y = F.col("y_first") + (F.col("row") + 0.5) * F.col("y_step")
     t = t.withColumn("_c", F.floor((x - F.col("s_x_first")) / F.col("s_x_step")).cast("int")).withColumn("_r", F.floor((y - F.col("s_y_first")) / F.col("s_y_step")).cast("int"))

@@ -9,19 +9,35 @@ from subsidia.functions.columns import los, point_in_ring
 
 
 def stations_in_frame(stations: DataFrame, frames: DataFrame) -> DataFrame:
-    """(frame_id, station): stations strictly inside a frame's ring; the box is tried first."""
+    """(frame_id, station): stations strictly inside a frame's ring.
+
+    Stations and frames meet in cells of one degree, so the join is an equi-join; the box, then the ring decide.
+    """
     box = frames.select("frame_id", "ring", *[f(F.transform("ring", lambda p, c=None: p["lon"])).alias(n) for f, n in ((F.array_min, "lon0"), (F.array_max, "lon1"))], *[f(F.transform("ring", lambda p, c=None: p["lat"])).alias(n) for f, n in ((F.array_min, "lat0"), (F.array_max, "lat1"))])
-    near = stations.join(box, F.col("lon").between(F.col("lon0"), F.col("lon1")) & F.col("lat").between(F.col("lat0"), F.col("lat1")))
+    degree = lambda c: F.floor(c).cast("int")
+    spread = lambda a, b: F.explode(F.sequence(degree(a), degree(b)))
+    cells = box.withColumn("_cx", spread("lon0", "lon1")).withColumn("_cy", spread("lat0", "lat1"))
+    near = stations.withColumn("_cx", degree("lon")).withColumn("_cy", degree("lat")).join(cells, ["_cx", "_cy"])
+    near = near.filter(F.col("lon").between(F.col("lon0"), F.col("lon1")) & F.col("lat").between(F.col("lat0"), F.col("lat1")))
     return near.filter(point_in_ring(F.col("lon"), F.col("lat"), F.col("ring"))).select("frame_id", "station")
 
 
-def frames_touching(frames: DataFrame, lon: tuple[float, float], lat: tuple[float, float]) -> DataFrame:
-    """Frames that meet a rectangle: a corner of one inside the other, or crossing edges."""
-    corners = [(lon[0], lat[0]), (lon[1], lat[0]), (lon[1], lat[1]), (lon[0], lat[1])]
+def rectangle(lon: tuple[float, float], lat: tuple[float, float]) -> list[tuple[float, float]]:
+    return [(lon[0], lat[0]), (lon[1], lat[0]), (lon[1], lat[1]), (lon[0], lat[1])]
+
+
+def frames_touching(frames: DataFrame, polygon: list[tuple[float, float]], orbit_pass: str | None = None) -> DataFrame:
+    """Frames (of one orbit pass) that meet a polygon of (lon, lat) corners: a corner of one inside the other, or crossing edges."""
+    corners = [(float(x), float(y)) for x, y in polygon]
+    if corners[0] == corners[-1]:
+        corners = corners[:-1]
+    if orbit_pass is not None:
+        frames = frames.filter(F.upper("orbit_pass") == orbit_pass.upper())
+    area = F.array(*[F.struct(F.lit(x).alias("lon"), F.lit(y).alias("lat")) for x, y in [*corners, corners[0]]])
     holds = F.lit(False)
     for x, y in corners:
         holds = holds | point_in_ring(F.lit(float(x)), F.lit(float(y)), F.col("ring"))
-    inside = F.exists("ring", lambda p: p["lon"].between(F.lit(lon[0]), F.lit(lon[1])) & p["lat"].between(F.lit(lat[0]), F.lit(lat[1])))
+    inside = F.exists("ring", lambda p: point_in_ring(p["lon"], p["lat"], area))
     sides = F.zip_with(F.slice("ring", F.lit(1), F.size("ring") - 1), F.slice("ring", F.lit(2), F.size("ring") - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
     crossing = F.lit(False)
     for (x1, y1), (x2, y2) in zip(corners, corners[1:] + corners[:1], strict=True):
@@ -56,6 +72,36 @@ def completeness(obs: DataFrame, start: str, end: str, ratio: float = 0.8) -> Da
     return n.withColumn("complete", F.col("n_days") >= F.datediff(e, s) * ratio)
 
 
+def solution_density(stations: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """Stations with density (solutions over the days from first to last) and dense: whether it is above the threshold."""
+    days = F.datediff("last_date", "first_date")
+    return stations.withColumn("density", F.col("num_solution") / F.nullif(days, F.lit(0))).withColumn("dense", F.coalesce(F.col("density") > threshold, F.lit(False)))
+
+
+def coverage(obs: DataFrame, start: str, end: str, density: float = 0.8, ratio: float = 0.8) -> DataFrame:
+    """Per station, from the days strictly inside the period: density (days over their span), ratio (span over the period), and
+    covered: whether both reach their thresholds."""
+    s, e = F.lit(start).cast("date"), F.lit(end).cast("date")
+    span = F.datediff(F.max("obs_date"), F.min("obs_date"))
+    g = obs.filter((F.col("obs_date") > s) & (F.col("obs_date") < e)).groupBy("station").agg((F.count("*") / F.nullif(span, F.lit(0))).alias("density"), (span / F.nullif(F.datediff(e, s), F.lit(0))).alias("ratio"))
+    return g.withColumn("covered", F.coalesce((F.col("density") >= density) & (F.col("ratio") >= ratio), F.lit(False)))
+
+
+def mean_geometry(angles: DataFrame) -> DataFrame:
+    """Per frame the mean incidence and azimuth of the pixels where both are physical: incidence in (0, 90], azimuth in [-360, 360]."""
+    real = (F.col("incidence") > 0) & (F.col("incidence") <= 90) & F.col("azimuth").between(-360, 360)
+    return angles.filter(real).groupBy("frame_id").agg(F.avg("incidence").alias("incidence"), F.avg("azimuth").alias("azimuth"), F.count("*").alias("n"))
+
+
+def projectable(obs: DataFrame, least: int = 2) -> DataFrame:
+    """The series of stations with at least ``least`` epochs whose three components are all finite, less their other epochs."""
+    finite = F.lit(True)
+    for c in ("east", "north", "up"):
+        finite = finite & F.coalesce(~F.isnan(c) & (F.abs(c) < float("inf")), F.lit(False))
+    kept = obs.filter(finite)
+    return kept.join(kept.groupBy("station").agg(F.countDistinct("obs_date").alias("_n")).filter(F.col("_n") >= least).select("station"), "station", "left_semi")
+
+
 def scatter(obs: DataFrame, incidence: float = 40.0, azimuth: float = 100.0, threshold: float = 10.0) -> DataFrame:
     """Deviation of each station's LOS series from its linear trend over the sample number (not time), in the series' unit."""
     order = Window.partitionBy("station").orderBy("obs_date")
@@ -66,13 +112,20 @@ def scatter(obs: DataFrame, incidence: float = 40.0, azimuth: float = 100.0, thr
     return g.select("station", "n", F.sqrt(left / F.col("n")).alias("scatter")).withColumn("kept", F.col("scatter") <= threshold)
 
 
-def problem_steps(steps: DataFrame, start: str, end: str, magnitude: float = 5.0, distance_km: float | None = None) -> DataFrame:
-    """Stations and days with an equipment step, or an earthquake from a magnitude on (and within a distance), inside the period."""
-    inside = (F.col("step_date") > F.lit(start).cast("date")) & (F.col("step_date") < F.lit(end).cast("date"))
-    quake = (F.col("code") == 2) & (F.col("magnitude") >= magnitude)
+# Equipment steps that spoil a series, as step logs name them.
+PROBLEM_TYPES = ("Antenna_detached_from_monument", "Equipment_Site_Change", "Antenna_Changed", "Antenna_change", "Antenna_Code_Changed")
+
+
+def problem_steps(steps: DataFrame, start: str, end: str, magnitude: float = 5.0, distance_km: float | None = None, types: tuple[str, ...] = PROBLEM_TYPES, earthquakes: bool = True) -> DataFrame:
+    """Stations and days with an equipment step of one of ``types``, or an earthquake above a magnitude (and within a distance).
+
+    Both bounds of the period are inside. ``earthquakes`` = False leaves equipment only.
+    """
+    inside = F.col("step_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    quake = F.lit(earthquakes) & (F.col("code") == 2) & (F.col("magnitude") > magnitude)
     if distance_km is not None:
         quake = quake & (F.col("distance_km") <= distance_km)
-    return steps.filter(inside & ((F.col("code") == 1) | quake)).select("station", "step_date").distinct()
+    return steps.filter(inside & (((F.col("code") == 1) & F.col("type_threshold").isin(*types)) | quake)).select("station", "step_date").distinct()
 
 
 def sample_at_stations(stations: DataFrame, layer: DataFrame, radius: int = 0, how: str = "median", asymmetric: bool = False) -> DataFrame:
@@ -115,16 +168,21 @@ def detect_steps(obs: DataFrame, value: str = "east", window: int = 10, threshol
 
 def transient_stations(obs: DataFrame, pairs: DataFrame, least: int = 3) -> DataFrame:
     """(ifg, station): stations with a solution on every day of an interferogram (ifg, ref_date, sec_date), where at least ``least`` have."""
-    inside = obs.select("station", "obs_date").distinct().join(F.broadcast(pairs), F.col("obs_date").between(F.col("ref_date"), F.col("sec_date")))
+    inside = obs.select("station", "obs_date").distinct().join(_days(pairs), "obs_date")
     full = inside.groupBy("ifg", "station", "ref_date", "sec_date").agg(F.count("*").alias("n")).filter(F.col("n") == F.datediff("sec_date", "ref_date") + 1)
     return full.withColumn("n_stations", F.count("*").over(Window.partitionBy("ifg"))).filter(F.col("n_stations") >= least).select("ifg", "station", "n_stations")
 
 
+def _days(pairs: DataFrame) -> DataFrame:
+    """A row for each day of an interferogram (tens of days), so that series meet it by day."""
+    return pairs.withColumn("obs_date", F.explode(F.sequence("ref_date", "sec_date")))
+
+
 def transient_displacement(obs: DataFrame, selected: DataFrame, pairs: DataFrame, value: Column, seed: int = 0) -> DataFrame:
     """(ifg, station, displacement, relative): last less first position inside the pair, also relative to one station chosen by hash."""
     from subsidia.functions.columns import hash_order
 
-    o = obs.join(F.broadcast(selected.join(pairs, "ifg")), "station").filter(F.col("obs_date").between(F.col("ref_date"), F.col("sec_date"))).withColumn("_v", value)
+    o = obs.join(_days(selected.join(pairs, "ifg")), ["station", "obs_date"]).withColumn("_v", value)
     d = o.groupBy("ifg", "station").agg((F.max_by("_v", "obs_date") - F.min_by("_v", "obs_date")).alias("displacement"))
     ref = d.withColumn("_h", hash_order(seed, "ifg", "station")).groupBy("ifg").agg(F.min_by("displacement", "_h").alias("_ref"))
     return d.join(ref, "ifg").select("ifg", "station", "displacement", (F.col("displacement") - F.col("_ref")).alias("relative"))

@@ -7,9 +7,14 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from subsidia.functions.stages import cut, quantile
+
 
 def usable(label: str = "label"):
-    """Labels that are no data: NULL, below 0 and from 10 on; 0 is the background."""
+    """Labels of a frame as read: NULL, below 0 and from 10 on are no data; 0 is the background.
+
+    Only frames are read so: merged frames number their components on, beyond 10.
+    """
     return (F.col(label) >= 0) & (F.col(label) < 10)
 
 
@@ -18,8 +23,8 @@ def overlaps(one: DataFrame, two: DataFrame) -> DataFrame:
 
     Background goes with background only. Of equal counts the smaller label holds.
     """
-    a = one.filter(usable()).select("row", "col", F.col("label").alias("label_1"))
-    b = two.filter(usable()).select("row", "col", F.col("label").alias("label_2"))
+    a = one.select("row", "col", F.col("label").alias("label_1"))
+    b = two.select("row", "col", F.col("label").alias("label_2"))
     n = a.join(b, ["row", "col"]).filter((F.col("label_1") == 0) == (F.col("label_2") == 0)).groupBy("label_2", "label_1").agg(F.count("*").alias("n"))
     return n.withColumn("best", F.row_number().over(Window.partitionBy("label_2").orderBy(F.desc("n"), "label_1")) == 1)
 
@@ -32,8 +37,8 @@ def cycle_offsets(one: DataFrame, two: DataFrame, method: str = "cycles") -> Dat
     best = overlaps(one, two).filter("best").select("label_2", "label_1")
     a = one.select("row", "col", F.col("label").alias("label_1"), F.col("phase").alias("p1"))
     b = two.select("row", "col", F.col("label").alias("label_2"), F.col("phase").alias("p2"))
-    d = a.join(b, ["row", "col"]).join(F.broadcast(best), ["label_1", "label_2"]).withColumn("d", F.col("p1") - F.col("p2"))
-    g = d.groupBy("label_2", "label_1").agg(F.median("d").alias("median"), F.avg(F.sin("d")).alias("_s"), F.avg(F.cos("d")).alias("_c"))
+    d = a.join(b, ["row", "col"]).join(best, ["label_1", "label_2"]).withColumn("d", F.col("p1") - F.col("p2"))
+    g = d.groupBy("label_2", "label_1").agg(F.avg(F.sin("d")).alias("_s"), F.avg(F.cos("d")).alias("_c")).join(quantile(d, ["label_2", "label_1"], "d", 0.5, "median"), ["label_2", "label_1"])
     if method == "mean":
         return g.select("label_2", "label_1", F.lit(0).alias("cycles"), F.lit(0.0).alias("rest"), F.col("median").alias("offset"))
     cycles = (F.floor((F.abs("median") + math.pi) / (2 * math.pi)) * F.signum("median")).cast("int")
@@ -43,24 +48,33 @@ def cycle_offsets(one: DataFrame, two: DataFrame, method: str = "cycles") -> Dat
     return g.select("label_2", "label_1", "cycles", "rest", (2 * math.pi * F.col("cycles") + F.col("rest")).alias("offset"))
 
 
+def shifted(frame: DataFrame, offsets: DataFrame, other) -> DataFrame:
+    """The frame's components moved by their offset and renamed to their partner; those without one get the label ``other``."""
+    off = offsets.select(F.col("label_2").alias("label"), "label_1", "offset")
+    moved = frame.join(off, "label", "left")
+    return moved.select("row", "col", F.coalesce("label_1", other).alias("label"), (F.col("phase") + F.coalesce("offset", F.lit(0.0))).alias("phase"))
+
+
 def merge(one: DataFrame, two: DataFrame, method: str = "cycles") -> DataFrame:
-    """Two frames as one: the second shifted onto the first, its components renamed to their partners'; in the overlap the mean of the
-    phases and the smaller label. Components without a partner keep their phase and get new labels."""
-    off = cycle_offsets(one, two, method).select("label_2", "label_1", "offset")
-    top = F.broadcast(one.agg(F.coalesce(F.max("label"), F.lit(0)).alias("_top")))
-    b = two.filter(usable()).join(F.broadcast(off.withColumnRenamed("label_2", "label")), "label", "left").crossJoin(top)
-    label = F.coalesce("label_1", F.when(F.col("label") == 0, F.lit(0)).otherwise(F.col("label") + F.col("_top")))
-    b = b.select("row", "col", label.alias("label"), (F.col("phase") + F.coalesce("offset", F.lit(0.0))).alias("phase"))
-    both = one.filter(usable()).select("row", "col", "label", "phase").unionByName(b)
-    return both.groupBy("row", "col").agg(F.min("label").alias("label"), F.avg("phase").alias("phase"))
+    """Two frames as one, in the overlap with the mean of the phases and the smaller label.
+
+    Forward, the second is shifted onto the first, and its components take their partners' labels; those without a partner keep
+    their phase and get labels beyond the first's. Backward, components of the first whose best partner in the shifted second has
+    another label (it joined two of them) are shifted onto that and take its label.
+    """
+    top = one.agg(F.coalesce(F.max("label"), F.lit(0)).alias("top")).first()["top"]
+    new = F.when(F.col("label") == 0, F.lit(0)).otherwise(F.col("label") + F.lit(top))
+    second = cut(shifted(two, cycle_offsets(one, two, method), new))
+    first = shifted(one, cycle_offsets(second, one, method).filter("label_1 <> label_2"), F.col("label"))
+    return first.unionByName(second).groupBy("row", "col").agg(F.min("label").alias("label"), F.avg("phase").alias("phase"))
 
 
 def stitch(components: DataFrame, frames: list[int], method: str = "cycles") -> DataFrame:
     """Frames of one pair, merged in the given order (by their southern border); a handful, so the fold is a short plan."""
-    parts = [components.filter(F.col("frame_id") == f).select("row", "col", "label", "phase") for f in frames]
-    merged = parts[0].filter(usable())
-    for i, p in enumerate(parts[1:]):
+    parts = [components.filter((F.col("frame_id") == f) & usable()).select("row", "col", "label", "phase") for f in frames]
+    merged = parts[0]
+    for i, p in enumerate(parts[1:], 2):
         merged = merge(merged, p, method)
-        if i % 3 == 2:
-            merged = merged.checkpoint()
+        if i < len(parts):
+            merged = cut(merged)
     return merged

@@ -5,21 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from subsidia.functions.columns import hash_order, plane_km, requirement_mm
+from subsidia.functions.columns import hash_order, haversine_km, plane_km, requirement_mm
+from subsidia.functions.stages import numbered, quantile
 
 
-def station_pairs(stations: DataFrame, group: list[str] | None = None) -> DataFrame:
+def station_pairs(stations: DataFrame, group: list[str] | None = None, within_km: float | None = None) -> DataFrame:
     """All unordered pairs of stations: distance in km and the absolute double difference GNSS against InSAR.
 
-    Pairs grow with the square of the stations of a frame (tens to hundreds). They meet by ``group`` and, without one, through
-    a broadcast of the station list only while it is small; Spark chooses from its size.
+    With ``within_km`` only pairs up to that distance: stations meet in square cells of that width and their neighbours, by an
+    equi-join, so pairs grow with the density of stations. Without it all pairs of a ``group`` are the result, which is quadratic.
     """
     keys = group or []
+    if within_km is not None:
+        cell = lambda c: F.floor(F.col(c) / (within_km * 1000)).cast("long")
+        around = lambda c: F.explode(F.array(*[cell(c) + d for d in (-1, 0, 1)]))
+        near = stations.withColumn("_cx", cell("x")).withColumn("_cy", cell("y"))
+        far = stations.withColumn("_cx", around("x")).withColumn("_cy", around("y"))
+        keys, stations = [*keys, "_cx", "_cy"], near
+    else:
+        far = stations
     a = stations.select(*keys, *[F.col(c).alias(f"{c}_1") for c in ("station", "x", "y", "gnss", "insar")])
-    b = stations.select(*keys, *[F.col(c).alias(f"{c}_2") for c in ("station", "x", "y", "gnss", "insar")])
+    b = far.select(*keys, *[F.col(c).alias(f"{c}_2") for c in ("station", "x", "y", "gnss", "insar")])
     less = F.col("station_1") < F.col("station_2")
     pairs = a.join(b, keys).filter(less) if keys else a.join(b, less)
-    return pairs.select(*keys, F.col("station_1"), F.col("station_2"), plane_km(F.col("x_1"), F.col("y_1"), F.col("x_2"), F.col("y_2")).alias("distance"), F.abs((F.col("gnss_1") - F.col("gnss_2")) - (F.col("insar_1") - F.col("insar_2"))).alias("difference"))
+    pairs = pairs.select(*(group or []), F.col("station_1"), F.col("station_2"), plane_km(F.col("x_1"), F.col("y_1"), F.col("x_2"), F.col("y_2")).alias("distance"), F.abs((F.col("gnss_1") - F.col("gnss_2")) - (F.col("insar_1") - F.col("insar_2"))).alias("difference"))
+    return pairs if within_km is None else pairs.filter(F.col("distance") <= within_km)
 
 
 def edges(lo: float, hi: float, n: int) -> list[float]:
@@ -32,19 +42,20 @@ def bins(spark: SparkSession, lo: float, hi: float, n: int) -> DataFrame:
     return spark.createDataFrame([(i, e[i], e[i + 1]) for i in range(n)], "bin int, bin_lo double, bin_hi double")
 
 
-def binned_requirement_test(pairs: DataFrame, requirement: float = 5.0, bounds: tuple[float, float] = (0.1, 50.0), n_bins: int = 10, threshold: float = 0.683) -> DataFrame:
-    """Per distance bin (right-closed) and in total (bin -1): n_total, n_pass (difference < requirement), pass_ratio, quantile
-    (of the differences, at ``threshold``), success (ratio > threshold; an empty bin fails).
+def binned_requirement_test(pairs: DataFrame, requirement: float = 5.0, bounds: tuple[float, float] = (0.1, 50.0), n_bins: int = 10, threshold: float = 0.683, closed: str = "right", empty: float | None = None) -> DataFrame:
+    """Per distance bin (closed on the ``closed`` side) and in total (bin -1): n_total, n_pass (difference < requirement), pass_ratio, quantile
+    (of the differences, at ``threshold``), success (ratio > threshold; an empty bin fails, unless ``empty`` gives it a ratio).
 
     Differences of NULL are left out; the total covers the bins only. The bin table has a fixed, small size.
     """
     table = bins(pairs.sparkSession, *bounds, n_bins)
-    inside = pairs.filter("difference IS NOT NULL").join(F.broadcast(table), (F.col("distance") > F.col("bin_lo")) & (F.col("distance") <= F.col("bin_hi")))
+    d, lo, hi = F.col("distance"), F.col("bin_lo"), F.col("bin_hi")
+    inside = pairs.filter("difference IS NOT NULL").join(F.broadcast(table), (d > lo) & (d <= hi) if closed == "right" else (d >= lo) & (d < hi))
     figures = [F.count("*").alias("n_total"), F.count_if(F.col("difference") < requirement).alias("n_pass"), F.percentile("difference", F.lit(threshold)).alias("quantile")]
     counted = inside.groupBy("bin").agg(*figures).unionByName(inside.agg(F.lit(-1).alias("bin"), *figures))
     frame = table.unionByName(pairs.sparkSession.createDataFrame([(-1, bounds[0], bounds[1])], table.schema))
     out = frame.join(counted, "bin", "left").withColumn("n_total", F.coalesce("n_total", F.lit(0))).withColumn("n_pass", F.coalesce("n_pass", F.lit(0)))
-    ratio = F.when(F.col("n_total") > 0, F.col("n_pass") / F.col("n_total"))
+    ratio = F.when(F.col("n_total") > 0, F.col("n_pass") / F.col("n_total")).otherwise(F.lit(empty).cast("double"))
     return out.withColumn("pass_ratio", ratio).withColumn("success", F.coalesce(F.col("pass_ratio") > threshold, F.lit(False)))
 
 
@@ -52,17 +63,20 @@ def sparse_flag(count: Column, passed: Column, min_points: int = 20) -> Column:
     return F.when(count < min_points, "SPARSE").when(passed, "PASSED").otherwise("FAILED")
 
 
-def sample_pairs(points: DataFrame, num_samples: int, seed: int = 0, key: str = "id") -> DataFrame:
+def sample_pairs(points: DataFrame, num_samples: int, seed: int = 0, key: str = "id", geographic: bool = False) -> DataFrame:
     """Pairs of a random sample without replacement: pair, distance (km), difference (absolute).
 
     Points are ordered by a hash; the first ``num_samples`` are paired in turn and an odd one out is dropped. The sample is the
-    operator's purpose and its size a parameter; ties of the hash go by key.
+    operator's purpose and its size a parameter; ties of the hash go by key. Points are numbered within buckets of the hash.
+    ``geographic`` takes x and y as longitude and latitude, with distances along great circles.
     """
-    chosen = points.filter("v IS NOT NULL").withColumn("_h", hash_order(seed, key)).orderBy("_h", key).limit(num_samples)
-    ranked = chosen.withColumn("_rn", F.row_number().over(Window.orderBy("_h", key)) - 1).withColumn("pair", F.expr("_rn div 2"))
+    chosen = points.filter("v IS NOT NULL").withColumn("_h", hash_order(seed, key))
+    ranked = numbered(chosen, "_h", key, num_samples).withColumn("pair", F.expr("_rn div 2"))
     side = lambda c, odd: F.max(F.when(F.col("_rn") % 2 == odd, F.col(c))).alias(f"{c}_{odd}")
     both = ranked.groupBy("pair").agg(F.count("*").alias("_n"), *[side(c, k) for c in ("x", "y", "v") for k in (0, 1)]).filter("_n = 2")
-    return both.select("pair", "x_0", "y_0", "x_1", "y_1", plane_km(F.col("x_0"), F.col("y_0"), F.col("x_1"), F.col("y_1")).alias("distance"), F.abs(F.col("v_0") - F.col("v_1")).alias("difference"))
+    x0, y0, x1, y1 = (F.col(c) for c in ("x_0", "y_0", "x_1", "y_1"))
+    distance = haversine_km(y0, x0, y1, x1) if geographic else plane_km(x0, y0, x1, y1)
+    return both.select("pair", "x_0", "y_0", "x_1", "y_1", distance.alias("distance"), F.abs(F.col("v_0") - F.col("v_1")).alias("difference"))
 
 
 def outlier_mask(layer: DataFrame, method: str = "zscore", threshold: float = 3.0, by: list[str] | None = None) -> DataFrame:
@@ -76,25 +90,27 @@ def outlier_mask(layer: DataFrame, method: str = "zscore", threshold: float = 3.
         s = valid.groupBy(*by).agg(F.avg("value").alias("_m"), F.stddev_pop("value").alias("_s"))
         test = F.abs(F.col("value") - F.col("_m")) / F.nullif("_s", F.lit(0.0)) > threshold
     else:
-        m = valid.groupBy(*by).agg(F.median("value").alias("_m"))
-        s = valid.join(m, by).groupBy(*by, "_m").agg(F.median(F.abs(F.col("value") - F.col("_m"))).alias("_s"))
+        m = quantile(valid, by, "value", 0.5, "_m")
+        s = m.join(quantile(valid.join(m, by).withColumn("_o", F.abs(F.col("value") - F.col("_m"))), by, "_o", 0.5, "_s"), by)
         off = F.abs(F.col("value") - F.col("_m"))
         test = F.when(F.col("_s") == 0, off > 0).otherwise(0.6745 * off / F.col("_s") > threshold)
-    return layer.join(F.broadcast(s), by, "left").withColumn("outlier", F.coalesce(test, F.lit(False))).drop("_m", "_s")
+    return layer.join(s, by, "left").withColumn("outlier", F.coalesce(test, F.lit(False))).drop("_m", "_s")
 
 
-def requirement_limit(pairs: DataFrame, direction: str = "passing", bounds: tuple[float, float] = (0.1, 50.0), threshold: float = 0.683, step: float = 0.01, compat: bool = False) -> DataFrame:
+def requirement_limit(pairs: DataFrame, direction: str = "passing", bounds: tuple[float, float] = (0.1, 50.0), threshold: float = 0.683, step: float = 0.01, compat: bool = False, closed: str = "right") -> DataFrame:
     """The smallest requirement (in steps) that the pairs pass, or the largest that they fail.
 
-    A requirement passes if more than ``threshold`` of the differences lie below it, so it lies just above one order statistic:
-    no grid is walked. ``compat`` returns the value one step further, as a loop that tests before it steps does.
+    A requirement passes if more than ``threshold`` of the differences lie below it, so it lies just above one order statistic,
+    and the step that holds this one is all that matters: differences are counted by step, and the steps' counts are summed.
+    ``compat`` returns the value one step further, as a loop that tests before it steps does. ``closed`` names the closed side of the range.
     """
-    inside = pairs.filter((F.col("distance") > bounds[0]) & (F.col("distance") <= bounds[1]) & F.col("difference").isNotNull())
-    w = inside.groupBy("difference").agg(F.count("*").alias("c"))
-    upto = F.sum("c").over(Window.orderBy("difference").rowsBetween(Window.unboundedPreceding, 0))
-    total = inside.agg(F.count("*").alias("n"))
-    at = w.withColumn("upto", upto).crossJoin(total).filter(F.col("upto") > F.col("n") * threshold).agg(F.min("difference").alias("d"))
-    k = F.floor(F.round(F.col("d") / step, 9)) + 1
+    d = F.col("distance")
+    held = (d > bounds[0]) & (d <= bounds[1]) if closed == "right" else (d >= bounds[0]) & (d < bounds[1])
+    counts = pairs.filter(held & F.col("difference").isNotNull()).groupBy(F.floor(F.round(F.col("difference") / step, 9)).alias("k")).agg(F.count("*").alias("c"))
+    steps = Window.orderBy("k")  # one row a step of a hundredth: thousands, whatever the number of pairs
+    summed = counts.withColumn("upto", F.sum("c").over(steps)).withColumn("n", F.sum("c").over(steps.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    at = summed.filter(F.col("upto") > F.col("n") * threshold).agg(F.min("k").alias("k"))
+    k = F.col("k") + 1
     value = k if direction == "passing" else k - 1
     return at.select(F.round((value + (1 if direction == "passing" else -1) * int(compat)) * step, 9).alias("limit"))
 

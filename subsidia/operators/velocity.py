@@ -37,8 +37,8 @@ def velocity_common_dates(primary: DataFrame, comparison: DataFrame, by: list[st
     """Slopes of both versions on the dates they share: velocity and comparison_velocity."""
     by = by or PIXEL
     dates = primary.select("frame_id", "obs_date").intersect(comparison.select("frame_id", "obs_date"))
-    one = linear_velocity(primary.join(F.broadcast(dates), ["frame_id", "obs_date"], "left_semi"), by=by)
-    two = linear_velocity(comparison.join(F.broadcast(dates), ["frame_id", "obs_date"], "left_semi"), by=by)
+    one = linear_velocity(primary.join(dates, ["frame_id", "obs_date"], "left_semi"), by=by)
+    two = linear_velocity(comparison.join(dates, ["frame_id", "obs_date"], "left_semi"), by=by)
     return one.join(two.withColumnRenamed("velocity", "comparison_velocity"), by)
 
 
@@ -54,13 +54,15 @@ def design(date: Column, first: Column, periods: list[float], steps: list[str])
     return terms
 
 
-def time_function_fit(obs: DataFrame, first: str, periods: list[float] = (1.0, 0.5), steps: list[str] = (), by: list[str] | None = None) -> DataFrame:
+def time_function_fit(obs: DataFrame, first: str, periods: list[float] = (1.0, 0.5), steps: list[str] = (), by: list[str] | None = None, extra: list[str] = ()) -> DataFrame:
     """Least-squares coefficients of a time model for each key, one column a term; NULL where dates don't determine them.
 
+    ``extra`` names columns of ``obs`` that are terms themselves, such as the perpendicular baseline of an epoch.
+
     The normal equations are sums, so they are added up before the shuffle; only the small solve runs in Python, on batches of rows.
     """
     by = by or PIXEL
-    terms = design(F.col("obs_date"), F.lit(first).cast("date"), list(periods), list(steps))
+    terms = design(F.col("obs_date"), F.lit(first).cast("date"), list(periods), list(steps)) | {c: F.col(c).cast("double") for c in extra}
     names, k = list(terms), len(terms)
     used = obs.filter("value IS NOT NULL").select(*by, "value", *[c.alias(f"_{i}") for i, c in enumerate(terms.values())])
     sums = [F.sum(F.col(f"_{i}") * F.col(f"_{j}")).alias(f"_{i}_{j}") for i in range(k) for j in range(i, k)]
@@ -104,32 +106,28 @@ def nonlinear_score(obs: DataFrame, window: int = 11, start: int = 1, compat: bo
     these; the score counts those below sigma. A window that begins with no data has none, and then sigma has none and the score
     is 0. Series begin at epoch ``start``; ``compat`` begins at 0, which is no data everywhere, so each score is 0.
 
-    A pixel's series is one array (a pixel has hundreds of epochs), so windows multiply no rows.
+    A pixel's series is one array (a pixel has hundreds of epochs), so windows multiply no rows; numpy takes them in Arrow batches.
     """
     start = 0 if compat else start
     own = obs.groupBy(*PIXEL).agg(F.sort_array(F.collect_list(F.struct("obs_date", F.coalesce("value", F.lit(float("nan"))).alias("v")))).alias("s"))
-    own = own.withColumn("s", F.transform("s", lambda x: x["v"])).withColumn("s", F.slice("s", start + 1, F.greatest(F.size("s") - start, F.lit(0))))
-    n = F.size("s") - window + 1
-
-    def spread(i):
-        part = F.slice("s", i, F.lit(window))
-        zero = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n"), F.array().cast("array<double>").alias("means"))
-
-        def step(a, v):
-            total = a["sum"] + F.nanvl(v, F.lit(0.0))
-            count = a["n"] + F.when(F.isnan(v), 0).otherwise(1)
-            return F.struct(total.alias("sum"), count.alias("n"), F.concat(a["means"], F.array(F.when(count > 0, total / count))).alias("means"))
-
-        return F.aggregate(part, zero, step, lambda a: _deviation(a["means"]))
-
-    own = own.withColumn("d", F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), spread)))
-    own = own.withColumn("sigma", _deviation(F.col("d")))
-    score = F.coalesce(F.size(F.filter("d", lambda x: x < F.col("sigma"))) / F.nullif(n, F.lit(0)), F.lit(0.0))
-    return own.select(*PIXEL, "sigma", F.when(F.col("sigma").isNull(), 0.0).otherwise(score).alias("score"))
 
+    @F.pandas_udf("sigma double, score double")
+    def scores(series):
+        import numpy as np
+        import pandas as pd
 
-def _deviation(values: Column) -> Column:
-    """Population standard deviation of an array; NULL if it holds a NULL or nothing."""
-    n = F.size(values)
-    mean = F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / n
-    return F.sqrt(F.aggregate(values, F.lit(0.0), lambda a, v: a + (v - mean) * (v - mean)) / n)
+        out = np.full((len(series), 2), np.nan)
+        for i, s in enumerate(series):
+            x = np.asarray(s, float)[start:]
+            if len(x) >= window:
+                w = np.lib.stride_tricks.sliding_window_view(x, window)
+                seen = ~np.isnan(w)
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    means = np.cumsum(np.where(seen, w, 0.0), axis=1) / np.cumsum(seen, axis=1)
+                d = means.std(axis=1)
+                sigma = d.std()
+                out[i] = sigma, (d < sigma).mean() if sigma == sigma else 0.0
+        return pd.DataFrame(out, columns=["sigma", "score"])
+
+    found = own.withColumn("f", scores(F.transform("s", lambda x: x["v"])))
+    return found.select(*PIXEL, F.nanvl("f.sigma", F.lit(None).cast("double")).alias("sigma"), F.coalesce(F.nanvl("f.score", F.lit(0.0)), F.lit(0.0)).alias("score"))

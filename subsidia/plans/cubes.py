@@ -59,8 +59,7 @@ def a02(spark, sf):
 
 @query("a03_reliability_mask", fx("obs") + f", {DENSITY} SELECT {PIX}, n_valid >= floor((n_epochs - 1) * 0.9::DOUBLE) AS by_count, n_valid / (n_epochs - 1) >= 0.9 AS by_density FROM density")
 def a03(spark, sf):
-    o = obs(spark, sf)
-    return cube.reliability_mask(o).withColumnRenamed("reliable", "by_count").join(cube.reliability_mask(o, rule="density").withColumnRenamed("reliable", "by_density"), cube.PIXEL)
+    return cube.density(obs(spark, sf)).select(*cube.PIXEL, cube.reliable().alias("by_count"), cube.reliable(rule="density").alias("by_density"))
 
 
 LAYER = 'layer AS (SELECT frame_id, "row", col, least(1.0::DOUBLE, abs(x) * 4) AS value, label, vec_id FROM cells WHERE e = 10)'
@@ -168,11 +167,14 @@ def p11(spark, sf):
     return cube.blank_box(fxs.layer(spark, sf, 10), (3, 9), (5, 20)).select(*cube.PIXEL, *r9("value"))
 
 
-@query("p12_subset_box", fx("cells") + f""", {LAYER} SELECT {PIX}, round(value, 9) AS value FROM layer WHERE trunc((-"row" * 30.0 - 15 + 0) / -30)::INT BETWEEN 4 AND 12 AND trunc((col * 30.0 + 15) / 30)::INT BETWEEN 2 AND 9""")
+def grids(layer, x, y, d):
+    return layer.select("frame_id").distinct().select("frame_id", F.lit(x).alias("x_first"), F.lit(y).alias("y_first"), F.lit(d).alias("x_step"), F.lit(-d).alias("y_step"))
+
+
+@query("p12_subset_box", fx("cells") + f""", {LAYER} SELECT {PIX}, round(value, 9) AS value FROM layer WHERE "row" BETWEEN 4 AND 12 AND col BETWEEN 2 AND 9""")
 def p12(spark, sf):
     one = fxs.layer(spark, sf, 10)
-    y, x = fn.pixel_centre(F.col("row"), F.lit(0.0), F.lit(-30.0)), fn.pixel_centre(F.col("col"), F.lit(0.0), F.lit(30.0))
-    return one.filter(fn.pixel_index(y, F.lit(0.0), F.lit(-30.0)).between(4, 12) & fn.pixel_index(x, F.lit(0.0), F.lit(30.0)).between(2, 9)).select(*cube.PIXEL, *r9("value"))
+    return cube.subset_box(one, grids(one, -120.0, 40.0, 0.01), (39.875, 39.955), (-119.975, -119.905)).select(*cube.PIXEL, *r9("value"))
 
 
 @query("p13_fractional_years", fx("obs") + "SELECT DISTINCT frame_id, obs_date, round(date_diff('day', DATE '2016-07-01', obs_date) / 365.25, 9) AS years FROM obs")
@@ -206,6 +208,21 @@ def w02(spark, sf):
     return velocity.nonlinear_score(obs(spark, sf).filter("value IS NOT NULL")).select(*cube.PIXEL, *r9("sigma", "score", digits=7))
 
 
+GAPS = """gaps AS (SELECT frame_id, "row", col, obs_date, CASE WHEN (vec_id + e) % 67 <> 0 THEN x * 0.1::DOUBLE END AS value FROM cells),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY frame_id, "row", col ORDER BY obs_date) - 2 AS t FROM gaps),
+windows AS (SELECT s.*, w FROM numbered s, range(0, 53) r(w) WHERE s.t >= w AND s.t < w + 11),
+means AS (SELECT frame_id, "row", col, w, avg(value) OVER (PARTITION BY frame_id, "row", col, w ORDER BY t ROWS UNBOUNDED PRECEDING) AS m FROM windows),
+spread AS (SELECT frame_id, "row", col, w, CASE WHEN count(m) = count(*) THEN stddev_pop(m) END AS d FROM means GROUP BY ALL),
+sigmas AS (SELECT *, CASE WHEN count(d) OVER p = count(*) OVER p THEN stddev_pop(d) OVER p END AS sigma FROM spread WINDOW p AS (PARTITION BY frame_id, "row", col))"""
+
+
+@query("w02_nonlinear_score_gaps", fx("cells") + f""", {GAPS} SELECT {PIX}, round(any_value(sigma), 7) AS sigma, round(CASE WHEN any_value(sigma) IS NULL THEN 0 ELSE count(*) FILTER (d < sigma) / count(*) END, 7) AS score FROM sigmas GROUP BY ALL""")
+def w02g(spark, sf):
+    """Gaps stay in their places: a window that begins with one leaves the pixel without a score."""
+    c = fxs._cells(spark, sf)
+    return velocity.nonlinear_score(c.select(*cube.PIXEL, "obs_date", F.when((F.col("vec_id") + F.col("e")) % 67 != 0, F.col("x") * 0.1).alias("value"))).select(*cube.PIXEL, *r9("sigma", "score", digits=7))
+
+
 PATHS = """edges AS (SELECT DISTINCT frame_id, ref_date, sec_date FROM pair_obs),
 walk AS (SELECT frame_id, min(ref_date) AS target_date, []::DATE[] AS path FROM edges GROUP BY frame_id
   UNION ALL SELECT w.frame_id, e.sec_date, list_append(w.path, e.ref_date) FROM walk w JOIN edges e ON w.frame_id = e.frame_id AND w.target_date = e.ref_date),

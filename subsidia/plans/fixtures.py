@@ -83,9 +83,13 @@ def gnss(spark, sf_dir) -> DataFrame:
     return e.groupBy(F.col("user_id").alias("station"), F.to_date("ts").alias("obs_date")).agg((F.avg("value") / 1000).alias("east"), (F.avg(F.col("value") * (F.col("event_id") % 7)) / 1000).alias("north"), (F.avg(k) / 1000).alias("up"))
 
 
+#: What steps of the derived log are said to be; five of them spoil a series.
+STEP_TYPES = ("Antenna_Changed", "Receiver_Changed", "Antenna_change", "Radome_Changed", "Equipment_Site_Change", "Antenna_Code_Changed", "Antenna_detached_from_monument")
+
+
 def steps(spark, sf_dir) -> DataFrame:
     e = table(spark, sf_dir, "events").filter("event_type = 'error'")
-    return e.select(F.col("user_id").alias("station"), F.to_date("ts").alias("step_date"), (1 + F.col("event_id") % 2).cast("int").alias("code"), (F.col("value") / 20).alias("magnitude"), F.col("value").alias("distance_km"))
+    return e.select(F.col("user_id").alias("station"), F.to_date("ts").alias("step_date"), (1 + F.col("event_id") % 2).cast("int").alias("code"), (F.col("value") / 20).alias("magnitude"), F.col("value").alias("distance_km"), F.element_at(F.array(*map(F.lit, STEP_TYPES)), F.expr("cast(event_id div 2 % 7 + 1 as int)")).alias("type_threshold"))
 
 
 def bursts(spark, sf_dir) -> DataFrame:
@@ -142,7 +146,8 @@ SQL = {
         ) WHERE ref_date <> sec_date""",
     "gnss": """SELECT user_id AS station, ts::DATE AS obs_date, avg(value) / 1000 AS east, avg(value * (event_id % 7)) / 1000 AS north,
         avg(json_extract_string(props, '$.k')::DOUBLE) / 1000 AS up FROM events GROUP BY ALL""",
-    "steps": """SELECT user_id AS station, ts::DATE AS step_date, (1 + event_id % 2)::INT AS code, value / 20 AS magnitude, value AS distance_km FROM events WHERE event_type = 'error'""",
+    "steps": """SELECT user_id AS station, ts::DATE AS step_date, (1 + event_id % 2)::INT AS code, value / 20 AS magnitude, value AS distance_km,
+        ['Antenna_Changed', 'Receiver_Changed', 'Antenna_change', 'Radome_Changed', 'Equipment_Site_Change', 'Antenna_Code_Changed', 'Antenna_detached_from_monument'][event_id // 2 % 7 + 1] AS type_threshold FROM events WHERE event_type = 'error'""",
     "bursts": """SELECT 'T' || (l_suppkey % 27) AS burst_id, date_trunc('month', l_shipdate)::DATE AS date, 'url' || (l_orderkey % 50) AS url,
         [(l_suppkey % 27 % 4)::INT, (l_suppkey % 27 % 4 + 1)::INT] AS frame_ids FROM lineitem""",
     "components": """SELECT 1 AS frame_id, (p_partkey // 50)::INT AS "row", (p_partkey % 50)::INT AS col, (p_size % 4)::INT AS label, p_retailprice / 100 AS phase FROM part WHERE p_partkey % 5 <> 0

@@ -92,6 +92,19 @@ def s07(spark, sf):
     return readers.layer_registry(layers.withColumn("scale", F.when(F.col("layer") == "velocity", 1000.0)), own)
 
 
+@query("s07_missing_layers", fx("obs") + """, own AS (SELECT DISTINCT version, frame_id, layer FROM obs) SELECT version, frame_id, layer, 'm' AS unit, 'p/' || layer AS path FROM (SELECT version, frame_id, unnest(['timeseries', 'velocity', 'shp_counts']) AS layer FROM own) WHERE layer <> 'timeseries'""")
+def s07m(spark, sf):
+    own = fxs.raw_obs(spark, sf).select("version", "frame_id", "layer").distinct()
+    layers = own.select("version", "frame_id", F.explode(F.array(*map(F.lit, ("timeseries", "velocity", "shp_counts")))).alias("layer"))
+    return readers.missing_layers(layers.select("*", F.lit("m").alias("unit"), F.concat(F.lit("p/"), "layer").alias("path")), own).select("version", "frame_id", "layer", "unit", "path")
+
+
+@query("s08_points_by_count", fx("cells") + """SELECT frame_id, "row", col FROM cells WHERE e = 10 AND abs(x) > 0.05 ORDER BY md5('3|' || frame_id || '|' || "row" || '|' || col), frame_id || '|' || "row" || '|' || col LIMIT 150""")
+def s08n(spark, sf):
+    valid = fxs._cells(spark, sf).filter((F.col("e") == 10) & (F.abs("x") > 0.05)).select("frame_id", "row", "col")
+    return readers.points_by_count(valid, 150, seed=3)
+
+
 @query("s08_merge_points", """WITH p AS (SELECT 0 AS list, s_suppkey AS k, s_suppkey % 50 / 8 AS lon, s_suppkey % 30 / 4 AS lat FROM supplier UNION ALL SELECT 1, c_custkey, c_custkey % 70 / 8, c_custkey % 40 / 4 FROM customer)
 SELECT min(list)::INT AS list, lon, lat FROM p GROUP BY lon, lat""")
 def s08(spark, sf):
@@ -223,6 +236,16 @@ def j17(spark, sf):
     return compare.metadata_diff(m.filter((F.col("product") == 0) & (F.length("path") % 3 != 0)), m.filter((F.col("product") == 1) & (F.right("path", F.lit(1)) != "7")))
 
 
+@query("j17_version_strings", fx("products") + """, p AS (SELECT frame_id AS product, max(version) AS sas_version, min(version) AS dolphin_version, 'c' || frame_id % 2 AS compass_version, '0.2' AS isce3_version, NULL::VARCHAR AS s1read_version FROM products GROUP BY frame_id),
+r AS (SELECT product, path, value FROM p, LATERAL (SELECT unnest(['sas_version', 'dolphin_version', 'compass_version', 'isce3_version', 's1read_version']) AS path, unnest([sas_version, dolphin_version, compass_version, isce3_version, s1read_version]) AS value))
+SELECT a.path, 'changed' AS change, a.value AS old, b.value AS new FROM r a JOIN r b USING (path) WHERE a.product = 1 AND b.product = 2 AND a.value IS DISTINCT FROM b.value""")
+def j17v(spark, sf):
+    p = fxs.products(spark, sf).groupBy(F.col("frame_id").alias("product")).agg(F.max("version").alias("sas_version"), F.min("version").alias("dolphin_version"))
+    p = p.select("*", F.concat(F.lit("c"), (F.col("product") % 2).cast("string")).alias("compass_version"), F.lit("0.2").alias("isce3_version"), F.lit(None).cast("string").alias("s1read_version"))
+    r = compare.version_rows(p, "product")
+    return compare.metadata_diff(r.filter("product = 1"), r.filter("product = 2"))
+
+
 @query("j17_flatten_metadata", "SELECT event_id, 'a.b[]' AS path, unnest([event_id::VARCHAR, 'x']) AS value FROM events UNION ALL SELECT event_id, 'props.k', json_extract_string(props, '$.k') FROM events")
 def j17f(spark, sf):
     e = fxs.table(spark, sf, "events").select("event_id", F.format_string('{"a": {"b": [%d, "x"]}, "props": %s}', "event_id", "props").alias("j"))

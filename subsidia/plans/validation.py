@@ -47,7 +47,7 @@ def rounded_test(df):
 @query("a12_binned_requirement_test", fx("stations") + f", {PAIRS}" + binned_sql("pairs"))
 def a12(spark, sf):
     """Station pairs against 5 mm/yr in ten distance bins."""
-    return rounded_test(validate.binned_requirement_test(validate.station_pairs(fxs.stations(spark, sf))))
+    return rounded_test(validate.binned_requirement_test(validate.station_pairs(fxs.stations(spark, sf), within_km=50.0)))
 
 
 @query("j05_station_pairs", fx("stations") + f", {PAIRS} SELECT station_1, station_2, round(distance, 8) AS distance, round(difference, 8) AS difference FROM pairs")
@@ -104,13 +104,13 @@ def a11m(spark, sf):
 @query("a19_requirement_limit", fx("stations") + f""", {PAIRS}, d AS (SELECT difference, count(*) OVER () AS n, row_number() OVER (ORDER BY difference) AS k FROM pairs WHERE distance > 0.1 AND distance <= 50)
 SELECT round((floor(round(min(difference) / 0.01, 9)) + 1) * 0.01, 9) AS "limit" FROM d WHERE k > n * 0.683""")
 def a19(spark, sf):
-    return validate.requirement_limit(validate.station_pairs(fxs.stations(spark, sf)))
+    return validate.requirement_limit(validate.station_pairs(fxs.stations(spark, sf), within_km=50.0))
 
 
 def ifg_pairs(spark, sf):
     s = fxs.stations(spark, sf).withColumn("ifg", F.explode(F.sequence(F.lit(0), F.lit(5))))
     s = s.withColumn("insar", F.col("insar") + (F.col("station") * (F.col("ifg") + 3)) % 11 * 3)
-    return validate.station_pairs(s, ["ifg"])
+    return validate.station_pairs(s, ["ifg"], within_km=50.0)
 
 
 IFG = """s AS (SELECT station, x, y, gnss, insar + (station * (ifg + 3)) % 11 * 3 AS insar, ifg FROM stations, range(0, 6) r(ifg)),
@@ -141,11 +141,11 @@ RANGES = [0.5 * k for k in range(1, 101)]
 
 
 @query("a22_fit_variogram", fx("points") + f""", {USAMPLE}, p AS (SELECT distance, 0.5 * difference * difference AS gamma FROM spairs WHERE distance <= 50), c AS (SELECT k * 0.5::DOUBLE AS range, 1 - exp(-distance / (k * 0.5)) AS g, gamma FROM p, range(1, 101) r(k)),
-s AS (SELECT range, count(*) AS n, sum(g * gamma) AS gy, sum(g * g) AS gg, sum(gamma * gamma) AS yy FROM c GROUP BY 1)
-SELECT range, round(gy / gg, 6) AS sill, round(sqrt((yy - gy * gy / gg) / n), 6) AS rmse FROM s ORDER BY yy - gy * gy / gg, range LIMIT 1""")
+s AS (SELECT range, count(*) AS n, sum(g * gamma) AS gy, sum(g * g) AS gg, sum(gamma * gamma) AS yy, sum(g) AS sg, sum(gamma) AS sy FROM c GROUP BY 1)
+SELECT range, round(gy / gg, 6) AS sill, round(sqrt((yy - gy * gy / gg) / n), 6) AS rmse, round(sqrt(greatest((yy - gy * gy / gg) / n - ((sy - gy / gg * sg) / n) ^ 2, 0)), 6) AS residual_std FROM s ORDER BY yy - gy * gy / gg, range LIMIT 1""")
 def a22(spark, sf):
     p = validate.sample_pairs(unique_points(spark, sf), 5001).withColumn("gamma", F.expr("0.5 * difference * difference")).filter("distance <= 50")
-    return variogram.fit_variogram(p, RANGES).select("range", *r9("sill", "rmse", digits=6))
+    return variogram.fit_variogram(p, RANGES).select("range", *r9("sill", "rmse", "residual_std", digits=6))
 
 
 @query("j06_pixel_pairs", fx("points") + f""", {UPOINTS}, h AS (SELECT * FROM one ORDER BY md5('0|' || id), id LIMIT 200)
@@ -167,6 +167,25 @@ def p15(spark, sf):
     return s.select("station", F.round(e, 3).alias("easting"), F.round(n, 3).alias("northing"))
 
 
+@query("p15_utm_inverse", fx("stations") + "SELECT station, round(y / 1000 - 30, 7) AS lat, round(x / 10000 - 120, 7) AS lon FROM stations")
+def p15i(spark, sf):
+    """To the plane and back, for points of both hemispheres."""
+    lat, lon, zone = F.col("y") / 1000 - 30, F.col("x") / 10000 - 120, F.lit(11)
+    s = fxs.stations(spark, sf).select("station", (lat < 0).alias("south"), *[c.alias(n) for c, n in zip(fn.utm(lat, lon, zone), ("e", "n"), strict=True)])
+    lat, lon = fn.latlon(F.col("e"), F.col("n"), zone, F.col("south"))
+    return s.select("station", F.round(lat, 7).alias("lat"), F.round(lon, 7).alias("lon"))
+
+
+GEODESIC = """, g AS (SELECT station, atan((1 - f) * tan(radians(10))) AS b1, atan((1 - f) * tan(radians(y / 1000))) AS b2, radians(x / 1000) AS l, f FROM stations, (SELECT 1 / 298.257223563::DOUBLE AS f)),
+h AS (SELECT *, 2 * asin(sqrt(least(sin((b2 - b1) / 2) ^ 2 + cos(b1) * cos(b2) * sin(l / 2) ^ 2, 1))) AS s, (b1 + b2) / 2 AS p, (b2 - b1) / 2 AS q FROM g)
+SELECT station, round(6378.137 * (s - f / 2 * ((s - sin(s)) * sin(p) ^ 2 * cos(q) ^ 2 / cos(s / 2) ^ 2 + (s + sin(s)) * cos(p) ^ 2 * sin(q) ^ 2 / sin(s / 2) ^ 2)), 6) AS km FROM h"""
+
+
+@query("p16_geodesic", fx("stations") + GEODESIC)
+def p16g(spark, sf):
+    return fxs.stations(spark, sf).select("station", F.round(fn.geodesic_km(F.lit(10.0), F.lit(0.0), F.col("y") / 1000, F.col("x") / 1000), 6).alias("km"))
+
+
 LOS = "-sin(radians(40)) * sin(radians(100)) * east + sin(radians(40)) * cos(radians(100)) * north + cos(radians(40)) * up"
 
 
@@ -217,13 +236,39 @@ def a23(spark, sf):
     return gnss.completeness(fxs.gnss(spark, sf), "2024-01-03", "2024-01-28")
 
 
+@query("a23_station_density", fx("gnss") + """SELECT station, round(count(*) / nullif(date_diff('day', min(obs_date), max(obs_date)), 0), 9) AS density, coalesce(count(*) / nullif(date_diff('day', min(obs_date), max(obs_date)), 0) > 0.9, false) AS dense FROM gnss GROUP BY 1""")
+def a23d(spark, sf):
+    s = fxs.gnss(spark, sf).groupBy("station").agg(F.count("*").alias("num_solution"), F.min("obs_date").alias("first_date"), F.max("obs_date").alias("last_date"))
+    return gnss.solution_density(s, 0.9).select("station", *r9("density"), "dense")
+
+
+@query("a23_station_coverage", fx("gnss") + """, g AS (SELECT station, count(*) AS n, date_diff('day', min(obs_date), max(obs_date)) AS span FROM gnss WHERE obs_date > DATE '2024-01-03' AND obs_date < DATE '2024-01-28' GROUP BY 1)
+SELECT station, round(n / nullif(span, 0), 9) AS density, round(span / 25, 9) AS ratio, coalesce(n / nullif(span, 0) >= 0.9 AND span / 25 >= 0.85, false) AS covered FROM g""")
+def a23c(spark, sf):
+    return gnss.coverage(fxs.gnss(spark, sf), "2024-01-03", "2024-01-28", 0.9, 0.85).select("station", *r9("density", "ratio"), "covered")
+
+
+@query("p17_mean_geometry", fx("cells") + """SELECT frame_id, round(avg(x * 300), 8) AS incidence, round(avg(x * 2000 + e), 8) AS azimuth, count(*) AS n FROM cells WHERE x * 300 > 0 AND x * 300 <= 90 AND x * 2000 + e BETWEEN -360 AND 360 GROUP BY 1""")
+def p17g(spark, sf):
+    angles = fxs._cells(spark, sf).select("frame_id", (F.col("x") * 300).alias("incidence"), (F.col("x") * 2000 + F.col("e")).alias("azimuth"))
+    return gnss.mean_geometry(angles).select("frame_id", *r9("incidence", "azimuth", digits=8), "n")
+
+
+@query("p17_projectable", fx("gnss") + """, g AS (SELECT station, obs_date, CASE WHEN station % 3 = 0 AND day(obs_date) > 3 THEN NULL ELSE east END AS east, north, up FROM gnss), k AS (SELECT * FROM g WHERE east IS NOT NULL AND north IS NOT NULL AND up IS NOT NULL)
+SELECT station, count(*) AS n, round(sum(east), 8) AS east FROM k GROUP BY 1 HAVING count(DISTINCT obs_date) >= 2""")
+def p17p(spark, sf):
+    g = fxs.gnss(spark, sf).withColumn("east", F.when(~((F.col("station") % 3 == 0) & (F.dayofmonth("obs_date") > 3)), F.col("east")))
+    return gnss.projectable(g).groupBy("station").agg(F.count("*").alias("n"), F.round(F.sum("east"), 8).alias("east"))
+
+
 @query("a24_station_scatter", fx("gnss") + f""", v AS (SELECT station, {LOS} AS v, row_number() OVER (PARTITION BY station ORDER BY obs_date)::DOUBLE AS k FROM gnss WHERE {LOS} IS NOT NULL)
 SELECT station, count(*) AS n, round(sqrt(greatest(regr_syy(v, k) - coalesce(regr_sxy(v, k) ^ 2 / nullif(regr_sxx(v, k), 0), 0), 0) / count(*)), 7) AS scatter, sqrt(greatest(regr_syy(v, k) - coalesce(regr_sxy(v, k) ^ 2 / nullif(regr_sxx(v, k), 0), 0), 0) / count(*)) <= 10 AS kept FROM v GROUP BY 1""")
 def a24(spark, sf):
     return gnss.scatter(fxs.gnss(spark, sf)).select("station", "n", *r9("scatter", digits=7), "kept")
 
 
-@query("a25_problem_steps", fx("steps") + "SELECT DISTINCT station, step_date FROM steps WHERE step_date > DATE '2024-01-02' AND step_date < DATE '2024-01-25' AND (code = 1 OR (code = 2 AND magnitude >= 1 AND distance_km <= 40))")
+@query("a25_problem_steps", fx("steps") + """SELECT DISTINCT station, step_date FROM steps WHERE step_date >= DATE '2024-01-02' AND step_date <= DATE '2024-01-25'
+AND ((code = 1 AND type_threshold IN ('Antenna_detached_from_monument', 'Equipment_Site_Change', 'Antenna_Changed', 'Antenna_change', 'Antenna_Code_Changed')) OR (code = 2 AND magnitude > 1 AND distance_km <= 40))""")
 def a25(spark, sf):
     return gnss.problem_steps(fxs.steps(spark, sf), "2024-01-02", "2024-01-25", 1.0, 40.0)
 
@@ -257,12 +302,38 @@ def j02(spark, sf):
     return gnss.stations_in_frame(s, frames(spark))
 
 
-@query("j01_frames_select")
+def touching_sql(corners):
+    """Frames of the derived rings that meet a polygon: a corner of one inside the other, or crossing sides."""
+    n = len(corners)
+    sides = ", ".join(f"({i}, {corners[i][0]}, {corners[i][1]}, {corners[(i + 1) % n][0]}, {corners[(i + 1) % n][1]})" for i in range(n))
+    ray = lambda s, x, y: f"sum(CASE WHEN ({s}.ay > {y}) <> ({s}.\"by\" > {y}) AND {x} < ({s}.bx - {s}.ax) * ({y} - {s}.ay) / ({s}.\"by\" - {s}.ay) + {s}.ax THEN 1 ELSE 0 END) % 2 = 1"
+    turn = lambda a, b, c: f"sign(({b[0]} - {a[0]}) * ({c[1]} - {a[1]}) - ({b[1]} - {a[1]}) * ({c[0]} - {a[0]}))"
+    a, b, x, u = ("f.ax", "f.ay"), ("f.bx", 'f."by"'), ("p.ax", "p.ay"), ("p.bx", 'p."by"')
+    cross = f"{turn(a, b, x)} * {turn(a, b, u)} <= 0 AND {turn(x, u, a)} * {turn(x, u, b)} <= 0 AND greatest(f.ax, f.bx) >= least(p.ax, p.bx) AND least(f.ax, f.bx) <= greatest(p.ax, p.bx) AND greatest(f.ay, f.\"by\") >= least(p.ay, p.\"by\") AND least(f.ay, f.\"by\") <= greatest(p.ay, p.\"by\")"
+    return f""", rings AS (SELECT station::INT AS frame_id, x / 1000 AS x, y / 1000 AS y FROM stations WHERE station % 2 = 0),
+f AS (SELECT frame_id, i, x + [0, 4, 5, 1, 0][i] AS ax, y + [0, 1, 5, 4, 0][i] AS ay, x + [0, 4, 5, 1, 0][i + 1] AS bx, y + [0, 1, 5, 4, 0][i + 1] AS "by" FROM rings, range(1, 5) r(i)),
+p AS (SELECT * FROM (VALUES {sides}) t(i, ax, ay, bx, "by")),
+found AS (SELECT frame_id FROM f, p WHERE {cross} UNION SELECT frame_id FROM (SELECT f.frame_id, f.i FROM f, p GROUP BY f.frame_id, f.i, f.ax, f.ay HAVING {ray("p", "f.ax", "f.ay")})
+UNION SELECT frame_id FROM (SELECT f.frame_id, p.i FROM f, p GROUP BY f.frame_id, p.i, p.ax, p.ay HAVING {ray("f", "p.ax", "p.ay")})) SELECT frame_id FROM found"""
+
+
+AREA = [(10.0, 20.0), (30.0, 15.0), (42.0, 33.0), (25.0, 28.0), (18.0, 45.0)]
+
+
+@query("j01_frames_polygon", fx("stations") + touching_sql(AREA))
+def j01p(spark, sf):
+    return gnss.frames_touching(station_frames(spark, sf), AREA, "ascending").select("frame_id")
+
+
+@query("j01_frames_select", fx("stations") + touching_sql([(10.0, 20.0), (30.0, 20.0), (30.0, 45.0), (10.0, 45.0)]))
 def j01(spark, sf):
+    return gnss.frames_touching(station_frames(spark, sf), gnss.rectangle((10.0, 30.0), (20.0, 45.0)), "ASCENDING").select("frame_id")
+
+
+def station_frames(spark, sf):
     s = fxs.stations(spark, sf)
     ring = F.array(*[F.struct((F.col("x") / 1000 + dx).alias("lon"), (F.col("y") / 1000 + dy).alias("lat")) for dx, dy in ((0, 0), (4, 1), (5, 5), (1, 4), (0, 0))])
-    f = s.select(F.col("station").cast("int").alias("frame_id"), F.when(F.col("station") % 2 == 0, "ASCENDING").otherwise("DESCENDING").alias("orbit_pass"), ring.alias("ring"))
-    return gnss.frames_touching(f.filter("orbit_pass = 'ASCENDING'"), (10.0, 30.0), (20.0, 45.0)).select("frame_id")
+    return s.select(F.col("station").cast("int").alias("frame_id"), F.when(F.col("station") % 2 == 0, "ASCENDING").otherwise("DESCENDING").alias("orbit_pass"), ring.alias("ring"))
 
 
 def placed(spark, sf):
@@ -351,6 +422,47 @@ def a15(spark, sf):
     return compare.window_mean_series(placed(spark, sf).withColumnRenamed("station", "pid"), obs(spark, sf), obs(spark, sf, "B")).select("pid", "obs_date", *r9("value", "other", digits=8), "n")
 
 
+@query("a15_window_mean_series_zeroed", fx("obs", "obs_b", "stations") + """, la AS (SELECT * FROM obs WHERE obs_date > DATE '2016-09-01'), lb AS (SELECT * FROM obs_b WHERE obs_date > DATE '2016-09-01'),
+za AS (SELECT frame_id, "row", col, value AS z FROM la WHERE obs_date = (SELECT min(obs_date) FROM la l WHERE l.frame_id = la.frame_id)), zb AS (SELECT frame_id, "row", col, value AS z FROM lb WHERE obs_date = (SELECT min(obs_date) FROM lb l WHERE l.frame_id = lb.frame_id)),
+ok AS (SELECT a.frame_id, a."row", a.col, a.obs_date, a.value - coalesce(za.z, 0) AS value, b.value - coalesce(zb.z, 0) AS other FROM la a JOIN lb b USING (frame_id, "row", col, obs_date) LEFT JOIN za USING (frame_id, "row", col) LEFT JOIN zb USING (frame_id, "row", col) WHERE a.value - coalesce(za.z, 0) <> 0 AND b.value - coalesce(zb.z, 0) <> 0),
+pts AS (SELECT station AS pid, station * 7 % 20 AS r, station * 11 % 25 AS c FROM stations WHERE EXISTS (SELECT 1 FROM ok WHERE frame_id = 0 AND "row" = station * 7 % 20 AND col = station * 11 % 25))
+SELECT pid, obs_date, round(avg(value), 8) + 0.0::DOUBLE AS value, round(avg(other), 8) + 0.0::DOUBLE AS other, count(*) AS n FROM pts JOIN ok ON frame_id = 0 AND "row" BETWEEN r - 3 AND r + 3 AND col BETWEEN c - 3 AND c + 3 GROUP BY ALL""")
+def a15z(spark, sf):
+    late = lambda v: obs(spark, sf, v).filter(F.col("obs_date") > F.lit("2016-09-01").cast("date"))
+    w = compare.window_mean_series(placed(spark, sf).withColumnRenamed("station", "pid"), late("A"), late("B"), zero_first=True)
+    return w.select("pid", "obs_date", *[(F.round(c, 8) + F.lit(0.0)).alias(c) for c in ("value", "other")], "n")
+
+
+GRIDS = """n AS (SELECT frame_id, 20 * (frame_id + 1) AS rows FROM cells GROUP BY 1),
+target AS (SELECT frame_id, r::INT AS "row", c::INT AS col, 10 + (c + 0.5) * 20 AS x, -10 - (r + 0.5) * 20 AS y FROM n, range(0, 25) t(c), LATERAL (SELECT unnest(range(0, 20 * (frame_id + 1))) AS r)),
+at_ AS (SELECT *, floor(-y / 30)::INT AS ar, floor(x / 30)::INT AS ac FROM target)"""
+
+
+@query("j09_snapped_difference", fx("obs", "obs_b") + f""", {GRIDS} SELECT t.frame_id, t."row", t.col, a.obs_date, round(a.value - b.value, 9) + 0.0::DOUBLE AS difference
+FROM at_ t JOIN obs a ON a.frame_id = t.frame_id AND a."row" = ar AND a.col = ac JOIN obs_b b ON b.frame_id = t.frame_id AND b."row" = t."row" AND b.col = t.col AND b.obs_date = a.obs_date WHERE a.value <> 0 AND b.value <> 0""")
+def j09s(spark, sf):
+    """A grid of 30 m against one of 20 m that begins elsewhere."""
+    a, b = obs(spark, sf), obs(spark, sf, "B")
+    grid = lambda x, y, d: a.select("frame_id").distinct().select("frame_id", F.lit(x).alias("x_first"), F.lit(y).alias("y_first"), F.lit(d).alias("x_step"), F.lit(-d).alias("y_step"), (F.col("frame_id") * 20 + 20).alias("length"), F.lit(25).alias("width"))
+    d = compare.snapped_difference(a, grid(0.0, 0.0, 30.0), b, grid(10.0, -10.0, 20.0))
+    return d.select(*cube.PIXEL, "obs_date", (F.round("difference", 9) + F.lit(0.0)).alias("difference"))
+
+
+SPAN = """, w AS (SELECT min(d) AS lo, (max(d) - min(d)) / 20 AS width, avg(d) AS mean FROM v), h AS (SELECT least(floor((d - lo) / width), 19)::INT AS bin, count(*) AS n FROM v, w GROUP BY 1)
+SELECT b::INT AS bin, round(lo + b * width, 7) AS bin_lo, coalesce(n, 0) AS n"""
+
+
+@query("a17_data_histogram", fx("cells") + ", v AS (SELECT x AS d FROM cells WHERE x <> 0)" + SPAN + " FROM range(0, 20) r(b) CROSS JOIN w LEFT JOIN h ON b = bin")
+def a17d(spark, sf):
+    """Raw counts over the span of the data."""
+    return compare.histogram(fxs._cells(spark, sf).select(F.col("x").alias("value")), None, normalised=False).select("bin", *r9("bin_lo", digits=7), "n")
+
+
+@query("a18_difference_histogram", fx("obs", "obs_b") + f", {BOTH}, v AS (SELECT (value - other) * 100 AS d FROM both_ WHERE value IS NOT NULL AND other IS NOT NULL)" + SPAN + ", round(mean, 7) AS mean FROM range(0, 20) r(b) CROSS JOIN w LEFT JOIN h ON b = bin")
+def a18h(spark, sf):
+    return compare.difference_histogram(both(spark, sf)).select("bin", *r9("bin_lo", digits=7), "n", F.round("mean", 7).alias("mean"))
+
+
 @query("a16_ranges", fx("obs", "obs_b") + """, u AS (SELECT version, layer, value FROM obs UNION ALL SELECT version, layer, value FROM obs_b) SELECT version, layer, round(min(value) * 100, 7) AS low, round(max(value) * 100, 7) AS high FROM u GROUP BY GROUPING SETS ((version, layer), (layer))""")
 def a16(spark, sf):
     return compare.ranges(obs(spark, sf).unionByName(obs(spark, sf, "B")), 100.0).select("version", "layer", *r9("low", "high", digits=7))
@@ -401,6 +513,15 @@ def t04(spark, sf):
     return compare.points_with_fallback(req, early(spark, sf), compare.candidate_points(early(spark, sf), early(spark, sf, "B")))
 
 
+@query("t04_points_moved", fx("obs", "obs_b", "stations") + f""", {SPARSER}, req AS (SELECT station AS pid, 0 AS frame_id, (station * 7 % 20)::INT AS "row", (station * 11 % 25)::INT AS col FROM stations)
+SELECT pid, a."row" IS NULL AND (abs(c."row" - r."row") * 0.0002::DOUBLE > 1e-3 OR abs(c.col - r.col) * 0.0002::DOUBLE > 1e-3) AS moved
+FROM req r LEFT JOIN va a ON r.frame_id = a.frame_id AND r."row" = a."row" AND r.col = a.col LEFT JOIN cand c ON c.frame_id = r.frame_id AND c.rank = 1""")
+def t04m(spark, sf):
+    """A replaced point counts as moved from a thousandth of a degree on."""
+    req = placed(spark, sf).withColumnRenamed("station", "pid")
+    return compare.points_with_fallback(req, early(spark, sf), compare.candidate_points(early(spark, sf), early(spark, sf, "B")), step=(-0.0002, 0.0002)).select("pid", "moved")
+
+
 @query("t02_order_pairs", fx("stations") + f", {PAIRS} SELECT station_1, station_2, row_number() OVER (PARTITION BY station_1 ORDER BY distance, station_2)::INT AS rank FROM pairs")
 def t02(spark, sf):
     from pyspark.sql import Window
@@ -474,6 +595,27 @@ def s09(spark, sf):
     return spark.read.parquet(path).groupBy(*cube.PIXEL).agg(F.count("*").alias("n"), F.round(F.sum("value"), 7).alias("total"))
 
 
+@query("s09_validation_table", fx("stations") + f", {PAIRS}" + binned_sql("pairs").replace("SELECT f.bin::INT AS bin, f.bin_lo, f.bin_hi, coalesce(n_total, 0) AS n_total, coalesce(n_pass, 0) AS n_pass, round(quantile, 8) AS quantile, round(n_pass / nullif(n_total, 0), 8) AS pass_ratio, coalesce(n_pass / nullif(n_total, 0) > 0.683, false) AS success", "SELECT printf('%.2f-%.2f', f.bin_lo, f.bin_hi) AS distance, coalesce(n_total, 0) AS n_total, coalesce(n_pass, 0) AS n_pass, round(n_pass / nullif(n_total, 0), 8) AS ratio, coalesce(n_pass / nullif(n_total, 0) > 0.683, false) AS success"))
+def s09v(spark, sf):
+    """Writes the validation table as CSV and reads it back."""
+    import uuid
+
+    from subsidia.sources import readers
+
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{base.rstrip('/')}/table-{uuid.uuid4().hex}"
+    readers.write_validation(validate.binned_requirement_test(validate.station_pairs(fxs.stations(spark, sf), within_km=50.0)), path)
+    back = spark.read.csv(path, header=True, schema="distance string, n_total long, n_pass long, ratio double, success boolean")
+    return back.select("distance", "n_total", "n_pass", *r9("ratio", digits=8), "success")
+
+
+@query("w06_sample_pairs_geographic", fx("points") + f""", {USAMPLE.replace("rn < 5001", "rn < 1000000")} SELECT pair, round(2 * 6378 * asin(sqrt(sin(radians(y_1 / 1000 - y_0 / 1000) / 2) ^ 2 + cos(radians(y_0 / 1000)) * cos(radians(y_1 / 1000)) * sin(radians(x_1 / 1000 - x_0 / 1000) / 2) ^ 2)), 6) AS distance, round(difference, 8) AS difference FROM spairs""")
+def w06g(spark, sf):
+    """Points by longitude and latitude."""
+    p = unique_points(spark, sf).withColumn("x", F.col("x") / 1000).withColumn("y", F.col("y") / 1000)
+    return validate.sample_pairs(p, PRODUCTION, geographic=True).select(F.col("pair").cast("long").alias("pair"), *r9("distance", digits=6), *r9("difference", digits=8))
+
+
 #: Points of a production run. The queries with the small sample stay beside these, with their SQL.
 PRODUCTION = 1_000_000
 
@@ -506,7 +648,23 @@ def a21_production(spark, sf):
 @query("a22_fit_variogram_production", at_production("a22_fit_variogram"))
 def a22_production(spark, sf):
     p = production_pairs(spark, sf).withColumn("gamma", F.expr("0.5 * difference * difference")).filter("distance <= 50")
-    return variogram.fit_variogram(p, RANGES).select("range", *r9("sill", "rmse", digits=6))
+    return variogram.fit_variogram(p, RANGES).select("range", *r9("sill", "rmse", "residual_std", digits=6))
+
+
+@query("a22_fit_variogram_stable", SQL["a22_fit_variogram_production"].replace("1 - exp(-distance / (k * 0.5))", "1 - exp(-((distance / (k * 0.5)) ^ 1.5))"))
+def a22_stable(spark, sf):
+    p = production_pairs(spark, sf).withColumn("gamma", F.expr("0.5 * difference * difference")).filter("distance <= 50")
+    return variogram.fit_variogram(p, RANGES, "stable").select("range", *r9("sill", "rmse", "residual_std", digits=6))
+
+
+@query("a22_fit_bin_quantiles", fx("points") + f""", {USAMPLE.replace("rn < 5001", f"rn < {PRODUCTION}")}, bins AS (SELECT * FROM {edge_rows(0.1, 50.0, 10)}),
+b AS (SELECT (bin_lo + bin_hi) / 2 AS distance, quantile_cont(difference, 0.683) AS gamma FROM spairs JOIN bins ON distance > bin_lo AND distance <= bin_hi GROUP BY ALL), c AS (SELECT k * 0.5::DOUBLE AS range, 1 - exp(-distance / (k * 0.5)) AS g, gamma FROM b, range(1, 101) r(k)),
+s AS (SELECT range, count(*) AS n, sum(g * gamma) AS gy, sum(g * g) AS gg, sum(gamma * gamma) AS yy FROM c GROUP BY 1)
+SELECT range, round(gy / gg, 6) AS sill, round(sqrt((yy - gy * gy / gg) / n), 6) AS rmse FROM s ORDER BY yy - gy * gy / gg, range LIMIT 1""")
+def a22_bins(spark, sf):
+    """The second fit: bin centres against the quantiles of the binned test."""
+    b = validate.binned_requirement_test(production_pairs(spark, sf)).filter("bin >= 0").select(((F.col("bin_lo") + F.col("bin_hi")) / 2).alias("centre"), "quantile")
+    return variogram.fit_variogram(b, RANGES, distance="centre", value="quantile").select("range", *r9("sill", "rmse", digits=6))
 
 
 #: Stations and points spread over all frames; a frame has 20 rows. The queries of frame 0 stay beside these, with their SQL.

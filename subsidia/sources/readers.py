@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from subsidia.functions.columns import hash_order
+from subsidia.functions.stages import numbered
+
 SITES = T.StructType([T.StructField(n, T.StringType()) for n in ("site", "calval_location", "reference_lalo", "gps_ref_site_name")])
 STATIONS = T.StructType([T.StructField("station", T.StringType()), T.StructField("lat", T.DoubleType()), T.StructField("lon", T.DoubleType())])
 
@@ -140,11 +143,42 @@ def write_table(rows: DataFrame, path: str, mode: str = "ignore") -> None:
 
 
 def layer_registry(layers: DataFrame, available: DataFrame) -> DataFrame:
-    """Registered layers (version, frame_id, layer, scale) with dataset and whether the cube has them.
+    """Registered layers (version, frame_id, layer, scale; path and unit if given) with dataset and whether the cube has them.
 
     Velocity layers keep dataset ``velocity``, others ``timeseries``; a missing scale is 100.
     """
     found = available.select("version", "frame_id", "layer").distinct().withColumn("_f", F.lit(True))
     dataset = F.when(F.contains("layer", F.lit("velocity")), "velocity").otherwise("timeseries")
-    return layers.join(found, ["version", "frame_id", "layer"], "left").select("version", "frame_id", "layer", dataset.alias("dataset"), F.coalesce("scale", F.lit(100.0)).alias("scale"), F.coalesce("_f", F.lit(False)).alias("present"))
+    more = [c for c in ("path", "unit") if c in layers.columns]
+    return layers.join(found, ["version", "frame_id", "layer"], "left").select("version", "frame_id", "layer", *more, dataset.alias("dataset"), F.coalesce("scale", F.lit(100.0)).alias("scale"), F.coalesce("_f", F.lit(False)).alias("present"))
+
+
+def missing_layers(layers: DataFrame, available: DataFrame) -> DataFrame:
+    """The registered layers that the cube lacks."""
+    return layers.join(available, ["version", "frame_id", "layer"], "left_anti")
+
+
+def points_from_pairs(spark: SparkSession, pairs: list[tuple[float, float]]) -> DataFrame:
+    """Points given as (latitude, longitude), in the form of ``parse_points``."""
+    return spark.createDataFrame([(0, i, float(lon), float(lat)) for i, (lat, lon) in enumerate(pairs)], "line_no int, position int, lon double, lat double")
+
+
+def points_by_count(valid: DataFrame, n: int, seed: int = 0) -> DataFrame:
+    """``n`` (above 0) of the valid pixels (frame_id, row, col), in hash order."""
+    if n <= 0:
+        raise ValueError(f"a number of points must be above 0, not {n}")
+    hashed = valid.withColumn("_h", hash_order(seed, "frame_id", "row", "col")).withColumn("_k", F.concat_ws("|", "frame_id", "row", "col"))
+    return numbered(hashed, "_h", "_k", n).select(*valid.columns)
+
+
+def write_validation(tests: DataFrame, path: str, mode: str = "ignore") -> None:
+    """A binned test as CSV with the columns of a validation table, bins in order and the total last."""
+    shown = tests.orderBy((F.col("bin") < 0).cast("int"), "bin").select(
+        F.format_string("%.2f-%.2f", "bin_lo", "bin_hi").alias("distance[km]"), F.col("n_total").alias("total_count[#]"), F.col("n_pass").alias("passed_req.[#]"), F.col("pass_ratio").alias("passed_pc"), F.col("success").alias("success_fail")
+    )
+    write_table(shown.coalesce(1), path, mode)  # a dozen rows
+
 
+def write_layer(layer: DataFrame, path: str, mode: str = "ignore") -> None:
+    """A velocity or a mask (pixel and its columns) as Parquet by frame, sorted by pixel; existing results stay."""
+    layer.repartition("frame_id", F.expr("row div 64")).sortWithinPartitions("frame_id", "row", "col").write.mode(mode).partitionBy("frame_id").parquet(path)

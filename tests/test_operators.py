@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from subsidia.functions import columns as fn
+from subsidia.functions import stages
 from subsidia.operators import catalog, compare, cube, gnss, stitch, validate, variogram, velocity
 from subsidia.sources import readers
 
@@ -119,6 +120,10 @@ def test_time_function_fit_equals_lstsq(spark):
     got = velocity.time_function_fit(obs, str(start), [1.0, 0.5], [str(step)]).collect()
     assert len(got) == 1
     assert list(got[0])[4:] == pytest.approx(np.linalg.lstsq(g, y, rcond=None)[0].tolist(), rel=1e-6)
+    base = rng.normal(size=len(t))
+    more = spark.createDataFrame([(*r[:4], 0, float(v + 3 * b), float(b)) for r, v, b in zip([x for x in rows if x[3] == 0], y, base, strict=True)], "frame_id int, obs_date date, row int, col int, k int, value double, bperp double")
+    got = velocity.time_function_fit(more, str(start), [1.0, 0.5], [str(step)], extra=["bperp"]).first()
+    assert list(got)[4:] == pytest.approx(np.linalg.lstsq(np.c_[g, base], y + 3 * base, rcond=None)[0].tolist(), rel=1e-6)
     few = velocity.time_function_fit(obs.filter("col = 0").limit(3), str(start), [1.0]).first()
     assert few["rate"] is None
 
@@ -166,7 +171,7 @@ def test_readers(spark, tmp_path):
     frames = readers.read_frames(spark, str(tmp_path / "f.geojson"))
     stations = spark.createDataFrame([("in", 1.0, 1.0), ("edge", 4.0, 2.0), ("corner", 0.0, 0.0), ("out", 5.0, 1.0)], "station string, lon double, lat double")
     assert [r["station"] for r in gnss.stations_in_frame(stations, frames).collect()] == ["in"]
-    touch = lambda x, y: gnss.frames_touching(frames, x, y).count()
+    touch = lambda x, y: gnss.frames_touching(frames, gnss.rectangle(x, y)).count()
     assert touch((1, 2), (1, 2)) == 1 and touch((-1, 9), (-1, 9)) == 1 and touch((-1, 5), (1, 2)) == 1 and touch((5, 6), (0, 1)) == 0
     (tmp_path / "p.wkt").write_text("POINT (1 2)\nMULTIPOINT ((1.0000001 2), (3 -4.5e0))\nnothing 7 8\n")
     pts = readers.merge_points(readers.parse_points(readers.numbered_lines(spark, str(tmp_path / "p.wkt"))))
@@ -274,3 +279,119 @@ def test_regrid_fills_outside(spark):
     grid = lambda x: spark.createDataFrame([(1, x, 0.0, 1.0, -1.0)], "frame_id int, x_first double, y_first double, x_step double, y_step double")
     got = lambda **k: [r["value"] for r in cube.regrid_nearest(src, grid(0.0), tgt, grid(-1.0), **k).orderBy("col").collect()]
     assert got() == [None, 5.0, 6.0, None] and got(fill=0.0) == [0.0, 5.0, 6.0, 0.0]
+
+
+def test_exact_quantiles_equal_percentile(spark):
+    rng = np.random.default_rng(4)
+    rows = [(g, float(v)) for g in range(4) for v in (rng.exponential(size=301 + g) ** 4 if g else [2.0] * 7 + [5.0])] + [(9, 1.5), (9, None), (8, None)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    for q in (0.0, 0.5, 0.683, 1.0):
+        got = {r["g"]: r["quantile"] for r in stages.quantile(df, ["g"], "v", q).collect()}
+        want = {r["g"]: r["w"] for r in df.filter("v IS NOT NULL").groupBy("g").agg(F.percentile("v", F.lit(q)).alias("w")).collect()}
+        assert got == pytest.approx(want)
+
+
+def test_numbering_equals_a_sort(spark):
+    df = spark.range(3000).withColumn("h", F.md5(F.col("id").cast("string")))
+    want = [r["id"] for r in df.orderBy("h", "id").limit(70).collect()]
+    assert [r["id"] for r in stages.numbered(df, "h", "id", 70).orderBy("_rn").collect()] == want
+
+
+def test_stations_near_each_other_lose_no_pair(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, float(x), float(y), float(v), 0.0) for i, (x, y, v) in enumerate(rng.uniform(-90_000, 90_000, (80, 3)))]
+    s = spark.createDataFrame(rows, "station int, x double, y double, gnss double, insar double")
+    near = validate.station_pairs(s, within_km=30.0)
+    assert sorted(map(tuple, near.collect())) == sorted(map(tuple, validate.station_pairs(s).filter("distance <= 30").collect()))
+
+
+def test_problem_steps_bounds_and_types(spark):
+    e = lambda s, d, c, t, m: (s, D(2020, 1, d), c, t, m, 10.0)
+    rows = [e("a", 1, 1, "Antenna_Changed", None), e("b", 9, 1, "Antenna_Changed", None), e("c", 5, 1, "Radome", None), e("d", 5, 2, "100", 5.0), e("f", 5, 2, "100", 5.1), e("g", 10, 1, "Antenna_Changed", None)]
+    steps = spark.createDataFrame(rows, "station string, step_date date, code int, type_threshold string, magnitude double, distance_km double")
+    found = lambda **k: sorted(r["station"] for r in gnss.problem_steps(steps, "2020-01-01", "2020-01-09", **k).collect())
+    assert found() == ["a", "b", "f"] and found(earthquakes=False) == ["a", "b"]
+
+
+def test_json_of_any_depth_and_kind(spark):
+    deep = "{\"a\": " * 60 + "1" + "}" * 60
+    rows = [(1, deep), (2, "not json"), (3, None), (4, '{"x": {}, "y": [], "z": null}'), (5, "7"), (6, "[]")]
+    got = {}
+    for r in compare.flatten_json(spark.createDataFrame(rows, "k int, j string"), "k", "j").collect():
+        got.setdefault(r["k"], set()).add((r["path"], r["value"]))
+    assert got == {1: {(".".join("a" * 60), "1")}, 2: {("", None)}, 3: {("", None)}, 4: {("x", "{}"), ("y", "[]"), ("z", None)}, 5: {("", "7")}, 6: {("", "[]")}}
+
+
+def frame_rows(f, rows, label, offset, cols=range(5)):
+    return [(f, r, c, label, 0.01 * r + 0.003 * c + offset) for r in rows for c in cols]
+
+
+def stitched(spark, rows, frames):
+    return stitch.stitch(spark.createDataFrame(rows, "frame_id int, row int, col int, label int, phase double"), frames).collect()
+
+
+def test_stitching_keeps_components_of_three_frames(spark):
+    rows = frame_rows(1, range(10), 9, 0.0) + frame_rows(2, range(20, 30), 8, 1.0) + frame_rows(2, range(8, 15), 2, 0.0) + frame_rows(3, range(28, 35), 3, 1.0)
+    rows += frame_rows(3, range(40, 41), 12, 0.0)  # as read, no data
+    got = {(r["row"], r["col"]): r["label"] for r in stitched(spark, rows, [1, 2, 3])}
+    assert set(got) == {(r, c) for r in (*range(15), *range(20, 35)) for c in range(5)}
+    assert got[0, 0] == got[14, 0] == 9 and got[20, 0] == got[34, 0] == 17
+
+
+def test_stitching_goes_backward(spark):
+    two_pi = 2 * math.pi
+    rows = frame_rows(1, range(10), 1, 0.0, range(4)) + frame_rows(1, range(10), 2, 3 * two_pi, range(4, 7))  # cut in two, off by cycles
+    rows += frame_rows(2, range(5, 15), 1, two_pi, range(7))
+    got = stitched(spark, rows, [1, 2])
+    assert len(got) == 105 and {r["label"] for r in got} == {1}
+    assert all(r["phase"] == pytest.approx(0.01 * r["row"] + 0.003 * r["col"], abs=1e-9) for r in got)
+
+
+def test_geodesic_and_inverse_utm(spark):
+    km = lambda *x: value(spark, fn.geodesic_km(*map(F.lit, x)))
+    assert km(0.0, 0.0, 0.0, 1.0) == pytest.approx(111.319491, abs=1e-5) and km(0.0, 0.0, 1.0, 0.0) == pytest.approx(110.574389, abs=1e-4) and km(5.0, 5.0, 5.0, 5.0) == 0
+    lat, lon = fn.latlon(F.lit(500000.0), F.lit(4982950.400), F.lit(31))
+    assert value(spark, lat) == pytest.approx(45.0, abs=1e-7) and value(spark, lon) == pytest.approx(3.0)
+
+
+def test_fit_refines_and_knows_the_stable_model(spark):
+    h = np.linspace(0.5, 50, 200)
+    p = spark.createDataFrame([(float(x), float(4 * (1 - math.exp(-((x / 7.3) ** 1.5))))) for x in h], "distance double, gamma double")
+    r = variogram.fit_variogram(p, [float(k) for k in range(1, 60)], "stable", refine=3).first()
+    assert r["range"] == pytest.approx(7.3, abs=1e-3) and r["sill"] == pytest.approx(4, abs=1e-3) and r["residual_std"] < 1e-3
+    assert variogram.fit_variogram(p.limit(0), [1.0]).count() == 0
+
+
+def test_points_given_in_other_ways(spark):
+    p = readers.points_from_pairs(spark, [(2.0, 1.0), (2.0, 1.0), (4.0, 3.0)])
+    assert sorted((r["lon"], r["lat"]) for r in readers.merge_points(p).collect()) == [(1.0, 2.0), (3.0, 4.0)]
+    with pytest.raises(ValueError, match="above 0"):
+        readers.points_by_count(p, 0)
+
+
+def test_layer_writer_keeps_what_is_there(spark, tmp_path):
+    layer = spark.createDataFrame([(f, r, 0, 1.0) for f in (1, 2) for r in range(100)], "frame_id int, row int, col int, value double")
+    readers.write_layer(layer, str(tmp_path / "v"))
+    readers.write_layer(layer.limit(0), str(tmp_path / "v"))
+    assert spark.read.parquet(str(tmp_path / "v")).filter("frame_id = 2").count() == 100
+
+
+def test_profiles_equal_brute_force(spark):
+    rng = np.random.default_rng(8)
+    cells = {(int(r), int(c)): float(v) for (r, c), v in zip(rng.integers(0, 30, (250, 2)), rng.normal(size=250), strict=True)}
+    values = spark.createDataFrame([(0, r, c, v) for (r, c), v in cells.items()], "frame_id int, row int, col int, value double")
+    ends = [tuple(map(float, e)) for e in rng.uniform(0, 30_000, (12, 4))]
+    rows = [(i, *e, math.hypot(e[0] - e[2], e[1] - e[3]) / 1000) for i, e in enumerate(ends)]
+    pairs = spark.createDataFrame(rows, "pair long, x_0 double, y_0 double, x_1 double, y_1 double, distance double")
+    got = {r["pair"]: r["difference"] for r in variogram.profile_pairs(pairs, values, (1000.0, 1000.0), (3.0, 25.0), n_points=20).collect()}
+    want = {}
+    for i, x0, y0, x1, y1, d in rows:
+        if 3 < d < 25:
+            along, near = [], []
+            for k in range(20):
+                r, c = math.floor((y0 + k / 19 * (y1 - y0)) / 1000), math.floor((x0 + k / 19 * (x1 - x0)) / 1000)
+                at = min(cells, key=lambda rc: (math.hypot(rc[0] - r, rc[1] - c), rc))
+                along.append(d * k / 19)
+                near.append(cells[at])
+            want[i] = abs(np.polyfit(along, near, 1)[0] * d)
+    assert got == pytest.approx(want)
