@@ -35,8 +35,10 @@ _KNOWN = (
     (_WORD_SPEC, re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\s{_LETTERS}0-9]+"), True),
 )
 
-#: Entries a worker keeps before it starts afresh; about 200 bytes each, so 20 MB.
+#: Entries of a generation of a worker's cache; it keeps two, with about 200 bytes an entry, so 40 MB.
 CACHE_ENTRIES = 100_000
+#: Longer pre-tokens are encoded each time.
+CACHED_CHARS = 64
 
 _loaded: dict[str, "Pieces"] = {}
 
@@ -88,19 +90,29 @@ class Pieces:
         return self.split(text.lower() if self.lower else text)
 
     def cache(self, name: str, value: Callable[[list[int]], object]) -> dict:
-        """A dict from pre-token to ``value(ids)`` that fills itself; emptied when it grows too large."""
+        """A dict from pre-token to ``value(ids)`` that fills itself; to be asked for again now and then, which keeps its bound."""
         if name not in self.caches:
             self.caches[name] = _Filling(lambda piece: value(self.ids(piece)))
         if len(self.caches[name]) > CACHE_ENTRIES:
-            self.caches[name].clear()
+            self.caches[name].age()
         return self.caches[name]
 
 
 class _Filling(dict):
+    """Two generations: a full one becomes the old one, from which what is met again moves back; so frequent entries stay."""
+
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.old = make, {}
+
+    def age(self):
+        self.old = dict(self)
+        self.clear()
 
     def __missing__(self, key):
-        out = self[key] = self.make(key)
+        out = self.old.get(key)
+        if out is None:
+            out = self.make(key)
+        if len(key) <= CACHED_CHARS:
+            self[key] = out
         return out
