@@ -1,10 +1,11 @@
 """Personal data: patterns of form for the known kinds, and bootstrapped contextual extraction for the rest.
 
-The base finds e-mail addresses, IP addresses, card numbers and phone numbers by form. These finds are the seeds. Every
-identifier-like word of a text (one with a digit or an @) is a candidate instance, and the words around it make lexical
-patterns. Patterns and instances form a graph: a pattern that mostly surrounds trusted instances becomes trusted, an instance
-that trusted patterns surround becomes trusted, and so on for a few rounds of joins and groupings. Words that base patterns
-missed and that high-confidence patterns surround are reported as kind ``id``.
+The base finds e-mail addresses, IP addresses, card numbers and phone numbers by form. These finds are seeds, and so are words
+of the forms that access keys have and any examples that the caller knows. Every identifier-like word of a text (one with a digit
+or an @) is a candidate instance; the words around it make lexical patterns, and so does its shape. Patterns and instances form
+a graph: a pattern that mostly surrounds trusted instances, and more of them than words at large, becomes trusted, an instance
+that trusted patterns surround becomes trusted, and so on for a few rounds of joins and groupings. Words outside base spans
+that high-confidence patterns surround are reported as kind ``id``; a form alone, as of a key, is no reason to report.
 
 DataFrame functions only. A text is read once; what goes on is one row an identifier-like word.
 """
@@ -30,9 +31,22 @@ CANDIDATE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 WORD_KIND = "word"
 PATTERNS = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE, WORD_KIND: CANDIDATE}
 
+# Forms of words that are keys wherever they stand in a context of keys. They are seeds, not results.
+SEED_FORMS = (
+    r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]{32,}$",
+    r"^(?=.*[0-9])(?=.*[A-F])[0-9A-F]{32,}$",
+    r"^AKIA[0-9A-Z]{16}$",
+    r"^gh[pousr]_[A-Za-z0-9]{36,}$",
+    r"^eyJ[\w-]+\.[\w-]+\.[\w-]+$",
+)
+#: Values shorter than this have no shape.
+SHAPED = 12
+
 ROUNDS = 3
 #: A pattern is trusted from this share of trusted instances on, and only with so many different ones in so many documents.
 CONFIDENCE, SUPPORT = 0.8, 5
+#: How many times the share of trusted values among all values a pattern's share must be.
+LIFT = 1.1
 
 
 def pieces(text: Column, kind: str, pattern: str) -> Column:
@@ -95,12 +109,20 @@ def valid(kind: Column, value: Column) -> Column:
     return F.when(kind == "ip", F.forall(F.split(value, r"\."), _byte)).when(kind == "card", card).when(kind == "phone", n.between(8, 15)).otherwise(True)
 
 
+def shape(value: Column) -> Column:
+    """Classes of characters and length of a value with both letters and digits: ``a9:40``; null for shorter ones than ``SHAPED``."""
+    has = lambda pattern, mark: F.when(F.rlike(value, F.lit(pattern)), mark).otherwise("")
+    classes = F.concat(has("[A-Z]", "A"), has(r"\p{Ll}", "a"), has("[0-9]", "9"), F.regexp_replace(F.array_join(F.sort_array(F.array_distinct(F.split(F.regexp_replace(value, r"[\p{L}\p{N}]", ""), ""))), ""), r"\s", ""))
+    mixed = F.rlike(value, F.lit("[0-9]")) & F.rlike(value, F.lit(r"\p{L}")) & (F.length(value) >= SHAPED)
+    return F.when(mixed, F.concat(classes, F.lit(":"), F.length(value).cast("string")))
+
+
 def spans(read: DataFrame) -> DataFrame:
     """Of (row, found): one row a valid match or word: row, kind, start, end, value, contexts (null for base kinds).
 
     Contexts are the word and the two words before and behind. Words with only spaces and marks between make a run, and each
-    word of a run has the contexts of the run; ``own`` are those of its first and last word, so that a run counts once. Places are running sums over the matches of a kind, so a text with a million
-    matches takes a million steps.
+    word of a run has the contexts of the run; ``own`` are those of its first and last word, so that a run counts once. The shape
+    is a context too. Places are running sums over the matches of a kind, so a text with a million matches takes a million steps.
     """
     one = read.filter(F.size("found") > 0).dropDuplicates(["row"]).select("row", F.explode("found").alias("m")).select("row", "m.*")
     rising, falling = (Window.partitionBy("row", "kind").orderBy(o) for o in ("pos", F.desc("pos")))
@@ -124,17 +146,21 @@ def spans(read: DataFrame) -> DataFrame:
         placed = placed.withColumn(f"{c}_run", run).withColumn(f"{c}_own", given.isNotNull())
         own = F.col(f"{c}_own")
         contexts.append(F.coalesce(F.transform(f"{c}_run", lambda x: F.struct(x.alias("context"), own.alias("own"))), F.array().cast("array<struct<context string, own boolean>>")))
+    formed = F.coalesce(F.filter(F.array(F.struct(F.concat(F.lit("shape "), shape(F.col("value"))).alias("context"), F.lit(True).alias("own"))), lambda x: x["context"].isNotNull()), F.array().cast("array<struct<context string, own boolean>>"))
     placed = placed.filter("value <> ''").filter(valid(F.col("kind"), F.col("value")))
-    return placed.select("row", "kind", "start", "end", "value", F.when(word, F.array_distinct(F.concat(*contexts))).alias("contexts"))
+    return placed.select("row", "kind", "start", "end", "value", F.when(word, F.array_distinct(F.concat(*contexts, formed))).alias("contexts"))
 
 
-def trusted_patterns(instances: DataFrame, rounds: int = ROUNDS, confidence: float = CONFIDENCE, support: int = SUPPORT) -> DataFrame:
+def trusted_patterns(instances: DataFrame, rounds: int = ROUNDS, confidence: float = CONFIDENCE, support: int = SUPPORT, lift: float = LIFT) -> DataFrame:
     """Patterns of high confidence: pattern, score.
 
     ``instances``: value, pattern, docs, seed (whether the value was found by form), one row for each value and pattern, so
     that a value repeated in a million documents is one node. A round scores patterns by the trusted share of their different
-    values (one more, untrusted, is added, so that few can't be sure), then values by their best pattern.
+    values (one more, untrusted, is added, so that few can't be sure), then values by their best pattern. The share must be ``lift``
+    times that of all values, as long as these leave room for it.
     """
+    seeds = instances.groupBy("value").agg(F.bool_or("seed").alias("seed")).agg(F.avg(F.col("seed").cast("double")).alias("share")).first()["share"] or 0.0
+    confidence = max(confidence, min(lift * seeds, (1 + confidence) / 2))
     known = instances.withColumn("trust", F.col("seed").cast("double"))
     scores = None
     for i in range(rounds):
@@ -146,14 +172,15 @@ def trusted_patterns(instances: DataFrame, rounds: int = ROUNDS, confidence: flo
     return scores
 
 
-def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS, confidence: float = CONFIDENCE, support: int = SUPPORT) -> DataFrame:
+def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS, confidence: float = CONFIDENCE, support: int = SUPPORT, forms: tuple[str, ...] = SEED_FORMS, examples: tuple[str, ...] = ()) -> DataFrame:
     """One row a document: doc_id, base and extra (arrays of kind, start, end, value; places in code points).
 
     Null texts count as empty and hold nothing. Equal rows have equal results, one row for each. An empty table gives an
-    empty table. A word that overlaps a base span is not reported again.
+    empty table. A word that overlaps a base span is not reported again. ``forms`` (patterns of whole words) and ``examples`` (words)
+    are seeds besides the base spans.
     """
     t = F.coalesce(F.col(text), F.lit(""))
-    read = staged(docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(doc_id), t).alias("row"), matches(t).alias("found")), "personal-read")
+    read = staged(docs.select(F.col(doc_id).alias("doc_id"), F.md5(F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit("|"), t)).alias("row"), matches(t).alias("found")), "personal-read")
     # A word is a seed if it overlaps a base span: one that began before it and ends in it or later, or one that begins in it.
     word = F.col("kind") == WORD_KIND
     rising, falling = Window.partitionBy("row").orderBy("start", "end", "kind"), Window.partitionBy("row").orderBy(F.desc("start"), F.desc("end"), "kind")
@@ -164,7 +191,11 @@ def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     # All contexts of a word are patterns, with the marks between; a run without words around it has none.
     each = all_spans.filter(word).select("row", "start", "end", "value", "seed", F.explode("contexts").alias("c")).select("row", "start", "end", "value", "seed", "c.*")
     each = each.withColumn("pattern", F.xxhash64("context"))
-    instances = staged(each.filter("own").groupBy("pattern", "value").agg(F.count("*").alias("docs"), F.bool_or("seed").alias("seed")), "personal-instances")
+    formed = F.lit(False)
+    for form in forms:
+        formed = formed | F.rlike("value", F.lit(form))
+    known = F.col("seed") | formed | (F.col("value").isin(list(examples)) if examples else F.lit(False))
+    instances = staged(each.filter("own").groupBy("pattern", "value").agg(F.count("*").alias("docs"), F.bool_or(known).alias("seed")), "personal-instances")
     scores = trusted_patterns(instances, rounds, confidence, support)
     new = each.filter("NOT seed").join(scores, "pattern", "left_semi").select("row", F.lit("id").alias("kind"), "start", "end", "value").distinct()
 
@@ -182,13 +213,14 @@ def spelled(spans: Column) -> Column:
 
 def redacted(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents (ids unique) with every span replaced by its kind in brackets; of overlapping spans the first holds."""
-    spans = found.select(F.col("doc_id").alias("_id"), F.array_sort(F.transform(F.concat("base", "extra"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))).alias("_spans"))
-    joined = docs.join(spans, F.col(doc_id).eqNullSafe(F.col("_id")), "left")
+    spans = found.select("doc_id", F.array_sort(F.transform(F.concat("base", "extra"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))).alias("spans"))
+    packed = docs.select(F.struct(*docs.columns).alias("doc"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    joined = packed.join(spans, F.col("id").eqNullSafe(F.col("doc_id")), "left")
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(state, s):
-        made = F.concat(state["out"], F.substring(F.col(text), state["at"] + 1, s["start"] - state["at"]), F.lit("["), s["kind"], F.lit("]"))
+        made = F.concat(state["out"], F.substring(F.col("text"), state["at"] + 1, s["start"] - state["at"]), F.lit("["), s["kind"], F.lit("]"))
         return F.when(s["start"] >= state["at"], F.struct(s["end"].alias("at"), made.alias("out"))).otherwise(state)
 
-    whole = F.aggregate("_spans", zero, step, lambda s: F.concat(s["out"], F.substring(F.col(text), s["at"] + 1, F.length(text))))
-    return joined.withColumn(text, F.when(F.col("_spans").isNull(), F.col(text)).otherwise(whole)).drop("_id", "_spans")
+    whole = F.aggregate("spans", zero, step, lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.length("text"))))
+    return joined.withColumn("text", F.when(F.col("spans").isNull(), F.col("text")).otherwise(whole)).select(F.col("doc").withField(text, F.col("text")).alias("doc")).select("doc.*")

@@ -170,6 +170,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[n(k) for k in personal_data.KINDS],
         F.sha2(personal_data.spelled(F.col("base")), 256).alias("base_sha256"),
         personal_data.spelled(F.concat("base", "extra")).alias("spans"),
+        (F.size("base") + F.size("extra")).cast("long").alias("n_spans"),
     )
 
 

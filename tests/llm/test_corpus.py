@@ -335,3 +335,23 @@ def test_personal_data_context_reaches_the_whole_run_from_both_sides(spark):
     assert {k: v for k, v in got.items() if v} == {100: ["DE89", "3704", "0044", "0532"], 101: ["4711", "AB-77-123"], 102: ["X-1"], 103: ["QQ-1", "22"]}
     clean = {r["doc_id"]: r["text"] for r in personal_data.redacted(docs, found).collect()}
     assert clean[100] == "Customer contact: [id] [id] [id] [id] thanks" and clean[103] == "mine is [id] [id] (home address) too"
+
+
+def test_personal_data_finds_keys_by_context_and_no_others(spark):
+    rng = random.Random(12)
+    digest = lambda: "".join(rng.choices("0123456789abcdef", k=40))
+    rows = [(i, f"prose {rng.random()} with api token = \"{digest()}\" in it", "s") for i in range(20)]
+    rows += [(50, 'no form: token = "K-77-secret" there', "s"), (51, "plain 2026 report of 12 pages", "s")]
+    rows += [(60 + i, f"revision {'ab' * i}x{i} was built on day {i}", "s") for i in range(1, 30)]
+    docs = spark.createDataFrame([(*r, "a", "b") for r in rows], "doc_id long, text string, source string, _id string, spans string")
+    found = personal_data.personal_data(docs)
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["extra"]] for r in found.collect()}
+    texts = {d: t for d, t, _ in rows}
+    for d in [*range(20), 50]:
+        m = re.search(r'token = "([^"]*)"', texts[d])
+        assert got[d] == [m.span(1)]
+    assert not any(v for d, v in got.items() if d > 50)
+    assert "[id]" in {r["doc_id"]: r["text"] for r in personal_data.redacted(docs, found).collect()}[50]
+    few = personal_data.personal_data(docs, forms=()).filter("size(extra) > 0").count()
+    known = tuple(re.search(r'token = "([^"]*)"', texts[d])[1] for d in range(18))
+    assert few == 0 and personal_data.personal_data(docs, forms=(), examples=known).filter("size(extra) > 0").count() == 21
