@@ -129,7 +129,7 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     hard = "\\### Assistant: </turn> ok"
     own = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
-    written = chat.formatted(chat.canonical(chat.conversations_as_records(rows)))
+    written = chat.formatted(chat.canonical(chat.conversations_as_records(rows, vary=True)))
     written = staged(written.select("conv_id", "formatted", "loss_spans"), "chat")
     turns = chat.read_turns(F.col("formatted"))
     read = written.withColumn("turns", turns).withColumn("loss", chat.read_loss(F.col("formatted"), F.col("loss_spans")))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 TOKEN = "[A-Za-z0-9]+"
 #: Rules go to each worker by broadcast up to this size; beyond it they are joined by token.
 BROADCAST_BYTES = 16 << 20
+SHARES = 16
 
 
 @dataclass(frozen=True)
@@ -49,13 +50,21 @@ def split_url(url):
 
 
 def token_counts(keys: DataFrame, rules: list[Rule]) -> dict[str, int]:
-    """How many URLs hold each token that some rule names, over all rows; at most one row a token comes back."""
+    """How many URLs hold each token that some rule names, over all rows; at most one row a token comes back.
+
+    The names are sent to where the URLs are read while they are under ``BROADCAST_BYTES``, so that a token of every URL is counted
+    there. A longer list meets the counts of all tokens.
+    """
     named = sorted({t for r in rules for t in r.tokens})
     if not named:
         return {}
     names = keys.sparkSession.createDataFrame([(t,) for t in named], "token string")
     own = keys.select(F.explode(F.array_distinct(F.regexp_extract_all("key", F.lit(TOKEN), 0))).alias("token"))
-    return {r["token"]: r["count"] for r in own.join(names, "token", "left_semi").groupBy("token").count().collect()}
+    if sum(len(t) + 32 for t in named) <= BROADCAST_BYTES:
+        counted = own.join(F.broadcast(names), "token", "left_semi").groupBy("token").count()
+    else:
+        counted = own.groupBy("token").count().join(names, "token", "left_semi")
+    return {r["token"]: r["count"] for r in counted.collect()}
 
 
 def filed(rules: list[Rule], counts: dict[str, int]) -> dict[str, list[int]]:
@@ -70,7 +79,7 @@ def judge_urls(pages: DataFrame, rules: list[Rule], url: str = "url", default: s
     """``pages`` with host, path, rule (name or null) and verdict in place of columns of these names.
 
     Every row is returned, repeated rows too. A null URL, or one without ``://``, has an empty host and path and can only
-    meet rules that fit an empty key. Rules of equal length are decided by name, then verdict.
+    meet rules that fit an empty key. URLs of any length are judged whole. Rules of equal length are decided by name, then verdict.
     """
     spark = pages.sparkSession
     host, path = split_url(F.col(url))
@@ -99,12 +108,17 @@ def judge_urls(pages: DataFrame, rules: list[Rule], url: str = "url", default: s
 
 
 def _judge_by_join(keyed: DataFrame, rules: list[Rule], index: dict[str, list[int]], default: str) -> DataFrame:
-    """The same by joins on the token, for rule lists too large to broadcast. Distinct keys are judged once."""
+    """The same by joins on the token, for rule lists too large to broadcast. Distinct keys are judged once.
+
+    A token of every URL is dealt over ``SHARES`` tasks by the URL, and the rules go to all of these.
+    """
     spark = keyed.sparkSession
     rows = [(t, rules[i].name, rules[i].verdict, rules[i].pattern) for t, own in index.items() for i in own]
     filed_rules = spark.createDataFrame(rows, "token string, rule string, verdict string, pattern string")
     keys = keyed.select(F.concat("host", "path").alias("key")).distinct()
     tokens = keys.select("key", F.explode(F.array_union(F.array(F.lit("")), F.array_distinct(F.regexp_extract_all("key", F.lit(TOKEN), 0)))).alias("token"))
-    fits = tokens.join(filed_rules, "token").filter(F.expr("key rlike pattern"))
+    tokens = tokens.withColumn("share", F.pmod(F.xxhash64("key"), F.lit(SHARES)))
+    filed_rules = filed_rules.withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SHARES - 1).cast("long"))))
+    fits = tokens.join(filed_rules, ["token", "share"]).filter(F.expr("key rlike pattern"))
     best = fits.groupBy("key").agg(F.max(F.struct(F.length("rule").alias("n"), "rule", "verdict")).alias("best"))
     return keyed.withColumn("key", F.concat("host", "path")).join(best, "key", "left").select("page", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))

@@ -65,7 +65,7 @@ def test_token_files_round_trip(spark):
 
 def test_url_filters(spark):
     rules = [url_filters.prefix_rule("block", "com", "/en/"), url_filters.prefix_rule("allow", "example.com", "/en/7"), url_filters.Rule("ads", "block", r"/ads?/", ()), url_filters.prefix_rule("block", "net", "/a.b/")]
-    urls = [None, "", "nothing", "http://COM/en/x", "http://xcom/en/", "http://a.Example.com/en/745?q#f", "http://example.com/EN/7", "http://q.org/ad/", "http://n.net/a.b/", "http://n.net/aXb/", "s://h?x/y", "://", "http://é.com/en/"]
+    urls = [None, "", "nothing", "http://COM/en/x", "http://xcom/en/", "http://a.Example.com/en/745?q#f", "http://example.com/EN/7", "http://q.org/ad/", "http://n.net/a.b/", "http://n.net/aXb/", "s://h?x/y", "://", "http://é.com/en/", "http://a.com/en/" + "x/" * 50_000]
     pages = spark.createDataFrame([(i, u, "h", "mine", "mine") for i, u in enumerate([*urls, urls[3]])], "page_id long, url string, judged string, page string, host string")
     want = {}
     for i, u in enumerate([*urls, urls[3]]):
@@ -167,6 +167,49 @@ def test_fingerprints(spark):
     assert fingerprints.edited_prints(documents(spark, [])).count() == 0
 
 
+def own_signatures(text):
+    """SpotSigs restated with tuples of words: an anchor and the next two content words; pairs of words where these are missing."""
+    marks = ".,;:!?\"'()[]{}«»“”„‘’…|*#$%&"
+    words = [w.lower().strip(marks) for w in (text or "").split()]
+    content = [(i, w) for i, w in enumerate(words) if w not in fingerprints.ANCHORS]
+    out = set()
+    for i, w in enumerate(words):
+        later = [c for j, c in content if j > i][:2]
+        if w in fingerprints.ANCHORS and later:
+            out.add((w, *later))
+    return out or {(w, *words[i : i + 2]) for i, w in enumerate(words)}
+
+
+def test_likeness_equals_jaccard_of_tuples(spark):
+    rng = random.Random(14)
+    words = ["the", "of", "and,", "und", "la"] * 4 + [f"w{i}" for i in range(40)] + ["Big.", "(x)"]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 60))) for _ in range(60)] + ["", "lone", "the of", "x y"]
+    docs = documents(spark, [(i, t, "s") for i, t in enumerate(texts)])
+    jaccard = lambda a, b: len(a & b) / len(a | b) if a and b else float(len(a) == len(b))
+    for r in fingerprints.edited_prints(docs).collect():
+        i = r["doc_id"]
+        t, u = texts[i], texts[i - 1]
+        k = len(t) // 3
+        own = own_signatures(t)
+        assert r["near_next"] == pytest.approx(jaccard(own, own_signatures(u))), (t, u)
+        assert r["near_edited"] == pytest.approx(jaccard(own, own_signatures(t[: len(t) - k] + u[:k])))
+
+
+def test_other_vocabularies_go_to_the_library(spark, tmp_path):
+    import json
+
+    spec = json.load(open(BYTES))
+    spec["pre_tokenizer"]["add_prefix_space"] = True
+    (tmp_path / "own.json").write_text(json.dumps(spec))
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    import sentencepiece
+
+    piece = sentencepiece.SentencePieceProcessor(model_file=model)
+    for path, ids in ((str(tmp_path / "own.json"), lambda t: Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids), (model, piece.encode)):
+        for r in token_counts.count_tokens(hard_documents(spark), path, keep=["text"]).collect():
+            assert r["n_tokens"] == len(ids(r["text"] or "")), r["text"]
+
+
 def test_similar_equals_brute_force(spark):
     rng = random.Random(9)
     words = ["the", "of", "and", "in"] * 10 + [f"w{i}" for i in range(60)]
@@ -249,6 +292,12 @@ def test_chat_round_trip(spark):
     texts = ["\\### Assistant: </turn> ok", "", None, "a\\l<b\\e\\\\", "<turn user>\nx</turn>\n", "😀\n\n", "plain"]
     rows = [(1, i, ["user", "assistant", "we>ird\n<role>", None][i % 4], t) for i, t in enumerate(texts * 3)] + [(2, None, "assistant", "only"), (2, 0, "assistant", "only"), (None, 0, "user", "x"), (3, 0, None, None)]
     df = spark.createDataFrame([(*r, "x", "y") for r in rows], "conv_id long, turn long, role string, text string, formatted string, turns string")
+    many = df.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(40)))).select((F.col("conv_id") + 10 * F.col("k")).alias("conv_id"), "turn", "role", "text")
+    both = [many, many.filter("turn < 2").select(F.col("conv_id") + 1000, "turn", F.element_at(F.array(F.lit("user"), F.lit("assistant")), F.col("turn").cast("int") + 1), "text")]
+    varied = chat.canonical(chat.conversations_as_records(both[0].union(both[1]), vary=True))
+    assert {r[0] for r in varied.select("layout").distinct().collect()} == {"messages", "messages_parts", "nested_messages", "conversations", "prompt"}
+    plain = chat.canonical(chat.conversations_as_records(both[0].union(both[1]))).select("conv_id", "turns")
+    assert varied.select("conv_id", "turns").exceptAll(plain).isEmpty() and varied.count() == plain.count()
     got = chat.formatted(chat.canonical(chat.conversations_as_records(df)))
     got = got.select("conv_id", chat.read_turns(F.col("formatted")).alias("turns"), chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss")).collect()
     assert len(got) == 4
@@ -266,6 +315,11 @@ def test_chat_layouts(spark):
         '{"prompt": "p", "completion": "c"}': ("prompt", [("user", "p"), ("assistant", "c")]),
         '{"output": "o", "instruction": "i", "input": null}': ("instruction_input", [("user", "i"), ("assistant", "o")]),
         '{"messages": []}': ("messages", []),
+        '{"id": 7, "meta": {"a": [1, {"b": 2}]}, "prompt": "p", "completion": "c"}': ("prompt", [("user", "p"), ("assistant", "c")]),
+        '{"messages": [{"role": "user", "name": "n", "content": "q"}], "z": [[]]}': ("messages", [("user", "q")]),
+        '{"data": {"messages": [{"role": "user", "content": "q"}], "k": 1}}': ("nested_messages", [("user", "q")]),
+        '{"messages": [{"role": "user", "content": [{"type": "text", "text": "a"}, {"type": "text", "text": "b"}]}]}': ("messages_parts", [("user", "ab")]),
+        '{"messages": [{"role": "user", "content": "x"}], "prompt": "p"}': (None, None),
         '{"other": 1}': (None, None),
         "not json": (None, None),
         None: (None, None),
