@@ -37,7 +37,8 @@ def cycle_offsets(one: DataFrame, two: DataFrame, method: str = "cycles") -> Dat
     best = overlaps(one, two).filter("best").select("label_2", "label_1")
     a = one.select("row", "col", F.col("label").alias("label_1"), F.col("phase").alias("p1"))
     b = two.select("row", "col", F.col("label").alias("label_2"), F.col("phase").alias("p2"))
-    d = a.join(b, ["row", "col"]).join(best, ["label_1", "label_2"]).withColumn("d", F.col("p1") - F.col("p2"))
+    d = a.join(b, ["row", "col"]).join(best, ["label_1", "label_2"]).select("label_2", "label_1", (F.col("p1") - F.col("p2")).alias("d"))
+    d = cut(d)  # read four times
     g = d.groupBy("label_2", "label_1").agg(F.avg(F.sin("d")).alias("_s"), F.avg(F.cos("d")).alias("_c")).join(quantile(d, ["label_2", "label_1"], "d", 0.5, "median"), ["label_2", "label_1"])
     if method == "mean":
         return g.select("label_2", "label_1", F.lit(0).alias("cycles"), F.lit(0.0).alias("rest"), F.col("median").alias("offset"))
@@ -65,7 +66,9 @@ def merge(one: DataFrame, two: DataFrame, method: str = "cycles") -> DataFrame:
     top = one.agg(F.coalesce(F.max("label"), F.lit(0)).alias("top")).first()["top"]
     new = F.when(F.col("label") == 0, F.lit(0)).otherwise(F.col("label") + F.lit(top))
     second = cut(shifted(two, cycle_offsets(one, two, method), new))
-    first = shifted(one, cycle_offsets(second, one, method).filter("label_1 <> label_2"), F.col("label"))
+    first = one
+    if not overlaps(second, one).filter("best AND label_1 <> label_2").isEmpty():
+        first = shifted(one, cycle_offsets(second, one, method).filter("label_1 <> label_2"), F.col("label"))
     return first.unionByName(second).groupBy("row", "col").agg(F.min("label").alias("label"), F.avg("phase").alias("phase"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from subsidia.functions.columns import hash_order, haversine_km, plane_km, requirement_mm
-from subsidia.functions.stages import numbered, quantile
+from subsidia.functions.stages import cut, numbered, quantile
 
 
 def station_pairs(stations: DataFrame, group: list[str] | None = None, within_km: float | None = None) -> DataFrame:
@@ -90,7 +90,7 @@ def outlier_mask(layer: DataFrame, method: str = "zscore", threshold: float = 3.
         s = valid.groupBy(*by).agg(F.avg("value").alias("_m"), F.stddev_pop("value").alias("_s"))
         test = F.abs(F.col("value") - F.col("_m")) / F.nullif("_s", F.lit(0.0)) > threshold
     else:
-        m = quantile(valid, by, "value", 0.5, "_m")
+        m = cut(quantile(valid, by, "value", 0.5, "_m"))  # one row a group
         s = m.join(quantile(valid.join(m, by).withColumn("_o", F.abs(F.col("value") - F.col("_m"))), by, "_o", 0.5, "_s"), by)
         off = F.abs(F.col("value") - F.col("_m"))
         test = F.when(F.col("_s") == 0, off > 0).otherwise(0.6745 * off / F.col("_s") > threshold)
