@@ -12,7 +12,7 @@
 No large bucket is expanded into all its pairs. Each bucket first offers its smallest member as a hub, and every class tries
 two of the hubs offered to it, the smallest and the most similar one, which joins a large group of near copies. What is still
 apart afterwards is compared pair by pair in small buckets. In large ones the shingles are counted that only one of the open members
-of a family has, a family being all classes that buckets connect: whatever two classes share is held by both, so a class of which
+of a family has, a family being all that large buckets connect: whatever two classes share is held by both, so a class of which
 more than a fifth is its own is linked with none of them and goes. The member with the fewest of them lies in the middle, so it is
 the second hub. Then pairs are compared that are still apart and that the counts don't rule out. So no link between components is
 lost: two members of a bucket are in one component already, or compared, or too far apart. There a class carries what
@@ -199,7 +199,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
 def own_shingles(members: DataFrame, families: DataFrame, texts: DataFrame, n: int) -> DataFrame:
     """(id, family, part, n, own): how many shingles of a class no other open class of its family has.
 
-    ``members``: key, id and comp in crowded buckets; ``families``: id, family, all classes that buckets connect. ``part`` tells
+    ``members``: key, id and comp in crowded buckets; ``families``: id, family, the members that these buckets connect. ``part`` tells
     apart the groups of copies in a family: a bucket belongs to the component with most members in it, and a class to the
     smallest of its buckets' components.
     """
@@ -356,7 +356,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str
     pairs = crossed(small)
     crowd = not large.isEmpty()
     if crowd:
-        families = components(hubs).withColumnRenamed("comp", "family")
+        meeting = large.join(staged(large.groupBy("key").agg(F.min("id").alias("a")), "near-firsts"), "key").filter("id <> a")
+        families = components(meeting.select("a", F.col("id").alias("b"))).withColumnRenamed("comp", "family")
         own = own_shingles(large, families, texts, n)
         share = F.col("own") / F.col("n")
         best = staged(large.join(own, "id").groupBy("key").agg(F.min_by("id", F.struct(share, "id")).alias("a")), "near-middles")
