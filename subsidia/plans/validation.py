@@ -61,8 +61,11 @@ def a13(spark, sf):
     return k.select("station", "n", validate.sparse_flag(F.col("n"), F.col("p") / F.col("n") > 0.683).alias("flag"))
 
 
+#: Points of a sample, as in production.
+PRODUCTION = 1_000_000
+
 SAMPLE = """ranked AS (SELECT *, row_number() OVER (ORDER BY md5('0|' || id), id) - 1 AS rn FROM points),
-sample AS (SELECT * FROM ranked WHERE rn < 5001), sampled AS (SELECT rn // 2 AS pair, max(x) FILTER (rn % 2 = 0) AS x_0, max(y) FILTER (rn % 2 = 0) AS y_0, max(v) FILTER (rn % 2 = 0) AS v_0,
+sample AS (SELECT * FROM ranked WHERE rn < {n}), sampled AS (SELECT rn // 2 AS pair, max(x) FILTER (rn % 2 = 0) AS x_0, max(y) FILTER (rn % 2 = 0) AS y_0, max(v) FILTER (rn % 2 = 0) AS v_0,
 max(x) FILTER (rn % 2 = 1) AS x_1, max(y) FILTER (rn % 2 = 1) AS y_1, max(v) FILTER (rn % 2 = 1) AS v_1, count(*) AS n FROM sample GROUP BY 1),
 spairs AS (SELECT pair, x_0, y_0, x_1, y_1, sqrt((x_0 - x_1) * (x_0 - x_1) + (y_0 - y_1) * (y_0 - y_1)) / 1000 AS distance, abs(v_0 - v_1) AS difference FROM sampled WHERE n = 2)"""
 
@@ -73,18 +76,22 @@ def unique_points(spark, sf):
 
 
 UPOINTS = "upoints AS (SELECT id, arg_min({'x': x, 'y': y, 'v': v}, {'x': x, 'y': y, 'v': v}) AS p FROM points GROUP BY id), one AS (SELECT id, p.x AS x, p.y AS y, p.v AS v FROM upoints)"
-USAMPLE = UPOINTS + ", " + SAMPLE.replace("FROM points)", "FROM one)")
+USAMPLE = UPOINTS + ", " + SAMPLE.replace("FROM points)", "FROM one)").replace("{n}", str(PRODUCTION))
+
+
+def production_pairs(spark, sf):
+    return validate.sample_pairs(unique_points(spark, sf), PRODUCTION)
 
 
 @query("w06_sample_pairs", fx("points") + f", {USAMPLE} SELECT pair, round(distance, 8) AS distance, round(difference, 8) AS difference FROM spairs")
 def w06(spark, sf):
-    return validate.sample_pairs(unique_points(spark, sf), 5001).select(F.col("pair").cast("long").alias("pair"), *r9("distance", "difference", digits=8))
+    return production_pairs(spark, sf).select(F.col("pair").cast("long").alias("pair"), *r9("distance", "difference", digits=8))
 
 
 @query("w06_pixel_requirement_test", fx("points") + f", {USAMPLE}" + binned_sql("spairs"))
 def w06t(spark, sf):
     """Approach 2: random pixel pairs in the same bins."""
-    return rounded_test(validate.binned_requirement_test(validate.sample_pairs(unique_points(spark, sf), 5001)))
+    return rounded_test(validate.binned_requirement_test(production_pairs(spark, sf)))
 
 
 @query("a11_outlier_zscore", fx("points") + """, g AS (SELECT (id % 7)::INT AS frame_id, id, v AS value FROM points), s AS (SELECT frame_id, avg(value) AS m, stddev_pop(value) AS s FROM g GROUP BY 1)
@@ -133,7 +140,7 @@ def a20v(spark, sf):
 @query("a21_bin_variogram", fx("points") + f""", {USAMPLE}, bins AS (SELECT * FROM {edge_rows(0.0, 60.0, 20)}), j AS (SELECT bin, bin_hi, distance, 0.5 * difference * difference AS gamma FROM spairs JOIN bins ON distance >= bin_lo AND (distance < bin_hi OR (bin = 19 AND distance = bin_hi)))
 SELECT bin::INT AS bin, round(avg(distance), 7) AS distance, round(avg(gamma), 7) AS gamma, count(*) AS n FROM j GROUP BY bin""")
 def a21(spark, sf):
-    p = validate.sample_pairs(unique_points(spark, sf), 5001).withColumn("gamma", F.expr("0.5 * difference * difference"))
+    p = production_pairs(spark, sf).withColumn("gamma", F.expr("0.5 * difference * difference"))
     return variogram.bin_variogram(p, (0.0, 60.0)).select("bin", *r9("distance", "gamma", digits=7), "n")
 
 
@@ -144,7 +151,7 @@ RANGES = [0.5 * k for k in range(1, 101)]
 s AS (SELECT range, count(*) AS n, sum(g * gamma) AS gy, sum(g * g) AS gg, sum(gamma * gamma) AS yy, sum(g) AS sg, sum(gamma) AS sy FROM c GROUP BY 1)
 SELECT range, round(gy / gg, 6) AS sill, round(sqrt((yy - gy * gy / gg) / n), 6) AS rmse, round(sqrt(greatest((yy - gy * gy / gg) / n - ((sy - gy / gg * sg) / n) ^ 2, 0)), 6) AS residual_std FROM s ORDER BY yy - gy * gy / gg, range LIMIT 1""")
 def a22(spark, sf):
-    p = validate.sample_pairs(unique_points(spark, sf), 5001).withColumn("gamma", F.expr("0.5 * difference * difference")).filter("distance <= 50")
+    p = production_pairs(spark, sf).withColumn("gamma", F.expr("0.5 * difference * difference")).filter("distance <= 50")
     return variogram.fit_variogram(p, RANGES).select("range", *r9("sill", "rmse", "residual_std", digits=6))
 
 
@@ -195,10 +202,10 @@ def p17(spark, sf):
     return g.select("station", "obs_date", F.round(fn.los(F.col("east"), F.col("north"), F.col("up"), F.lit(40.0), F.lit(100.0)), 9).alias("los"))
 
 
-@query("p18_look_angles", fx("cells") + f"""SELECT {PIX}, e, round(degrees(acos(CASE WHEN 1 - x * x - 0.16 >= 0 THEN sqrt(1 - x * x - 0.16) END)), 7) AS incidence, round(degrees(atan2(-x, 0.4)), 7) AS azimuth FROM cells WHERE e < 8""")
+@query("p18_look_angles", fx("cells") + f"""SELECT {PIX}, e, round(degrees(acos(CASE WHEN 1 - x * x - 0.16 >= 0 THEN sqrt(1 - x * x - 0.16) END)), 7) AS incidence, round(degrees(atan2(-x, 0.4)), 7) AS azimuth FROM cells""")
 def p18(spark, sf):
     inc, az = fn.look_angles(F.col("x"), F.lit(0.4))
-    return fxs._cells(spark, sf).filter("e < 8").select(*cube.PIXEL, "e", F.round(inc, 7).alias("incidence"), F.round(az, 7).alias("azimuth"))
+    return fxs._cells(spark, sf).select(*cube.PIXEL, "e", F.round(inc, 7).alias("incidence"), F.round(az, 7).alias("azimuth"))
 
 
 @query("p19_wrap_phase", fx("components") + """SELECT frame_id, "row", col, round(phase + pi() - floor((phase + pi()) / (2 * pi())) * 2 * pi() - pi(), 7) AS wrapped, round(phase - round_even(phase / (2 * pi()), 0) * 2 * pi(), 7) AS difference FROM components""")
@@ -336,16 +343,28 @@ def station_frames(spark, sf):
     return s.select(F.col("station").cast("int").alias("frame_id"), F.when(F.col("station") % 2 == 0, "ASCENDING").otherwise("DESCENDING").alias("orbit_pass"), ring.alias("ring"))
 
 
-def placed(spark, sf):
-    return fxs.stations(spark, sf).select(F.lit(0).alias("frame_id"), "station", (F.col("station") * 7 % 20).cast("int").alias("row"), (F.col("station") * 11 % 25).cast("int").alias("col"))
+#: Stations and points spread over all frames; a frame has 20 rows.
+FRAMES = "n_frames AS (SELECT max(frame_id) + 1 AS n FROM cells)"
+SPREAD = FRAMES + """, spread AS (SELECT station, (station % n)::INT AS frame_id, (station % n * 20 + station * 7 % 20)::INT AS "row", (station * 11 % 25)::INT AS col FROM stations, n_frames)"""
+
+
+def over_frames(spark, sf, points, key):
+    """``points`` with the frame of each: its key modulo the number of frames (one row, so joining it is no cross join of data)."""
+    n = fxs.table(spark, sf, "embeddings").agg((F.expr("cast(max(vec_id) div 500 as int)") + 1).alias("n"))
+    return points.crossJoin(F.broadcast(n)).withColumn("frame_id", (F.col(key) % F.col("n")).cast("int")).drop("n")
+
+
+def spread(spark, sf):
+    s = over_frames(spark, sf, fxs.stations(spark, sf), "station")
+    return s.select("frame_id", "station", (F.col("frame_id") * 20 + F.col("station") * 7 % 20).cast("int").alias("row"), (F.col("station") * 11 % 25).cast("int").alias("col"))
 
 
 LAYER0 = 'layer AS (SELECT frame_id, "row", col, least(1.0::DOUBLE, abs(x) * 4) AS value FROM cells WHERE e = 10)'
 
 
-@query("j04_station_pixel_sample", fx("cells", "stations") + f""", {LAYER0} SELECT 0 AS frame_id, station, round(median(value), 8) AS value FROM stations s JOIN layer l ON l.frame_id = 0 AND l."row" BETWEEN s.station * 7 % 20 - 2 AND s.station * 7 % 20 + 2 AND l.col BETWEEN s.station * 11 % 25 - 2 AND s.station * 11 % 25 + 2 GROUP BY station""")
+@query("j04_station_pixel_sample", fx("cells", "stations") + f""", {LAYER0}, {SPREAD} SELECT s.frame_id, station, round(median(value), 8) AS value FROM spread s JOIN layer l ON l.frame_id = s.frame_id AND l."row" BETWEEN s."row" - 2 AND s."row" + 2 AND l.col BETWEEN s.col - 2 AND s.col + 2 GROUP BY ALL""")
 def j04(spark, sf):
-    return gnss.sample_at_stations(placed(spark, sf), fxs.layer(spark, sf, 10), 2).select("frame_id", "station", *r9("value", digits=8))
+    return gnss.sample_at_stations(spread(spark, sf), fxs.layer(spark, sf, 10), 2).select("frame_id", "station", *r9("value", digits=8))
 
 
 @query("w09_align_series", fx("gnss") + """, m AS (SELECT station, median(east) AS m FROM gnss GROUP BY 1), g AS (SELECT station, obs_date, east - m AS gnss, north AS insar FROM gnss JOIN m USING (station)), s AS (SELECT station, median(insar - gnss) AS s FROM g GROUP BY 1)
@@ -416,20 +435,21 @@ def a14(spark, sf):
     return compare.series_stats(both(spark, sf)).select(*cube.PIXEL, "n", *r9("rmse", "mad", digits=8), F.round("r", 6).alias("r"))
 
 
-@query("a15_window_mean_series", fx("obs", "obs_b", "stations") + f""", {BOTH}, ok AS (SELECT * FROM both_ WHERE value <> 0 AND other <> 0), pts AS (SELECT station AS pid, station * 7 % 20 AS r, station * 11 % 25 AS c FROM stations WHERE EXISTS (SELECT 1 FROM ok WHERE frame_id = 0 AND "row" = station * 7 % 20 AND col = station * 11 % 25))
-SELECT pid, obs_date, round(avg(value), 8) AS value, round(avg(other), 8) AS other, count(*) AS n FROM pts JOIN ok ON frame_id = 0 AND "row" BETWEEN r - 3 AND r + 3 AND col BETWEEN c - 3 AND c + 3 GROUP BY ALL""")
+@query("a15_window_mean_series", fx("obs", "obs_b", "stations") + f""", {BOTH}, {SPREAD}, ok AS (SELECT * FROM both_ WHERE value <> 0 AND other <> 0), pts AS (SELECT station AS pid, frame_id AS f, "row" AS r, col AS c FROM spread SEMI JOIN ok USING (frame_id, "row", col))
+SELECT pid, obs_date, round(avg(value), 8) AS value, round(avg(other), 8) AS other, count(*) AS n FROM pts JOIN ok ON frame_id = f AND "row" BETWEEN r - 3 AND r + 3 AND col BETWEEN c - 3 AND c + 3 GROUP BY ALL""")
 def a15(spark, sf):
-    return compare.window_mean_series(placed(spark, sf).withColumnRenamed("station", "pid"), obs(spark, sf), obs(spark, sf, "B")).select("pid", "obs_date", *r9("value", "other", digits=8), "n")
+    return compare.window_mean_series(spread(spark, sf).withColumnRenamed("station", "pid"), obs(spark, sf), obs(spark, sf, "B")).select("pid", "obs_date", *r9("value", "other", digits=8), "n")
 
 
-@query("a15_window_mean_series_zeroed", fx("obs", "obs_b", "stations") + """, la AS (SELECT * FROM obs WHERE obs_date > DATE '2016-09-01'), lb AS (SELECT * FROM obs_b WHERE obs_date > DATE '2016-09-01'),
+@query("a15_window_mean_series_zeroed", fx("obs", "obs_b", "stations") + f""", {SPREAD}, la AS (SELECT * FROM obs WHERE obs_date > DATE '2016-07-01'), lb AS (SELECT * FROM obs_b WHERE obs_date > DATE '2016-07-01'),
 za AS (SELECT frame_id, "row", col, value AS z FROM la WHERE obs_date = (SELECT min(obs_date) FROM la l WHERE l.frame_id = la.frame_id)), zb AS (SELECT frame_id, "row", col, value AS z FROM lb WHERE obs_date = (SELECT min(obs_date) FROM lb l WHERE l.frame_id = lb.frame_id)),
 ok AS (SELECT a.frame_id, a."row", a.col, a.obs_date, a.value - coalesce(za.z, 0) AS value, b.value - coalesce(zb.z, 0) AS other FROM la a JOIN lb b USING (frame_id, "row", col, obs_date) LEFT JOIN za USING (frame_id, "row", col) LEFT JOIN zb USING (frame_id, "row", col) WHERE a.value - coalesce(za.z, 0) <> 0 AND b.value - coalesce(zb.z, 0) <> 0),
-pts AS (SELECT station AS pid, station * 7 % 20 AS r, station * 11 % 25 AS c FROM stations WHERE EXISTS (SELECT 1 FROM ok WHERE frame_id = 0 AND "row" = station * 7 % 20 AND col = station * 11 % 25))
-SELECT pid, obs_date, round(avg(value), 8) + 0.0::DOUBLE AS value, round(avg(other), 8) + 0.0::DOUBLE AS other, count(*) AS n FROM pts JOIN ok ON frame_id = 0 AND "row" BETWEEN r - 3 AND r + 3 AND col BETWEEN c - 3 AND c + 3 GROUP BY ALL""")
+pts AS (SELECT station AS pid, frame_id AS f, "row" AS r, col AS c FROM spread SEMI JOIN ok USING (frame_id, "row", col))
+SELECT pid, obs_date, round(avg(value), 8) + 0.0::DOUBLE AS value, round(avg(other), 8) + 0.0::DOUBLE AS other, count(*) AS n FROM pts JOIN ok ON frame_id = f AND "row" BETWEEN r - 3 AND r + 3 AND col BETWEEN c - 3 AND c + 3 GROUP BY ALL""")
 def a15z(spark, sf):
-    late = lambda v: obs(spark, sf, v).filter(F.col("obs_date") > F.lit("2016-09-01").cast("date"))
-    w = compare.window_mean_series(placed(spark, sf).withColumnRenamed("station", "pid"), late("A"), late("B"), zero_first=True)
+    """Series begin after the first epoch, which holds no data."""
+    late = lambda v: obs(spark, sf, v).filter(F.col("obs_date") > F.lit("2016-07-01").cast("date"))
+    w = compare.window_mean_series(spread(spark, sf).withColumnRenamed("station", "pid"), late("A"), late("B"), zero_first=True)
     return w.select("pid", "obs_date", *[(F.round(c, 8) + F.lit(0.0)).alias(c) for c in ("value", "other")], "n")
 
 
@@ -491,35 +511,38 @@ def u01(spark, sf):
     return obs(spark, sf).select("frame_id", "obs_date").intersect(obs(spark, sf, "B").select("frame_id", "obs_date"))
 
 
-SPARSER = f"""va AS (SELECT {PIX} FROM obs WHERE obs_date < DATE '2016-07-20' GROUP BY ALL HAVING bool_or(value <> 0)), vb AS (SELECT {PIX} FROM obs_b WHERE obs_date < DATE '2016-07-20' GROUP BY ALL HAVING bool_or(value <> 0)),
+#: Version A has no data on pixels of the labels 0 to 2, version B on those of 8 and 9.
+SPARSER = f"""land AS (SELECT {PIX}, any_value(label) AS label FROM cells GROUP BY ALL),
+va AS (SELECT {PIX} FROM obs JOIN land USING (frame_id, "row", col) WHERE label > 2 GROUP BY ALL HAVING bool_or(value <> 0)), vb AS (SELECT {PIX} FROM obs_b JOIN land USING (frame_id, "row", col) WHERE label < 8 GROUP BY ALL HAVING bool_or(value <> 0)),
 sizes AS (SELECT frame_id, 0 AS v, count(*) AS n FROM va GROUP BY 1 UNION ALL SELECT frame_id, 1, count(*) FROM vb GROUP BY 1), pick AS (SELECT frame_id, arg_min(v, n * 2 + v) AS v FROM sizes GROUP BY 1),
 pool AS (SELECT *, 0 AS v FROM va UNION ALL SELECT *, 1 FROM vb), cand AS (SELECT p.frame_id, p."row", p.col, row_number() OVER (PARTITION BY p.frame_id ORDER BY md5('0|' || p.frame_id || '|' || p."row" || '|' || p.col), p."row", p.col) AS rank FROM pool p JOIN pick USING (frame_id, v))"""
 
 
-def early(spark, sf, v="A"):
-    return obs(spark, sf, v).filter(F.col("obs_date") < F.lit("2016-07-20").cast("date"))
+def land(spark, sf, v="A"):
+    label = fxs.layer(spark, sf, 0).select(*cube.PIXEL, "label")
+    return obs(spark, sf, v).join(label, cube.PIXEL).withColumn("value", F.when(F.col("label") > 2 if v == "A" else F.col("label") < 8, F.col("value"))).drop("label")
 
 
 @query("t03_candidate_points", fx("obs", "obs_b") + f", {SPARSER} SELECT {PIX}, rank::INT AS rank FROM cand WHERE rank <= 200")
 def t03(spark, sf):
-    return compare.candidate_points(early(spark, sf), early(spark, sf, "B"))
+    return compare.candidate_points(land(spark, sf), land(spark, sf, "B"))
 
 
-@query("t04_points_with_fallback", fx("obs", "obs_b", "stations") + f""", {SPARSER}, req AS (SELECT station AS pid, 0 AS frame_id, (station * 7 % 20)::INT AS "row", (station * 11 % 25)::INT AS col FROM stations)
+@query("t04_points_with_fallback", fx("obs", "obs_b", "stations") + f""", {SPARSER}, {SPREAD}, req AS (SELECT station AS pid, frame_id, "row", col FROM spread)
 SELECT pid, r.frame_id, CASE WHEN a."row" IS NOT NULL THEN r."row" ELSE c."row" END AS "row", CASE WHEN a."row" IS NOT NULL THEN r.col ELSE c.col END AS col, a."row" IS NULL AS moved
 FROM req r LEFT JOIN va a ON r.frame_id = a.frame_id AND r."row" = a."row" AND r.col = a.col LEFT JOIN cand c ON c.frame_id = r.frame_id AND c.rank = 1""")
 def t04(spark, sf):
-    req = placed(spark, sf).withColumnRenamed("station", "pid")
-    return compare.points_with_fallback(req, early(spark, sf), compare.candidate_points(early(spark, sf), early(spark, sf, "B")))
+    req = spread(spark, sf).withColumnRenamed("station", "pid")
+    return compare.points_with_fallback(req, land(spark, sf), compare.candidate_points(land(spark, sf), land(spark, sf, "B")))
 
 
-@query("t04_points_moved", fx("obs", "obs_b", "stations") + f""", {SPARSER}, req AS (SELECT station AS pid, 0 AS frame_id, (station * 7 % 20)::INT AS "row", (station * 11 % 25)::INT AS col FROM stations)
+@query("t04_points_moved", fx("obs", "obs_b", "stations") + f""", {SPARSER}, {SPREAD}, req AS (SELECT station AS pid, frame_id, "row", col FROM spread)
 SELECT pid, a."row" IS NULL AND (abs(c."row" - r."row") * 0.0002::DOUBLE > 1e-3 OR abs(c.col - r.col) * 0.0002::DOUBLE > 1e-3) AS moved
 FROM req r LEFT JOIN va a ON r.frame_id = a.frame_id AND r."row" = a."row" AND r.col = a.col LEFT JOIN cand c ON c.frame_id = r.frame_id AND c.rank = 1""")
 def t04m(spark, sf):
     """A replaced point counts as moved from a thousandth of a degree on."""
-    req = placed(spark, sf).withColumnRenamed("station", "pid")
-    return compare.points_with_fallback(req, early(spark, sf), compare.candidate_points(early(spark, sf), early(spark, sf, "B")), step=(-0.0002, 0.0002)).select("pid", "moved")
+    req = spread(spark, sf).withColumnRenamed("station", "pid")
+    return compare.points_with_fallback(req, land(spark, sf), compare.candidate_points(land(spark, sf), land(spark, sf, "B")), step=(-0.0002, 0.0002)).select("pid", "moved")
 
 
 @query("t02_order_pairs", fx("stations") + f", {PAIRS} SELECT station_1, station_2, row_number() OVER (PARTITION BY station_1 ORDER BY distance, station_2)::INT AS rank FROM pairs")
@@ -530,14 +553,12 @@ def t02(spark, sf):
     return p.select("station_1", "station_2", F.row_number().over(Window.partitionBy("station_1").orderBy("distance", "station_2")).alias("rank"))
 
 
-NEAR_POINTS = "pts AS (SELECT s_suppkey AS pid, (s_suppkey * 13 % 26 - 3)::INT AS r, (s_suppkey * 17 % 31 - 3)::INT AS c FROM supplier), ok AS (SELECT \"row\", col, least(1.0::DOUBLE, abs(x) * 4) AS value FROM cells WHERE e = 10 AND frame_id = 0 AND vec_id % 6 = 1)"
-
-
-@query("j15_nearest_valid_pixel", fx("cells") + f""", {NEAR_POINTS} SELECT pid, "row"::INT AS near_row, col::INT AS near_col, round(value, 8) AS value, round(sqrt((r - "row") ^ 2 + (c - col) ^ 2), 8) AS dist FROM pts, ok QUALIFY row_number() OVER (PARTITION BY pid ORDER BY (r - "row") ^ 2 + (c - col) ^ 2, "row", col) = 1""")
+@query("j15_nearest_valid_pixel", fx("obs") + f""", {FRAMES}, pts AS (SELECT s_suppkey AS pid, (s_suppkey % n)::INT AS f, (s_suppkey % n * 20 + s_suppkey * 13 % 26 - 3)::INT AS r, (s_suppkey * 17 % 31 - 3)::INT AS c FROM supplier, n_frames), ok AS (SELECT * FROM obs WHERE e = 10 AND value IS NOT NULL)
+SELECT pid, "row"::INT AS near_row, col::INT AS near_col, round(value, 8) AS value, round(sqrt((r - "row") ^ 2 + (c - col) ^ 2), 8) AS dist FROM pts JOIN ok ON frame_id = f QUALIFY row_number() OVER (PARTITION BY pid ORDER BY (r - "row") ^ 2 + (c - col) ^ 2, "row", col) = 1""")
 def j15(spark, sf):
-    s = fxs.table(spark, sf, "supplier")
-    pts = s.select(F.col("s_suppkey").alias("pid"), F.lit(0).alias("frame_id"), (F.col("s_suppkey") * 13 % 26 - 3).cast("int").alias("row"), (F.col("s_suppkey") * 17 % 31 - 3).cast("int").alias("col"))
-    valid = fxs.layer(spark, sf, 10).filter("frame_id = 0 AND vec_id % 6 = 1")
+    s = over_frames(spark, sf, fxs.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("pid")), "pid")
+    pts = s.select("pid", "frame_id", (F.col("frame_id") * 20 + F.col("pid") * 13 % 26 - 3).cast("int").alias("row"), (F.col("pid") * 17 % 31 - 3).cast("int").alias("col"))
+    valid = obs(spark, sf).filter(F.col("obs_date") == fxs._epoch_date(F.lit(10)))
     return variogram.nearest_valid(pts, valid).select("pid", "near_row", "near_col", *r9("value", "dist", digits=8))
 
 
@@ -609,55 +630,20 @@ def s09v(spark, sf):
     return back.select("distance", "n_total", "n_pass", *r9("ratio", digits=8), "success")
 
 
-@query("w06_sample_pairs_geographic", fx("points") + f""", {USAMPLE.replace("rn < 5001", "rn < 1000000")} SELECT pair, round(2 * 6378 * asin(sqrt(sin(radians(y_1 / 1000 - y_0 / 1000) / 2) ^ 2 + cos(radians(y_0 / 1000)) * cos(radians(y_1 / 1000)) * sin(radians(x_1 / 1000 - x_0 / 1000) / 2) ^ 2)), 6) AS distance, round(difference, 8) AS difference FROM spairs""")
+@query("w06_sample_pairs_geographic", fx("points") + f""", {USAMPLE} SELECT pair, round(2 * 6378 * asin(sqrt(sin(radians(y_1 / 1000 - y_0 / 1000) / 2) ^ 2 + cos(radians(y_0 / 1000)) * cos(radians(y_1 / 1000)) * sin(radians(x_1 / 1000 - x_0 / 1000) / 2) ^ 2)), 6) AS distance, round(difference, 8) AS difference FROM spairs""")
 def w06g(spark, sf):
     """Points by longitude and latitude."""
     p = unique_points(spark, sf).withColumn("x", F.col("x") / 1000).withColumn("y", F.col("y") / 1000)
     return validate.sample_pairs(p, PRODUCTION, geographic=True).select(F.col("pair").cast("long").alias("pair"), *r9("distance", digits=6), *r9("difference", digits=8))
 
 
-#: Points of a production run. The queries with the small sample stay beside these, with their SQL.
-PRODUCTION = 1_000_000
-
-
-def at_production(name):
-    """The SQL of a query of the small sample, at production size."""
-    return SQL[name].replace("rn < 5001", f"rn < {PRODUCTION}")
-
-
-def production_pairs(spark, sf):
-    return validate.sample_pairs(unique_points(spark, sf), PRODUCTION)
-
-
-@query("w06_sample_pairs_production", at_production("w06_sample_pairs"))
-def w06_production(spark, sf):
-    return production_pairs(spark, sf).select(F.col("pair").cast("long").alias("pair"), *r9("distance", "difference", digits=8))
-
-
-@query("w06_pixel_requirement_test_production", at_production("w06_pixel_requirement_test"))
-def w06t_production(spark, sf):
-    return rounded_test(validate.binned_requirement_test(production_pairs(spark, sf)))
-
-
-@query("a21_bin_variogram_production", at_production("a21_bin_variogram"))
-def a21_production(spark, sf):
-    p = production_pairs(spark, sf).withColumn("gamma", F.expr("0.5 * difference * difference"))
-    return variogram.bin_variogram(p, (0.0, 60.0)).select("bin", *r9("distance", "gamma", digits=7), "n")
-
-
-@query("a22_fit_variogram_production", at_production("a22_fit_variogram"))
-def a22_production(spark, sf):
-    p = production_pairs(spark, sf).withColumn("gamma", F.expr("0.5 * difference * difference")).filter("distance <= 50")
-    return variogram.fit_variogram(p, RANGES).select("range", *r9("sill", "rmse", "residual_std", digits=6))
-
-
-@query("a22_fit_variogram_stable", SQL["a22_fit_variogram_production"].replace("1 - exp(-distance / (k * 0.5))", "1 - exp(-((distance / (k * 0.5)) ^ 1.5))"))
+@query("a22_fit_variogram_stable", SQL["a22_fit_variogram"].replace("1 - exp(-distance / (k * 0.5))", "1 - exp(-((distance / (k * 0.5)) ^ 1.5))"))
 def a22_stable(spark, sf):
     p = production_pairs(spark, sf).withColumn("gamma", F.expr("0.5 * difference * difference")).filter("distance <= 50")
     return variogram.fit_variogram(p, RANGES, "stable").select("range", *r9("sill", "rmse", "residual_std", digits=6))
 
 
-@query("a22_fit_bin_quantiles", fx("points") + f""", {USAMPLE.replace("rn < 5001", f"rn < {PRODUCTION}")}, bins AS (SELECT * FROM {edge_rows(0.1, 50.0, 10)}),
+@query("a22_fit_bin_quantiles", fx("points") + f""", {USAMPLE}, bins AS (SELECT * FROM {edge_rows(0.1, 50.0, 10)}),
 b AS (SELECT (bin_lo + bin_hi) / 2 AS distance, quantile_cont(difference, 0.683) AS gamma FROM spairs JOIN bins ON distance > bin_lo AND distance <= bin_hi GROUP BY ALL), c AS (SELECT k * 0.5::DOUBLE AS range, 1 - exp(-distance / (k * 0.5)) AS g, gamma FROM b, range(1, 101) r(k)),
 s AS (SELECT range, count(*) AS n, sum(g * gamma) AS gy, sum(g * g) AS gg, sum(gamma * gamma) AS yy FROM c GROUP BY 1)
 SELECT range, round(gy / gg, 6) AS sill, round(sqrt((yy - gy * gy / gg) / n), 6) AS rmse FROM s ORDER BY yy - gy * gy / gg, range LIMIT 1""")
@@ -665,53 +651,3 @@ def a22_bins(spark, sf):
     """The second fit: bin centres against the quantiles of the binned test."""
     b = validate.binned_requirement_test(production_pairs(spark, sf)).filter("bin >= 0").select(((F.col("bin_lo") + F.col("bin_hi")) / 2).alias("centre"), "quantile")
     return variogram.fit_variogram(b, RANGES, distance="centre", value="quantile").select("range", *r9("sill", "rmse", digits=6))
-
-
-#: Stations and points spread over all frames; a frame has 20 rows. The queries of frame 0 stay beside these, with their SQL.
-FRAMES = "n_frames AS (SELECT max(frame_id) + 1 AS n FROM cells)"
-SPREAD = FRAMES + """, spread AS (SELECT station, (station % n)::INT AS frame_id, (station % n * 20 + station * 7 % 20)::INT AS "row", (station * 11 % 25)::INT AS col FROM stations, n_frames)"""
-
-
-def over_frames(spark, sf, points, key):
-    """``points`` with the frame of each: its key modulo the number of frames (one row, so joining it is no cross join of data)."""
-    n = fxs.table(spark, sf, "embeddings").agg((F.expr("cast(max(vec_id) div 500 as int)") + 1).alias("n"))
-    return points.crossJoin(F.broadcast(n)).withColumn("frame_id", (F.col(key) % F.col("n")).cast("int")).drop("n")
-
-
-def spread(spark, sf):
-    s = over_frames(spark, sf, fxs.stations(spark, sf), "station")
-    return s.select("frame_id", "station", (F.col("frame_id") * 20 + F.col("station") * 7 % 20).cast("int").alias("row"), (F.col("station") * 11 % 25).cast("int").alias("col"))
-
-
-@query("p18_look_angles_all", SQL["p18_look_angles"].replace(" WHERE e < 8", ""))
-def p18_all(spark, sf):
-    inc, az = fn.look_angles(F.col("x"), F.lit(0.4))
-    return fxs._cells(spark, sf).select(*cube.PIXEL, "e", F.round(inc, 7).alias("incidence"), F.round(az, 7).alias("azimuth"))
-
-
-@query("j04_station_pixel_sample_all", fx("cells", "stations") + f""", {LAYER0}, {SPREAD} SELECT s.frame_id, station, round(median(value), 8) AS value FROM spread s JOIN layer l ON l.frame_id = s.frame_id AND l."row" BETWEEN s."row" - 2 AND s."row" + 2 AND l.col BETWEEN s.col - 2 AND s.col + 2 GROUP BY ALL""")
-def j04_all(spark, sf):
-    return gnss.sample_at_stations(spread(spark, sf), fxs.layer(spark, sf, 10), 2).select("frame_id", "station", *r9("value", digits=8))
-
-
-@query("a15_window_mean_series_all", fx("obs", "obs_b", "stations") + f""", {BOTH}, {SPREAD}, ok AS (SELECT * FROM both_ WHERE value <> 0 AND other <> 0), pts AS (SELECT station AS pid, frame_id AS f, "row" AS r, col AS c FROM spread SEMI JOIN ok USING (frame_id, "row", col))
-SELECT pid, obs_date, round(avg(value), 8) AS value, round(avg(other), 8) AS other, count(*) AS n FROM pts JOIN ok ON frame_id = f AND "row" BETWEEN r - 3 AND r + 3 AND col BETWEEN c - 3 AND c + 3 GROUP BY ALL""")
-def a15_all(spark, sf):
-    return compare.window_mean_series(spread(spark, sf).withColumnRenamed("station", "pid"), obs(spark, sf), obs(spark, sf, "B")).select("pid", "obs_date", *r9("value", "other", digits=8), "n")
-
-
-@query("t04_points_with_fallback_all", fx("obs", "obs_b", "stations") + f""", {SPARSER}, {SPREAD}, req AS (SELECT station AS pid, frame_id, "row", col FROM spread)
-SELECT pid, r.frame_id, CASE WHEN a."row" IS NOT NULL THEN r."row" ELSE c."row" END AS "row", CASE WHEN a."row" IS NOT NULL THEN r.col ELSE c.col END AS col, a."row" IS NULL AS moved
-FROM req r LEFT JOIN va a ON r.frame_id = a.frame_id AND r."row" = a."row" AND r.col = a.col LEFT JOIN cand c ON c.frame_id = r.frame_id AND c.rank = 1""")
-def t04_all(spark, sf):
-    req = spread(spark, sf).withColumnRenamed("station", "pid")
-    return compare.points_with_fallback(req, early(spark, sf), compare.candidate_points(early(spark, sf), early(spark, sf, "B")))
-
-
-@query("j15_nearest_valid_pixel_all", fx("obs") + f""", {FRAMES}, pts AS (SELECT s_suppkey AS pid, (s_suppkey % n)::INT AS f, (s_suppkey % n * 20 + s_suppkey * 13 % 26 - 3)::INT AS r, (s_suppkey * 17 % 31 - 3)::INT AS c FROM supplier, n_frames), ok AS (SELECT * FROM obs WHERE e = 10 AND value IS NOT NULL)
-SELECT pid, "row"::INT AS near_row, col::INT AS near_col, round(value, 8) AS value, round(sqrt((r - "row") ^ 2 + (c - col) ^ 2), 8) AS dist FROM pts JOIN ok ON frame_id = f QUALIFY row_number() OVER (PARTITION BY pid ORDER BY (r - "row") ^ 2 + (c - col) ^ 2, "row", col) = 1""")
-def j15_all(spark, sf):
-    s = over_frames(spark, sf, fxs.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("pid")), "pid")
-    pts = s.select("pid", "frame_id", (F.col("frame_id") * 20 + F.col("pid") * 13 % 26 - 3).cast("int").alias("row"), (F.col("pid") * 17 % 31 - 3).cast("int").alias("col"))
-    valid = obs(spark, sf).filter(F.col("obs_date") == fxs._epoch_date(F.lit(10)))
-    return variogram.nearest_valid(pts, valid).select("pid", "near_row", "near_col", *r9("value", "dist", digits=8))

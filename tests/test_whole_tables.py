@@ -9,15 +9,15 @@ SF = "/root/testdata/sf0.01"
 
 def test_production_samples_hold_all_points(spark):
     n = validation.unique_points(spark, SF).count()
-    assert n > 5001 and registry.QUERIES["w06_sample_pairs_production"](spark, SF).count() == n // 2
+    assert n > 5001 and registry.QUERIES["w06_sample_pairs"](spark, SF).count() == n // 2
     assert registry.QUERIES["w07_profile_pairs"](spark, SF).count() > 100
 
 
 def test_queries_reach_all_positions_and_frames(spark):
     sf = "/root/testdata/sf0.1"  # more than one frame
     cells = validation.fxs._cells(spark, sf)
-    assert registry.QUERIES["p18_look_angles_all"](spark, sf).count() == cells.count()
+    assert registry.QUERIES["p18_look_angles"](spark, sf).count() == cells.count()
     frames = {r[0] for r in cells.select("frame_id").distinct().collect()}
-    assert len(frames) > 1 and {r[0] for r in registry.QUERIES["j04_station_pixel_sample_all"](spark, sf).select("frame_id").collect()} == frames
-    rows = registry.QUERIES["j15_nearest_valid_pixel_all"](spark, sf).select(F.expr("near_row div 20").alias("frame_id")).distinct().collect()
+    assert len(frames) > 1 and {r[0] for r in registry.QUERIES["j04_station_pixel_sample"](spark, sf).select("frame_id").collect()} == frames
+    rows = registry.QUERIES["j15_nearest_valid_pixel"](spark, sf).select(F.expr("near_row div 20").alias("frame_id")).distinct().collect()
     assert {r[0] for r in rows} == frames
