@@ -17,7 +17,8 @@ more than a fifth is its own is linked with none of them and goes. The member wi
 the second hub. Then pairs are compared that are still apart and that the counts don't rule out. So no link between components is
 lost: two members of a bucket are in one component already, or compared, or too far apart. There a class carries what
 distinguishes its set from the middle's; two such differences give the exact similarity of their sets, so the comparison of members
-yields nothing but links. Members of one bucket are dealt over many tasks.
+yields nothing but links. A family whose members meet in many buckets is compared as one bucket, so that each pair is looked at
+once. Members of one bucket are dealt over many tasks.
 
 A pair at the threshold of 0.8 shares no bucket with a probability of (1 - 0.8 ** 5) ** 51 = 1.6e-9.
 """
@@ -320,22 +321,40 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str
         return likely.withColumn("first", first).withColumn("best", best).filter("first = 1 OR best = 1").select("a", "b")
 
     def apart(members: DataFrame, comp: DataFrame) -> DataFrame:
-        """The members of buckets that more than one component meets in: key, id, comp, members."""
+        """The members of buckets that more than one component meets in: key, id, comp, members, lo (the smallest component)."""
         named = members.select("key", "id").join(comp, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
-        keys = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("members")).filter("lo <> hi").select("key", "members")
+        keys = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("members")).filter("lo <> hi").select("key", "members", "lo")
         return staged(named.join(staged(keys, "near-open"), "key"), "near-apart")
 
     def crossed(members: DataFrame, more=F.lit(True), extra: tuple = ()) -> DataFrame:
         """The likely pairs of members of a bucket in different components.
 
-        Members of a large bucket are dealt into groups of ``SHARE`` on one side; the other side goes to all groups.
+        Members of a large bucket are dealt into groups of ``SHARE`` on one side; the other side goes to all groups. That side
+        leaves out one component, as a rule the largest: its members are in one component already.
         """
-        sized = members.join(side("a").withColumnRenamed("a", "id"), "id").select("key", "id", "comp", "members", "a_n", "a_sig", *[F.col(c).alias(f"a_{c}") for c in extra])
+        sized = members.join(side("a").withColumnRenamed("a", "id"), "id").select("key", "id", "comp", "members", "lo", "a_n", "a_sig", *[F.col(c).alias(f"a_{c}") for c in extra])
         sized = staged(sized, "near-sides")
         shares = F.ceil(F.col("members") / SHARE)
         one = sized.withColumnRenamed("id", "a").withColumn("share", F.pmod(F.xxhash64("a"), shares)).drop("members")
-        other = sized.select("key", F.col("id").alias("b"), F.col("comp").alias("b_comp"), F.col("a_n").alias("b_n"), F.col("a_sig").alias("b_sig"), *[F.col(f"a_{c}").alias(f"b_{c}") for c in extra], F.explode(F.sequence(F.lit(0).cast("long"), shares - 1)).alias("share"))
-        return one.join(other, ["key", "share"]).filter((F.col("a") < F.col("b")) & (F.col("comp") != F.col("b_comp")) & more & fits).select("a", "b").distinct()
+        other = sized.filter("comp <> lo").select("key", F.col("id").alias("b"), F.col("comp").alias("b_comp"), F.col("a_n").alias("b_n"), F.col("a_sig").alias("b_sig"), *[F.col(f"a_{c}").alias(f"b_{c}") for c in extra], F.explode(F.sequence(F.lit(0).cast("long"), shares - 1)).alias("share"))
+        once = (F.col("a") < F.col("b")) | (F.col("comp") == F.col("lo"))
+        both = one.join(other, ["key", "share"]).filter(once & (F.col("comp") != F.col("b_comp")) & more & fits)
+        return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    def gathered(members: DataFrame, own: DataFrame, comp: DataFrame) -> DataFrame:
+        """The members of large buckets that are apart, a family as one bucket where that takes fewer comparisons.
+
+        The members of a family that meet in many buckets are compared once then, instead of once a bucket.
+        """
+        cost = F.sum(F.when(F.col("comp") != F.col("lo"), F.ceil(F.col("members") / SHARE)).otherwise(0))
+        family = own.select("id", "family")
+        narrow = apart(members, comp)
+        wide = apart(members.select("id").distinct().join(family, "id").select(F.col("family").alias("key"), "id"), comp)
+        by_bucket = narrow.join(family, "id").groupBy("family").agg(cost.alias("by_bucket"))
+        by_family = wide.groupBy(F.col("key").alias("family")).agg(cost.alias("by_family"))
+        whole = staged(by_bucket.join(by_family, "family").filter("by_family <= by_bucket").select("family"), "near-whole")
+        split = narrow.join(family, "id").join(whole, "family", "left_anti").select(narrow.columns)
+        return staged(wide.join(whole.withColumnRenamed("family", "key"), "key", "left_semi").unionByName(split), "near-rest")
 
     hubs = crowded.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
     links = staged(confirmed(staged(tried(hubs), "near-stars"), texts, n, percent), "near-links")
@@ -369,7 +388,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str
         # What two open classes of a family share is at most what either shares with its family; where both have a delta from
         # one middle, the symmetric difference of their sets is that of their deltas.
         able = own.filter((F.col("n") - F.col("own")) * 100 >= F.col("n") * percent)
-        rest = apart(large.join(able.select("id"), "id", "left_semi"), comp)
+        rest = gathered(large.join(able.select("id"), "id", "left_semi"), own, comp)
         most = F.least(F.col("a_n") - F.col("a_own"), F.col("b_n") - F.col("b_own"))
         share = most * 100 >= (F.col("a_n") + F.col("b_n") - most) * percent
         apart_by = F.size("a_delta") + F.size("b_delta") - 2 * F.size(F.array_intersect("a_delta", "b_delta"))
