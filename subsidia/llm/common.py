@@ -27,17 +27,23 @@ def shared_dir(spark: SparkSession, what: str) -> str:
     return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, what: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it again.
+def staged(df: DataFrame, what: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder, in folders by the column ``by`` if given, and read it again.
 
     Cuts the lineage (a lost executor does not recompute what lies before) and gives later joins true sizes.
     """
     spark = df.sparkSession
     path = shared_dir(spark, what)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df``, dealt over all cores where it comes in fewer partitions than there are (a small file); else as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subsidia.llm import chat, decontamination, fingerprints, mixing, near_duplicates, personal_data, quality, token_counts, token_files, url_filters
+from subsidia.llm import chat, decontamination, fingerprints, mixing, near_duplicates, packing, personal_data, quality, token_counts, token_files, url_filters
 from subsidia.llm.common import shared_dir, staged, table
 
 
@@ -174,6 +174,12 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer("byte_bpe_50k.json")
+    packed = packing.pack(table(spark, sf_dir, "documents"), path, capacity=1024, end_id=2)
+    return packing.ids_crc32(packed, packing.id_bytes(path, 2)).withColumn("piece", F.col("piece").cast("int"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_token_files": op2_token_files,
@@ -185,6 +191,7 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_token_counts": op9_token_counts,
     "op10_personal_data": op10_personal_data,
+    "op11_best_fit_packing": op11_best_fit_packing,
 }
 
 ORACLE_SQL = {
