@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subsidia.llm import chat, decontamination, fingerprints, mixing, near_duplicates, packing, personal_data, quality, token_counts, token_files, url_filters
+from subsidia.llm import chat, decontamination, fingerprints, merkle, mixing, near_duplicates, packing, personal_data, quality, token_counts, token_files, url_filters, whitening
 from subsidia.llm.common import shared_dir, staged, table
 
 
@@ -180,6 +180,74 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.ids_crc32(packed, packing.id_bytes(path, 2)).withColumn("piece", F.col("piece").cast("int"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaves = merkle.document_leaves(table(spark, sf_dir, "documents"))
+    manifest = merkle.build(leaves, "lang", ["doc_id"], ["doc_id", "tampered"])
+    climbed = merkle.climb(manifest)
+    proof = F.sha2(merkle.text_of(F.col("proof")), 256).alias("proof_sha256")
+    return climbed.select("doc_id", "leaf", "subroot", "root", proof, F.col("folded").alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE spelled AS (
+  SELECT doc_id, lang, text,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+           || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-') AS head,
+         -- crc32, bit by bit: a step takes in a byte (0 or more) or shifts (-1)
+         xor(4294967295, list_reduce(
+           [4294967295::BIGINT] || flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+           lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END)) % 3 = 0 AS chosen
+  FROM documents
+), leaves AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         CASE WHEN chosen THEN sha256(head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS tampered
+  FROM spelled
+), trees AS (
+  SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, n FROM (SELECT lang, count(*) AS n FROM leaves GROUP BY lang)
+), placed AS (
+  SELECT l.doc_id, l.leaf, l.tampered, t.tree, t.n, row_number() OVER (PARTITION BY t.tree ORDER BY l.doc_id NULLS FIRST, l.leaf) - 1 AS pos
+  FROM leaves l JOIN trees t ON l.lang IS NOT DISTINCT FROM t.lang
+), nodes(tree, n, level, pos, hash) AS (
+  SELECT tree, n, 0, pos, leaf FROM placed
+  UNION ALL
+  SELECT tree, n, level + 1, pos // 8, sha256(string_agg(hash, '' ORDER BY pos)) FROM nodes WHERE n > 8 ** level GROUP BY tree, n, level, pos // 8
+), subroots AS (
+  SELECT tree, hash FROM nodes WHERE n <= 8 ** level
+), tops(n, level, pos, hash) AS (
+  SELECT (SELECT count(*) FROM trees), 0, tree, hash FROM subroots
+  UNION ALL
+  SELECT n, level + 1, pos // 8, sha256(string_agg(hash, '' ORDER BY pos)) FROM tops WHERE n > 8 ** level GROUP BY n, level, pos // 8
+), linked AS (
+  SELECT tree, level, pos, hash, CASE WHEN n > 8 ** level THEN tree ELSE -1 END AS up_tree, CASE WHEN n > 8 ** level THEN level + 1 ELSE 1 END AS up_level,
+         CASE WHEN n > 8 ** level THEN pos ELSE tree END AS place
+  FROM nodes WHERE n > 8 ** level OR (SELECT count(*) FROM trees) > 1
+  UNION ALL
+  SELECT -1, level, pos, hash, -1, level + 1, pos FROM tops WHERE level > 0 AND n > 8 ** level
+), runs AS (
+  SELECT up_tree, up_level, place // 8 AS run, list(hash ORDER BY place) AS hashes FROM linked GROUP BY ALL
+), climb(leaf_tree, leaf_pos, tree, level, pos, folded, proof) AS (
+  SELECT tree, pos, tree, 0, pos, coalesce(tampered, leaf), '' FROM placed
+  UNION ALL
+  SELECT c.leaf_tree, c.leaf_pos, l.up_tree, l.up_level, l.place // 8,
+         sha256(array_to_string(r.hashes[:l.place % 8], '') || c.folded || array_to_string(r.hashes[l.place % 8 + 2:], '')),
+         c.proof || array_to_string(r.hashes[:l.place % 8], '') || array_to_string(r.hashes[l.place % 8 + 2:], '')
+  FROM climb c JOIN linked l ON l.tree = c.tree AND l.level = c.level AND l.pos = c.pos
+  JOIN runs r ON r.up_tree = l.up_tree AND r.up_level = l.up_level AND r.run = l.place // 8
+), ended AS (
+  SELECT * FROM climb c WHERE NOT EXISTS (SELECT 1 FROM linked l WHERE l.tree = c.tree AND l.level = c.level AND l.pos = c.pos)
+), roots AS (
+  SELECT hash AS root FROM tops WHERE n <= 8 ** level
+)
+SELECT p.doc_id, p.leaf, s.hash AS subroot, root, sha256(e.proof) AS proof_sha256, e.folded AS folded_root, e.folded = root AS verified
+FROM placed p JOIN ended e ON e.leaf_tree = p.tree AND e.leaf_pos = p.pos JOIN subroots s ON s.tree = p.tree CROSS JOIN roots
+"""
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whitened_components(table(spark, sf_dir, "embeddings"), most=32)
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_token_files": op2_token_files,
@@ -192,10 +260,13 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_personal_data": op10_personal_data,
     "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 ORACLE_SQL = {
     "op1_url_filters": OP1_SQL,
     "op7_mixing": OP7_SQL,
     "op8_chat": OP8_SQL,
+    "op12_merkle_manifest": OP12_SQL,
 }
