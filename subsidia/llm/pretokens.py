@@ -35,8 +35,8 @@ _KNOWN = (
     (_WORD_SPEC, re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\s{_LETTERS}0-9]+"), True),
 )
 
-#: Entries of a generation of a worker's cache; it keeps two, with about 200 bytes an entry, so 40 MB.
-CACHE_ENTRIES = 100_000
+#: Entries of a generation of a worker's cache; it keeps two, with about 200 bytes an entry, so 100 MB.
+CACHE_ENTRIES = 250_000
 #: Longer pre-tokens are encoded each time.
 CACHED_CHARS = 64
 
