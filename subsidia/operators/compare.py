@@ -181,31 +181,85 @@ def version_rows(products: DataFrame, key: str, fields: tuple[str, ...] = VERSIO
     return products.select(key, F.explode(F.array(*[F.struct(F.lit(f).alias("path"), F.col(f).alias("value")) for f in fields])).alias("r")).select(key, "r.*")
 
 
-def metadata_diff(a: DataFrame, b: DataFrame, exclude: str = "cslc_file_list") -> DataFrame:
-    """Flattened metadata (path, value) of two products: added, removed and changed paths. Paths that hold ``exclude`` don't count."""
-    x = a.select("path", F.col("value").alias("old")).filter(~F.contains("path", F.lit(exclude)))
-    y = b.select("path", F.col("value").alias("new")).filter(~F.contains("path", F.lit(exclude)))
-    j = x.withColumn("_a", F.lit(True)).join(y.withColumn("_b", F.lit(True)), "path", "full")
-    change = F.when(F.col("_a").isNull(), "added").when(F.col("_b").isNull(), "removed").when(~F.col("old").eqNullSafe(F.col("new")), "changed")
-    return j.select("path", change.alias("change"), "old", "new").filter("change IS NOT NULL")
+def metadata_diff(a: DataFrame, b: DataFrame, exclude: str = "cslc_file_list", by: list[str] | None = None) -> DataFrame:
+    """Flattened metadata (path, value) of two products, or of many (``by``): added, removed and changed paths. Paths that hold
+    ``exclude`` don't count.
 
+    The rows of a path are a multiset: what both sides have equally often is no difference, in whatever order. Rows are equal by their
+    ``digest``, as ``flatten_json`` gives it, or else by value. If one row is left on either side, the path is changed; otherwise each
+    row left is removed or added. Counts are joined, never rows with rows, so a list of n elements makes n rows at most.
+    """
+    by = by or []
+
+    def counted(rows: DataFrame, name: str) -> DataFrame:
+        same = F.col("digest") if "digest" in rows.columns else F.coalesce(F.concat(F.lit("="), "value"), F.lit(""))
+        held = rows.filter(~F.contains("path", F.lit(exclude))).groupBy(*by, "path", same.alias("_same"))
+        return held.agg(F.count("*").alias(f"_n_{name}"), F.min("value").alias(f"_{name}"))
+
+    both = counted(a, "a").join(counted(b, "b"), [*by, "path", "_same"], "full")
+    n = F.coalesce("_n_a", F.lit(0)) - F.coalesce("_n_b", F.lit(0))
+    left = both.select(*by, "path", n.alias("_n"), F.when(n > 0, F.col("_a")).otherwise(F.col("_b")).alias("_v")).filter("_n <> 0")
+    single = lambda sign: (F.sum(F.greatest(F.col("_n") * sign, F.lit(0))) == 1)
+    old, new = F.max(F.when(F.col("_n") > 0, F.col("_v"))), F.max(F.when(F.col("_n") < 0, F.col("_v")))
+    paths = left.groupBy(*by, "path").agg((single(1) & single(-1)).alias("_one"), old.alias("old"), new.alias("new"))
+    changed = paths.filter("_one").select(*by, "path", F.lit("changed").alias("change"), "old", "new")
+    gone = F.col("_n") > 0
+    rest = left.join(paths.filter("NOT _one").select(*by, "path"), [*by, "path"]).withColumn("_k", F.explode(F.sequence(F.lit(1), F.abs("_n").cast("int"))))
+    return changed.unionByName(rest.select(*by, "path", F.when(gone, "removed").otherwise("added").alias("change"), F.when(gone, F.col("_v")).alias("old"), F.when(~gone, F.col("_v")).alias("new")))
+
+
+def flatten_json(documents: DataFrame, key: str, json: str, exclude: str | None = None) -> DataFrame:
+    """(key, path, value, digest) of every leaf of a JSON text outside lists and of every element of its outermost lists.
 
-def flatten_json(documents: DataFrame, key: str, json: str) -> DataFrame:
-    """(key, path, value) of every leaf of a JSON text; the order of list elements doesn't count, so lists have one path.
+    All elements of a list have its path with ``[]`` at the end, so their order doesn't count. An element's value is its own JSON text;
+    its digest is that of the tree below it, in which the order of lists doesn't count either. Keys with ``exclude`` in them are left
+    out with all below, within elements too. In paths a backslash stands before ``.``, ``[``, ``]`` and backslashes of a key.
 
     Trees are unfolded level by level, to any depth; a level is one pass over what is still nested. An empty object or list is a leaf
-    (``{}``, ``[]``). A text that is no JSON, or NULL, has one row with an empty path and no value.
+    (``{}``, ``[]``). A text that is no JSON, or NULL, has one row with an empty path and no value. Texts may be repeated.
     """
-    todo, leaves = documents.select(key, F.lit("").alias("path"), F.try_parse_json(json).alias("v")), None
-    while True:
-        text, kind = F.to_json("v"), F.schema_of_variant("v")
-        nested = F.coalesce((F.startswith(kind, F.lit("OBJECT")) | F.startswith(kind, F.lit("ARRAY"))) & ~text.isin("{}", "[]"), F.lit(False))
-        todo = todo.withColumn("_n", nested)
-        flat = todo.filter("NOT _n").select(key, "path", F.coalesce(F.try_variant_get("v", "$", "string"), F.when(F.to_json("v").isin("{}", "[]"), F.to_json("v"))).alias("value"))
-        leaves = flat if leaves is None else leaves.unionByName(flat)
-        todo = todo.filter("_n").drop("_n")
-        if todo.isEmpty():
-            return leaves
-        each = todo.lateralJoin(todo.sparkSession.tvf.variant_explode(F.col("v").outer()).select(F.col("key").alias("_k"), F.col("value").alias("_e")))
-        step = F.when(F.col("_k").isNull(), "[]").when(F.col("path") == "", F.col("_k")).otherwise(F.concat(F.lit("."), "_k"))
-        todo = cut(each.select(key, F.concat("path", step).alias("path"), F.col("_e").alias("v")))
+    spark = documents.sparkSession
+    todo = cut(documents.select(key, F.lit("").alias("path"), F.monotonically_increasing_id().cast("string").alias("id"), F.lit(None).cast("string").alias("element"), F.try_parse_json(json).alias("v")))
+    todo, out, elements, levels = todo.withColumns({"up": F.lit(None).cast("string"), "name": F.lit(None).cast("string")}), None, None, []
+    union = lambda x, y: y if x is None else x.unionByName(y)
+    while not todo.isEmpty():
+        kind = F.coalesce(F.schema_of_variant("v"), F.lit("-"))
+        nested = (F.startswith(kind, F.lit("OBJECT<")) & (kind != "OBJECT<>")) | (F.startswith(kind, F.lit("ARRAY<")) & F.try_variant_get("v", "$[0]", "variant").isNotNull())
+        marked = todo.withColumns({"_kind": kind, "_nested": nested})
+        empty = F.when(F.startswith("_kind", F.lit("OBJECT<")), "{}").when(F.startswith("_kind", F.lit("ARRAY<")), "[]")
+        value = F.coalesce(empty, F.try_variant_get("v", "$", "string"))
+        leaves = marked.filter("NOT _nested").select(key, "path", "id", "element", "up", "name", value.alias("value"), F.sha2(F.concat_ws("=", "_kind", value), 256).alias("digest"))
+        out = union(out, leaves.filter("element IS NULL").select(key, "path", "value", "digest"))
+        levels.append((leaves.filter("element IS NOT NULL").select("id", "element", "up", "name", "digest"), marked.filter("_nested AND element IS NOT NULL").select("id", "element", "up", "name")))
+        children = spark.tvf.variant_explode(F.col("v").outer()).select(F.col("pos").alias("_at"), F.col("key").alias("_k"), F.col("value").alias("_e"))
+        below = marked.filter("_nested").lateralJoin(children)
+        if exclude is not None:
+            below = below.filter(~F.coalesce(F.contains("_k", F.lit(exclude)), F.lit(False)))
+        inside, first = F.col("element").isNotNull(), F.col("element").isNull() & F.col("_k").isNull()
+        spelled = F.regexp_replace("_k", r"([\\.\[\]])", r"\\$1")
+        step = F.when(F.col("_k").isNull(), "[]").when(F.col("path") == "", spelled).otherwise(F.concat(F.lit("."), spelled))
+        child = F.md5(F.concat_ws("/", "id", "_at"))
+        todo = cut(below.select(key, F.when(inside, "").otherwise(F.concat("path", step)).alias("path"), child.alias("id"), F.when(inside, F.col("element")).when(first, child).alias("element"), F.col("_e").alias("v"), F.when(inside, F.col("id")).alias("up"), F.col("_k").alias("name")))
+        elements = union(elements, todo.filter("element = id").select(key, "path", "element", F.col("v").alias("_v")))
+    if elements is None:
+        return out if out is not None else todo.select(key, "path", F.col("name").alias("value"), F.col("name").alias("digest"))
+    known, done = None, None
+    for leaves, inner in reversed(levels):
+        held = inner.withColumn("_digest", F.lit(None)) if known is None else inner.join(_folded(known), F.col("id") == F.col("_up"), "left")
+        level = cut(leaves.unionByName(held.select("id", "element", "up", "name", F.coalesce("_digest", F.sha2(F.lit(""), 256)).alias("digest"))))  # "": all left out
+        done = union(done, level.filter("up IS NULL").select("element", "digest"))
+        known = level.filter("up IS NOT NULL")
+    text = F.coalesce(F.try_variant_get("_v", "$", "string"), F.when(~F.is_variant_null("_v"), F.to_json("_v")))
+    return out.unionByName(elements.join(done, "element").select(key, "path", text.alias("value"), "digest"))
+
+
+#: Hexadecimal digits of a summand of a folded digest; sums of so many bits stay within a long for 2^31 children.
+_CHUNK = 8
+
+
+def _folded(children: DataFrame) -> DataFrame:
+    """(_up, _digest) of each parent from its children's digests, whatever their order: the digest of their number and of the sums of the
+    digests' parts, which combine before the shuffle. A child of an object counts with its name."""
+    own = F.sha2(F.concat_ws("=", F.coalesce(F.concat(F.lit("."), "name"), F.lit("[]")), "digest"), 256)
+    parts = [F.sum(F.conv(F.substring(F.col("_own"), i + 1, _CHUNK), 16, 10).cast("long")).cast("string") for i in range(0, 64, _CHUNK)]
+    return children.select(F.col("up").alias("_up"), own.alias("_own")).groupBy("_up").agg(F.sha2(F.concat_ws(",", F.count("*").cast("string"), *parts), 256).alias("_digest"))

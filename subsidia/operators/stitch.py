@@ -60,24 +60,44 @@ def merge(one: DataFrame, two: DataFrame, method: str = "cycles") -> DataFrame:
     """Two frames as one, in the overlap with the mean of the phases and the smaller label.
 
     Forward, the second is shifted onto the first, and its components take their partners' labels; those without a partner keep
-    their phase and get labels beyond the first's. Backward, components of the first whose best partner in the shifted second has
-    another label (it joined two of them) are shifted onto that and take its label.
+    their phase and get the next labels after the first's, in their own order. Backward, components of the first whose best partner in
+    the shifted second has another label (it joined two of them) are shifted onto that and take its label.
     """
     top = one.agg(F.coalesce(F.max("label"), F.lit(0)).alias("top")).first()["top"]
-    new = F.when(F.col("label") == 0, F.lit(0)).otherwise(F.col("label") + F.lit(top))
-    second = cut(shifted(two, cycle_offsets(one, two, method), new))
+    offsets = cut(cycle_offsets(one, two, method))
+    alone = two.select("label").distinct().filter("label > 0").join(offsets.select(F.col("label_2").alias("label")), "label", "left_anti")
+    named = alone.select("label", (F.row_number().over(Window.orderBy("label")) + F.lit(top)).alias("label_1"), F.lit(0.0).alias("offset"))  # a frame has less than ten labels
+    second = cut(shifted(two, offsets.select("label_2", "label_1", "offset").unionByName(named.withColumnRenamed("label", "label_2")), F.col("label")))
     first = one
     if not overlaps(second, one).filter("best AND label_1 <> label_2").isEmpty():
         first = shifted(one, cycle_offsets(second, one, method).filter("label_1 <> label_2"), F.col("label"))
     return first.unionByName(second).groupBy("row", "col").agg(F.min("label").alias("label"), F.avg("phase").alias("phase"))
 
 
-def stitch(components: DataFrame, frames: list[int], method: str = "cycles") -> DataFrame:
-    """Frames of one pair, merged in the given order (by their southern border); a handful, so the fold is a short plan."""
+def south_to_north(components: DataFrame) -> list[int]:
+    """The frames in order of their southern border, the southernmost first; rows are counted southward. Of equal ones the smaller id comes first."""
+    borders = components.filter(usable()).groupBy("frame_id").agg(F.max("row").alias("south"))
+    return [r["frame_id"] for r in borders.orderBy(F.desc("south"), "frame_id").collect()]  # a handful of frames
+
+
+def stitch(components: DataFrame, frames: list[int] | None = None, method: str = "cycles", north_first: bool = False) -> DataFrame:
+    """Frames of one pair, merged from south to north (``north_first``: the other way), or in the order given; a handful, so the
+    fold is a short plan. Without any usable pixel the result is empty."""
+    if frames is None:
+        frames = south_to_north(components)
+        frames = frames[::-1] if north_first else frames
     parts = [components.filter((F.col("frame_id") == f) & usable()).select("row", "col", "label", "phase") for f in frames]
-    merged = parts[0]
+    merged = parts[0] if parts else components.select("row", "col", "label", "phase").limit(0)
     for i, p in enumerate(parts[1:], 2):
         merged = merge(merged, p, method)
         if i < len(parts):
             merged = cut(merged)
     return merged
+
+
+def final_mask(merged: DataFrame, mask: DataFrame | None = None) -> DataFrame:
+    """What is left of a stitched frame: the background (label 0), phases of 0, and pixels that ``mask`` (row, col, keep) doesn't keep or
+    doesn't have, become NULL in both label and phase; a phase of 0 keeps its label."""
+    m = merged.join(mask.select("row", "col", "keep"), ["row", "col"], "left") if mask is not None else merged.withColumn("keep", F.lit(True))
+    held = F.coalesce("keep", F.lit(False)) & (F.col("label") > 0)
+    return m.select("row", "col", F.when(held, F.col("label")).alias("label"), F.when(held & (F.col("phase") != 0), F.col("phase")).alias("phase"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from subsidia.functions.columns import hash_order, haversine_km, plane_km, requirement_mm
 from subsidia.functions.stages import cut, numbered, quantile
+from subsidia.operators.pairs import pair_figures
 
 
 def station_pairs(stations: DataFrame, group: list[str] | None = None, within_km: float | None = None) -> DataFrame:
@@ -42,17 +43,41 @@ def bins(spark: SparkSession, lo: float, hi: float, n: int) -> DataFrame:
     return spark.createDataFrame([(i, e[i], e[i + 1]) for i in range(n)], "bin int, bin_lo double, bin_hi double")
 
 
+def bin_of(distance: Column, lo: float, hi: float, n: int, closed: str = "right") -> Column:
+    """The number of the bin of ``bins`` that holds a distance, NULL outside: a division, corrected by one at the bins' own edges."""
+    at = F.array(*[F.lit(e) for e in edges(lo, hi, n)])
+    guess = F.least(F.greatest(F.floor((distance - lo) / ((hi - lo) / n)), F.lit(0)), F.lit(n - 1)).cast("int")
+    start, end = F.get(at, guess), F.get(at, guess + 1)
+    low, high = (distance <= start, distance > end) if closed == "right" else (distance < start, distance >= end)
+    inside = (distance > lo) & (distance <= hi) if closed == "right" else (distance >= lo) & (distance < hi)
+    return F.when(inside, guess - low.cast("int") + high.cast("int"))
+
+
 def binned_requirement_test(pairs: DataFrame, requirement: float = 5.0, bounds: tuple[float, float] = (0.1, 50.0), n_bins: int = 10, threshold: float = 0.683, closed: str = "right", empty: float | None = None) -> DataFrame:
     """Per distance bin (closed on the ``closed`` side) and in total (bin -1): n_total, n_pass (difference < requirement), pass_ratio, quantile
     (of the differences, at ``threshold``), success (ratio > threshold; an empty bin fails, unless ``empty`` gives it a ratio).
 
-    Differences of NULL are left out; the total covers the bins only. The bin table has a fixed, small size.
+    Differences of NULL are left out; the total covers the bins only. The bin table has a fixed, small size. Pairs are counted by bin
+    and by the difference's order of magnitude in one pass; a second one looks at the few magnitudes that hold a quantile.
     """
     table = bins(pairs.sparkSession, *bounds, n_bins)
-    d, lo, hi = F.col("distance"), F.col("bin_lo"), F.col("bin_hi")
-    inside = pairs.filter("difference IS NOT NULL").join(F.broadcast(table), (d > lo) & (d <= hi) if closed == "right" else (d >= lo) & (d < hi))
-    figures = [F.count("*").alias("n_total"), F.count_if(F.col("difference") < requirement).alias("n_pass"), F.percentile("difference", F.lit(threshold)).alias("quantile")]
-    counted = inside.groupBy("bin").agg(*figures).unionByName(inside.agg(F.lit(-1).alias("bin"), *figures))
+    inside = pairs.filter("difference IS NOT NULL").select(bin_of(F.col("distance"), *bounds, n_bins, closed).alias("bin"), F.col("difference").cast("double").alias("_d")).filter("bin IS NOT NULL")
+    inside = inside.withColumn("_m", F.when(F.col("_d") > 0, F.floor(F.log2("_d") * 256)).otherwise(-(2**40)))  # never falls as the difference grows
+    magnitudes = cut(inside.groupBy("bin", "_m").agg(F.count("*").alias("_c"), F.count_if(F.col("_d") < requirement).alias("_p")))
+    magnitudes = magnitudes.withColumn("_g", F.explode(F.array("bin", F.lit(-1))))  # each bin, and the total
+    group, upto = Window.partitionBy("_g"), Window.partitionBy("_g").orderBy("_m")
+    at = (F.col("_n") - 1) * F.lit(float(threshold))
+    low, high = F.floor(at), F.least(F.floor(at) + 1, F.col("_n") - 1)
+    of = magnitudes.groupBy("_g", "_m").agg(F.sum("_c").alias("_c"), F.sum("_p").alias("_p"))
+    ranked = of.withColumns({"_n": F.sum("_c").over(group), "_to": F.sum("_c").over(upto)})
+    held = ranked.filter((F.col("_to") > low) & (F.col("_to") - F.col("_c") <= high)).select("_g", "_m", "_n", (F.col("_to") - F.col("_c")).alias("_before"))
+    values = inside.groupBy("bin", "_m", "_d").agg(F.count("*").alias("_c"))
+    values = values.withColumn("_g", F.explode(F.array("bin", F.lit(-1)))).join(F.broadcast(held), ["_g", "_m"])  # at most two magnitudes a bin
+    values = values.groupBy("_g", "_n", "_d").agg(F.sum("_c").alias("_c"), F.min("_before").alias("_before"))
+    values = values.withColumn("_to", F.min("_before").over(group) + F.sum("_c").over(Window.partitionBy("_g").orderBy("_d")))
+    ends = values.groupBy("_g", "_n").agg(F.min(F.when(F.col("_to") > low, F.col("_d"))).alias("_a"), F.min(F.when(F.col("_to") > high, F.col("_d"))).alias("_b"))
+    quantiles = ends.select(F.col("_g").alias("bin"), (F.col("_a") + (F.col("_b") - F.col("_a")) * (at - F.floor(at))).alias("quantile"))
+    counted = of.groupBy(F.col("_g").alias("bin")).agg(F.sum("_c").alias("n_total"), F.sum("_p").alias("n_pass")).join(quantiles, "bin")
     frame = table.unionByName(pairs.sparkSession.createDataFrame([(-1, bounds[0], bounds[1])], table.schema))
     out = frame.join(counted, "bin", "left").withColumn("n_total", F.coalesce("n_total", F.lit(0))).withColumn("n_pass", F.coalesce("n_pass", F.lit(0)))
     ratio = F.when(F.col("n_total") > 0, F.col("n_pass") / F.col("n_total")).otherwise(F.lit(empty).cast("double"))
@@ -120,11 +145,21 @@ def transient_requirement_test(pairs: DataFrame, bounds: tuple[float, float] = (
 
     A difference passes below the requirement at its distance. ``compat`` leaves the last bin out of the total.
     """
-    table = bins(pairs.sparkSession, *bounds, n_bins)
-    inside = pairs.filter("difference IS NOT NULL").join(F.broadcast(table), (F.col("distance") >= F.col("bin_lo")) & (F.col("distance") < F.col("bin_hi")))
-    good = F.col("difference") < requirement_mm(F.col("distance"))
-    per = inside.groupBy("ifg", "bin").agg(F.count("*").alias("n_total"), F.count_if(good).alias("n_pass"))
-    total = per.filter(F.col("bin") < n_bins - int(compat)).groupBy("ifg").agg(F.lit(-1).alias("bin"), F.sum("n_total").alias("n_total"), F.sum("n_pass").alias("n_pass"))
+    inside = pairs.filter("difference IS NOT NULL").withColumn("bin", bin_of(F.col("distance"), *bounds, n_bins, "left")).filter("bin IS NOT NULL")
+    per = inside.groupBy("ifg", "bin").agg(F.count("*").alias("n_total"), F.count_if(F.col("difference") < requirement_mm(F.col("distance"))).alias("n_pass"))
+    return _with_total(per, n_bins - int(compat), threshold)
+
+
+def transient_station_test(stations: DataFrame, bounds: tuple[float, float] = (0.1, 50.0), n_bins: int = 10, threshold: float = 0.683, compat: bool = False) -> DataFrame:
+    """``transient_requirement_test`` of all pairs of an interferogram's stations (ifg, x, y, gnss, insar), without rows for the pairs."""
+    import numpy as np
+
+    found = pair_figures(stations, edges(*bounds, n_bins), ["ifg"], "gnss", "insar", "left", lambda d: 3 * (1 + np.sqrt(d)))
+    return _with_total(found.select("ifg", "bin", F.col("n").alias("n_total"), "n_pass"), n_bins - int(compat), threshold)
+
+
+def _with_total(per: DataFrame, n_bins: int, threshold: float) -> DataFrame:
+    total = per.filter(F.col("bin") < n_bins).groupBy("ifg").agg(F.lit(-1).alias("bin"), F.sum("n_total").alias("n_total"), F.sum("n_pass").alias("n_pass"))
     out = per.unionByName(total).withColumn("pass_ratio", F.col("n_pass") / F.col("n_total"))
     return out.withColumn("success", F.col("pass_ratio") > threshold)
 

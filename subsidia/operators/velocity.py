@@ -87,6 +87,62 @@ def time_function_fit(obs: DataFrame, first: str, periods: list[float] = (1.0, 0
     return packed.withColumn("x", solve("n", "a", "y")).select(*by, "n", *[F.get("x", F.lit(i)).alias(t) for i, t in enumerate(names)])
 
 
+def ragged_time_function_fit(obs: DataFrame, steps: DataFrame, first: str, periods: list[float] = (1.0, 0.5), by: list[str] | None = None, steps_by: list[str] | None = None) -> DataFrame:
+    """The time model with steps of each key's own: by, n, one column a common term, and steps, an array of (step_date, amplitude).
+
+    ``steps`` has ``steps_by`` (a part of ``by``, by default all) and step_date; from that date on a step counts. The dates cut a series into
+    stretches. Sums of products are added up by stretch in one pass, before the shuffle, and the equations of any number of steps are
+    sums over the stretches from a step on. Coefficients are NULL where the dates don't determine the common terms. A step with no value
+    before it, or none between it and the next step, has a NULL amplitude and doesn't count; repeated steps are one.
+    """
+    by = by or PIXEL
+    steps_by = steps_by or by
+    terms = design(F.col("obs_date"), F.lit(first).cast("date"), list(periods), [])
+    names, k = list(terms), len(terms)
+    own = steps.filter("step_date IS NOT NULL").groupBy(*steps_by).agg(F.array_sort(F.collect_set("step_date")).alias("_steps"))
+    used = obs.filter("value IS NOT NULL").join(own, steps_by, "left").withColumn("_steps", F.coalesce("_steps", F.array().cast("array<date>")))
+    used = used.select(*by, "value", "_steps", F.size(F.filter("_steps", lambda s: s <= F.col("obs_date"))).alias("_at"), *[c.alias(f"_{i}") for i, c in enumerate(terms.values())])
+    upper = [(i, j) for i in range(k) for j in range(i, k)]
+    sums = [F.sum(F.col(f"_{i}") * F.col(f"_{j}")).alias(f"_{i}_{j}") for i, j in upper] + [F.sum(F.col(f"_{i}") * F.col("value")).alias(f"_{i}_y") for i in range(k)]
+    stretches = used.groupBy(*by, "_steps", "_at").agg(F.count("*").alias("_n"), *sums)
+    stretch = F.struct("_at", F.col("_n").cast("double").alias("n"), F.array(*[f"_{i}_{j}" for i, j in upper]).alias("a"), F.array(*[f"_{i}_y" for i in range(k)]).alias("y"))
+    packed = stretches.groupBy(*by, "_steps").agg(F.sum("_n").alias("n"), F.sort_array(F.collect_list(stretch)).alias("_s"))
+
+    @F.pandas_udf("x array<double>, a array<double>")
+    def solve(n_steps, stretches):
+        import numpy as np
+        import pandas as pd
+
+        rows = np.triu_indices(k)
+        out = []
+        for m, parts in zip(n_steps, stretches, strict=True):
+            at = np.array([p["_at"] for p in parts])
+            blocks = np.zeros((len(parts), k, k))
+            blocks[:, rows[0], rows[1]] = np.array([p["a"] for p in parts])
+            blocks += np.triu(blocks, 1).transpose(0, 2, 1)
+            y = np.array([p["y"] for p in parts])
+            kept = [j for j in range(1, m + 1) if j in at and at[0] < j]  # values from it to the next step, and before it
+            size = k + len(kept)
+            left, right = np.zeros((size, size)), np.zeros(size)
+            left[:k, :k], right[:k] = blocks.sum(0), y.sum(0)
+            for c, j in enumerate(kept):  # the first term is 1, so its row holds the sums of the terms themselves
+                left[:k, k + c] = left[k + c, :k] = blocks[at >= j][:, 0].sum(0)
+                right[k + c] = y[at >= j][:, 0].sum()
+                for e, other in enumerate(kept[: c + 1]):
+                    left[k + c, k + e] = left[k + e, k + c] = blocks[at >= max(j, other)][:, 0, 0].sum()
+            if blocks[:, 0, 0].sum() >= size and np.linalg.cond(left) < 1e12:
+                x = np.linalg.solve(left, right)
+                found = dict(zip(kept, x[k:].tolist(), strict=True))
+                out.append((x[:k].tolist(), [found.get(j) for j in range(1, m + 1)]))
+            else:
+                out.append((None, [None] * m))
+        return pd.DataFrame(out, columns=["x", "a"])
+
+    solved = packed.withColumn("_f", solve(F.size("_steps"), "_s"))
+    amplitudes = F.zip_with("_steps", "_f.a", lambda d, a: F.struct(d.alias("step_date"), F.nanvl(a, F.lit(None).cast("double")).alias("amplitude")))
+    return solved.select(*by, "n", *[F.get("_f.x", F.lit(i)).alias(t) for i, t in enumerate(names)], amplitudes.alias("steps"))
+
+
 def deramp(points: DataFrame, x: str = "x", y: str = "y", v: str = "v") -> DataFrame:
     """Subtracts the plane fitted to (x, y, v): one row of sums gives it, by Cramer's rule on centred moments."""
     m = points.filter(F.col(v).isNotNull()).agg(

@@ -117,6 +117,19 @@ def a09(spark, sf):
     return velocity.time_function_fit(obs(spark, sf), fxs.FIRST, [1.0, 0.5], ["2017-06-01"])
 
 
+@query("a09_ragged_steps", fx("gnss") + """, first AS (SELECT station, (min(obs_date) + (3 + station % 20)::INT)::DATE AS step_date FROM gnss GROUP BY 1),
+x AS (SELECT station, step_date, date_diff('day', DATE '2024-01-01', obs_date) / 365.25 AS t, (obs_date >= step_date)::INT::DOUBLE AS s, east AS y FROM gnss JOIN first USING (station)),
+m AS (SELECT station, step_date, count(*) AS n, sum(t) AS t, sum(t * t) AS tt, sum(s) AS s, sum(s * t) AS st, sum(y) AS y, sum(t * y) AS ty, sum(s * y) AS sy FROM x GROUP BY ALL HAVING count(*) >= 3 AND sum(s) > 0 AND sum(s) < count(*)),
+d AS (SELECT *, n * (tt * s - st * st) - t * (t * s - st * s) + s * (t * st - tt * s) AS det FROM m)
+SELECT station, n, step_date, round((n * (ty * s - st * sy) - y * (t * s - st * s) + s * (t * sy - ty * s)) / det, 6) AS rate, round((n * (tt * sy - ty * st) - t * (t * sy - ty * s) + y * (t * st - tt * s)) / det, 6) AS amplitude FROM d""")
+def a09r(spark, sf):
+    """Rate and step of each station, whose step has a date of its own."""
+    g = fxs.gnss(spark, sf).withColumn("value", F.col("east"))
+    steps = g.groupBy("station").agg(F.min("obs_date").alias("_first")).select("station", F.date_add("_first", (3 + F.col("station") % 20).cast("int")).alias("step_date"))
+    fit = velocity.ragged_time_function_fit(g, steps, "2024-01-01", [], ["station"])
+    return fit.select("station", "n", F.inline("steps"), "rate").filter("amplitude IS NOT NULL").select("station", "n", "step_date", *r9("rate", "amplitude", digits=6))
+
+
 @query("a10_deramp", fx("points") + """, m AS (SELECT avg(x) AS mx, avg(y) AS my, avg(v) AS mv, var_pop(x) AS xx, var_pop(y) AS yy, covar_pop(x, y) AS xy, covar_pop(x, v) AS xv, covar_pop(y, v) AS yv FROM points)
 SELECT id, round(v - (mv + (xv * yy - yv * xy) / (xx * yy - xy * xy) * (x - mx) + (yv * xx - xv * xy) / (xx * yy - xy * xy) * (y - my)), 6) AS v FROM points, m""")
 def a10(spark, sf):

@@ -246,7 +246,25 @@ def j17v(spark, sf):
     return compare.metadata_diff(r.filter("product = 1"), r.filter("product = 2"))
 
 
+@query("j17_metadata_diff_lists", """WITH runs AS (SELECT user_id, event_id % 2 AS side, event_type AS t, event_id % 3 AS m, json_extract_string(props, '$.k')::INT % 10 AS k FROM events),
+n AS (SELECT user_id, '{"k":' || k || ',"tags":[[' || m || '],"' || t || '"]}' AS old, '{"k":' || k || ',"tags":["' || t || '",[' || m || ']]}' AS new, count(*) FILTER (side = 0) - count(*) FILTER (side = 1) AS n FROM runs GROUP BY ALL),
+held AS (SELECT * FROM n WHERE n <> 0 AND user_id IN (SELECT user_id FROM runs WHERE side = 0) AND user_id IN (SELECT user_id FROM runs WHERE side = 1)),
+per AS (SELECT user_id, coalesce(sum(n) FILTER (n > 0), 0) = 1 AND coalesce(sum(n) FILTER (n < 0), 0) = -1 AS one, max(old) FILTER (n > 0) AS o, max(new) FILTER (n < 0) AS w FROM held GROUP BY 1)
+SELECT user_id, 'config.run\\.s[]' AS path, 'changed' AS change, o AS old, w AS new FROM per WHERE one
+UNION ALL SELECT user_id, 'config.run\\.s[]', CASE WHEN n > 0 THEN 'removed' ELSE 'added' END, CASE WHEN n > 0 THEN old END, CASE WHEN n < 0 THEN new END FROM (SELECT *, unnest(range(abs(n)::BIGINT)) FROM held JOIN per USING (user_id) WHERE NOT one)""")
+def j17l(spark, sf):
+    """Lists of objects that hold lists: per user the even events against the odd ones, spelled in another order, as if of two products."""
+    e, k = fxs.table(spark, sf, "events"), F.get_json_object("props", "$.k").cast("int") % 10
+    one = F.format_string('{"k": %d, "tags": [[%d], "%s"]}', k, F.col("event_id") % 3, "event_type")
+    two = F.format_string('{"tags": ["%s", [%d]], "k": %d}', "event_type", F.col("event_id") % 3, k)
+    side = F.col("event_id") % 2
+    docs = e.groupBy("user_id", side.alias("side")).agg(F.concat(F.lit('{"config": {"run.s": ['), F.array_join(F.collect_list(F.when(side == 0, one).otherwise(two)), ", "), F.lit("]}}")).alias("j"))
+    held = docs.groupBy("user_id").agg(F.count("*").alias("n")).filter("n = 2").select("user_id")
+    flat = lambda k: compare.flatten_json(docs.filter(F.col("side") == k).join(held, "user_id"), "user_id", "j")
+    return compare.metadata_diff(flat(0), flat(1), by=["user_id"])
+
+
 @query("j17_flatten_metadata", "SELECT event_id, 'a.b[]' AS path, unnest([event_id::VARCHAR, 'x']) AS value FROM events UNION ALL SELECT event_id, 'props.k', json_extract_string(props, '$.k') FROM events")
 def j17f(spark, sf):
     e = fxs.table(spark, sf, "events").select("event_id", F.format_string('{"a": {"b": [%d, "x"]}, "props": %s}', "event_id", "props").alias("j"))
-    return compare.flatten_json(e, "event_id", "j")
+    return compare.flatten_json(e, "event_id", "j").drop("digest")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from subsidia.functions import columns as fn
-from subsidia.operators import compare, cube, gnss, stitch, validate, variogram
+from subsidia.operators import changes, compare, cube, gnss, stitch, validate, variogram
 from subsidia.plans import fixtures as fxs
 from subsidia.plans.cubes import obs, r9
 from subsidia.plans.fixtures import fx
@@ -114,10 +116,9 @@ def a19(spark, sf):
     return validate.requirement_limit(validate.station_pairs(fxs.stations(spark, sf), within_km=50.0))
 
 
-def ifg_pairs(spark, sf):
+def ifg_stations(spark, sf):
     s = fxs.stations(spark, sf).withColumn("ifg", F.explode(F.sequence(F.lit(0), F.lit(5))))
-    s = s.withColumn("insar", F.col("insar") + (F.col("station") * (F.col("ifg") + 3)) % 11 * 3)
-    return validate.station_pairs(s, ["ifg"], within_km=50.0)
+    return s.withColumn("insar", F.col("insar") + (F.col("station") * (F.col("ifg") + 3)) % 11 * 3)
 
 
 IFG = """s AS (SELECT station, x, y, gnss, insar + (station * (ifg + 3)) % 11 * 3 AS insar, ifg FROM stations, range(0, 6) r(ifg)),
@@ -129,12 +130,12 @@ result AS (SELECT * FROM per UNION ALL SELECT ifg, -1, sum(n_total)::BIGINT, sum
 
 @query("a20_transient_requirement_test", fx("stations") + TRANSIENT + " SELECT ifg::INT AS ifg, bin::INT AS bin, n_total, n_pass, round(n_pass / n_total, 8) AS pass_ratio, n_pass / n_total > 0.683 AS success FROM result")
 def a20(spark, sf):
-    return validate.transient_requirement_test(ifg_pairs(spark, sf)).select("ifg", "bin", "n_total", "n_pass", *r9("pass_ratio", digits=8), "success")
+    return validate.transient_station_test(ifg_stations(spark, sf)).select("ifg", "bin", "n_total", "n_pass", *r9("pass_ratio", digits=8), "success")
 
 
 @query("a20_stack_verdict", fx("stations") + TRANSIENT + " SELECT count(*) AS n_ifg, count(*) FILTER (n_pass / n_total > 0.683) AS n_pass, round(count(*) FILTER (n_pass / n_total > 0.683) / count(*), 8) AS share, count(*) FILTER (n_pass / n_total > 0.683) / count(*) >= 0.7 AS verdict FROM result WHERE bin = -1")
 def a20v(spark, sf):
-    return validate.stack_verdict(validate.transient_requirement_test(ifg_pairs(spark, sf))).select("n_ifg", "n_pass", *r9("share", digits=8), "verdict")
+    return validate.stack_verdict(validate.transient_station_test(ifg_stations(spark, sf))).select("n_ifg", "n_pass", *r9("share", digits=8), "verdict")
 
 
 @query("a21_bin_variogram", fx("points") + f""", {USAMPLE}, bins AS (SELECT * FROM {edge_rows(0.0, 60.0, 20)}), j AS (SELECT bin, bin_hi, distance, 0.5 * difference * difference AS gamma FROM spairs JOIN bins ON distance >= bin_lo AND (distance < bin_hi OR (bin = 19 AND distance = bin_hi)))
@@ -161,6 +162,14 @@ def j06(spark, sf):
     return variogram.pixel_pairs(unique_points(spark, sf), 200).select("k_1", "k_2", *r9("distance", "gamma", digits=8))
 
 
+@query("j06_variogram", fx("points") + f""", {UPOINTS}, c AS (SELECT *, floor(x / 10000) AS cx, floor(y / 10000) AS cy FROM one), near AS (SELECT * EXCLUDE (cx, cy), unnest([cx - 1, cx, cx + 1]) AS cx, cy FROM c), around AS (SELECT * EXCLUDE (cy), unnest([cy - 1, cy, cy + 1]) AS cy FROM near),
+d AS (SELECT sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) / 1000 AS distance, 0.5 * (a.v - b.v) * (a.v - b.v) AS gamma FROM c a JOIN around b ON a.cx = b.cx AND a.cy = b.cy AND a.id < b.id)
+SELECT least(floor(distance), 9)::INT AS bin, count(*) AS n, round(sqrt(avg(distance * distance)), 7) AS distance, round(avg(gamma), 7) AS gamma FROM d WHERE distance <= 10 GROUP BY ALL""")
+def j06v(spark, sf):
+    """All pairs of pixels up to 10 km apart."""
+    return variogram.empirical_variogram(unique_points(spark, sf), (0.0, 10.0), 10).select("bin", "n", *r9("distance", "gamma", digits=7))
+
+
 @query("p16_distance", fx("stations") + """SELECT station, round(sqrt(x * x + y * y) / 1000, 8) AS plane, round(2 * 6378 * asin(sqrt(sin(radians(y / 1000 - 10) / 2) ^ 2 + cos(radians(10)) * cos(radians(y / 1000)) * sin(radians(x / 1000) / 2) ^ 2)), 6) AS sphere FROM stations""")
 def p16(spark, sf):
     s, z = fxs.stations(spark, sf), F.lit(0.0)
@@ -381,6 +390,17 @@ def w11(spark, sf):
     return gnss.detect_steps(fxs.gnss(spark, sf)).select("station", "obs_date", *r9("change", digits=7), "kind")
 
 
+@query("w11_change_points")
+def w11c(spark, sf):
+    """Where the east series of a station changes its level, by pruned dynamic programming."""
+    return changes.station_change_points(fxs.gnss(spark, sf))
+
+
+@query("w11_step_features")
+def w11f(spark, sf):
+    return changes.step_features(fxs.gnss(spark, sf), skip_first=False).select("station", "obs_date", "kind", *r9("change", digits=7))
+
+
 def ifgs(spark):
     return spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate([("2024-01-03", "2024-01-06"), ("2024-01-10", "2024-01-15"), ("2024-01-02", "2024-01-28")])], "ifg int, a string, b string").select("ifg", F.to_date("a").alias("ref_date"), F.to_date("b").alias("sec_date"))
 
@@ -573,6 +593,14 @@ def w07(spark, sf):
     return variogram.profile_pairs(p, cell, (1000.0, 1000.0), (5.0, 40.0)).select(F.col("pair").cast("long").alias("pair"), *r9("distance", "difference", digits=7))
 
 
+@query("w07_geographic_profiles")
+def w07g(spark, sf):
+    """The same over longitudes and latitudes, across the date line."""
+    p = unique_points(spark, sf).select("id", ((F.col("x") / 60000 * 0.6 + 359.9) % 360 - 180).alias("x"), (F.col("y") / 60000 * 0.6 + 40).alias("y"), "v")
+    pairs = validate.sample_pairs(p, 2 * PROFILES, geographic=True)
+    return variogram.geographic_profiles(pairs, p.select(F.col("x").alias("lon"), F.col("y").alias("lat"), F.col("v").alias("value")), (0.1, 50.0)).select(F.col("pair").cast("long").alias("pair"), *r9("distance", "difference", digits=7))
+
+
 PARTS = """one AS (SELECT * FROM components WHERE frame_id = 1), two AS (SELECT * FROM components WHERE frame_id = 2),
 n AS (SELECT two.label AS label_2, one.label AS label_1, count(*) AS n FROM one JOIN two USING ("row", col) WHERE (one.label = 0) = (two.label = 0) GROUP BY ALL),
 best AS (SELECT *, row_number() OVER (PARTITION BY label_2 ORDER BY n DESC, label_1) = 1 AS best FROM n)"""
@@ -603,6 +631,41 @@ def a32(spark, sf):
     return stitch.stitch(fxs.components(spark, sf), [1, 2]).select("row", "col", F.col("label").cast("int").alias("label"), *r9("phase", digits=6))
 
 
+def offsets_sql(name, one, two):
+    """CTEs: {name} has label_2 of ``two``, its partner label_1 in ``one``, and the offset."""
+    return f"""{name}_n AS (SELECT b.label AS label_2, a.label AS label_1, count(*) AS n FROM {one} a JOIN {two} b USING ("row", col) WHERE (b.label = 0) = (a.label = 0) GROUP BY ALL),
+{name}_d AS (SELECT label_2, label_1, a.phase - b.phase AS d FROM (SELECT * FROM {name}_n QUALIFY row_number() OVER (PARTITION BY label_2 ORDER BY n DESC, label_1) = 1) p JOIN {one} a ON a.label = p.label_1 JOIN {two} b ON b.label = p.label_2 AND a."row" = b."row" AND a.col = b.col),
+{name}_g AS (SELECT label_2, label_1, median(d) AS m, atan2(avg(sin(d)), avg(cos(d))) AS r FROM {name}_d GROUP BY ALL), {name}_c AS (SELECT *, floor((abs(m) + pi()) / (2 * pi())) * sign(m) AS cycles FROM {name}_g),
+{name} AS (SELECT label_2, label_1, 2 * pi() * cycles + CASE WHEN abs(m - (2 * pi() * cycles + r)) > 3.14 THEN -r ELSE r END AS off FROM {name}_c)"""
+
+
+def merge_sql(name, one, two):
+    return f"""{offsets_sql(name + "_f", one, two)}, {name}_new AS (SELECT label, row_number() OVER (ORDER BY label) + (SELECT max(label) FROM {one}) AS label_1 FROM (SELECT DISTINCT label FROM {two} WHERE label > 0 AND label NOT IN (SELECT label_2 FROM {name}_f))),
+{name}_2 AS (SELECT t."row", t.col, coalesce(o.label_1, w.label_1, t.label) AS label, t.phase + coalesce(o.off, 0) AS phase FROM {two} t LEFT JOIN {name}_f o ON t.label = o.label_2 LEFT JOIN {name}_new w ON t.label = w.label),
+{offsets_sql(name + "_b", name + "_2", one)}, {name}_1 AS (SELECT t."row", t.col, coalesce(o.label_1, t.label) AS label, t.phase + coalesce(o.off, 0) AS phase FROM {one} t LEFT JOIN (SELECT * FROM {name}_b WHERE label_1 <> label_2) o ON t.label = o.label_2),
+{name} AS (SELECT "row", col, min(label) AS label, avg(phase) AS phase FROM (SELECT * FROM {name}_1 UNION ALL SELECT * FROM {name}_2) GROUP BY ALL)"""
+
+
+@query("a32_stitch_three_frames", fx("components") + f""", one AS (SELECT "row", col, label, phase FROM components WHERE frame_id = 1), two AS (SELECT "row", col, label, phase FROM components WHERE frame_id = 2),
+three AS (SELECT CASE WHEN p_partkey % 3 = 0 THEN p_partkey // 50 + 1000 ELSE p_partkey // 50 END AS "row", p_partkey % 50 AS col, CASE WHEN p_partkey % 3 = 0 THEN 5 + p_partkey % 2 * 4 WHEN p_size % 4 = 0 THEN 0 WHEN p_partkey % 50 < 30 THEN p_size % 4 ELSE p_size % 4 + 5 END AS label,
+p_retailprice / 100 + 6.283185307179586::DOUBLE * (p_partkey % 50 // 30) AS phase FROM part), {merge_sql("m", "three", "two")}, {merge_sql("r", "m", "one")}
+SELECT "row"::INT AS "row", col::INT AS col, CASE WHEN label > 0 AND col < 45 THEN label ELSE -1 END::INT AS label, CASE WHEN label > 0 AND col < 45 AND phase <> 0 THEN round(phase, 6) END AS phase FROM r""")
+def a32t(spark, sf):
+    """From south to north: a frame cut in two, off by a cycle, which the others join again, and components of its own; masked in the end."""
+    p, c = fxs.table(spark, sf, "part"), fxs.components(spark, sf)
+    k, label, far = F.col("p_partkey"), F.col("p_size") % 4, F.col("p_partkey") % 50 >= 30
+    third = p.select(
+        F.lit(3).alias("frame_id"),
+        (F.expr("p_partkey div 50") + F.when(k % 3 == 0, 1000).otherwise(0)).cast("int").alias("row"),
+        (k % 50).cast("int").alias("col"),
+        F.when(k % 3 == 0, 5 + k % 2 * 4).when(label == 0, 0).when(far, label + 5).otherwise(label).cast("int").alias("label"),
+        (F.col("p_retailprice") / 100 + 2 * math.pi * far.cast("int")).alias("phase"),
+    )
+    merged = stitch.stitch(c.unionByName(third))
+    mask = merged.select("row", "col", (F.col("col") < 45).alias("keep"))
+    return stitch.final_mask(merged, mask).select("row", "col", F.coalesce("label", F.lit(-1)).cast("int").alias("label"), *r9("phase", digits=6))
+
+
 @query("s09_result_tables", fx("obs") + f"SELECT {PIX}, count(*) AS n, round(sum(value), 7) AS total FROM obs GROUP BY ALL")
 def s09(spark, sf):
     """Writes the cube by frame and layer and reads it back."""

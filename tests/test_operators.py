@@ -1,7 +1,11 @@
 """Edge rules of the validation operators on hand-made fixtures."""
 
+import collections
 import datetime as dt
+import json
 import math
+import random
+import re
 
 import numpy as np
 import pytest
@@ -335,7 +339,7 @@ def test_stitching_keeps_components_of_three_frames(spark):
     rows += frame_rows(3, range(40, 41), 12, 0.0)  # as read, no data
     got = {(r["row"], r["col"]): r["label"] for r in stitched(spark, rows, [1, 2, 3])}
     assert set(got) == {(r, c) for r in (*range(15), *range(20, 35)) for c in range(5)}
-    assert got[0, 0] == got[14, 0] == 9 and got[20, 0] == got[34, 0] == 17
+    assert got[0, 0] == got[14, 0] == 9 and got[20, 0] == got[34, 0] == 10  # the next free label
 
 
 def test_stitching_goes_backward(spark):
@@ -395,3 +399,83 @@ def test_profiles_equal_brute_force(spark):
                 near.append(cells[at])
             want[i] = abs(np.polyfit(along, near, 1)[0] * d)
     assert got == pytest.approx(want)
+
+
+def flat(spark, rows, **how):
+    return compare.flatten_json(spark.createDataFrame(rows, "k int, j string"), "k", "j", **how)
+
+
+def random_tree(rng, depth):
+    kind = rng.choice("soll" if depth else "s")
+    if kind == "s":
+        return rng.choice([1, 2, 1.5, "1", "x", True, None, "", "é.[]"])
+    if kind == "l":
+        return [random_tree(rng, depth - 1) for _ in range(rng.randint(0, 4))]
+    return {rng.choice(["a", "b", "a.b", "c[]", "\\", "skip_me", "é"]): random_tree(rng, depth - 1) for _ in range(rng.randint(0, 4))}
+
+
+def shuffled(rng, x):
+    if isinstance(x, list):
+        return rng.sample([shuffled(rng, v) for v in x], len(x))
+    return dict(rng.sample([(k, shuffled(rng, v)) for k, v in x.items()], len(x))) if isinstance(x, dict) else x
+
+
+def canonical(x, skip):
+    if isinstance(x, list):
+        return ("l", *sorted((canonical(v, skip) for v in x), key=repr)) if x else ("l",)
+    if isinstance(x, dict):
+        kept = {k: v for k, v in x.items() if skip not in k}
+        return ("o", *sorted((k, canonical(v, skip)) for k, v in kept.items())) if kept or not x else ("none",)
+    return type(x).__name__, x
+
+
+def plain_rows(x, path, skip):
+    """(path, what tells it apart) of the leaves outside lists and the elements of the outermost lists."""
+    if isinstance(x, dict) and x:
+        for k, v in x.items():
+            if skip not in k:
+                name = re.sub(r"([\\.\[\]])", r"\\\1", k)
+                yield from plain_rows(v, f"{path}.{name}" if path else name, skip)
+    elif isinstance(x, list) and x:
+        yield from ((f"{path}[]", canonical(v, skip)) for v in x)
+    else:
+        yield path, canonical(x, skip)
+
+
+def test_metadata_diff_of_random_trees(spark):
+    rng, pairs = random.Random(17), []
+    for k in range(60):
+        a = {"r": random_tree(rng, 4), "s": random_tree(rng, 3)}
+        b = shuffled(rng, a)
+        if k % 3:
+            b["s"] = random_tree(rng, 2)
+        if k % 3 == 2 and isinstance(b["r"], list) and b["r"]:
+            b["r"][0] = random_tree(rng, 2)
+        pairs.append((k, a, b))
+    one, two = (flat(spark, [(p[0], json.dumps(p[side], ensure_ascii=False)) for p in pairs], exclude="skip") for side in (1, 2))
+    got = collections.defaultdict(list)
+    for r in compare.metadata_diff(one, two, by=["k"]).collect():
+        got[r["k"]].append((r["path"], r["change"]))
+    for k, a, b in pairs:
+        x, y = (collections.Counter(plain_rows(t, "", "skip")) for t in (a, b))
+        gone, new = x - y, y - x
+        want = []
+        for path in {p for p, _ in (*gone, *new)}:
+            n, m = (sum(v for (p, _), v in c.items() if p == path) for c in (gone, new))
+            want += [(path, "changed")] if (n, m) == (1, 1) else [(path, "removed")] * n + [(path, "added")] * m
+        assert sorted(got[k]) == sorted(want), (a, b)
+
+
+def test_metadata_diff_of_long_lists(spark):
+    n = 100_000
+    a, b = json.dumps({"a": list(range(n)), "b": [{"x": [i % 7, i]} for i in range(1000)]}), json.dumps({"b": [{"x": [i, i % 7]} for i in range(1000)], "a": [*range(n - 1, 0, -1), -5]})
+    got = compare.metadata_diff(flat(spark, [(1, a)]), flat(spark, [(1, b)])).collect()
+    assert [tuple(r) for r in got] == [("a[]", "changed", "0", "-5")]
+
+
+def test_metadata_paths_are_told_apart(spark):
+    got = {(r["path"], r["value"]) for r in flat(spark, [(1, '{"a.b": 1, "a": {"b": 2}, "c": [{"d": [1]}, "x", null]}')]).collect()}
+    assert got == {("a\\.b", "1"), ("a.b", "2"), ("c[]", '{"d":[1]}'), ("c[]", "x"), ("c[]", None)}
+    same = compare.metadata_diff(flat(spark, [(1, '{"a": [1, "1", 1]}')]), flat(spark, [(1, '{"a": ["1", 1]}')])).collect()
+    assert [tuple(r) for r in same] == [("a[]", "removed", "1", None)]
+    assert compare.metadata_diff(flat(spark, []), flat(spark, [])).count() == 0
