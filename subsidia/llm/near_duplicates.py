@@ -172,12 +172,31 @@ def fetched(ids: DataFrame, docs: DataFrame, heads: DataFrame, n: int, seed: int
     return staged(texts.dropDuplicates(["id"]), "near-texts")
 
 
+def with_text(rows: DataFrame, key: str, by: str, texts: DataFrame, name: str) -> DataFrame:
+    """``rows`` with the text of the class ``key`` as ``name``; ``rows`` is a written table.
+
+    A class that more than ``SHARE`` rows ask for is asked for in several shares, told apart by a hash of ``by``, so that its
+    rows don't meet in one task. Its text goes to each share.
+    """
+    hot = rows.groupBy(F.col(key).alias("_hot")).agg(F.ceil(F.count("*") / SHARE).alias("_shares")).filter("_shares > 1")
+    hot = staged(hot, "near-hot")  # at most a row for each SHARE rows
+    few = hot.count()
+    hint = F.broadcast if few <= BROADCAST_IDS else (lambda x: x)
+    own = texts.select(F.col("id").alias(key), F.col("text").alias(name))
+    if not few:
+        return rows.join(own, key)
+    dealt = rows.join(hint(hot), F.col(key) == F.col("_hot"), "left").withColumn("_share", F.coalesce(F.pmod(F.xxhash64(by), "_shares"), F.lit(0).cast("long"))).drop("_hot", "_shares")
+    copies = own.join(hint(hot), F.col(key) == F.col("_hot"), "left").select(key, name, F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_shares", F.lit(1).cast("long")) - 1)).alias("_share"))
+    return dealt.join(copies, [key, "_share"]).drop("_share")
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose full sets meet the threshold: 100 * intersection >= percent * union.
 
-    A pair travels to its first text, then to its second; texts are smaller than their sets.
+    A pair travels to its first text, then to its second; texts are smaller than their sets. ``pairs`` is a written table.
     """
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+    first = with_text(pairs, "a", "b", texts, "ta")
+    both = first.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")  # a hub is the smaller one of a pair, so none is b often
 
     def check(batches):
         import numpy as np
@@ -232,7 +251,8 @@ def differences(own: DataFrame, texts: DataFrame, n: int) -> DataFrame:
     shingles has no delta.
     """
     middle = staged(own.groupBy("part").agg(F.min_by("id", F.struct(F.col("own") / F.col("n"), "id")).alias("centre")), "near-centres")
-    both = own.join(middle, "part").join(texts, "id").join(texts.select(F.col("id").alias("centre"), F.col("text").alias("middle")), "centre")
+    hint = F.broadcast if middle.count() <= BROADCAST_IDS else (lambda x: x)  # a part may hold most rows
+    both = with_text(staged(own.join(hint(middle), "part"), "near-parts"), "centre", "id", texts, "middle").join(texts, "id")
 
     def run(batches):
         import numpy as np
