@@ -3,9 +3,11 @@
 The base finds e-mail addresses, IP addresses, card numbers and phone numbers by form. These finds are seeds, and so are words
 of the forms that access keys have and any examples that the caller knows. Every identifier-like word of a text (one with a digit
 or an @) is a candidate instance; the words around it make lexical patterns, and so does its shape. Patterns and instances form
-a graph: a pattern that mostly surrounds trusted instances, and more of them than words at large, becomes trusted, an instance
-that trusted patterns surround becomes trusted, and so on for a few rounds of joins and groupings. Words outside base spans
-that high-confidence patterns surround are reported as kind ``id``; a form alone, as of a key, is no reason to report.
+a graph: a pattern becomes trusted if it surrounds trusted instances and hardly any ordinary ones (numbers, dates, short words), and
+more of the trusted ones than there are at large; an instance that trusted patterns surround becomes trusted, and so on for a few
+rounds of joins and groupings. Instances of which nothing is known count little either way, so a context of keys finds keys of
+forms that nobody has listed. Words outside base spans that high-confidence patterns surround are reported as kind ``id``; a form
+alone, as of a key, is no reason to report.
 
 DataFrame functions only. A text is read once; what goes on is one row an identifier-like word.
 """
@@ -45,8 +47,13 @@ SHAPED = 12
 ROUNDS = 3
 #: A pattern is trusted from this share of trusted instances on, and only with so many different ones in so many documents.
 CONFIDENCE, SUPPORT = 0.8, 5
-#: How many times the share of trusted values among all values a pattern's share must be.
+#: How many times the share of trusted values among all known values a pattern's share must be.
 LIFT = 1.1
+#: What an instance of which nothing is known counts against a pattern; an ordinary one counts 1. And what each pattern starts with.
+UNKNOWN, PRIOR = 0.1, 0.5
+#: Letters and digits of the shortest word, and digits of the shortest number, that may be an identifier.
+WORD_LENGTH, NUMBER_LENGTH = 6, 9
+DATE = r"^[0-9]{1,4}[-/.][0-9]{1,2}[-/.][0-9]{1,4}$"
 
 
 def pieces(text: Column, kind: str, pattern: str) -> Column:
@@ -109,6 +116,21 @@ def valid(kind: Column, value: Column) -> Column:
     return F.when(kind == "ip", F.forall(F.split(value, r"\."), _byte)).when(kind == "card", card).when(kind == "phone", n.between(8, 15)).otherwise(True)
 
 
+def refuted(value: Column) -> Column:
+    """Whether a word has the form of a card or an address and fails its test."""
+    n = F.length(digits(value))
+    card = F.rlike(value, F.lit(r"^[0-9][0-9-]*$")) & n.between(16, 19)
+    address = F.rlike(value, F.lit(r"^[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+$"))
+    return F.when(card, ~luhn(digits(value))).when(address, ~F.forall(F.split(value, r"\."), _byte)).otherwise(False)
+
+
+def ordinary(value: Column) -> Column:
+    """Whether a word is known to be no identifier: a date, a number of few digits, a short word, or one that is refuted."""
+    bare = F.regexp_replace(value, r"[^\p{L}\p{N}]", "")
+    few = F.length(bare) < F.when(F.rlike(bare, F.lit(r"\p{L}")), WORD_LENGTH).otherwise(NUMBER_LENGTH)
+    return few | F.rlike(value, F.lit(DATE)) | refuted(value)
+
+
 def shape(value: Column) -> Column:
     """Classes of characters and length of a value with both letters and digits: ``a9:40``; null for shorter ones than ``SHAPED``."""
     has = lambda pattern, mark: F.when(F.rlike(value, F.lit(pattern)), mark).otherwise("")
@@ -151,23 +173,28 @@ def spans(read: DataFrame) -> DataFrame:
     return placed.select("row", "kind", "start", "end", "value", F.when(word, F.array_distinct(F.concat(*contexts, formed))).alias("contexts"))
 
 
-def trusted_patterns(instances: DataFrame, rounds: int = ROUNDS, confidence: float = CONFIDENCE, support: int = SUPPORT, lift: float = LIFT) -> DataFrame:
+def trusted_patterns(instances: DataFrame, rounds: int = ROUNDS, confidence: float = CONFIDENCE, support: int = SUPPORT, lift: float = LIFT, unknown: float = UNKNOWN) -> DataFrame:
     """Patterns of high confidence: pattern, score.
 
-    ``instances``: value, pattern, docs, seed (whether the value was found by form), one row for each value and pattern, so
-    that a value repeated in a million documents is one node. A round scores patterns by the trusted share of their different
-    values (one more, untrusted, is added, so that few can't be sure), then values by their best pattern. The share must be ``lift``
-    times that of all values, as long as these leave room for it.
+    ``instances``: value, pattern, docs, seed (whether the value was found by form), plain (whether it is ordinary), one row for each
+    value and pattern, so that a value repeated in a million documents is one node. A round scores patterns by the trusted share of
+    their different values: trusted ones against ordinary ones, a part (``unknown``) of the others, and ``PRIOR``, so that few can't be
+    sure. Then values are scored by their best pattern. The share must be ``lift`` times that of all known values, as long as these
+    leave room for it.
     """
-    seeds = instances.groupBy("value").agg(F.bool_or("seed").alias("seed")).agg(F.avg(F.col("seed").cast("double")).alias("share")).first()["share"] or 0.0
-    confidence = max(confidence, min(lift * seeds, (1 + confidence) / 2))
+    values = instances.groupBy("value").agg(F.bool_or("seed").alias("seed"), F.bool_or("plain").alias("plain")).filter("seed OR plain")
+    seeds = values.agg(F.avg(F.col("seed").cast("double")).alias("share")).first()["share"] or 0.0
+    confidence = max(confidence, min(lift * seeds, (1 + 3 * confidence) / 4))
     known = instances.withColumn("trust", F.col("seed").cast("double"))
     scores = None
     for i in range(rounds):
-        own = known.groupBy("pattern").agg(F.count("*").alias("n"), F.sum("trust").alias("trust"), F.sum(F.when(F.col("trust") >= confidence, F.col("docs"))).alias("docs"))
-        scores = staged(own.filter((F.col("trust") >= support) & (F.col("docs") >= support) & (F.col("trust") >= confidence * (F.col("n") + 1))).select("pattern", (F.col("trust") / (F.col("n") + 1)).alias("score")), "pattern-scores")
+        trusted, plain = F.col("trust") >= confidence, F.col("plain") & ~F.col("seed")
+        against = F.when(trusted, 0.0).when(plain, 1.0).otherwise(unknown)
+        own = known.groupBy("pattern").agg(F.sum(F.when(trusted, F.col("trust")).otherwise(0.0)).alias("trust"), F.sum(against).alias("against"), F.sum(F.when(trusted, F.col("docs"))).alias("docs"))
+        score = F.col("trust") / (F.col("trust") + F.col("against") + PRIOR)
+        scores = staged(own.withColumn("score", score).filter((F.col("trust") >= support) & (F.col("docs") >= support) & (F.col("score") >= confidence)).select("pattern", "score"), "pattern-scores")
         if i + 1 < rounds:
-            best = known.join(scores, "pattern").groupBy("value").agg(F.max("score").alias("best"))
+            best = known.filter("NOT plain").join(scores, "pattern").groupBy("value").agg(F.max("score").alias("best"))
             known = staged(instances.join(best, "value", "left").withColumn("trust", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("best", F.lit(0.0)))).drop("best"), "pattern-trust")
     return scores
 
@@ -195,9 +222,9 @@ def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     for form in forms:
         formed = formed | F.rlike("value", F.lit(form))
     known = F.col("seed") | formed | (F.col("value").isin(list(examples)) if examples else F.lit(False))
-    instances = staged(each.filter("own").groupBy("pattern", "value").agg(F.count("*").alias("docs"), F.bool_or(known).alias("seed")), "personal-instances")
+    instances = staged(each.filter("own").groupBy("pattern", "value").agg(F.count("*").alias("docs"), F.bool_or(known).alias("seed"), ordinary(F.col("value")).alias("plain")), "personal-instances")
     scores = trusted_patterns(instances, rounds, confidence, support)
-    new = each.filter("NOT seed").join(scores, "pattern", "left_semi").select("row", F.lit("id").alias("kind"), "start", "end", "value").distinct()
+    new = each.filter(~F.col("seed") & ~refuted(F.col("value"))).join(scores, "pattern", "left_semi").select("row", F.lit("id").alias("kind"), "start", "end", "value").distinct()
 
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
     listed = all_spans.filter(~word).select("row", "kind", "start", "end", "value").unionByName(new)

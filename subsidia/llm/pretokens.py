@@ -106,6 +106,7 @@ class _Filling(dict):
         self.make, self.old = make, {}
 
     def age(self):
+        self.old = {}  # gone before the new one is made
         self.old = dict(self)
         self.clear()
 

@@ -409,3 +409,59 @@ def test_personal_data_finds_keys_by_context_and_no_others(spark):
     few = personal_data.personal_data(docs, forms=()).filter("size(extra) > 0").count()
     known = tuple(re.search(r'token = "([^"]*)"', texts[d])[1] for d in range(18))
     assert few == 0 and personal_data.personal_data(docs, forms=(), examples=known).filter("size(extra) > 0").count() == 21
+
+
+@pytest.mark.parametrize("every", [10, 5, 3])
+def test_personal_data_finds_forms_that_are_held_out(spark, every):
+    rng = random.Random(every)
+    digest = lambda: "".join(rng.choices("0123456789abcdef", k=40))
+    key = lambda i: f"Zq-{digest()[:8]}-k" if i % every == 0 else digest()
+    keys = {i: key(i) for i in range(60)}
+    rows = [(i, f"prose {rng.random()} and then token = \"{k}\" and part {rng.randint(1, 99)} of it", "s") for i, k in keys.items()]
+    rows += [(100 + i, f"Pay by card {rng.randint(10**15, 10**16)} or order part-{i}-{digest()[:6]} in part {i} of {i + 7}", "s") for i in range(80)]
+    got = {r["doc_id"]: [s["value"] for s in r["extra"]] for r in personal_data.personal_data(documents(spark, rows)).collect()}
+    assert {d: v for d, v in got.items() if v} == {i: [k] for i, k in keys.items()}
+
+
+def plain_scores(instances, rounds, confidence, support, lift):
+    """The rounds of trust, with dictionaries."""
+    sure = {v: any(x["seed"] for x in instances if x["value"] == v) for v in {x["value"] for x in instances}}
+    plain = {x["value"]: x["plain"] for x in instances}
+    known = [v for v in sure if sure[v] or plain[v]]
+    share = sum(sure[v] for v in known) / len(known) if known else 0.0
+    confidence = max(confidence, min(lift * share, (1 + 3 * confidence) / 4))
+    best, scores = {}, {}
+    for _ in range(rounds):
+        trust = lambda x: 1.0 if x["seed"] else best.get(x["value"], 0.0)  # noqa: B023, E731
+        scores = {}
+        for p in {x["pattern"] for x in instances}:
+            own = [x for x in instances if x["pattern"] == p]
+            good = [x for x in own if trust(x) >= confidence]
+            total = sum(map(trust, good))
+            against = sum(1.0 if x["plain"] and not x["seed"] else 0.1 for x in own if trust(x) < confidence)
+            score = total / (total + against + 0.5)
+            if total >= support and sum(x["docs"] for x in good) >= support and score >= confidence:
+                scores[p] = score
+        best = {}
+        for x in instances:
+            if not x["plain"] and x["pattern"] in scores:
+                best[x["value"]] = max(best.get(x["value"], 0.0), scores[x["pattern"]])
+    return scores
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_pattern_scores_equal_a_plain_restatement(spark, seed):
+    rng = random.Random(seed)
+    kinds = {v: rng.choice(["seed", "seed", "plain", "unknown"]) for v in range(300)}
+    by_kind = {k: [v for v in kinds if kinds[v] == k] for k in ("seed", "plain", "unknown")}
+    rows = {}
+    for p in range(40):
+        mix = rng.choice([(30, 0, 5), (12, 1, 0), (10, 2, 30), (5, 5, 5), (0, 0, 20), (6, 0, 0), (0, 9, 0)])
+        for k, n in zip(("seed", "plain", "unknown"), mix, strict=True):
+            for v in rng.sample(by_kind[k], min(n, len(by_kind[k]))):
+                rows[p, v] = {"pattern": p, "value": f"v{v}", "docs": rng.randint(1, 3), "seed": k == "seed", "plain": k == "plain"}
+    instances = list(rows.values())
+    df = spark.createDataFrame([(x["value"], x["pattern"], x["docs"], x["seed"], x["plain"]) for x in instances], "value string, pattern long, docs long, seed boolean, plain boolean")
+    got = {r["pattern"]: r["score"] for r in personal_data.trusted_patterns(df).collect()}
+    want = plain_scores(instances, personal_data.ROUNDS, personal_data.CONFIDENCE, personal_data.SUPPORT, personal_data.LIFT)
+    assert set(got) == set(want) and all(abs(got[p] - want[p]) < 1e-9 for p in want) and want
