@@ -117,6 +117,61 @@ def geodesic_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     return F.when(h == 0, 0.0).otherwise(a * (s - f / 2 * (x + y)))
 
 
+def geodesic_inverse_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column, a: float = 6378.137, flattening: float = 1 / 298.257223563, steps: int = 24) -> Column:
+    """Distance on an ellipsoid (WGS84 unless given) by Vincenty's iteration: within a millimetre.
+
+    The difference of longitudes on the auxiliary sphere is a fixed point, folded over ``steps`` rounds inside the expression. Between
+    almost opposite points of the equator the rounds don't settle; there the result is NULL.
+    """
+    f = flattening
+    reduced = lambda lat: F.atan((1 - f) * F.tan(F.radians(lat)))
+    u1, u2 = reduced(lat1), reduced(lat2)
+    turn = F.radians(F.pmod(lon2 - lon1 + 180, F.lit(360.0)) - 180)
+    given = F.struct(F.sin(u1).alias("s1"), F.cos(u1).alias("c1"), F.sin(u2).alias("s2"), F.cos(u2).alias("c2"), turn.alias("turn"), turn.alias("at"), turn.alias("last"))
+
+    def sphere(p):
+        across, along = p["c2"] * F.sin(p["at"]), p["c1"] * p["s2"] - p["s1"] * p["c2"] * F.cos(p["at"])
+        sine, cosine = F.sqrt(across * across + along * along), p["s1"] * p["s2"] + p["c1"] * p["c2"] * F.cos(p["at"])
+        azimuth = F.when(sine > 0, p["c1"] * p["c2"] * F.sin(p["at"]) / sine).otherwise(0.0)
+        return sine, cosine, azimuth
+
+    def middle(m, p):
+        """The cosine of twice the middle's arc; 0 along the equator."""
+        square = 1 - m["azimuth"] * m["azimuth"]
+        return F.when(square > 1e-15, m["cosine"] - 2 * p["s1"] * p["s2"] / square).otherwise(0.0)
+
+    def step(p, _):
+        def moved(m):
+            square = 1 - m["azimuth"] * m["azimuth"]
+            c = f / 16 * square * (4 + f * (4 - 3 * square))
+            arc = F.atan2(m["sine"], m["cosine"]) + c * m["sine"] * (m["middle"] + c * m["cosine"] * (2 * m["middle"] * m["middle"] - 1))
+            return p["turn"] + (1 - c) * f * m["azimuth"] * arc
+
+        return F.struct(p["s1"].alias("s1"), p["c1"].alias("c1"), p["s2"].alias("s2"), p["c2"].alias("c2"), p["turn"].alias("turn"), let(figures(p), moved).alias("at"), p["at"].alias("last"))
+
+    def figures(p):
+        sine, cosine, azimuth = sphere(p)
+        return let(F.struct(sine.alias("sine"), cosine.alias("cosine"), azimuth.alias("azimuth")), lambda m: F.struct(m["sine"].alias("sine"), m["cosine"].alias("cosine"), m["azimuth"].alias("azimuth"), middle(m, p).alias("middle")))
+
+    def length(p):
+        def of(m):
+            square = (1 - m["azimuth"] * m["azimuth"]) * (1 / (1 - f) ** 2 - 1)
+            big = 1 + square / 16384 * (4096 + square * (-768 + square * (320 - 175 * square)))
+            small = square / 1024 * (256 + square * (-128 + square * (74 - 47 * square)))
+            twice = 2 * m["middle"] * m["middle"] - 1
+            less = small * m["sine"] * (m["middle"] + small / 4 * (m["cosine"] * twice - small / 6 * m["middle"] * (4 * m["sine"] * m["sine"] - 3) * (2 * twice - 1)))
+            return a * (1 - f) * big * (F.atan2(m["sine"], m["cosine"]) - less)
+
+        return F.when(F.abs(p["at"] - p["last"]) < 1e-11, let(figures(p), of))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), given, step, length)
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def los(east: Column, north: Column, up: Column, incidence: Column, azimuth: Column) -> Column:
     """Displacement along the line of sight; azimuth is that of the sight line, counted from north, anti-clockwise."""
     inc, az = F.radians(incidence), F.radians(azimuth)

@@ -202,6 +202,20 @@ def p16g(spark, sf):
     return fxs.stations(spark, sf).select("station", F.round(fn.geodesic_km(F.lit(10.0), F.lit(0.0), F.col("y") / 1000, F.col("x") / 1000), 6).alias("km"))
 
 
+VINCENTY = """, p AS (SELECT station, sin(u1) AS s1, cos(u1) AS c1, sin(u2) AS s2, cos(u2) AS c2, l FROM (SELECT station, atan((1 - 1 / 298.257223563::DOUBLE) * tan(radians(10))) AS u1, atan((1 - 1 / 298.257223563::DOUBLE) * tan(radians(y / 1000))) AS u2, radians(x / 1000) AS l FROM stations)),
+r(station, s1, c1, s2, c2, l, i, t, f) AS (SELECT station, s1, c1, s2, c2, l, 0, l, 1 / 298.257223563::DOUBLE FROM p UNION ALL SELECT station, s1, c1, s2, c2, l, i + 1,
+l + (1 - c) * f * az * (atan2(sine, cosine) + c * sine * (mid + c * cosine * (2 * mid * mid - 1))), f FROM (SELECT *, f / 16 * q * (4 + f * (4 - 3 * q)) AS c, CASE WHEN q > 1e-15 THEN cosine - 2 * s1 * s2 / q ELSE 0 END AS mid FROM (SELECT *, 1 - az * az AS q FROM
+(SELECT *, CASE WHEN sine > 0 THEN c1 * c2 * sin(t) / sine ELSE 0 END AS az FROM (SELECT *, sqrt((c2 * sin(t)) ^ 2 + (c1 * s2 - s1 * c2 * cos(t)) ^ 2) AS sine, s1 * s2 + c1 * c2 * cos(t) AS cosine FROM r WHERE i < 24))))),
+e AS (SELECT *, CASE WHEN q > 1e-15 THEN cosine - 2 * s1 * s2 / q ELSE 0 END AS mid, q * (1 / (1 - f) ^ 2 - 1) AS w FROM (SELECT *, 1 - az * az AS q FROM (SELECT *, CASE WHEN sine > 0 THEN c1 * c2 * sin(t) / sine ELSE 0 END AS az FROM (SELECT *, sqrt((c2 * sin(t)) ^ 2 + (c1 * s2 - s1 * c2 * cos(t)) ^ 2) AS sine, s1 * s2 + c1 * c2 * cos(t) AS cosine FROM r WHERE i = 24)))),
+b AS (SELECT *, 1 + w / 16384 * (4096 + w * (-768 + w * (320 - 175 * w))) AS big, w / 1024 * (256 + w * (-128 + w * (74 - 47 * w))) AS small FROM e)
+SELECT station, round(6378.137::DOUBLE * (1 - f) * big * (atan2(sine, cosine) - small * sine * (mid + small / 4 * (cosine * (2 * mid * mid - 1) - small / 6 * mid * (4 * sine * sine - 3) * (4 * mid * mid - 3)))), 6) AS km FROM b"""
+
+
+@query("p16_geodesic_inverse", fx("stations").replace("WITH ", "WITH RECURSIVE ", 1) + VINCENTY)
+def p16i(spark, sf):
+    return fxs.stations(spark, sf).select("station", F.round(fn.geodesic_inverse_km(F.lit(10.0), F.lit(0.0), F.col("y") / 1000, F.col("x") / 1000), 6).alias("km"))
+
+
 LOS = "-sin(radians(40)) * sin(radians(100)) * east + sin(radians(40)) * cos(radians(100)) * north + cos(radians(40)) * up"
 
 

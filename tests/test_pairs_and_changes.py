@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from subsidia.functions import columns as fn
 from subsidia.operators import changes, pairs, validate, variogram, velocity
 
 
@@ -190,3 +191,21 @@ def test_transient_station_test_equals_pairs(spark):
     key = ["ifg", "bin", "n_total", "n_pass", "success"]
     one, two = validate.transient_station_test(s).select(key), validate.transient_requirement_test(validate.station_pairs(s, ["ifg"], within_km=50.0)).select(key)
     assert sorted(one.collect()) == sorted(two.collect()) and one.filter(F.col("bin") == -1).count() == 3
+
+
+def test_geodesic_inverse_on_published_lines(spark):
+    dms = lambda d, m, s: (abs(d) + m / 60 + s / 3600) * (-1 if d < 0 else 1)
+    bessel, international, grs80 = (6377.397155, 1 / 299.1528128), (6378.388, 1 / 297), (6378.137, 1 / 298.257222101)
+    # Test lines published with the method, and one of a national survey; metres.
+    lines = [
+        (dms(55, 45, 0), 0.0, -dms(33, 26, 0), dms(108, 13, 0), bessel, 14110526.170),
+        (dms(37, 19, 54.95367), 0.0, dms(26, 7, 42.83946), dms(41, 28, 35.50729), international, 4085966.703),
+        (dms(35, 16, 11.24862), 0.0, dms(67, 22, 14.77638), dms(137, 47, 28.31435), international, 8084823.839),
+        (-dms(37, 57, 3.72030), dms(144, 25, 29.52440), -dms(37, 39, 10.15610), dms(143, 55, 35.38390), grs80, 54972.271),
+    ]
+    for lat1, lon1, lat2, lon2, (a, f), metres in lines:
+        got = spark.range(1).select(fn.geodesic_inverse_km(*map(F.lit, (lat1, lon1, lat2, lon2)), a, f)).first()[0]
+        assert got * 1000 == pytest.approx(metres, abs=0.001)
+    rows = spark.createDataFrame([(0.0, 179.9999, 0.0, -179.9999), (5.0, 7.0, 5.0, 7.0), (0.0, 0.0, 0.3, 179.9), (None, 1.0, 2.0, 3.0)], "a double, b double, c double, d double")
+    km = [r[0] for r in rows.select(fn.geodesic_inverse_km(*map(F.col, "abcd"))).collect()]
+    assert km[0] == pytest.approx(0.0002 * math.pi / 180 * 6378.137, rel=1e-9) and km[1] == 0 and km[2] is None and km[3] is None
