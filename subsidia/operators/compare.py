@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from subsidia.functions.columns import hash_order
 from subsidia.functions.stages import cut
 from subsidia.operators.cube import PIXEL, first_epoch_subtract, validity
+from subsidia.operators.windows import window_sums
 
 
 def common_dates(a: DataFrame, b: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -83,9 +84,8 @@ def window_mean_series(points: DataFrame, a: DataFrame, b: DataFrame, radius: in
         a, b = first_epoch_subtract(a, fill_zero=True), first_epoch_subtract(b, fill_zero=True)
     both = version_compare(a, b)
     centre = points.join(both.select(*PIXEL).distinct(), PIXEL, "left_semi")
-    off = F.sequence(F.lit(-radius), F.lit(radius))
-    cells = centre.withColumn("dr", F.explode(off)).withColumn("dc", F.explode(off)).select("pid", "frame_id", (F.col("row") + F.col("dr")).alias("row"), (F.col("col") + F.col("dc")).alias("col"))
-    return cells.join(both, PIXEL).groupBy("pid", "obs_date").agg(F.avg("value").alias("value"), F.avg("other").alias("other"), F.count("*").alias("n"))
+    sums = window_sums(centre, both, ["value", "other"], radius, radius, epoch=["obs_date"])
+    return sums.select("pid", "obs_date", (F.col("value") / F.col("n")).alias("value"), (F.col("other") / F.col("n")).alias("other"), "n")
 
 
 def ranges(layers: DataFrame, scale: float = 1.0) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subsidia.functions.columns import los, point_in_ring
+from subsidia.operators.windows import window_sums
 
 
 def stations_in_frame(stations: DataFrame, frames: DataFrame) -> DataFrame:
@@ -131,13 +132,18 @@ def problem_steps(steps: DataFrame, start: str, end: str, magnitude: float = 5.0
 def sample_at_stations(stations: DataFrame, layer: DataFrame, radius: int = 0, how: str = "median", asymmetric: bool = False) -> DataFrame:
     """The layer around each station (frame_id, station, row, col): median or mean of a window of pixels; stations without any drop out.
 
-    The window is exploded to pixels, so the join is an equi-join. ``asymmetric`` leaves the window's last row and column out.
+    Means come from summed-area tables; for medians the window is exploded to pixels, so that join is an equi-join. ``asymmetric``
+    leaves the window's last row and column out.
     """
-    offsets = F.sequence(F.lit(-radius), F.lit(radius - int(asymmetric and radius > 0)))
+    behind = radius - int(asymmetric and radius > 0)
+    if how == "mean":
+        at = stations.select(F.struct("frame_id", "station").alias("pid"), "frame_id", "row", "col")
+        sums = window_sums(at, layer.select("frame_id", "row", "col", "value"), ["value"], radius, behind)
+        return sums.select("pid.frame_id", "pid.station", (F.col("value") / F.col("n")).alias("value"))
+    offsets = F.sequence(F.lit(-radius), F.lit(behind))
     cells = stations.select("frame_id", "station", "row", "col").withColumn("dr", F.explode(offsets)).withColumn("dc", F.explode(offsets))
     cells = cells.select("frame_id", "station", (F.col("row") + F.col("dr")).alias("row"), (F.col("col") + F.col("dc")).alias("col"))
-    agg = F.median("value") if how == "median" else F.avg("value")
-    return cells.join(layer.select("frame_id", "row", "col", "value"), ["frame_id", "row", "col"]).groupBy("frame_id", "station").agg(agg.alias("value")).filter("value IS NOT NULL")
+    return cells.join(layer.select("frame_id", "row", "col", "value"), ["frame_id", "row", "col"]).groupBy("frame_id", "station").agg(F.median("value").alias("value")).filter("value IS NOT NULL")
 
 
 def align_series(gnss: DataFrame, insar: DataFrame) -> DataFrame:

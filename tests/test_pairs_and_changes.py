@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from subsidia.functions import columns as fn
-from subsidia.operators import changes, pairs, validate, variogram, velocity
+from subsidia.operators import changes, pairs, validate, variogram, velocity, windows
 
 
 def brute_pairs(points, edges, closed, requirement):
@@ -209,3 +209,28 @@ def test_geodesic_inverse_on_published_lines(spark):
     rows = spark.createDataFrame([(0.0, 179.9999, 0.0, -179.9999), (5.0, 7.0, 5.0, 7.0), (0.0, 0.0, 0.3, 179.9), (None, 1.0, 2.0, 3.0)], "a double, b double, c double, d double")
     km = [r[0] for r in rows.select(fn.geodesic_inverse_km(*map(F.col, "abcd"))).collect()]
     assert km[0] == pytest.approx(0.0002 * math.pi / 180 * 6378.137, rel=1e-9) and km[1] == 0 and km[2] is None and km[3] is None
+
+
+@pytest.mark.parametrize("before, behind", [(3, 3), (50, 50), (3, 2), (0, 0)])
+def test_window_sums(spark, before, behind):
+    rng = random.Random(before)
+    pixels = [(f, r, c, d, float(rng.randint(-9, 9)), rng.choice([None, 1.5, 2.0])) for f in (1, 2) for d in (0, 1) for r in range(-5, 150) for c in range(0, 140, 7)]
+    pixels += pixels[:3]
+    points = [(k, rng.randint(1, 3), rng.randint(-60, 190), rng.randint(-60, 190)) for k in range(60)] + [(100, 1, 63, 63), (101, 1, 64, 64)]
+    got = windows.window_sums(spark.createDataFrame(points, "pid int, frame_id int, row int, col int"), spark.createDataFrame(pixels, "frame_id int, row int, col int, day int, v double, w double"), ["v", "w"], before, behind, epoch=["day"]).collect()
+    want = {}
+    for k, f, r, c in points:
+        for g, y, x, d, v, w in pixels:
+            if f == g and w is not None and r - before <= y <= r + behind and c - before <= x <= c + behind:
+                a = want.setdefault((k, d), [0.0, 0.0, 0])
+                a[0], a[1], a[2] = a[0] + v, a[1] + w, a[2] + 1
+    assert {(r["pid"], r["day"]): [r["v"], r["w"], r["n"]] for r in got} == want
+
+
+def test_window_rows_do_not_depend_on_the_radius(spark):
+    pixels = spark.range(40_000).selectExpr("1 as frame_id", "cast(id div 200 as int) as row", "cast(id % 200 as int) as col", "1D as v")
+    points = spark.range(20).selectExpr("id as pid", "1 as frame_id", "cast(100 + id as int) as row", "100 as col")
+    for radius in (3, 40):
+        plan = windows.window_sums(points, pixels, ["v"], radius, radius)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Generate explode") == 4 and "sequence" not in plan  # rows and columns of blocks, for the counts too
+        assert {r["n"] for r in windows.window_sums(points, pixels, ["v"], radius, radius).collect()} == {(2 * radius + 1) ** 2}
