@@ -35,7 +35,9 @@ def write_clustered(cube: DataFrame, path: str, by: tuple[str, ...] = ("frame_id
 def write_bucketed(cube: DataFrame, table: str, path: str, buckets: int = 16) -> DataFrame:
     """Writes a cube as an external table in buckets of its pixels (frame_id, row, col), and returns it.
 
-    Cubes in as many buckets join on pixels, and on pixels and dates, and group by pixels, without an exchange.
+    Cubes in as many buckets join on pixels, and on pixels and dates, and group by pixels, without an exchange. For keys beyond the
+    buckets' own the session is told that a part of the keys is enough to meet on.
     """
+    cube.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     cube.repartition(buckets, "frame_id", "row", "col").write.mode("overwrite").option("path", path).bucketBy(buckets, "frame_id", "row", "col").sortBy("frame_id", "row", "col").saveAsTable(table)
     return cube.sparkSession.table(table)
