@@ -215,3 +215,49 @@ def pair_figures(points: DataFrame, edges: list[float], by: list[str] | None = N
     parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))  # rows are few and heavy, so they aren't to be put together by size
     found = met.repartition(parts).mapInArrow(add, schema).groupBy(*by, "bin").agg(F.sum("_n").alias("n"), F.sum("_d2").alias("_d2"), F.sum("_half").alias("_half"), F.sum("_pass").alias("n_pass"))
     return found.select(*by, "bin", "n", (F.sqrt(F.greatest(F.col("_d2"), F.lit(0.0)) / F.col("n")) / 1000).alias("distance"), (F.greatest(F.col("_half"), F.lit(0.0)) / F.col("n")).alias("gamma"), "n_pass")
+
+
+def later_within(stations: DataFrame, requirement: float, tile: int = 4_096) -> DataFrame:
+    """station, n, p: for each station the number of stations with a greater name, and of those whose double difference
+    |(gnss - gnss') - (insar - insar')| is below ``requirement``; stations with none after them have no row.
+
+    Stations lie in ranges of their names. Every station of a range is before every one of a later range, so two ranges need no pairs:
+    the later one's residuals are sorted, and two searches count those below the requirement. What rounding could
+    decide is compared itself. Work grows with stations times ranges. Stations without a value are left out; rows with one name count apart.
+    """
+    held = cut(stations.filter("gnss IS NOT NULL AND insar IS NOT NULL").select("station", F.col("gnss").cast("double").alias("g"), F.col("insar").cast("double").alias("i")))
+    n_tiles = max(1, -(-held.count() // tile))
+    ranges = held.repartitionByRange(n_tiles, "station").withColumn("_t", F.spark_partition_id())
+    tiles = cut(ranges.groupBy("_t").agg(*[F.collect_list(c).alias(c) for c in ("station", "g", "i")]))
+    ahead = tiles.select(F.explode(F.sequence("_t", F.lit(n_tiles - 1))).alias("_t"), F.col("_t").alias("_from"), *[F.col(c).alias(f"{c}_1") for c in ("station", "g", "i")])
+    met = ahead.join(tiles, "_t").select((F.col("_t") == F.col("_from")).alias("same"), "station_1", "g_1", "i_1", "station", "g", "i")
+
+    def count(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for k in range(batch.num_rows):
+                same, names, g1, i1, others, g2, i2 = (c[k] for c in batch.columns)
+                (g1, i1, g2, i2), keys = (c.values.to_numpy() for c in (g1, i1, g2, i2)), names.values
+                r1, r2 = g1 - i1, g2 - i2
+                if same.as_py():
+                    _, rank = np.unique(keys.to_numpy(zero_copy_only=False), return_inverse=True)
+                    later = [rank > x for x in rank]
+                    n = np.array([x.sum() for x in later])
+                    p = np.array([(np.abs((g1[a] - g2) - (i1[a] - i2)) < requirement)[x].sum() for a, x in enumerate(later)])
+                else:
+                    order = np.argsort(r2, kind="stable")
+                    ranked, room = r2[order], MARGIN * (np.abs(r1) + np.abs(r2).max() + requirement)
+                    at = lambda x: np.searchsorted(ranked, x)  # noqa: B023, E731
+                    outer, inner = (at(r1 - requirement - room), at(r1 + requirement + room)), (at(r1 - requirement + room), at(r1 + requirement - room))
+                    n, p = np.full(len(r1), len(r2)), np.maximum(inner[1] - inner[0], 0)
+                    for a in np.flatnonzero(outer[1] - outer[0] != p):
+                        near = order[outer[0][a] : outer[1][a]]
+                        p[a] = (np.abs((g1[a] - g2[near]) - (i1[a] - i2[near])) < requirement).sum()
+                yield pa.RecordBatch.from_arrays([keys, pa.array(n.astype(np.int64)), pa.array(p.astype(np.int64))], names=["station", "n", "p"])
+
+    spark = stations.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    found = met.repartition(parts).mapInArrow(count, f"station {dict(stations.dtypes)['station']}, n long, p long")
+    return found.groupBy("station").agg(F.sum("n").alias("n"), F.sum("p").alias("p")).filter("n > 0")

@@ -234,3 +234,18 @@ def test_window_rows_do_not_depend_on_the_radius(spark):
         plan = windows.window_sums(points, pixels, ["v"], radius, radius)._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("Generate explode") == 4 and "sequence" not in plan  # rows and columns of blocks, for the counts too
         assert {r["n"] for r in windows.window_sums(points, pixels, ["v"], radius, radius).collect()} == {(2 * radius + 1) ** 2}
+
+
+@pytest.mark.parametrize("tile", [7, 4096])
+def test_later_within(spark, tile):
+    rng = random.Random(tile)
+    rows = [(rng.choice("abcdefgh") + str(rng.randint(0, 40)), round(rng.uniform(0, 9), 1), rng.choice([0.1, 0.3, 2.7])) for _ in range(150)] + [("z9", 1.0, None)]
+    got = {r["station"]: (r["n"], r["p"]) for r in pairs.later_within(spark.createDataFrame(rows, "station string, gnss double, insar double"), 2.4, tile).collect()}
+    want = {}
+    for a, g, i in rows[:-1]:
+        n = [abs((g - h) - (i - j)) < 2.4 for b, h, j in rows[:-1] if a < b]
+        if n:
+            x = want.get(a, (0, 0))
+            want[a] = x[0] + len(n), x[1] + sum(n)
+    assert got == want
+    assert pairs.later_within(spark.createDataFrame([], "station string, gnss double, insar double"), 1.0).count() == 0
