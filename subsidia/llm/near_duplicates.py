@@ -399,7 +399,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str
         families = components(meeting.select("a", F.col("id").alias("b"))).withColumnRenamed("comp", "family")
         own = own_shingles(large, families, texts, n)
         share = F.col("own") / F.col("n")
-        best = staged(large.join(own, "id").groupBy("key").agg(F.min_by("id", F.struct(share, "id")).alias("a")), "near-middles")
+        large = staged(large.join(own, "id").select(*large.columns, "n", "own"), "near-large")
+        best = staged(large.groupBy("key").agg(F.min_by("id", F.struct(share, "id")).alias("a")), "near-middles")
         again = large.join(best, "key").filter("id <> a").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b"))
         pairs = pairs.union(tried(again)).distinct()
 
@@ -407,8 +408,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str
     if crowd:
         # What two open classes of a family share is at most what either shares with its family; where both have a delta from
         # one middle, the symmetric difference of their sets is that of their deltas.
-        able = own.filter((F.col("n") - F.col("own")) * 100 >= F.col("n") * percent)
-        rest = gathered(large.join(able.select("id"), "id", "left_semi"), own, comp)
+        able = (F.col("n") - F.col("own")) * 100 >= F.col("n") * percent
+        rest = gathered(large.filter(able), own, comp)
         most = F.least(F.col("a_n") - F.col("a_own"), F.col("b_n") - F.col("b_own"))
         share = most * 100 >= (F.col("a_n") + F.col("b_n") - most) * percent
         apart_by = F.size("a_delta") + F.size("b_delta") - 2 * F.size(F.array_intersect("a_delta", "b_delta"))
