@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subsidia.llm.common import in_arrow, spread, staged
-from subsidia.llm.pretokens import Pieces
+from subsidia.llm.pretokens import MANY_ENTRIES, Pieces
 
 #: Pieces packed together, on average: some megabytes of ids.
 GROUP_PIECES = 8_192
@@ -44,7 +44,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int =
         packed = lambda ids: np.array(ids, kind).tobytes()
         end, row = packed([end_id]), TaskContext.get().partitionId() << 33
         for batch in batches:
-            cache = known.cache(f"bytes{width}", packed)
+            cache = known.cache(f"bytes{width}", packed, MANY_ENTRIES)
             out = {n: [] for n in ("row", "doc_id", "piece", "start", "length", "ids")}
             for key, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = known.cut(t or "")

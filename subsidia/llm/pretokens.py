@@ -35,8 +35,10 @@ _KNOWN = (
     (_WORD_SPEC, re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\s{_LETTERS}0-9]+"), True),
 )
 
-#: Entries of a generation of a worker's cache; it keeps two, with about 200 bytes an entry, so 100 MB.
-CACHE_ENTRIES = 250_000
+#: Entries of a generation of a worker's cache, unless an operator asks for more; it keeps two, with about 200 bytes an entry, so 40 MB.
+CACHE_ENTRIES = 100_000
+#: For an operator whose work is nearly all encoding: 5.2 % of pre-tokens miss, in place of 9.4 %.
+MANY_ENTRIES = 250_000
 #: Longer pre-tokens are encoded each time.
 CACHED_CHARS = 64
 
@@ -89,11 +91,11 @@ class Pieces:
             return None
         return self.split(text.lower() if self.lower else text)
 
-    def cache(self, name: str, value: Callable[[list[int]], object]) -> dict:
+    def cache(self, name: str, value: Callable[[list[int]], object], entries: int = CACHE_ENTRIES) -> dict:
         """A dict from pre-token to ``value(ids)`` that fills itself; to be asked for again now and then, which keeps its bound."""
         if name not in self.caches:
             self.caches[name] = _Filling(lambda piece: value(self.ids(piece)))
-        if len(self.caches[name]) > CACHE_ENTRIES:
+        if len(self.caches[name]) > entries:
             self.caches[name].age()
         return self.caches[name]
 
