@@ -63,7 +63,7 @@ def binned_requirement_test(pairs: DataFrame, requirement: float = 5.0, bounds:
     table = bins(pairs.sparkSession, *bounds, n_bins)
     inside = pairs.filter("difference IS NOT NULL").select(bin_of(F.col("distance"), *bounds, n_bins, closed).alias("bin"), F.col("difference").cast("double").alias("_d")).filter("bin IS NOT NULL")
     inside = inside.withColumn("_m", F.when(F.col("_d") > 0, F.floor(F.log2("_d") * 256)).otherwise(-(2**40)))  # never falls as the difference grows
-    magnitudes = cut(inside.groupBy("bin", "_m").agg(F.count("*").alias("_c"), F.count_if(F.col("_d") < requirement).alias("_p")))
+    magnitudes = inside.groupBy("bin", "_m").agg(F.count("*").alias("_c"), F.count_if(F.col("_d") < requirement).alias("_p"))
     magnitudes = magnitudes.withColumn("_g", F.explode(F.array("bin", F.lit(-1))))  # each bin, and the total
     group, upto = Window.partitionBy("_g"), Window.partitionBy("_g").orderBy("_m")
     at = (F.col("_n") - 1) * F.lit(float(threshold))
