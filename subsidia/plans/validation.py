@@ -714,7 +714,7 @@ def s09v(spark, sf):
 
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     path = f"{base.rstrip('/')}/table-{uuid.uuid4().hex}"
-    readers.write_validation(validate.binned_requirement_test(validate.station_pairs(fxs.stations(spark, sf), within_km=50.0)), path)
+    readers.write_validation(validate.station_requirement_test(fxs.stations(spark, sf)), path)
     back = spark.read.csv(path, header=True, schema="distance string, n_total long, n_pass long, ratio double, success boolean")
     return back.select("distance", "n_total", "n_pass", *r9("ratio", digits=8), "success")
 
