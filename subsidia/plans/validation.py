@@ -113,7 +113,7 @@ def a11m(spark, sf):
 @query("a19_requirement_limit", fx("stations") + f""", {PAIRS}, d AS (SELECT difference, count(*) OVER () AS n, row_number() OVER (ORDER BY difference) AS k FROM pairs WHERE distance > 0.1 AND distance <= 50)
 SELECT round((floor(round(min(difference) / 0.01, 9)) + 1) * 0.01, 9) AS "limit" FROM d WHERE k > n * 0.683""")
 def a19(spark, sf):
-    return validate.requirement_limit(validate.station_pairs(fxs.stations(spark, sf), within_km=50.0))
+    return validate.station_requirement_limit(fxs.stations(spark, sf))
 
 
 def ifg_stations(spark, sf):
