@@ -61,3 +61,14 @@ def test_met_tiles_hold_each_pair_once_in_many_small_cells(spark):
     assert met.count() > 500  # work for many tasks
     figures = pairs.pair_figures(s, [0.0, 50.0], u="gnss", w="insar", closed="both", tile=8).first()
     assert figures["n"] == validate.station_pairs(s, within_km=50.0).count()
+
+
+def test_all_pairs_are_dealt_and_ranked_where_they_are_made(spark, monkeypatch, tmp_path):
+    from subsidia.plans import registry
+
+    monkeypatch.setattr(validate, "TASK_PAIRS", 500)
+    spark.range(1, 101).select(F.col("id").alias("s_suppkey"), F.col("id").cast("double").alias("s_acctbal")).coalesce(1).write.parquet(str(tmp_path / "supplier.parquet"))
+    pairs_ = registry.QUERIES["j05_station_pairs"](spark, str(tmp_path))
+    assert pairs_.rdd.getNumPartitions() == 10 and pairs_.count() == 4950  # one task before
+    plan = registry.QUERIES["t02_order_pairs"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.index("Exchange hashpartitioning") > plan.index("NestedLoopJoin")
