@@ -1,14 +1,12 @@
 """Token counts by a map-side lookup in two tiers.
 
 Tier 1 is a broadcast table of the most frequent pre-tokens with their lengths in tokens. Tier 2 is a cache in each
-Python worker, filled by the tokenizers library on a miss. Nothing is shuffled: documents are counted where they are
-read, and the frequent words come from a bounded sample of documents, as one list a task.
+Python worker, filled by the tokenizers library on a miss. Documents are counted where they are read; the frequent words
+are counted over all documents, so only counts of words are shuffled.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,36 +16,18 @@ from subsidia.llm.pretokens import MANY_ENTRIES, Pieces
 
 #: Rows of the broadcast table: under 4 MB, whatever the size of the corpus.
 FREQUENT = 65_536
-#: Documents whose words make the table, on average, and words that reach the driver, shared out among the tasks, with the least share
-#: of a task. They guide a cache and decide nothing else.
-SAMPLE_DOCS, LISTED, LEAST = 4_096, 4 * FREQUENT, 64
+#: Longer words stay out of it, which bounds the table in bytes too.
+FREQUENT_CHARS = 32
 
 
-def frequent_words(docs: DataFrame, text: str = "text", size: int = FREQUENT, sample: int = SAMPLE_DOCS) -> list[str]:
-    """The ``size`` most frequent space-separated words of about ``sample`` documents, drawn row by row, ties by word.
+def frequent_words(docs: DataFrame, text: str = "text", size: int = FREQUENT) -> list[str]:
+    """The ``size`` most frequent space-separated words of all documents, of at most ``FREQUENT_CHARS`` characters, ties by word.
 
-    Each task counts the words of its own documents of the sample and passes on one row with its most frequent ones: its share of
-    ``LISTED``, or ``LEAST``. A task without a document of the sample passes on none, so some 262,000 short words reach the driver.
-    Words longer than 32 characters stay out, which bounds the table in bytes too.
+    They guide a cache and decide nothing else. ``size`` short words reach the driver.
     """
-    share = min(1.0, sample / max(1, docs.count()))
-    per_task = max(LEAST, LISTED // max(1, docs.rdd.getNumPartitions()))
-
-    def count(batches):
-        import pyarrow as pa
-
-        n: Counter = Counter()
-        for batch in batches:
-            for t in batch.column(0):
-                n.update((t.as_py() or "").split(" "))
-        top = [(w, k) for w, k in n.most_common(per_task) if 0 < len(w) <= 32]
-        if top:
-            yield pa.RecordBatch.from_pydict({"words": pa.array([[w for w, _ in top]], pa.list_(pa.string())), "counts": pa.array([[k for _, k in top]], pa.list_(pa.int64()))})
-
-    total: Counter = Counter()
-    for row in in_arrow(docs.select(text).sample(share, seed=7), count, "words array<string>, counts array<long>").collect():
-        total.update(dict(zip(row["words"], row["counts"], strict=True)))
-    return sorted(total, key=lambda w: (-total[w], w))[:size]
+    words = docs.select(F.explode(F.split(text, " ", -1)).alias("w")).filter(F.length("w").between(1, FREQUENT_CHARS))
+    counts = words.groupBy("w").agg(F.count("*").alias("n"))
+    return [r["w"] for r in counts.orderBy(F.desc("n"), "w").limit(size).collect()]
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, keep: list[str] | None = None, text: str = "text", limit: int = 1024, frequent: int = FREQUENT) -> DataFrame:
