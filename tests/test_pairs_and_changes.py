@@ -164,6 +164,24 @@ def test_nearest_on_the_sphere(spark, centre, spread):
         assert got[pid]["value"] == best[1] or abs(haversine(lo, la, *next((x, y) for x, y, v in valid if v == got[pid]["value"])) - best[0]) < 1e-4
 
 
+def test_nearest_among_crowded_positions(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(variogram, "CROWDED", 12, raising=False)
+    rng = random.Random(12)
+    spot = lambda size: (179.99 + rng.random() * size, 10 + rng.random() * size)
+    valid = [(*spot(0.02 if k % 3 else 1e-5), float(k)) for k in range(1500)]
+    valid += [(lo, la, v + 0.5) for lo, la, v in valid[:200]] + [(None, 10.0, 1.0), (math.nan, 10.0, 2.0)]
+    spark.createDataFrame(valid, "lon double, lat double, value double").write.parquet(str(tmp_path / "valid"))
+    asked = [(k, *spot(0.02 if k % 2 else 2e-5)) for k in range(120)] + [(120, 0.0, -80.0)]
+    plans = []
+    monkeypatch.setattr(variogram, "cut", lambda df, cut=variogram.cut: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df))
+    near = variogram.nearest_on_sphere(variogram.unit_vector(spark.createDataFrame(asked, "pid int, lon double, lat double")), variogram.unit_vector(spark.read.parquet(str(tmp_path / "valid"))))
+    got = {r["pid"]: r["value"] for r in near.collect()}
+    unit = lambda lo, la: np.array([math.cos(math.radians(la)) * math.cos(math.radians(lo)), math.cos(math.radians(la)) * math.sin(math.radians(lo)), math.sin(math.radians(la))])
+    held = np.array([unit(lo, la) for lo, la, _ in valid[:1500]])
+    assert got == {k: valid[int(((held - unit(lo, la)) ** 2).sum(axis=1).argmin())][2] for k, lo, la in asked}
+    assert not any("BroadcastHashJoin" in p for p in plans)  # the table of positions went through the driver
+
+
 def test_geographic_profiles_across_the_date_line(spark):
     rng = random.Random(8)
     values = [((179.5 + i * 0.02 + 180) % 360 - 180, 10 + j * 0.02, i * 0.5 + rng.uniform(-0.1, 0.1)) for i in range(51) for j in range(51)]
