@@ -19,8 +19,10 @@ def common_dates(a: DataFrame, b: DataFrame, by: list[str] | None = None) -> Dat
 
 def common_reference_date(a: DataFrame, b: DataFrame) -> DataFrame:
     """Per frame the earliest date of both, or else the first date of the primary version."""
-    shared = a.select("frame_id", "obs_date").intersect(b.select("frame_id", "obs_date")).groupBy("frame_id").agg(F.min("obs_date").alias("shared"))
-    return a.groupBy("frame_id").agg(F.min("obs_date").alias("first")).join(shared, "frame_id", "left").select("frame_id", F.coalesce("shared", "first").alias("reference_date"))
+    side = lambda rows, b: rows.select("frame_id", "obs_date", F.lit(b).alias("_b"))
+    dates = side(a, False).unionByName(side(b, True)).groupBy("frame_id", "obs_date").agg(F.bool_or(~F.col("_b")).alias("_in_a"), F.bool_or("_b").alias("_in_b"))
+    first = F.coalesce(F.min(F.when(F.col("_in_b") & F.col("frame_id").isNotNull(), F.col("obs_date"))), F.min("obs_date"))
+    return dates.filter("_in_a").groupBy("frame_id").agg(first.alias("reference_date"))
 
 
 def version_compare(a: DataFrame, b: DataFrame) -> DataFrame:

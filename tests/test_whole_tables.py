@@ -1,7 +1,10 @@
 """Queries that must look at all of their tables."""
 
+import datetime
+
 from pyspark.sql import functions as F
 
+from subsidia.operators import compare
 from subsidia.plans import registry, validation
 
 SF = "/root/testdata/sf0.01"
@@ -21,3 +24,11 @@ def test_queries_reach_all_positions_and_frames(spark):
     assert len(frames) > 1 and {r[0] for r in registry.QUERIES["j04_station_pixel_sample"](spark, sf).select("frame_id").collect()} == frames
     rows = registry.QUERIES["j15_nearest_valid_pixel"](spark, sf).select(F.expr("near_row div 20").alias("frame_id")).distinct().collect()
     assert {r[0] for r in rows} == frames
+
+
+def test_common_reference_date_joins_no_rows(spark):
+    day = lambda n: datetime.date(2020, 1, n)
+    cubes = [spark.createDataFrame(rows, "frame_id int, obs_date date") for rows in ([(1, day(1)), (1, day(2)), (1, day(2)), (2, day(5)), (2, None), (4, None), (None, day(3)), (None, day(4))], [(1, day(2)), (1, day(3)), (3, day(1)), (2, None), (None, day(4))])]
+    dates = compare.common_reference_date(*cubes)
+    assert {r["frame_id"]: r["reference_date"] for r in dates.collect()} == {1: day(2), 2: day(5), 4: None, None: day(3)}
+    assert "Join" not in dates._jdf.queryExecution().executedPlan().toString()  # all rows of both cubes were sorted for a join
