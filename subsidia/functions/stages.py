@@ -18,6 +18,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Rows of a table that is sent to every task.
+BESIDE = 100_000
+
+
+def beside(df: DataFrame) -> DataFrame:
+    """``df``, a row or two for each group of a larger table, ready to be joined to it: cut, and broadcast if it has few rows.
+
+    A join by few groups deals the larger table by them, and so does what comes after it by group and more: a task for each group.
+    """
+    df = cut(df)
+    return F.broadcast(df) if df.count() <= BESIDE else df
+
+
 def quantile(df: DataFrame, by: list[str], value: str, q: float, name: str = "quantile") -> DataFrame:
     """(by, name): the exact quantile of each group, linear between ranks, as ``percentile`` gives it; NULLs don't count.
 
@@ -27,14 +40,14 @@ def quantile(df: DataFrame, by: list[str], value: str, q: float, name: str = "qu
     v = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
     span = v.groupBy(*by).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("*").alias("_n"))
     share = (F.col("_v") - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
-    binned = v.join(span, by).withColumn("_bin", F.least(F.floor(F.coalesce(share, F.lit(0.0)) * BINS), F.lit(BINS - 1)))
+    binned = v.join(beside(span), by).withColumn("_bin", F.least(F.floor(F.coalesce(share, F.lit(0.0)) * BINS), F.lit(BINS - 1)))
     at = (F.col("_n") - 1) * F.lit(float(q))
     low, high = F.floor(at), F.least(F.floor(at) + 1, F.col("_n") - 1)
     counted = binned.groupBy(*by, "_bin", "_n").agg(F.count("*").alias("_c"))
     counted = counted.withColumn("_upto", F.sum("_c").over(Window.partitionBy(*by).orderBy("_bin")))
     held = counted.filter((F.col("_upto") > low) & (F.col("_upto") - F.col("_c") <= high))
     held = held.select(*by, "_bin", (F.col("_upto") - F.col("_c")).alias("_before"))
-    ties = binned.join(held, [*by, "_bin"]).groupBy(*by, "_n", "_v").agg(F.count("*").alias("_c"), F.min("_before").alias("_before"))
+    ties = binned.join(beside(held), [*by, "_bin"]).groupBy(*by, "_n", "_v").agg(F.count("*").alias("_c"), F.min("_before").alias("_before"))
     order = Window.partitionBy(*by).orderBy("_v")
     ties = ties.withColumn("_upto", F.min("_before").over(Window.partitionBy(*by)) + F.sum("_c").over(order))
     ends = ties.groupBy(*by, "_n").agg(F.min(F.when(F.col("_upto") > low, F.col("_v"))).alias("_a"), F.min(F.when(F.col("_upto") > high, F.col("_v"))).alias("_b"))

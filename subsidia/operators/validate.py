@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from subsidia.functions.columns import hash_order, haversine_km, plane_km, requirement_mm
-from subsidia.functions.stages import cut, numbered, quantile
+from subsidia.functions.stages import beside, cut, numbered, quantile
 from subsidia.operators.pairs import pair_figures, ranked_differences
 
 
@@ -140,11 +140,11 @@ def outlier_mask(layer: DataFrame, method: str = "zscore", threshold: float = 3.
         s = valid.groupBy(*by).agg(F.avg("value").alias("_m"), F.stddev_pop("value").alias("_s"))
         test = F.abs(F.col("value") - F.col("_m")) / F.nullif("_s", F.lit(0.0)) > threshold
     else:
-        m = cut(quantile(valid, by, "value", 0.5, "_m"))  # one row a group
+        m = beside(quantile(valid, by, "value", 0.5, "_m"))
         s = m.join(quantile(valid.join(m, by).withColumn("_o", F.abs(F.col("value") - F.col("_m"))), by, "_o", 0.5, "_s"), by)
         off = F.abs(F.col("value") - F.col("_m"))
         test = F.when(F.col("_s") == 0, off > 0).otherwise(0.6745 * off / F.col("_s") > threshold)
-    return layer.join(s, by, "left").withColumn("outlier", F.coalesce(test, F.lit(False))).drop("_m", "_s")
+    return layer.join(beside(s), by, "left").withColumn("outlier", F.coalesce(test, F.lit(False))).drop("_m", "_s")
 
 
 def requirement_limit(pairs: DataFrame, direction: str = "passing", bounds: tuple[float, float] = (0.1, 50.0), threshold: float = 0.683, step: float = 0.01, compat: bool = False, closed: str = "right") -> DataFrame:

@@ -2,9 +2,11 @@
 
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
-from subsidia.operators import compare
+from subsidia.functions import stages
+from subsidia.operators import compare, validate
 from subsidia.plans import registry, validation
 
 SF = "/root/testdata/sf0.01"
@@ -26,6 +28,17 @@ def test_queries_reach_all_positions_and_frames(spark):
     assert {r[0] for r in rows} == frames
 
 
+@pytest.mark.parametrize("method", ["zscore", "modified"])
+def test_outliers_of_few_groups_are_dealt_over_all_tasks(spark, monkeypatch, method):
+    layer = spark.range(900).select((F.col("id") % 3).cast("int").alias("frame_id"), "id", F.when(F.col("id") % 50 != 7, F.col("id") % 31 + F.when(F.col("id") % 97 == 0, 500).otherwise(0)).cast("double").alias("value"))
+    mask = validate.outlier_mask(layer, method, 3.0)
+    plan = mask._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(frame_id" not in plan  # one task a frame before
+    monkeypatch.setattr(stages, "BESIDE", 0)
+    assert sorted(mask.collect()) == sorted(validate.outlier_mask(layer, method, 3.0).collect())
+    assert mask.filter("outlier").count() == 10
+
+
 def test_common_reference_date_joins_no_rows(spark):
     day = lambda n: datetime.date(2020, 1, n)
     cubes = [spark.createDataFrame(rows, "frame_id int, obs_date date") for rows in ([(1, day(1)), (1, day(2)), (1, day(2)), (2, day(5)), (2, None), (4, None), (None, day(3)), (None, day(4))], [(1, day(2)), (1, day(3)), (3, day(1)), (2, None), (None, day(4))])]
