@@ -37,7 +37,7 @@ _KNOWN = (
 
 #: Entries of a generation of a worker's cache, unless an operator asks for more; it keeps two, with about 200 bytes an entry, so 40 MB.
 CACHE_ENTRIES = 100_000
-#: For an operator whose work is nearly all encoding: 5.2 % of pre-tokens miss, in place of 9.4 %.
+#: For a query whose work is nearly all encoding: 5.2 % of pre-tokens miss, in place of 9.4 %.
 MANY_ENTRIES = 250_000
 #: Longer pre-tokens are encoded each time.
 CACHED_CHARS = 64
@@ -45,6 +45,19 @@ CACHED_CHARS = 64
 _loaded: dict[str, "Pieces"] = {}
 
 
+class _Spelled(dict):
+    """Characters as byte-level vocabularies spell them: a letter for each byte of UTF-8, itself where it is visible in Latin-1."""
+
+    def __missing__(self, code: int) -> str:
+        visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        hidden = [b for b in range(256) if b not in visible]
+        self[code] = "".join(chr(b if b in visible else 256 + hidden.index(b)) for b in chr(code).encode())
+        return self[code]
+
+
+_spelled = _Spelled()
+
+
 class Pieces:
     """A vocabulary: a ``.json`` of the tokenizers library or a ``.model`` of sentencepiece.
 
@@ -72,6 +85,7 @@ class Pieces:
         library.no_padding()
         self.ids = lambda text: library.encode(text, add_special_tokens=False).ids
         self.vocab_size = library.get_vocab_size()
+        self.model = library.model
         added = spec.get("added_tokens") or []
         self.special = re.compile("|".join(re.escape(t["content"]) for t in added) or r"(?!)")
         for known, split, lower in _KNOWN:
@@ -91,10 +105,14 @@ class Pieces:
             return None
         return self.split(text.lower() if self.lower else text)
 
+    def piece_ids(self, piece: str) -> list[int]:
+        """The ids of a pre-token of ``cut``: normalized and cut already, so the library's model alone gives them, in less time."""
+        return [t.id for t in self.model.tokenize(piece.translate(_spelled))]
+
     def cache(self, name: str, value: Callable[[list[int]], object], entries: int = CACHE_ENTRIES) -> dict:
         """A dict from pre-token to ``value(ids)`` that fills itself; to be asked for again now and then, which keeps its bound."""
         if name not in self.caches:
-            self.caches[name] = _Filling(lambda piece: value(self.ids(piece)))
+            self.caches[name] = _Filling(lambda piece: value(self.piece_ids(piece)))
         if len(self.caches[name]) > entries:
             self.caches[name].age()
         return self.caches[name]

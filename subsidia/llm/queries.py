@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from subsidia.llm import chat, decontamination, fingerprints, merkle, mixing, near_duplicates, packing, personal_data, quality, token_counts, token_files, url_filters, whitening
 from subsidia.llm.common import shared_dir, staged, table
+from subsidia.llm.pretokens import MANY_ENTRIES
 
 
 def tokenizer(name: str) -> str:
@@ -54,7 +55,7 @@ FROM keyed k LEFT JOIN best b ON k.page_id = b.page_id AND k.host = b.host AND k
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark, "token-files")
-    token_files.write_token_files(table(spark, sf_dir, "documents"), folder, tokenizer("word_bpe_49k.json"), end_id=1)
+    token_files.write_token_files(table(spark, sf_dir, "documents"), folder, tokenizer("word_bpe_49k.json"), end_id=1, entries=MANY_ENTRIES)
     return token_files.read_token_files(spark, folder)
 
 

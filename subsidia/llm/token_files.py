@@ -21,19 +21,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from subsidia.llm.common import in_arrow
-from subsidia.llm.pretokens import Pieces
+from subsidia.llm.pretokens import CACHE_ENTRIES, Pieces
 
 FORMAT = 1
 NO_ID = -(2**63)
 MANIFEST = T.StructType([T.StructField(n, T.StringType() if n == "file" else T.LongType()) for n in ("part", "file", "n_docs", "n_tokens", "doc_base", "token_base")])
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, doc_id: str = "doc_id", text: str = "text", entries: int = CACHE_ENTRIES) -> DataFrame:
     """Encode every whole text, append ``end_id`` to each, write the files and return the manifest.
 
     Documents go by range of ``doc_id`` (nulls first, equal ids by text, repeated rows kept), so each partition holds
     one interval and streams it into one file. Null and empty texts are documents of the end id alone. An empty table
-    gives an empty manifest. Other columns are ignored.
+    gives an empty manifest. Other columns are ignored. ``entries`` is the size of a generation of a worker's cache.
     """
     spark = docs.sparkSession
     width = 2 if max(Pieces.of(tokenizer).vocab_size, end_id + 1) <= 2**16 else 4
@@ -51,7 +51,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
         part, name = TaskContext.get().partitionId(), ""
         lengths, keys = [0], []
         for batch in batches:
-            cache = pieces.cache(f"bytes{width}", packed)
+            cache = pieces.cache(f"bytes{width}", packed, entries)
             if batch.num_rows and out is None:
                 store, at = fs.FileSystem.from_uri(folder)
                 store.create_dir(at, recursive=True)
