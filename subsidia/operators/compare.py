@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from subsidia.functions.columns import hash_order
-from subsidia.functions.stages import cut
+from subsidia.functions.stages import beside, cut
 from subsidia.operators.cube import PIXEL, first_epoch_subtract, validity
 from subsidia.operators.windows import window_sums
 
@@ -219,40 +219,62 @@ def flatten_json(documents: DataFrame, key: str, json: str, exclude: str | None
 
     Trees are unfolded level by level, to any depth; a level is one pass over what is still nested. An empty object or list is a leaf
     (``{}``, ``[]``). A text that is no JSON, or NULL, has one row with an empty path and no value. Texts may be repeated.
+
+    Equal elements are unfolded once: those of texts without numbers but integers, where an element's text says all about its tree.
     """
     spark = documents.sparkSession
-    todo = cut(documents.select(key, F.lit("").alias("path"), F.monotonically_increasing_id().cast("string").alias("id"), F.lit(None).cast("string").alias("element"), F.try_parse_json(json).alias("v")))
-    todo, out, elements, levels = todo.withColumns({"up": F.lit(None).cast("string"), "name": F.lit(None).cast("string")}), None, None, []
+    plain = F.coalesce(~F.rlike(json, F.lit("[0-9][.eE]")), F.lit(False))
+    todo = cut(documents.select(key, F.lit("").alias("path"), F.monotonically_increasing_id().cast("string").alias("id"), plain.alias("_plain"), F.try_parse_json(json).alias("v")))
+    out, elements = None, None
     union = lambda x, y: y if x is None else x.unionByName(y)
     while not todo.isEmpty():
-        kind = F.coalesce(F.schema_of_variant("v"), F.lit("-"))
-        nested = (F.startswith(kind, F.lit("OBJECT<")) & (kind != "OBJECT<>")) | (F.startswith(kind, F.lit("ARRAY<")) & F.try_variant_get("v", "$[0]", "variant").isNotNull())
-        marked = todo.withColumns({"_kind": kind, "_nested": nested})
-        empty = F.when(F.startswith("_kind", F.lit("OBJECT<")), "{}").when(F.startswith("_kind", F.lit("ARRAY<")), "[]")
-        value = F.coalesce(empty, F.try_variant_get("v", "$", "string"))
-        leaves = marked.filter("NOT _nested").select(key, "path", "id", "element", "up", "name", value.alias("value"), F.sha2(F.concat_ws("=", "_kind", value), 256).alias("digest"))
-        out = union(out, leaves.filter("element IS NULL").select(key, "path", "value", "digest"))
-        levels.append((leaves.filter("element IS NOT NULL").select("id", "element", "up", "name", "digest"), marked.filter("_nested AND element IS NOT NULL").select("id", "element", "up", "name")))
-        children = spark.tvf.variant_explode(F.col("v").outer()).select(F.col("pos").alias("_at"), F.col("key").alias("_k"), F.col("value").alias("_e"))
-        below = marked.filter("_nested").lateralJoin(children)
-        if exclude is not None:
-            below = below.filter(~F.coalesce(F.contains("_k", F.lit(exclude)), F.lit(False)))
-        inside, first = F.col("element").isNotNull(), F.col("element").isNull() & F.col("_k").isNull()
+        marked = _marked(todo)
+        out = union(out, marked.filter("NOT _nested").select(key, "path", F.col("_value").alias("value"), F.col("_leaf").alias("digest")))
         spelled = F.regexp_replace("_k", r"([\\.\[\]])", r"\\$1")
         step = F.when(F.col("_k").isNull(), "[]").when(F.col("path") == "", spelled).otherwise(F.concat(F.lit("."), spelled))
-        child = F.md5(F.concat_ws("/", "id", "_at"))
-        todo = cut(below.select(key, F.when(inside, "").otherwise(F.concat("path", step)).alias("path"), child.alias("id"), F.when(inside, F.col("element")).when(first, child).alias("element"), F.col("_e").alias("v"), F.when(inside, F.col("id")).alias("up"), F.col("_k").alias("name")))
-        elements = union(elements, todo.filter("element = id").select(key, "path", "element", F.col("v").alias("_v")))
+        children = cut(_children(marked, exclude).select(key, F.concat("path", step).alias("path"), "_child", "_plain", F.col("_k").isNull().alias("_element"), F.col("_e").alias("v")))
+        todo = children.filter("NOT _element").select(key, "path", F.col("_child").alias("id"), "_plain", "v")
+        same = F.when(F.col("_plain"), F.sha2(F.coalesce(F.to_json("v"), F.lit("null")), 256)).otherwise(F.col("_child"))
+        elements = union(elements, children.filter("_element").select(key, "path", "_plain", same.alias("_same"), "v"))
     if elements is None:
-        return out if out is not None else todo.select(key, "path", F.col("name").alias("value"), F.col("name").alias("digest"))
-    known, done = None, None
+        return out if out is not None else todo.select(key, "path", F.col("id").alias("value"), F.col("id").alias("digest"))
+    # Texts are grouped, as variants can't be; they are parsed again. Few are left to be joined, or few are equal.
+    texts = elements.filter("_plain").groupBy("_same").agg(F.min(F.coalesce(F.to_json("v"), F.lit("null"))).alias("_t")).select("_same", F.parse_json("_t").alias("v"))
+    digests = beside(_digests(texts.unionByName(elements.filter("NOT _plain").select("_same", "v")), exclude))
+    text = F.coalesce(F.try_variant_get("v", "$", "string"), F.when(~F.is_variant_null("v"), F.to_json("v")))
+    return out.unionByName(elements.join(digests, "_same").select(key, "path", text.alias("value"), "digest"))
+
+
+def _marked(nodes: DataFrame) -> DataFrame:
+    """Adds of the variant ``v``: _nested, whether something lies below it, and _value and _leaf, its text and digest if not."""
+    kind = F.coalesce(F.schema_of_variant("v"), F.lit("-"))
+    nested = (F.startswith(kind, F.lit("OBJECT<")) & (kind != "OBJECT<>")) | (F.startswith(kind, F.lit("ARRAY<")) & F.try_variant_get("v", "$[0]", "variant").isNotNull())
+    empty = F.when(F.startswith("_kind", F.lit("OBJECT<")), "{}").when(F.startswith("_kind", F.lit("ARRAY<")), "[]")
+    value = F.coalesce(empty, F.try_variant_get("v", "$", "string"))
+    return nodes.withColumns({"_kind": kind, "_nested": nested}).withColumn("_value", value).withColumn("_leaf", F.sha2(F.concat_ws("=", "_kind", "_value"), 256))
+
+
+def _children(marked: DataFrame, exclude: str | None) -> DataFrame:
+    """What lies below the nested nodes: adds _k, the name, NULL within a list, _e and an id, _child."""
+    children = marked.sparkSession.tvf.variant_explode(F.col("v").outer()).select(F.col("pos").alias("_at"), F.col("key").alias("_k"), F.col("value").alias("_e"))
+    below = marked.filter("_nested").lateralJoin(children).withColumn("_child", F.md5(F.concat_ws("/", "id", "_at")))
+    return below if exclude is None else below.filter(~F.coalesce(F.contains("_k", F.lit(exclude)), F.lit(False)))
+
+
+def _digests(elements: DataFrame, exclude: str | None) -> DataFrame:
+    """(_same, digest) of the tree of each element (_same, v): unfolded level by level, then folded from the lowest level up."""
+    todo = cut(elements.select(F.col("_same").alias("id"), F.lit(None).cast("string").alias("up"), F.lit(None).cast("string").alias("name"), "v"))
+    levels, known = [], None
+    while not todo.isEmpty():
+        marked = _marked(todo)
+        levels.append((marked.filter("NOT _nested").select("id", "up", "name", F.col("_leaf").alias("digest")), marked.filter("_nested").select("id", "up", "name")))
+        todo = cut(_children(marked, exclude).select(F.col("_child").alias("id"), F.col("id").alias("up"), F.col("_k").alias("name"), F.col("_e").alias("v")))
     for leaves, inner in reversed(levels):
         held = inner.withColumn("_digest", F.lit(None)) if known is None else inner.join(_folded(known), F.col("id") == F.col("_up"), "left")
-        level = cut(leaves.unionByName(held.select("id", "element", "up", "name", F.coalesce("_digest", F.sha2(F.lit(""), 256)).alias("digest"))))  # "": all left out
-        done = union(done, level.filter("up IS NULL").select("element", "digest"))
-        known = level.filter("up IS NOT NULL")
-    text = F.coalesce(F.try_variant_get("_v", "$", "string"), F.when(~F.is_variant_null("_v"), F.to_json("_v")))
-    return out.unionByName(elements.join(done, "element").select(key, "path", text.alias("value"), "digest"))
+        known = cut(leaves.unionByName(held.select("id", "up", "name", F.coalesce("_digest", F.sha2(F.lit(""), 256)).alias("digest"))))  # "": all left out
+    if known is None:
+        return todo.select(F.col("id").alias("_same"), F.col("name").alias("digest"))
+    return known.select(F.col("id").alias("_same"), "digest")
 
 
 #: Hexadecimal digits of a summand of a folded digest; sums of so many bits stay within a long for 2^31 children.

@@ -259,9 +259,10 @@ def j17l(spark, sf):
     two = F.format_string('{"tags": ["%s", [%d]], "k": %d}', "event_type", F.col("event_id") % 3, k)
     side = F.col("event_id") % 2
     docs = e.groupBy("user_id", side.alias("side")).agg(F.concat(F.lit('{"config": {"run.s": ['), F.array_join(F.collect_list(F.when(side == 0, one).otherwise(two)), ", "), F.lit("]}}")).alias("j"))
-    held = docs.groupBy("user_id").agg(F.count("*").alias("n")).filter("n = 2").select("user_id")
-    flat = lambda k: compare.flatten_json(docs.filter(F.col("side") == k).join(held, "user_id"), "user_id", "j")
-    return compare.metadata_diff(flat(0), flat(1), by=["user_id"])
+    held = e.groupBy("user_id").agg(F.bool_or(side == 0).alias("a"), F.bool_or(side == 1).alias("b")).filter("a AND b").select("user_id")
+    flat = compare.flatten_json(docs.join(held, "user_id").select(F.struct("user_id", "side").alias("doc"), "j"), "doc", "j")
+    part = lambda k: flat.filter(F.col("doc.side") == k).select("doc.user_id", "path", "value", "digest")
+    return compare.metadata_diff(part(0), part(1), by=["user_id"])
 
 
 @query("j17_flatten_metadata", "SELECT event_id, 'a.b[]' AS path, unnest([event_id::VARCHAR, 'x']) AS value FROM events UNION ALL SELECT event_id, 'props.k', json_extract_string(props, '$.k') FROM events")

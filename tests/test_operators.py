@@ -479,3 +479,16 @@ def test_metadata_paths_are_told_apart(spark):
     same = compare.metadata_diff(flat(spark, [(1, '{"a": [1, "1", 1]}')]), flat(spark, [(1, '{"a": ["1", 1]}')])).collect()
     assert [tuple(r) for r in same] == [("a[]", "removed", "1", None)]
     assert compare.metadata_diff(flat(spark, []), flat(spark, [])).count() == 0
+
+
+def test_equal_elements_are_unfolded_once(spark, monkeypatch):
+    cuts = []
+    monkeypatch.setattr(compare, "cut", lambda df, cut=compare.cut: cuts.append(cut(df)) or cuts[-1])
+    element = '{"k": 1, "tags": [[2], "t"]}'
+    rows = [(1, f'{{"a": [{", ".join([element] * 500)}]}}'), (2, f'{{"a": [{element}, {element.replace("2", "2.0")}, 1.5]}}'), (3, '{"a": [null, {"tags": ["t", [2]], "k": 1}, []]}')]
+    got = compare.flatten_json(spark.createDataFrame(rows, "k int, j string"), "k", "j").collect()
+    of = lambda k: [r["digest"] for r in got if r["k"] == k]
+    assert len(got) == 506 and {r["path"] for r in got} == {"a[]"}
+    same = set(of(1)).pop()
+    assert len(set(of(1))) == 1 and same in of(2) and same in of(3) and len(set(of(2))) == len(set(of(3))) == 3
+    assert sum(df.count() for df in cuts) < 700  # each of them level by level before
